@@ -357,7 +357,7 @@ def bins_left_closed(x, edges: list, labels: list) -> Column:
 
 # Ticket classes (left-closed edges 0/40k/70k/100k/inf).
 TICKET_EDGES = [0, 40000, 70000, 100000]
-TICKET_LABELS = ["BAIXO", "MÉDIO", "ALTO", "MUITO ALTO"]
+TICKET_LABELS = ["Baixo", "Médio", "Alto", "Muito Alto"]
 TICKET_DEFAULT = "NÃO SIMULADO"
 
 

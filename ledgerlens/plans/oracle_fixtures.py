@@ -30,20 +30,22 @@ FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey
 LEADS = """
 SELECT event_id AS id,
        user_id,
-       CASE WHEN user_id % 37 = 0 THEN NULL
-            WHEN user_id % 41 = 0 THEN ''
-            ELSE '(' || CAST(11 + user_id % 89 AS VARCHAR) || ') 9'
-                 || lpad(CAST((user_id * 7919) % 100000000 AS VARCHAR), 8, '0') END AS telefone,
+       CASE WHEN (user_id * 8 + event_id % 8) % 37 = 0 THEN NULL
+            WHEN (user_id * 8 + event_id % 8) % 41 = 0 THEN ''
+            ELSE '(' || CAST(11 + (user_id * 8 + event_id % 8) % 89 AS VARCHAR) || ') 9'
+                 || lpad(CAST(((user_id * 8 + event_id % 8) * 7919) % 100000000 AS VARCHAR), 8, '0') END AS telefone,
        'Cliente ' || CAST(user_id AS VARCHAR) AS nome,
        'MODELO ' || CAST(user_id % 40 AS VARCHAR) AS veiculo,
        'FIPE' || CAST(user_id % 40 AS VARCHAR) AS fipe,
+       'MARCA ' || CAST(user_id % 12 AS VARCHAR) AS marca,
        CAST(2010 + event_id % 16 AS VARCHAR) || '/' || CAST(2011 + event_id % 16 AS VARCHAR) AS ano,
        CAST(CAST(round(value * 100) AS BIGINT) * 2 AS DECIMAL(18,2)) AS valor,
        CASE WHEN event_id % 13 <> 0
             THEN CAST(CAST(round(value * 100) AS BIGINT) * 2 + (event_id % 10) * 500 AS DECIMAL(18,2)) END AS valor_fipe,
        CASE WHEN user_id % 5 = 0 THEN 'MOTO' ELSE 'CARRO' END AS tipo_veiculo,
-       CASE event_type WHEN 'click' THEN 'WEBMOTORS' WHEN 'view' THEN 'OLX' WHEN 'purchase' THEN 'SITE'
-                       WHEN 'signup' THEN 'INDICACAO' WHEN 'error' THEN 'FACEBOOK' END AS canal,
+       CASE event_type WHEN 'click' THEN 'APROVADO NÃO EFETIVADO' WHEN 'view' THEN 'C2C'
+                       WHEN 'purchase' THEN 'SIMULAÇÃO DIGITAL - C2C' WHEN 'signup' THEN 'QUITADOS - C2C'
+                       WHEN 'error' THEN 'SEGURO AUTO' END AS canal,
        CASE WHEN event_type IN ('click', 'view') THEN 'CRM' ELSE 'SMS' END AS tipo_envio,
        CASE WHEN event_id % 3 = 0 THEN 1 END AS enviado,
        CASE event_id % 4 WHEN 0 THEN 'SIM' WHEN 1 THEN 'NAO' WHEN 2 THEN 'NAO TESTADO' ELSE 'ERRO MODELO' END AS abriu_regua,
@@ -61,10 +63,32 @@ SELECT event_id AS id,
 FROM events
 """
 
+ENRICHMENT = """
+SELECT e.event_id AS negociacao_id,
+       CASE WHEN e.user_id % 11 <> 0 THEN lpad(CAST(e.user_id AS VARCHAR), 11, '0') END AS cpf,
+       c.c_name AS nome,
+       CASE WHEN e.user_id % 3 = 0 THEN 'M' WHEN e.user_id % 3 = 1 THEN 'F' END AS genero,
+       CAST((e.user_id * 37) % 101 AS INTEGER) AS semelhanca,
+       CAST(DATE '1960-01-01' + CAST((e.user_id * 97) % 15000 AS INTEGER) AS DATE) AS data_nascimento
+FROM events e LEFT JOIN customer c ON e.user_id = c.c_custkey
+WHERE e.event_id % 7 <> 0
+"""
+
+CONTACTS = """
+SELECT c_custkey AS id, c_custkey AS cliente_id,
+       '(' || CAST(11 + c_custkey % 89 AS VARCHAR) || ') 9'
+           || lpad(CAST((c_custkey * 7919) % 100000000 AS VARCHAR), 8, '0') AS contato,
+       'CELULAR' AS tipo_contato,
+       CAST(c_custkey % 2 AS INTEGER) AS whatsapp
+FROM customer
+"""
+
 FIXTURES = {
     "producao_all": PRODUCTION,
     "producao_cartao": CARD,
     "negociacao_cockpit": LEADS,
+    "info_panorama_cockpit": ENRICHMENT,
+    "contato_cliente": CONTACTS,
 }
 
 

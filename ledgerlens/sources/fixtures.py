@@ -33,11 +33,11 @@ PRODUCT_TABLE_BY_PRIORITY = {
 
 # Lead channel by event type.
 CHANNEL_BY_EVENT = {
-    "click": "WEBMOTORS",
-    "view": "OLX",
-    "purchase": "SITE",
-    "signup": "INDICACAO",
-    "error": "FACEBOOK",
+    "click": "APROVADO NÃO EFETIVADO",
+    "view": "C2C",
+    "purchase": "SIMULAÇÃO DIGITAL - C2C",
+    "signup": "QUITADOS - C2C",
+    "error": "SEGURO AUTO",
 }
 
 # Ruler answers by event_id % 4.
@@ -117,9 +117,10 @@ def leads(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = read_table(spark, sf_dir, "events")
     eid, uid = F.col("event_id"), F.col("user_id")
     cents2 = (F.round(F.col("value") * 100).cast("long") * 2)
-    telefone = (F.when(F.pmod(uid, F.lit(37)) == 0, F.lit(None).cast("string"))
-                .when(F.pmod(uid, F.lit(41)) == 0, F.lit(""))
-                .otherwise(phone_of(uid)))
+    pk = uid * 8 + F.pmod(eid, F.lit(8))  # phone key: ~8 arrivals per phone
+    telefone = (F.when(F.pmod(pk, F.lit(37)) == 0, F.lit(None).cast("string"))
+                .when(F.pmod(pk, F.lit(41)) == 0, F.lit(""))
+                .otherwise(phone_of(pk)))
     k = F.get_json_object(F.col("props"), "$.k").cast("long")
     ofertas = F.when(F.pmod(eid, F.lit(10)) == 9, F.lit("{not json")).otherwise(F.concat(
         F.lit('{"entradaRecomendada": '), (k * 100).cast("string"),
@@ -135,6 +136,7 @@ def leads(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.lit("Cliente "), uid.cast("string")).alias("nome"),
         F.concat(F.lit("MODELO "), F.pmod(uid, F.lit(40)).cast("string")).alias("veiculo"),
         F.concat(F.lit("FIPE"), F.pmod(uid, F.lit(40)).cast("string")).alias("fipe"),
+        F.concat(F.lit("MARCA "), F.pmod(uid, F.lit(12)).cast("string")).alias("marca"),
         F.concat((F.lit(2010) + F.pmod(eid, F.lit(16))).cast("string"), F.lit("/"),
                  (F.lit(2011) + F.pmod(eid, F.lit(16))).cast("string")).alias("ano"),
         cents2.cast("decimal(18,2)").alias("valor"),
@@ -151,3 +153,33 @@ def leads(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("ts").alias("data_chegada"),
         F.col("ts").alias("data_insercao"),
     )
+
+
+def lead_enrichment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lead enrichment (``info_panorama_cockpit``): one row per lead except
+    ``event_id % 7 = 0``; name from the customer with the same key."""
+    e = read_table(spark, sf_dir, "events").select("event_id", "user_id")
+    c = read_table(spark, sf_dir, "customer").select("c_custkey", "c_name")
+    uid = F.col("user_id")
+    j = e.filter(F.pmod(F.col("event_id"), F.lit(7)) != 0).join(c, e.user_id == c.c_custkey, "left")
+    return j.select(
+        F.col("event_id").alias("negociacao_id"),
+        F.when(F.pmod(uid, F.lit(11)) != 0, cpf_of(uid)).alias("cpf"),
+        F.col("c_name").alias("nome"),
+        F.when(F.pmod(uid, F.lit(3)) == 0, F.lit("M")).when(F.pmod(uid, F.lit(3)) == 1, F.lit("F")).alias("genero"),
+        F.pmod(uid * 37, F.lit(101)).cast("int").alias("semelhanca"),
+        F.date_add(F.lit("1960-01-01").cast("date"), F.pmod(uid * 97, F.lit(15000)).cast("int")).alias("data_nascimento"),
+    )
+
+
+def contacts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Contact registry (``contato_cliente``): one phone per customer key."""
+    c = read_table(spark, sf_dir, "customer").select("c_custkey")
+    k = F.col("c_custkey")
+    return c.select(
+        k.alias("id"),
+        k.alias("cliente_id"),
+        phone_of(k).alias("contato"),
+        F.lit("CELULAR").alias("tipo_contato"),
+        F.pmod(k, F.lit(2)).cast("int").alias("whatsapp"),
+    )

@@ -16,7 +16,8 @@ SELECT o_orderkey AS id,
        CASE WHEN o_orderstatus = 'P' THEN o_orderdate END AS data_cancelamento,
        CAST(o_totalprice AS DECIMAL(18,2)) AS valor_comissao,
        CAST(o_totalprice AS DECIMAL(18,2)) AS valor_liberado,
-       o_orderpriority AS produto
+       o_orderpriority AS produto,
+       'CONVENIO BRAND#' || CAST(o_custkey % 25 + 1 AS VARCHAR) AS convenio
 FROM orders
 """
 
@@ -83,12 +84,51 @@ SELECT c_custkey AS id, c_custkey AS cliente_id,
 FROM customer
 """
 
+BANK_STATEMENTS = """
+WITH g AS (
+  SELECT l_orderkey, l_linenumber, l_partkey, SUM(CAST(l_extendedprice AS DECIMAL(18,2))) AS price,
+         MIN(l_shipdate) AS ship, MAX(l_returnflag) AS flag
+  FROM lineitem GROUP BY l_orderkey, l_linenumber, l_partkey)
+SELECT (g.l_orderkey * 8 + g.l_linenumber) * 1048576 + g.l_partkey AS src_id,
+       CASE g.l_orderkey % 5 WHEN 0 THEN 'BANCO SANTANDER' WHEN 1 THEN 'BANCO PAN' WHEN 2 THEN 'BANCO DO BRASIL'
+            WHEN 3 THEN 'SABEMI' ELSE 'BANCO C6' END AS nom_banco,
+       g.l_orderkey % 5 AS banco_id,
+       CASE WHEN g.l_linenumber % 3 <> 0 THEN CAST(g.l_orderkey AS VARCHAR) END AS num_proposta,
+       CASE WHEN g.l_linenumber % 4 <> 0 THEN 'CT' || CAST(g.l_orderkey AS VARCHAR) END AS num_contrato,
+       CASE WHEN g.l_orderkey % 13 <> 0 THEN lpad(CAST(o.o_custkey AS VARCHAR), 11, '0') END AS cliente_id,
+       g.price AS val_repasse,
+       CASE WHEN g.l_linenumber = 1 THEN CAST(o.o_totalprice AS DECIMAL(18,2)) ELSE g.price END AS val_liberado,
+       CASE WHEN g.l_linenumber = 7 THEN NULL WHEN g.flag = 'R' THEN CAST(0 AS DECIMAL(18,2))
+            ELSE CAST(g.price * 0.05 AS DECIMAL(18,2)) END AS val_comissao,
+       g.ship AS dat_emprestimo,
+       CAST(CAST(g.ship AS DATE) + CAST(g.l_linenumber AS INTEGER) AS TIMESTAMP) AS dat_credito,
+       CASE WHEN g.flag = 'R' THEN 'PENDENTE' ELSE 'pago' END AS status_producao,
+       upper(p.p_brand) || ' - TAXA ' || CAST(1 + g.l_partkey % 3 AS VARCHAR) || ',' || CAST(g.l_partkey % 10 AS VARCHAR)
+         || '% CÓD. ' || CAST(p.p_size AS VARCHAR) AS dsc_produto,
+       'CONVENIO ' || upper(p.p_brand) AS dsc_convenio,
+       CAST(g.l_linenumber AS INTEGER) AS prazo,
+       g.price AS val_bruto
+FROM g JOIN orders o ON g.l_orderkey = o.o_orderkey LEFT JOIN part p ON g.l_partkey = p.p_partkey
+"""
+
+RATE_TABLE = """
+SELECT p_partkey AS id, upper(p_brand) AS descricao_banco, CAST(p_size AS VARCHAR) AS codigo, p_type AS forma_contrato,
+       CAST((1 + p_partkey % 3) * 10 + p_partkey % 10 AS DOUBLE) / 10.0 AS taxa_total,
+       CAST((1 + p_partkey % 4) * 10 + p_partkey % 7 AS DOUBLE) / 10.0 AS taxa_vista,
+       CAST(p_partkey % 50 AS DOUBLE) / 10.0 AS comissao_vista,
+       CAST(DATE '1994-01-01' + CAST((p_partkey % 5) * 365 AS INTEGER) AS DATE) AS data_inicio,
+       CASE WHEN p_partkey % 3 <> 0 THEN CAST(DATE '1994-01-01' + CAST((p_partkey % 5) * 365 + 700 AS INTEGER) AS DATE) END AS data_fim
+FROM part
+"""
+
 FIXTURES = {
     "producao_all": PRODUCTION,
     "producao_cartao": CARD,
     "negociacao_cockpit": LEADS,
     "info_panorama_cockpit": ENRICHMENT,
     "contato_cliente": CONTACTS,
+    "contratos_bancos": BANK_STATEMENTS,
+    "tabela_taxas": RATE_TABLE,
 }
 
 

@@ -9,6 +9,8 @@ reaches the parquet reader.
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -87,6 +89,7 @@ def production(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("o_totalprice").cast("decimal(18,2)").alias("valor_comissao"),
         F.col("o_totalprice").cast("decimal(18,2)").alias("valor_liberado"),
         F.col("o_orderpriority").alias("produto"),
+        F.concat(F.lit("CONVENIO BRAND#"), (F.pmod(F.col("o_custkey"), F.lit(25)) + 1).cast("string")).alias("convenio"),
     )
 
 
@@ -183,3 +186,65 @@ def contacts(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit("CELULAR").alias("tipo_contato"),
         F.pmod(k, F.lit(2)).cast("int").alias("whatsapp"),
     )
+
+
+# ---------------------------------------------------------------- reconciliation
+
+def bank_statements(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Partner statement lines (bank contracts): lineitem grouped by
+    (order, line, part) joined to its order and part.
+
+    ``src_id`` is a numeric key unique per line; keys are NULL on purpose
+    (proposal when line % 3 = 0, contract when line % 4 = 0, client when
+    order % 13 = 0) so rows fall through to later matching stages."""
+    li = read_table(spark, sf_dir, "lineitem")
+    o = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_totalprice")
+    p = read_table(spark, sf_dir, "part").select("p_partkey", "p_brand", "p_size")
+    g = (li.groupBy("l_orderkey", "l_linenumber", "l_partkey")
+         .agg(F.sum(F.col("l_extendedprice").cast("decimal(18,2)")).alias("_price"),
+              F.min("l_shipdate").alias("_ship"),
+              F.max("l_returnflag").alias("_flag")))
+    j = g.join(o, g.l_orderkey == o.o_orderkey).join(p, g.l_partkey == p.p_partkey, "left")
+    ok, ln, pk = F.col("l_orderkey"), F.col("l_linenumber"), F.col("l_partkey")
+    bank = F.pmod(ok, F.lit(5))
+    rate_txt = F.concat((F.lit(1) + F.pmod(pk, F.lit(3))).cast("string"), F.lit(","), F.pmod(pk, F.lit(10)).cast("string"))
+    return j.select(
+        ((ok * 8 + ln) * 1048576 + pk).alias("src_id"),
+        _by_index(bank, BANK_NAMES).alias("nom_banco"),
+        bank.alias("banco_id"),
+        F.when(F.pmod(ln, F.lit(3)) != 0, ok.cast("string")).alias("num_proposta"),
+        F.when(F.pmod(ln, F.lit(4)) != 0, F.concat(F.lit("CT"), ok.cast("string"))).alias("num_contrato"),
+        F.when(F.pmod(ok, F.lit(13)) != 0, cpf_of(F.col("o_custkey"))).alias("cliente_id"),
+        F.col("_price").alias("val_repasse"),
+        F.when(ln == 1, F.col("o_totalprice").cast("decimal(18,2)")).otherwise(F.col("_price")).alias("val_liberado"),
+        F.when(ln == 7, F.lit(None).cast("decimal(18,2)"))
+         .when(F.col("_flag") == "R", F.lit(0).cast("decimal(18,2)"))
+         .otherwise((F.col("_price") * F.lit(Decimal("0.05"))).cast("decimal(18,2)")).alias("val_comissao"),
+        F.col("_ship").alias("dat_emprestimo"),
+        F.date_add(F.to_date("_ship"), ln.cast("int")).cast("timestamp_ntz").alias("dat_credito"),
+        F.when(F.col("_flag") == "R", F.lit("PENDENTE")).otherwise(F.lit("pago")).alias("status_producao"),
+        F.concat(F.upper(F.col("p_brand")), F.lit(" - TAXA "), rate_txt, F.lit("% CÓD. "),
+                 F.col("p_size").cast("string")).alias("dsc_produto"),
+        F.concat(F.lit("CONVENIO "), F.upper(F.col("p_brand"))).alias("dsc_convenio"),
+        ln.cast("int").alias("prazo"),
+        F.col("_price").alias("val_bruto"),
+    )
+
+
+def rate_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rate versions (``tabela_taxas``) from ``part``: rule = brand, code =
+    size; validity windows overlap on purpose; open versions have NULL end."""
+    p = read_table(spark, sf_dir, "part")
+    pk = F.col("p_partkey")
+    start = F.date_add(F.lit("1994-01-01").cast("date"), (F.pmod(pk, F.lit(5)) * 365).cast("int"))
+    return p.select(
+        pk.alias("id"),
+        F.upper(F.col("p_brand")).alias("descricao_banco"),
+        F.col("p_size").cast("string").alias("codigo"),
+        F.col("p_type").alias("forma_contrato"),
+        (((F.lit(1) + F.pmod(pk, F.lit(3))) * 10 + F.pmod(pk, F.lit(10))).cast("double") / F.lit(10.0)).alias("taxa_total"),
+        (((F.lit(1) + F.pmod(pk, F.lit(4))) * 10 + F.pmod(pk, F.lit(7))).cast("double") / F.lit(10.0)).alias("taxa_vista"),
+        (F.pmod(pk, F.lit(50)).cast("double") / F.lit(10.0)).alias("comissao_vista"),
+        start.alias("data_inicio"),
+        F.when(F.pmod(pk, F.lit(3)) != 0, F.date_add(start, 700)).alias("data_fim"),
+    )

@@ -121,6 +121,35 @@ SELECT p_partkey AS id, upper(p_brand) AS descricao_banco, CAST(p_size AS VARCHA
 FROM part
 """
 
+RATE_HISTORY = """
+SELECT p_partkey AS id, 'R' || CAST(p_partkey AS VARCHAR) || '-' || CAST(p_size AS VARCHAR) AS codigo,
+       upper(p_brand) AS descricao_banco, lpad(CAST(p_size AS VARCHAR), 3, '0') AS prazo,
+       CAST(CAST(round(p_retailprice * 100) AS BIGINT) AS DOUBLE) / 100000.0 AS taxa_total,
+       CAST(p_partkey % 30 AS DOUBLE) / 10.0 AS taxa_vista,
+       CAST(p_partkey % 9 AS DOUBLE) / 10.0 AS comissao_total,
+       CAST(p_partkey % 9 AS DOUBLE) / 10.0 AS comissao_vista,
+       'banco_teste' AS banco, DATE '2024-01-01' AS data_inicio,
+       CASE WHEN p_partkey % 17 = 0 THEN DATE '2024-06-30' END AS data_fim
+FROM part
+"""
+
+NEW_RATE_FILE = """
+WITH b AS (
+  SELECT 'R' || CAST(p_partkey AS VARCHAR) AS codigo_regra, CAST(NULL AS VARCHAR) AS range_faixa,
+         CAST(p_size AS VARCHAR) AS faixa_parcela, upper(p_brand) AS descricao_regra,
+         CASE WHEN p_partkey % 10 = 1 THEN CAST(CAST(round(p_retailprice * 100) AS BIGINT) AS DOUBLE) / 100000.0 + 0.5
+              ELSE CAST(CAST(round(p_retailprice * 100) AS BIGINT) AS DOUBLE) / 100000.0 END AS taxa_juros_sem_seguro,
+         CAST(p_partkey % 30 AS DOUBLE) / 10.0 AS taxa_juros_com_seguro,
+         CAST(p_partkey % 9 AS DOUBLE) / 10.0 AS percentual_comissao_a_vista,
+         p_partkey AS pk
+  FROM part WHERE p_partkey % 10 <> 0)
+SELECT codigo_regra, range_faixa, faixa_parcela, descricao_regra, taxa_juros_sem_seguro, taxa_juros_com_seguro,
+       percentual_comissao_a_vista FROM b
+UNION ALL
+SELECT 'N' || CAST(pk AS VARCHAR), range_faixa, faixa_parcela, descricao_regra, taxa_juros_sem_seguro,
+       taxa_juros_com_seguro, percentual_comissao_a_vista FROM b WHERE pk % 10 = 2
+"""
+
 FIXTURES = {
     "producao_all": PRODUCTION,
     "producao_cartao": CARD,
@@ -129,6 +158,8 @@ FIXTURES = {
     "contato_cliente": CONTACTS,
     "contratos_bancos": BANK_STATEMENTS,
     "tabela_taxas": RATE_TABLE,
+    "tabela_taxas_hist": RATE_HISTORY,
+    "arquivo_taxas": NEW_RATE_FILE,
 }
 
 

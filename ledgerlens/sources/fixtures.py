@@ -248,3 +248,49 @@ def rate_table(spark: SparkSession, sf_dir: str) -> DataFrame:
         start.alias("data_inicio"),
         F.when(F.pmod(pk, F.lit(3)) != 0, F.date_add(start, 700)).alias("data_fim"),
     )
+
+
+# ---------------------------------------------------------------- rate versions
+
+RATES_BANK = "banco_teste"
+
+
+def rate_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Versioned rate table (SCD-2): one version per part; closed versions
+    (``p_partkey % 17 = 0``) carry an end date; ``prazo`` is zero padded."""
+    p = read_table(spark, sf_dir, "part")
+    pk = F.col("p_partkey")
+    return p.select(
+        pk.alias("id"),
+        F.concat(F.lit("R"), pk.cast("string"), F.lit("-"), F.col("p_size").cast("string")).alias("codigo"),
+        F.upper(F.col("p_brand")).alias("descricao_banco"),
+        F.lpad(F.col("p_size").cast("string"), 3, "0").alias("prazo"),
+        (F.round(F.col("p_retailprice") * 100).cast("long").cast("double") / F.lit(100000.0)).alias("taxa_total"),
+        (F.pmod(pk, F.lit(30)).cast("double") / F.lit(10.0)).alias("taxa_vista"),
+        (F.pmod(pk, F.lit(9)).cast("double") / F.lit(10.0)).alias("comissao_total"),
+        (F.pmod(pk, F.lit(9)).cast("double") / F.lit(10.0)).alias("comissao_vista"),
+        F.lit(RATES_BANK).alias("banco"),
+        F.lit("2024-01-01").cast("date").alias("data_inicio"),
+        F.when(F.pmod(pk, F.lit(17)) == 0, F.lit("2024-06-30").cast("date")).alias("data_fim"),
+    )
+
+
+def new_rate_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Incoming rate file: drops ``p_partkey % 10 = 0``, changes the rate of
+    ``% 10 = 1`` and adds a new rule for ``% 10 = 2``."""
+    p = read_table(spark, sf_dir, "part").filter(F.pmod(F.col("p_partkey"), F.lit(10)) != 0)
+    pk = F.col("p_partkey")
+    rate = F.round(F.col("p_retailprice") * 100).cast("long").cast("double") / F.lit(100000.0)
+    base = p.select(
+        F.concat(F.lit("R"), pk.cast("string")).alias("codigo_regra"),
+        F.lit(None).cast("string").alias("range_faixa"),
+        F.col("p_size").cast("string").alias("faixa_parcela"),
+        F.upper(F.col("p_brand")).alias("descricao_regra"),
+        F.when(F.pmod(pk, F.lit(10)) == 1, rate + F.lit(0.5)).otherwise(rate).alias("taxa_juros_sem_seguro"),
+        (F.pmod(pk, F.lit(30)).cast("double") / F.lit(10.0)).alias("taxa_juros_com_seguro"),
+        (F.pmod(pk, F.lit(9)).cast("double") / F.lit(10.0)).alias("percentual_comissao_a_vista"),
+        pk.alias("_pk"),
+    )
+    added = base.filter(F.pmod(F.col("_pk"), F.lit(10)) == 2).withColumn(
+        "codigo_regra", F.concat(F.lit("N"), F.col("_pk").cast("string")))
+    return base.unionByName(added).drop("_pk")

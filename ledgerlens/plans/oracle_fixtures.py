@@ -165,6 +165,8 @@ FIXTURES = {
 
 def with_fixtures(sql: str, names: list[str], extra: dict[str, str] | None = None) -> str:
     """Prefix ``sql`` (which must start with SELECT or WITH-less body) with CTEs."""
+    if not names:
+        return sql.strip()
     defs = dict(FIXTURES)
     defs.update(extra or {})
     ctes = ",\n".join(f"{n} AS ({defs[n]})" for n in names)

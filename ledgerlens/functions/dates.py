@@ -57,7 +57,7 @@ def elapsed_days(end, start) -> Column:
 
 def parse_day_first(c) -> Column:
     """day-first date text (``5/3/2024`` or ``05/03/2024``), bad -> NULL."""
-    return F.try_to_date(c if not isinstance(c, str) else F.col(c), F.lit("d/M/yyyy"))
+    return F.try_to_date(c if not isinstance(c, str) else F.col(c), "d/M/yyyy")
 
 
 def tolerant_timestamp(c) -> Column:

@@ -150,6 +150,36 @@ SELECT 'N' || CAST(pk AS VARCHAR), range_faixa, faixa_parcela, descricao_regra,
        taxa_juros_com_seguro, percentual_comissao_a_vista FROM b WHERE pk % 10 = 2
 """
 
+CRM_MESSAGES = """
+SELECT conv_id AS atendimento_id, CASE WHEN role = 'assistant' THEN 'out' ELSE 'in' END AS direcao,
+       CASE WHEN role = 'system' THEN 'aviso' ELSE 'texto' END AS tipo,
+       TIMESTAMP '2024-01-15 08:00:00' + to_days(CAST(conv_id % 20 AS INTEGER)) + to_minutes(CAST(turn AS BIGINT)) AS criado_em
+FROM conversations
+"""
+
+CRM_CONVERSATIONS = "SELECT DISTINCT conv_id AS id, conv_id AS contato_id FROM conversations"
+
+CRM_TAGS = """
+SELECT conv_id AS contato_id,
+       CAST(CASE turn % 4 WHEN 0 THEN 30 WHEN 1 THEN 20 WHEN 2 THEN 15 ELSE 99 END AS INTEGER) AS etiqueta_id,
+       TIMESTAMP '2024-01-20 00:00:00' + to_hours(CAST(turn AS BIGINT)) AS data_etiqueta
+FROM conversations WHERE conv_id % 3 = 0
+"""
+
+CAMPAIGN_PRODUCTION = """
+SELECT o_orderkey AS id,
+       '(' || CAST(11 + o_custkey % 89 AS VARCHAR) || ') 9' || lpad(CAST((o_custkey * 7919) % 100000000 AS VARCHAR), 8, '0')
+         AS telefone_cliente,
+       CASE WHEN o_orderkey % 3 = 0 THEN 'CAMPANHA' ELSE 'PARCEIRO' END AS origem_venda,
+       CASE WHEN o_orderstatus = 'P' THEN o_orderdate END AS data_cancelamento,
+       CAST(o_totalprice AS DECIMAL(18,2)) AS valor_comissao,
+       o_orderdate AS data_contrato,
+       CAST(o_totalprice AS DECIMAL(18,2)) AS valor_veiculo,
+       'R' || CAST(o_orderkey % 15 + 5 AS VARCHAR) AS regra,
+       CASE WHEN o_orderkey % 2 = 0 THEN 'N' ELSE 'S' END AS flag_estudo
+FROM orders
+"""
+
 FIXTURES = {
     "producao_all": PRODUCTION,
     "producao_cartao": CARD,
@@ -160,6 +190,10 @@ FIXTURES = {
     "tabela_taxas": RATE_TABLE,
     "tabela_taxas_hist": RATE_HISTORY,
     "arquivo_taxas": NEW_RATE_FILE,
+    "crm_whatsapp": CRM_MESSAGES,
+    "crm_atendimentos": CRM_CONVERSATIONS,
+    "crm_contato_etiquetas": CRM_TAGS,
+    "producao_fin_banco": CAMPAIGN_PRODUCTION,
 }
 
 

@@ -294,3 +294,58 @@ def new_rate_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     added = base.filter(F.pmod(F.col("_pk"), F.lit(10)) == 2).withColumn(
         "codigo_regra", F.concat(F.lit("N"), F.col("_pk").cast("string")))
     return base.unionByName(added).drop("_pk")
+
+
+# ---------------------------------------------------------------- funnel
+
+def crm_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """CRM WhatsApp messages (``crm_whatsapp``) from ``conversations``:
+    assistant turns are outbound, system turns are notices."""
+    c = read_table(spark, sf_dir, "conversations")
+    base = F.to_timestamp_ntz(F.lit("2024-01-15 08:00:00"))
+    return c.select(
+        F.col("conv_id").alias("atendimento_id"),
+        F.when(F.col("role") == "assistant", F.lit("out")).otherwise(F.lit("in")).alias("direcao"),
+        F.when(F.col("role") == "system", F.lit("aviso")).otherwise(F.lit("texto")).alias("tipo"),
+        (base + F.make_dt_interval(F.pmod(F.col("conv_id"), F.lit(20)).cast("int"), F.lit(0),
+                                   F.col("turn").cast("int"))).alias("criado_em"),
+    )
+
+
+def crm_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """CRM conversations (``crm_atendimentos``): one per conv_id; the contact
+    is the customer with the same key."""
+    c = read_table(spark, sf_dir, "conversations").select("conv_id").distinct()
+    return c.select(F.col("conv_id").alias("id"), F.col("conv_id").alias("contato_id"))
+
+
+def crm_tags(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Contact tags (``crm_contato_etiquetas``): every third conversation's
+    contact gets tags over its turns."""
+    c = read_table(spark, sf_dir, "conversations").filter(F.pmod(F.col("conv_id"), F.lit(3)) == 0)
+    tag = (F.when(F.pmod(F.col("turn"), F.lit(4)) == 0, F.lit(30)).when(F.pmod(F.col("turn"), F.lit(4)) == 1, F.lit(20))
+           .when(F.pmod(F.col("turn"), F.lit(4)) == 2, F.lit(15)).otherwise(F.lit(99)))
+    return c.select(
+        F.col("conv_id").alias("contato_id"),
+        tag.cast("int").alias("etiqueta_id"),
+        (F.to_timestamp_ntz(F.lit("2024-01-20 00:00:00"))
+         + F.make_dt_interval(F.lit(0), F.col("turn").cast("int"))).alias("data_etiqueta"),
+    )
+
+
+def campaign_production(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Vehicle-finance production (``producao_fin_banco``) with the client's
+    phone; every third order is a campaign sale."""
+    o = read_table(spark, sf_dir, "orders")
+    k = F.col("o_orderkey")
+    return o.select(
+        k.alias("id"),
+        phone_of(F.col("o_custkey")).alias("telefone_cliente"),
+        F.when(F.pmod(k, F.lit(3)) == 0, F.lit("CAMPANHA")).otherwise(F.lit("PARCEIRO")).alias("origem_venda"),
+        F.when(F.col("o_orderstatus") == "P", F.col("o_orderdate")).alias("data_cancelamento"),
+        F.col("o_totalprice").cast("decimal(18,2)").alias("valor_comissao"),
+        F.col("o_orderdate").alias("data_contrato"),
+        F.col("o_totalprice").cast("decimal(18,2)").alias("valor_veiculo"),
+        F.concat(F.lit("R"), (F.pmod(k, F.lit(15)) + 5).cast("string")).alias("regra"),
+        F.when(F.pmod(k, F.lit(2)) == 0, F.lit("N")).otherwise(F.lit("S")).alias("flag_estudo"),
+    )

@@ -180,6 +180,27 @@ SELECT o_orderkey AS id,
 FROM orders
 """
 
+INSURANCE = """
+SELECT c.c_name AS segurado, lpad(CAST(o.o_custkey AS VARCHAR), 11, '0') AS cpfcnpj_do_cliente,
+       CASE WHEN l.l_orderkey % 2 = 0 THEN strftime(o.o_orderdate, '%d/%m/%Y') ELSE strftime(o.o_orderdate, '%-d/%-m/%Y') END
+         AS data_da_operacao,
+       CAST(l.l_linenumber AS VARCHAR) || '/12' AS parcela,
+       CASE WHEN l.l_returnflag IN ('R', 'A') THEN 'PENDENTE PAGAMENTO' ELSE 'PAGO' END AS status
+FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey JOIN customer c ON o.o_custkey = c.c_custkey
+"""
+
+INSURANCE_SALES = """
+SELECT lpad(CAST(c_custkey AS VARCHAR), 11, '0') AS cliente_id,
+       '(' || CAST(11 + c_custkey % 89 AS VARCHAR) || ') 9' || lpad(CAST((c_custkey * 7919) % 100000000 AS VARCHAR), 8, '0')
+         AS telefone_venda
+FROM customer WHERE c_custkey % 2 = 0
+"""
+
+MONTHLY_INDEX = """
+SELECT ano_mes, CAST((CAST(substr(ano_mes, 6, 2) AS INTEGER) * 7) % 10 AS DOUBLE) / 2.0 + 1.5 AS pcila_txa
+FROM (SELECT DISTINCT strftime(o_orderdate, '%Y-%m') AS ano_mes FROM orders)
+"""
+
 FIXTURES = {
     "producao_all": PRODUCTION,
     "producao_cartao": CARD,
@@ -194,6 +215,9 @@ FIXTURES = {
     "crm_atendimentos": CRM_CONVERSATIONS,
     "crm_contato_etiquetas": CRM_TAGS,
     "producao_fin_banco": CAMPAIGN_PRODUCTION,
+    "comissao_seguro_auto": INSURANCE,
+    "producao_seguros": INSURANCE_SALES,
+    "pc_ila_financiamento": MONTHLY_INDEX,
 }
 
 

@@ -349,3 +349,37 @@ def campaign_production(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.lit("R"), (F.pmod(k, F.lit(15)) + 5).cast("string")).alias("regra"),
         F.when(F.pmod(k, F.lit(2)) == 0, F.lit("N")).otherwise(F.lit("S")).alias("flag_estudo"),
     )
+
+
+# ---------------------------------------------------------------- insurance
+
+def insurance_instalments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Insurance commission instalments (``comissao_seguro_auto``): one per
+    line item; operation date as day-first text (padded or not)."""
+    li = read_table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_returnflag")
+    o = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
+    c = read_table(spark, sf_dir, "customer").select("c_custkey", "c_name")
+    j = li.join(o, li.l_orderkey == o.o_orderkey).join(c, F.col("o_custkey") == c.c_custkey)
+    d = F.col("o_orderdate")
+    txt = F.when(F.pmod(F.col("l_orderkey"), F.lit(2)) == 0, F.date_format(d, "dd/MM/yyyy")).otherwise(
+        F.date_format(d, "d/M/yyyy"))
+    return j.select(
+        F.col("c_name").alias("segurado"),
+        cpf_of(F.col("o_custkey")).alias("cpfcnpj_do_cliente"),
+        txt.alias("data_da_operacao"),
+        F.concat(F.col("l_linenumber").cast("string"), F.lit("/12")).alias("parcela"),
+        F.when(F.col("l_returnflag").isin("R", "A"), F.lit("PENDENTE PAGAMENTO")).otherwise(F.lit("PAGO")).alias("status"),
+    )
+
+
+def insurance_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Insurance sales (``producao_seguros``): a sale phone for even customers."""
+    c = read_table(spark, sf_dir, "customer").filter(F.pmod(F.col("c_custkey"), F.lit(2)) == 0)
+    return c.select(cpf_of(F.col("c_custkey")).alias("cliente_id"), phone_of(F.col("c_custkey")).alias("telefone_venda"))
+
+
+def monthly_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Monthly index table (``pc_ila_financiamento``): one row per order month."""
+    o = read_table(spark, sf_dir, "orders").select(F.date_format("o_orderdate", "yyyy-MM").alias("ano_mes")).distinct()
+    return o.select("ano_mes", (F.pmod(F.substring("ano_mes", 6, 2).cast("int") * 7, F.lit(10)).cast("double")
+                                / F.lit(2.0) + F.lit(1.5)).alias("pcila_txa"))

@@ -53,15 +53,17 @@ def ranked_within(df: DataFrame, keys: list[str], order_col: str, salt_source: s
             .drop("_rn_local", "_off", "_salt", "_hot"))
 
 
-def global_rank(df: DataFrame, order_col: str, salt_source: str, out: str = "rn",
-                buckets: int = DEFAULT_BUCKETS) -> DataFrame:
+def global_rank(df: DataFrame, order_col: str, salt_source: str | None = None, out: str = "rn",
+                buckets: int = DEFAULT_BUCKETS, salt: Column | None = None) -> DataFrame:
     """Rank 1..N over the whole frame without a single-partition window.
 
-    Rows are ranked inside ``buckets`` salt partitions, then offset by the
-    cumulative sizes of the preceding buckets (a ``buckets``-row table).
-    Order: ``(pmod(salt_source, buckets), order_col)``.
+    Rows are ranked inside salt partitions, then offset by the cumulative
+    sizes of the preceding buckets (a table with one row per bucket).
+    Order: ``(salt, order_col)`` with ``salt = pmod(salt_source, buckets)``
+    unless an explicit ``salt`` is given.  When the salt is a prefix of the
+    order key (a range bucket), the result is exactly the global order.
     """
-    d = df.withColumn("_salt", F.pmod(F.col(salt_source), F.lit(buckets)))
+    d = df.withColumn("_salt", salt if salt is not None else F.pmod(F.col(salt_source), F.lit(buckets)))
     w = Window.partitionBy("_salt").orderBy(F.col(order_col).asc())
     local = d.withColumn("_rn_local", F.row_number().over(w))
     counts = d.groupBy("_salt").agg(F.count(F.lit(1)).alias("_bn"))

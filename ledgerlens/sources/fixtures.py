@@ -383,3 +383,9 @@ def monthly_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = read_table(spark, sf_dir, "orders").select(F.date_format("o_orderdate", "yyyy-MM").alias("ano_mes")).distinct()
     return o.select("ano_mes", (F.pmod(F.substring("ano_mes", 6, 2).cast("int") * 7, F.lit(10)).cast("double")
                                 / F.lit(2.0) + F.lit(1.5)).alias("pcila_txa"))
+
+
+def consultants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sales consultants: every 37th supplier (a staff table that grows with the data)."""
+    s = read_table(spark, sf_dir, "supplier").filter(F.pmod(F.col("s_suppkey"), F.lit(37)) == 0)
+    return s.select(F.col("s_suppkey").alias("usuario_id"), F.col("s_name").alias("nome"))

@@ -201,6 +201,22 @@ SELECT ano_mes, CAST((CAST(substr(ano_mes, 6, 2) AS INTEGER) * 7) % 10 AS DOUBLE
 FROM (SELECT DISTINCT strftime(o_orderdate, '%Y-%m') AS ano_mes FROM orders)
 """
 
+PRODUCTION_LINES = """
+SELECT lpad(CAST(o.o_custkey AS VARCHAR), 11, '0') AS cliente_id, o.o_orderdate AS data_contrato,
+       CASE WHEN l.l_returnflag = 'R' THEN 'SEGURO PRESTAMISTA' ELSE 'CONSIGNADO' END AS produto,
+       CAST(l.l_extendedprice AS DECIMAL(18,2)) AS Total_Liberado,
+       CAST(CAST(l.l_extendedprice AS DECIMAL(18,2)) * CAST(l.l_discount AS DECIMAL(4,2)) AS DECIMAL(18,2)) AS valor_comissao,
+       CAST(l.l_extendedprice AS DECIMAL(18,2)) AS base_comissao
+FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey
+"""
+
+TABULATIONS = """
+SELECT lpad(CAST(user_id AS VARCHAR), 11, '0') AS cpf, event_type = 'purchase' AS efetiva,
+       ts - INTERVAL 26 YEAR AS data FROM events
+"""
+
+CLIENT_LIST = "SELECT lpad(CAST(c_custkey AS VARCHAR), 11, '0') AS cliente_id FROM customer"
+
 FIXTURES = {
     "producao_all": PRODUCTION,
     "producao_cartao": CARD,
@@ -218,6 +234,9 @@ FIXTURES = {
     "comissao_seguro_auto": INSURANCE,
     "producao_seguros": INSURANCE_SALES,
     "pc_ila_financiamento": MONTHLY_INDEX,
+    "producao_extenso": PRODUCTION_LINES,
+    "tabulacoes": TABULATIONS,
+    "lista_clientes": CLIENT_LIST,
 }
 
 

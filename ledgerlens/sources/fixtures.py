@@ -389,3 +389,37 @@ def consultants(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sales consultants: every 37th supplier (a staff table that grows with the data)."""
     s = read_table(spark, sf_dir, "supplier").filter(F.pmod(F.col("s_suppkey"), F.lit(37)) == 0)
     return s.select(F.col("s_suppkey").alias("usuario_id"), F.col("s_name").alias("nome"))
+
+
+# ---------------------------------------------------------------- effectiveness
+
+def production_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Production by line (``producao_extenso``): lineitem joined to its order;
+    returned lines are credit-insurance products."""
+    li = read_table(spark, sf_dir, "lineitem").select("l_orderkey", "l_extendedprice", "l_discount", "l_returnflag")
+    o = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
+    j = li.join(o, li.l_orderkey == o.o_orderkey)
+    price = F.col("l_extendedprice").cast("decimal(18,2)")
+    return j.select(
+        cpf_of(F.col("o_custkey")).alias("cliente_id"),
+        F.col("o_orderdate").alias("data_contrato"),
+        F.when(F.col("l_returnflag") == "R", F.lit("SEGURO PRESTAMISTA")).otherwise(F.lit("CONSIGNADO")).alias("produto"),
+        price.alias("Total_Liberado"),
+        (price * F.col("l_discount").cast("decimal(4,2)")).cast("decimal(18,2)").alias("valor_comissao"),
+        price.alias("base_comissao"),
+    )
+
+
+def tabulations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Contact tabulations: one per event, keyed by the user's CPF; purchases
+    are effective tabulations.  Dated 26 years back so they share the
+    production tables' era (1995-2001)."""
+    e = read_table(spark, sf_dir, "events").select("user_id", "event_type", "ts")
+    return e.select(cpf_of(F.col("user_id")).alias("cpf"), (F.col("event_type") == "purchase").alias("efetiva"),
+                    (F.col("ts") - F.expr("INTERVAL 26 YEARS")).alias("data"))
+
+
+def client_list(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Campaign client list: every customer, keyed by CPF."""
+    c = read_table(spark, sf_dir, "customer").select("c_custkey")
+    return c.select(cpf_of(F.col("c_custkey")).alias("cliente_id"))

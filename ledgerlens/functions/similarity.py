@@ -13,7 +13,10 @@ three normalised insert/delete similarities, rounded half-to-even.
 
 from __future__ import annotations
 
+import sys
+
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -21,6 +24,11 @@ from pyspark.sql import types as T
 from ledgerlens.functions.scalars import clean_br_name
 
 
+# Ship this module's functions to the Python workers by value, so executors
+# need no copy of the package on their path.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
+
 def lcs_length(a: str, b: str) -> int:
     """Bit-parallel LCS length (Allison-Dix / Hyyro)."""
     if not a or not b:
@@ -46,19 +54,12 @@ def _tokens(s: Column) -> Column:
     return F.array_distinct(F.filter(F.split(low, " "), lambda t: t != ""))
 
 
-def token_set_ratio(a, b) -> Column:
-    """F17 on two already-cleaned text columns."""
-    a = F.col(a) if isinstance(a, str) else a
-    b = F.col(b) if isinstance(b, str) else b
-    ta, tb = _tokens(a), _tokens(b)
-    sect = F.array_join(F.array_sort(F.array_intersect(ta, tb)), " ")
-    dab = F.array_join(F.array_sort(F.array_except(ta, tb)), " ")
-    dba = F.array_join(F.array_sort(F.array_except(tb, ta)), " ")
+def _score(ta: Column, tb: Column, sect: Column, dab: Column, dba: Column, lcs: Column) -> Column:
     ls, lab, lba = F.length(sect), F.length(dab), F.length(dba)
     has = F.when(ls > 0, 1).otherwise(0)
     sect_ab = ls + has + lab
     sect_ba = ls + has + lba
-    dist = lab + lba - F.lit(2) * _lcs_udf(dab, dba)
+    dist = lab + lba - F.lit(2) * lcs
     tot = (sect_ab + sect_ba).cast("double")
     r_diff = F.when(tot > 0, F.lit(100.0) - F.lit(100.0) * dist / tot).otherwise(F.lit(0.0))
     r_ab = F.lit(100.0) - F.lit(100.0) * (has + lab) / (ls + sect_ab).cast("double")
@@ -71,6 +72,36 @@ def token_set_ratio(a, b) -> Column:
             .otherwise(F.bround(best, 0).cast("int")))
 
 
+def token_set_ratio(a, b) -> Column:
+    """F17 on two already-cleaned text columns (single-expression form, for
+    small inputs; ``with_token_set_ratio`` is the staged form for tables)."""
+    a = F.col(a) if isinstance(a, str) else a
+    b = F.col(b) if isinstance(b, str) else b
+    ta, tb = _tokens(a), _tokens(b)
+    sect = F.array_join(F.array_sort(F.array_intersect(ta, tb)), " ")
+    dab = F.array_join(F.array_sort(F.array_except(ta, tb)), " ")
+    dba = F.array_join(F.array_sort(F.array_except(tb, ta)), " ")
+    return _score(ta, tb, sect, dab, dba, _lcs_udf(dab, dba))
+
+
+def with_token_set_ratio(df, a: str, b: str, out: str = "semelhanca", clean: bool = True):
+    """F17/J29 as staged projections: tokens, then the joined token strings,
+    then the LCS and the score.  Each stage references the previous one's
+    columns, and Catalyst does not inline an expensive expression that is
+    used several times, so the tokenisation runs once per row (a single
+    expression tree would repeat it in every branch and outgrow codegen)."""
+    ca = clean_br_name(F.col(a)) if clean else F.col(a)
+    cb = clean_br_name(F.col(b)) if clean else F.col(b)
+    d = df.withColumn("_ta", _tokens(ca)).withColumn("_tb", _tokens(cb))
+    d = (d.withColumn("_sect", F.array_join(F.array_sort(F.array_intersect("_ta", "_tb")), " "))
+         .withColumn("_dab", F.array_join(F.array_sort(F.array_except("_ta", "_tb")), " "))
+         .withColumn("_dba", F.array_join(F.array_sort(F.array_except("_tb", "_ta")), " ")))
+    d = d.withColumn("_lcs", _lcs_udf(F.col("_dab"), F.col("_dba")))
+    d = d.withColumn(out, _score(F.col("_ta"), F.col("_tb"), F.col("_sect"), F.col("_dab"), F.col("_dba"),
+                                 F.col("_lcs")))
+    return d.drop("_ta", "_tb", "_sect", "_dab", "_dba", "_lcs")
+
+
 def name_similarity(a, b) -> Column:
     """Brazilian-name cleaning on both sides, then F17; 0 if either is empty."""
     return token_set_ratio(clean_br_name(a), clean_br_name(b))

@@ -60,35 +60,53 @@ def current_versions(history: DataFrame, bank: str) -> DataFrame:
     )
 
 
-def table_diff(new: DataFrame, old: DataFrame) -> DataFrame:
+def table_diff(new: DataFrame, old: DataFrame, compare_split: bool = False) -> DataFrame:
     """D1 + D3: NOVA / ALTERADA / REMOVIDA / IGUAL per business key.
 
     One full outer join on the (null-safe) key; ``changed`` compares typed
-    values null-safely."""
-    n = new.select(*[F.col(c).alias(f"n_{c}") for c in COMPARED])
-    o = old.select("id", *[F.col(c).alias(f"o_{c}") for c in COMPARED])
+    values null-safely.  The reference compares the file's raw commission
+    percentage with the stored (already split, D6) one, so re-applying a
+    file re-versions every rule at or above 0.5; ``compare_split=True``
+    compares the split value instead, which makes re-application a no-op."""
+    n = new.select(*[F.col(c).alias(f"n_{c}") for c in COMPARED], F.lit(True).alias("_in_new"))
+    o = old.select("id", *[F.col(c).alias(f"o_{c}") for c in COMPARED], F.lit(True).alias("_in_old"))
     on = reduce(lambda a, b: a & b, [F.col(f"n_{k}").eqNullSafe(F.col(f"o_{k}")) for k in KEY])
     j = n.join(o, on, "full_outer")
-    in_new = F.col("n_codigo_regra").isNotNull() | F.col("n_faixa_parcela").isNotNull()
-    in_old = F.col("id").isNotNull()
-    same = reduce(lambda a, b: a & b, [F.col(f"n_{c}").eqNullSafe(F.col(f"o_{c}")) for c in COMPARED])
+    in_new = F.coalesce(F.col("_in_new"), F.lit(False))
+    in_old = F.coalesce(F.col("_in_old"), F.lit(False))
+    pairs = []
+    for c in COMPARED:
+        nv = F.col(f"n_{c}")
+        if compare_split and c == "percentual_comissao_a_vista":
+            nv = S.commission_split(nv)
+        pairs.append(nv.eqNullSafe(F.col(f"o_{c}")))
+    same = reduce(lambda a, b: a & b, pairs)
     status = (F.when(in_new & ~in_old, F.lit("NOVA"))
               .when(~in_new & in_old, F.lit("REMOVIDA"))
               .when(same, F.lit("IGUAL")).otherwise(F.lit("ALTERADA")))
-    return j.withColumn("status", status)
+    return j.withColumn("status", status).drop("_in_new", "_in_old")
 
 
-def scd2_apply(history: DataFrame, new_file: DataFrame, as_of: str, bank: str) -> DataFrame:
+def scd2_apply(history: DataFrame, new_file: DataFrame, as_of: str, bank: str,
+               compare_split: bool = False) -> DataFrame:
     """D4 + K13 + D6: close changed and removed versions at ``as_of - 1`` and
     insert new versions (new and changed keys) starting ``as_of``, with the
     commission split.  Versions of other banks and closed versions pass
     through.  Applying the same file twice changes nothing."""
-    diff = table_diff(normalise_new_file(new_file), current_versions(history, bank))
-    close_ids = diff.filter(F.col("status").isin("ALTERADA", "REMOVIDA")).select(F.col("id").alias("_cid"))
+    diff = table_diff(normalise_new_file(new_file), current_versions(history, bank), compare_split)
+    # close by business key: a bank has one open version per key, and
+    # versions inserted by an earlier run have no id yet
+    close = (diff.filter(F.col("status").isin("ALTERADA", "REMOVIDA"))
+             .select(F.col("o_codigo_regra").alias("_k1"), F.col("o_faixa_parcela").alias("_k2"))
+             .withColumn("_close", F.lit(True)))
     end = F.date_sub(F.lit(as_of).cast("date"), 1)
-    kept = (history.join(close_ids, history.id == close_ids._cid, "left")
-            .withColumn("data_fim", F.when(F.col("_cid").isNotNull(), end).otherwise(F.col("data_fim")))
-            .drop("_cid"))
+    h = (history.withColumn("_k1", F.col("codigo"))
+         .withColumn("_k2", F.regexp_replace(F.col("prazo").cast("string"), "^0+", ""))
+         .withColumn("_open", F.col("data_fim").isNull() & (F.col("banco") == bank)))
+    on = h._k1.eqNullSafe(close._k1) & h._k2.eqNullSafe(close._k2) & h._open
+    kept = (h.join(close, on, "left")
+            .withColumn("data_fim", F.when(F.coalesce(F.col("_close"), F.lit(False)), end).otherwise(F.col("data_fim")))
+            .select(*history.columns))
     ins = diff.filter(F.col("status").isin("NOVA", "ALTERADA"))
     perc = F.col("n_percentual_comissao_a_vista")
     inserted = ins.select(

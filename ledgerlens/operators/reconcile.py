@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from ledgerlens.functions import scalars as S
 from ledgerlens.functions.dates import ts_ntz
-from ledgerlens.functions.similarity import name_similarity
+from ledgerlens.functions.similarity import with_token_set_ratio
 from ledgerlens.operators.skew import latest_per_key, ranked_within
 from ledgerlens.session import cut_lineage
 
@@ -101,7 +101,7 @@ def staged_pairing(left: DataFrame, right: DataFrame, stages=STAGES, left_id: st
     lk = _key_table(left, left_id, key_cols, match_missing)
     rk = _key_table(right, right_id, key_cols, match_missing)
     if checkpoint:
-        lk, rk = cut_lineage(lk), cut_lineage(rk)
+        lk, rk = cut_lineage(lk, "pair-left-keys"), cut_lineage(rk, "pair-right-keys")
     done = None
     for i, (name, keys) in enumerate(stages, start=1):
         lp, rp = lk, rk
@@ -115,10 +115,8 @@ def staged_pairing(left: DataFrame, right: DataFrame, stages=STAGES, left_id: st
         pairs = (lr.join(rr, [*keys, "rn"])
                  .select(left_id, right_id, F.lit(i).alias("etapa"), F.lit(name).alias("etapa_nome")))
         if checkpoint:
-            pairs = cut_lineage(pairs)
+            pairs = cut_lineage(pairs, f"pairs-stage{i}")
         done = pairs if done is None else done.unionByName(pairs)
-        if checkpoint:
-            done = cut_lineage(done)
     return done
 
 
@@ -232,4 +230,4 @@ def agreement_similarity(statements: DataFrame, production: DataFrame, pairs: Da
     statement's agreement text and the production's agreement name."""
     j = (pairs.join(statements.select("src_id", "dsc_convenio"), "src_id")
          .join(production.select("id", "convenio"), "id"))
-    return j.withColumn("semelhanca", name_similarity(F.col("dsc_convenio"), F.col("convenio")))
+    return with_token_set_ratio(j, "dsc_convenio", "convenio", "semelhanca")

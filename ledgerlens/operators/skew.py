@@ -20,6 +20,8 @@ DEFAULT_BUCKETS = 64
 # Keys with more rows than this are split over salt buckets.  The set of hot
 # keys is therefore at most (rows / HOT_THRESHOLD) long: a proven bound.
 DEFAULT_HOT_THRESHOLD = 200_000
+# Largest hot-key list (rows) shipped to every executor as a broadcast.
+DEFAULT_BROADCAST_MAX = 100_000
 
 
 def _null_safe_on(left: DataFrame, right: DataFrame, cols: list[str]) -> Column:
@@ -28,26 +30,41 @@ def _null_safe_on(left: DataFrame, right: DataFrame, cols: list[str]) -> Column:
 
 def ranked_within(df: DataFrame, keys: list[str], order_col: str, salt_source: str,
                   out: str = "rn", buckets: int = DEFAULT_BUCKETS,
-                  hot_threshold: int = DEFAULT_HOT_THRESHOLD) -> DataFrame:
+                  hot_threshold: int = DEFAULT_HOT_THRESHOLD,
+                  broadcast_max: int = DEFAULT_BROADCAST_MAX) -> DataFrame:
     """Dense rank 1..n of rows within ``keys`` (like ``row_number``).
 
-    Order within a key is ``order_col`` for ordinary keys and
-    ``(pmod(salt_source, buckets), order_col)`` for hot keys (more than
-    ``hot_threshold`` rows), whose rows are ranked in ``buckets`` parallel
-    tasks and offset by the sizes of the preceding buckets.
+    Hot keys (more than ``hot_threshold`` rows) are found exactly with a
+    partial-aggregate count.  With none, this is a plain window (no key is
+    big enough to skew a task).  Otherwise rows of hot keys are ranked in
+    ``buckets`` parallel salt partitions — an explicit repartition on
+    (keys, salt), since Catalyst would otherwise reuse the partitioning on
+    the keys alone — and offset by the sizes of the preceding buckets.
+    Order within a hot key is ``(pmod(salt_source, buckets), order_col)``.
+    The hot-key list is broadcast only when its measured size is at most
+    ``broadcast_max`` rows (it is also bounded by rows / hot_threshold).
     """
     key_counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_kn"))
-    hot = key_counts.filter(F.col("_kn") > hot_threshold).select(*keys).withColumn("_hot", F.lit(True))
-    flagged = df.join(hot, keys, "left") if keys else df.crossJoin(hot)
+    hot = key_counts.filter(F.col("_kn") > hot_threshold).select(*keys)
+    n_hot = hot.count()
+    if n_hot == 0:
+        w = Window.partitionBy(*keys).orderBy(F.col(order_col).asc())
+        return df.withColumn(out, F.row_number().over(w).cast("long"))
+    hot = hot.withColumn("_hot", F.lit(True))
+    hot = F.broadcast(hot) if n_hot <= broadcast_max else hot
+    flagged = df.join(hot, keys, "left")
     flagged = flagged.withColumn(
         "_salt", F.when(F.col("_hot"), F.pmod(F.col(salt_source), F.lit(buckets))).otherwise(F.lit(0)))
+    flagged = flagged.repartition(*[F.col(k) for k in keys], F.col("_salt"))
     w = Window.partitionBy(*keys, "_salt").orderBy(F.col(order_col).asc())
     local = flagged.withColumn("_rn_local", F.row_number().over(w))
-    # offsets only for hot keys: at most buckets rows per hot key
+    # offsets only for hot keys: at most ``buckets`` rows per hot key
     hot_counts = (flagged.filter(F.col("_hot"))
                   .groupBy(*keys, "_salt").agg(F.count(F.lit(1)).alias("_bn")))
     wo = Window.partitionBy(*keys).orderBy("_salt").rowsBetween(Window.unboundedPreceding, -1)
     offsets = hot_counts.withColumn("_off", F.coalesce(F.sum("_bn").over(wo), F.lit(0))).drop("_bn")
+    if n_hot * buckets <= broadcast_max:
+        offsets = F.broadcast(offsets)
     ranked = local.join(offsets, [*keys, "_salt"], "left")
     return (ranked.withColumn(out, (F.col("_rn_local") + F.coalesce(F.col("_off"), F.lit(0))).cast("long"))
             .drop("_rn_local", "_off", "_salt", "_hot"))

@@ -28,7 +28,7 @@ def cpf_mask_sql(x: str) -> str:
 _PREP = f"""
 st AS (
   SELECT src_id, nom_banco, banco_id, num_proposta, num_contrato, val_comissao, val_repasse, val_liberado,
-         status_producao, dat_credito, dsc_produto, dsc_convenio,
+         status_producao, dat_credito, dsc_produto, dsc_convenio, prazo,
          dat_emprestimo AS data_emprestimo, dat_credito AS data_contrato,
          {clean_key_sql('num_proposta')} AS numero_proposta, {clean_key_sql('num_contrato')} AS numero_contrato,
          {cpf_mask_sql('cliente_id')} AS cliente_id, CAST(val_liberado AS DECIMAL(18,2)) AS valor_liberado

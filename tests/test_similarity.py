@@ -26,3 +26,12 @@ def test_token_set_ratio(spark):
 def test_name_similarity_cleans(spark):
     df = spark.createDataFrame([("José da Silva", "JOSE SILVA")], "a string, b string")
     assert df.select(name_similarity(F.col("a"), F.col("b"))).first()[0] == 100
+
+
+def test_staged_form_matches_expression(spark):
+    from ledgerlens.functions.similarity import with_token_set_ratio
+    pairs = [("José da Silva", "JOSE SILVA"), ("Maria Souza", "Ana Souza"), (None, "x"), ("CONVENIO BRAND#3", "CONVENIO BRAND#17")]
+    df = spark.createDataFrame(pairs, "a string, b string")
+    staged = [r.s for r in with_token_set_ratio(df, "a", "b", "s").collect()]
+    expr = [r[0] for r in df.select(name_similarity(F.col("a"), F.col("b"))).collect()]
+    assert staged == expr

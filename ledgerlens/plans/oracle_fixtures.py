@@ -107,7 +107,8 @@ SELECT (g.l_orderkey * 8 + g.l_linenumber) * 1048576 + g.l_partkey AS src_id,
          || '% CÓD. ' || CAST(p.p_size AS VARCHAR) AS dsc_produto,
        'CONVENIO ' || upper(p.p_brand) AS dsc_convenio,
        CAST(g.l_linenumber AS INTEGER) AS prazo,
-       g.price AS val_bruto
+       g.price AS val_bruto,
+       CASE WHEN g.l_linenumber % 2 = 0 THEN 'REFIN' ELSE 'NOVO' END AS tipo_operacao
 FROM g JOIN orders o ON g.l_orderkey = o.o_orderkey LEFT JOIN part p ON g.l_partkey = p.p_partkey
 """
 

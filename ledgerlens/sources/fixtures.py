@@ -228,6 +228,7 @@ def bank_statements(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.lit("CONVENIO "), F.upper(F.col("p_brand"))).alias("dsc_convenio"),
         ln.cast("int").alias("prazo"),
         F.col("_price").alias("val_bruto"),
+        F.when(F.pmod(ln, F.lit(2)) == 0, F.lit("REFIN")).otherwise(F.lit("NOVO")).alias("tipo_operacao"),
     )
 
 

@@ -218,6 +218,28 @@ SELECT lpad(CAST(user_id AS VARCHAR), 11, '0') AS cpf, event_type = 'purchase' A
 
 CLIENT_LIST = "SELECT lpad(CAST(c_custkey AS VARCHAR), 11, '0') AS cliente_id FROM customer"
 
+_MOBILE = ("'(' || CAST(11 + (c_custkey * 8) % 89 AS VARCHAR) || ') 9' "
+           "|| lpad(CAST(((c_custkey * 8) * 7919) % 100000000 AS VARCHAR), 8, '0')")
+_MOBILE_D = f"regexp_replace({_MOBILE}, '[^0-9]', '', 'g')"
+CLIENTS = f"""
+SELECT c_custkey AS idTabela, lpad(CAST(c_custkey AS VARCHAR), 11, '0') AS id, c_name AS nome,
+       CASE WHEN c_custkey % 2 = 1 THEN substr({_MOBILE_D}, 1, 2) || substr({_MOBILE_D}, 4) END AS telefone,
+       CASE WHEN c_custkey % 2 = 0 THEN {_MOBILE_D} END AS celular,
+       CAST(DATE '1950-01-01' + CAST((c_custkey * 131) % 20000 AS INTEGER) AS DATE) AS data_nasc
+FROM customer
+"""
+
+CAMPAIGN_MEMBERS = """
+SELECT CAST(CASE WHEN c_custkey % 3 = 0 THEN 9011 WHEN c_custkey % 3 = 1 THEN 15422 ELSE 777 END AS BIGINT) AS campanha_id,
+       c_custkey AS cliente_id, CASE WHEN c_custkey % 39 <> 0 THEN c_custkey % 7 + 100 END AS usuario_id
+FROM customer WHERE c_custkey % 13 = 0
+"""
+
+CONTACT_LOG = """
+SELECT o_orderkey AS id, o_custkey AS relacao_id, CAST(9011 AS BIGINT) AS campanha_id, o_orderdate AS dataregistro
+FROM orders WHERE o_orderkey % 50 = 0
+"""
+
 FIXTURES = {
     "producao_all": PRODUCTION,
     "producao_cartao": CARD,
@@ -238,6 +260,9 @@ FIXTURES = {
     "producao_extenso": PRODUCTION_LINES,
     "tabulacoes": TABULATIONS,
     "lista_clientes": CLIENT_LIST,
+    "clientes": CLIENTS,
+    "campanha_cliente": CAMPAIGN_MEMBERS,
+    "telemarketing": CONTACT_LOG,
 }
 
 

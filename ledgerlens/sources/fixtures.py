@@ -424,3 +424,39 @@ def client_list(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Campaign client list: every customer, keyed by CPF."""
     c = read_table(spark, sf_dir, "customer").select("c_custkey")
     return c.select(cpf_of(F.col("c_custkey")).alias("cliente_id"))
+
+
+# ---------------------------------------------------------------- clients and campaigns
+
+def clients(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Client registry (``clientes``): CPF digits, name, and one phone —
+    mobile (with the ninth digit) for even keys, landline form (without it)
+    for odd keys."""
+    c = read_table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_acctbal")
+    k = F.col("c_custkey")
+    mobile = S.digits(phone_of(k * 8))
+    land = S.drop_ninth_digit(mobile)
+    return c.select(
+        k.alias("idTabela"), cpf_of(k).alias("id"), F.col("c_name").alias("nome"),
+        F.when(F.pmod(k, F.lit(2)) == 1, land).alias("telefone"),
+        F.when(F.pmod(k, F.lit(2)) == 0, mobile).alias("celular"),
+        F.date_add(F.lit("1950-01-01").cast("date"), F.pmod(k * 131, F.lit(20000)).cast("int")).alias("data_nasc"),
+    )
+
+
+def campaign_members(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Campaign membership (``campanha_cliente``): every 13th customer sits in
+    one of three campaigns; no owner yet for a third of them."""
+    c = read_table(spark, sf_dir, "customer").filter(F.pmod(F.col("c_custkey"), F.lit(13)) == 0)
+    k = F.col("c_custkey")
+    camp = F.when(F.pmod(k, F.lit(3)) == 0, F.lit(9011)).when(F.pmod(k, F.lit(3)) == 1, F.lit(15422)).otherwise(F.lit(777))
+    return c.select(camp.cast("long").alias("campanha_id"), k.alias("cliente_id"),
+                    F.when(F.pmod(k, F.lit(39)) != 0, F.pmod(k, F.lit(7)) + 100).alias("usuario_id"))
+
+
+def contact_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Telemarketing contact log (``telemarketing``): one contact for every
+    fiftieth order, in campaign 9011."""
+    o = read_table(spark, sf_dir, "orders").filter(F.pmod(F.col("o_orderkey"), F.lit(50)) == 0)
+    return o.select(F.col("o_orderkey").alias("id"), F.col("o_custkey").alias("relacao_id"),
+                    F.lit(9011).cast("long").alias("campanha_id"), F.col("o_orderdate").alias("dataregistro"))

@@ -42,20 +42,21 @@ DDD_STATE = {
 
 # State code -> state name.
 STATE_NAME = {
-    "AC": "Acre", "AL": "Alagoas", "AP": "Amapá", "AM": "Amazonas", "BA": "Bahia", "CE": "Ceará",
-    "DF": "Distrito Federal", "ES": "Espírito Santo", "GO": "Goiás", "MA": "Maranhão",
-    "MT": "Mato Grosso", "MS": "Mato Grosso do Sul", "MG": "Minas Gerais", "PA": "Pará",
-    "PB": "Paraíba", "PR": "Paraná", "PE": "Pernambuco", "PI": "Piauí", "RJ": "Rio de Janeiro",
-    "RN": "Rio Grande do Norte", "RS": "Rio Grande do Sul", "RO": "Rondônia", "RR": "Roraima",
-    "SC": "Santa Catarina", "SP": "São Paulo", "SE": "Sergipe", "TO": "Tocantins",
+    "AC": "ACRE", "AL": "ALAGOAS", "AP": "AMAPA", "AM": "AMAZONAS",
+    "BA": "BAHIA", "CE": "CEARA", "DF": "DISTRITO FEDERAL", "ES": "ESPIRITO SANTO",
+    "GO": "GOIAS", "MA": "MARANHAO", "MT": "MATO GROSSO", "MS": "MATO GROSSO DO SUL",
+    "MG": "MINAS GERAIS", "PA": "PARA", "PB": "PARAIBA", "PR": "PARANA",
+    "PE": "PERNAMBUCO", "PI": "PIAUI", "RJ": "RIO DE JANEIRO", "RN": "RIO GRANDE DO NORTE",
+    "RS": "RIO GRANDE DO SUL", "RO": "RONDONIA", "RR": "RORAIMA", "SC": "SANTA CATARINA",
+    "SP": "SAO PAULO", "SE": "SERGIPE", "TO": "TOCANTINS",
 }
 
 # Vehicle usage code -> label (no ELSE: others are NULL).
 USAGE_LABEL = {
     "PARTICULAR": "Comum",
-    "COMERCIAL": "Comercial",
-    "APLICATIVO": "Motorista de aplicativo",
-    "TAXI": "Taxi",
+    "APLICATIVO": "Motorista de Aplicativo",
+    "PCD": "PCD",
+    "TAXISTA": "Taxista",
 }
 
 
@@ -207,8 +208,8 @@ def model_year_int(x) -> Column:
 
 
 def new_or_used(year, as_of_year) -> Column:
-    """``0km/Novo`` when year >= current-1, else ``Seminovo``."""
-    return F.when(_c(year) >= (as_of_year - 1), F.lit("0km/Novo")).otherwise(F.lit("Seminovo"))
+    """``0km/Novo`` when year >= current-1, else ``Usado``."""
+    return F.when(_c(year) >= (as_of_year - 1), F.lit("0km/Novo")).otherwise(F.lit("Usado"))
 
 
 def strip_phone_punct(x) -> Column:
@@ -314,8 +315,8 @@ def state_name(x) -> Column:
 
 
 def usage_label(x) -> Column:
-    """usage code -> label, others NULL."""
-    return F.element_at(literal_map(USAGE_LABEL), F.upper(F.trim(_c(x))))
+    """usage code -> label (exact match), others NULL."""
+    return F.element_at(literal_map(USAGE_LABEL), _c(x))
 
 
 def amount_int(x) -> Column:

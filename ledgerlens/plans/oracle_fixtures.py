@@ -60,7 +60,9 @@ SELECT event_id AS id,
               || '}, {"quantidade": 36, "valor": ' || CAST(CAST(json_extract_string(props, '$.k') AS BIGINT) * 4 AS VARCHAR)
               || '}]}' END AS ofertas_json,
        ts AS data_chegada,
-       ts AS data_insercao
+       ts AS data_insercao,
+       CASE WHEN event_id % 6 = 0 THEN 1 ELSE 0 END AS consultando,
+       CASE WHEN event_id % 6 = 0 THEN ts + to_minutes(CAST(event_id % 20 AS BIGINT)) END AS locked_at
 FROM events
 """
 
@@ -69,7 +71,7 @@ SELECT e.event_id AS negociacao_id,
        CASE WHEN e.user_id % 11 <> 0 THEN lpad(CAST(e.user_id AS VARCHAR), 11, '0') END AS cpf,
        c.c_name AS nome,
        CASE WHEN e.user_id % 3 = 0 THEN 'M' WHEN e.user_id % 3 = 1 THEN 'F' END AS genero,
-       CAST((e.user_id * 37) % 101 AS INTEGER) AS semelhanca,
+       CAST(CASE WHEN e.user_id % 4 = 0 THEN 100 ELSE (e.user_id * 37) % 101 END AS INTEGER) AS semelhanca,
        CAST(DATE '1960-01-01' + CAST((e.user_id * 97) % 15000 AS INTEGER) AS DATE) AS data_nascimento
 FROM events e LEFT JOIN customer c ON e.user_id = c.c_custkey
 WHERE e.event_id % 7 <> 0
@@ -240,6 +242,24 @@ SELECT o_orderkey AS id, o_custkey AS relacao_id, CAST(9011 AS BIGINT) AS campan
 FROM orders WHERE o_orderkey % 50 = 0
 """
 
+INSURANCE_QUERIES = """
+SELECT event_id AS contato_id,
+       CASE WHEN event_id % 9 = 0 THEN 'CPF' || CAST(user_id AS VARCHAR) ELSE 'ABC' || lpad(CAST(event_id % 10000 AS VARCHAR), 4, '0') END AS placa,
+       lpad(CAST(user_id AS VARCHAR), 11, '0') AS cpf,
+       (['sp', 'RJ', 'mg', 'XX'])[user_id % 4 + 1] AS uf_licenciamento,
+       CASE WHEN event_id % 2 = 0 THEN 'Usado' ELSE '0km/Novo' END AS estado_veiculo,
+       'MARCA ' || CAST(user_id % 12 AS VARCHAR) AS marca,
+       CASE WHEN event_id % 11 <> 0 THEN 'MODELO ' || CAST(user_id % 40 AS VARCHAR) || ' 1.6 FLEX' END AS modelo,
+       CASE WHEN user_id % 5 = 0 THEN 'MOTO' ELSE 'CARRO' END AS tipo_veiculo,
+       CAST(2010 + event_id % 16 AS VARCHAR) || ' FLEX' AS ano_combustivel,
+       CASE WHEN event_id % 7 <> 0 THEN value * 300 END AS preco_medio_veiculo,
+       (['PARTICULAR', 'APLICATIVO', 'PCD', 'TAXISTA', 'FROTA'])[event_id % 5 + 1] AS uso_veiculo,
+       CAST(DATE '1960-01-01' + CAST((user_id * 97) % 15000 AS INTEGER) AS DATE) AS data_nascimento,
+       CASE WHEN event_id % 4 <> 0 THEN ts END AS data_placa,
+       CASE WHEN event_id % 5 = 0 THEN ts END AS data_consulta
+FROM events WHERE event_type = 'purchase'
+"""
+
 FIXTURES = {
     "producao_all": PRODUCTION,
     "producao_cartao": CARD,
@@ -263,6 +283,7 @@ FIXTURES = {
     "clientes": CLIENTS,
     "campanha_cliente": CAMPAIGN_MEMBERS,
     "telemarketing": CONTACT_LOG,
+    "consulta_seguro": INSURANCE_QUERIES,
 }
 
 

@@ -155,6 +155,9 @@ def leads(spark: SparkSession, sf_dir: str) -> DataFrame:
         ofertas.alias("ofertas_json"),
         F.col("ts").alias("data_chegada"),
         F.col("ts").alias("data_insercao"),
+        F.when(F.pmod(eid, F.lit(6)) == 0, F.lit(1)).otherwise(F.lit(0)).alias("consultando"),
+        F.when(F.pmod(eid, F.lit(6)) == 0,
+               F.col("ts") + F.make_dt_interval(F.lit(0), F.lit(0), F.pmod(eid, F.lit(20)).cast("int"))).alias("locked_at"),
     )
 
 
@@ -170,7 +173,7 @@ def lead_enrichment(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.pmod(uid, F.lit(11)) != 0, cpf_of(uid)).alias("cpf"),
         F.col("c_name").alias("nome"),
         F.when(F.pmod(uid, F.lit(3)) == 0, F.lit("M")).when(F.pmod(uid, F.lit(3)) == 1, F.lit("F")).alias("genero"),
-        F.pmod(uid * 37, F.lit(101)).cast("int").alias("semelhanca"),
+        F.when(F.pmod(uid, F.lit(4)) == 0, F.lit(100)).otherwise(F.pmod(uid * 37, F.lit(101))).cast("int").alias("semelhanca"),
         F.date_add(F.lit("1960-01-01").cast("date"), F.pmod(uid * 97, F.lit(15000)).cast("int")).alias("data_nascimento"),
     )
 
@@ -460,3 +463,30 @@ def contact_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = read_table(spark, sf_dir, "orders").filter(F.pmod(F.col("o_orderkey"), F.lit(50)) == 0)
     return o.select(F.col("o_orderkey").alias("id"), F.col("o_custkey").alias("relacao_id"),
                     F.lit(9011).cast("long").alias("campanha_id"), F.col("o_orderdate").alias("dataregistro"))
+
+
+def insurance_queries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Insurance quote queue (``consulta_seguro``) from purchase events: a
+    plate per contact (``CPF...`` placeholders for some), plate date and
+    quote date set for part of them."""
+    e = read_table(spark, sf_dir, "events").filter(F.col("event_type") == "purchase")
+    eid, uid = F.col("event_id"), F.col("user_id")
+    placa = F.when(F.pmod(eid, F.lit(9)) == 0, F.concat(F.lit("CPF"), uid.cast("string"))).otherwise(
+        F.concat(F.lit("ABC"), F.lpad(F.pmod(eid, F.lit(10000)).cast("string"), 4, "0")))
+    usos = F.element_at(F.array(*[F.lit(u) for u in ("PARTICULAR", "APLICATIVO", "PCD", "TAXISTA", "FROTA")]),
+                        (F.pmod(eid, F.lit(5)) + 1).cast("int"))
+    return e.select(
+        eid.alias("contato_id"), placa.alias("placa"), cpf_of(uid).alias("cpf"),
+        F.element_at(F.array(*[F.lit(u) for u in ("sp", "RJ", "mg", "XX")]), (F.pmod(uid, F.lit(4)) + 1).cast("int")).alias("uf_licenciamento"),
+        F.when(F.pmod(eid, F.lit(2)) == 0, F.lit("Usado")).otherwise(F.lit("0km/Novo")).alias("estado_veiculo"),
+        F.concat(F.lit("MARCA "), F.pmod(uid, F.lit(12)).cast("string")).alias("marca"),
+        F.when(F.pmod(eid, F.lit(11)) != 0, F.concat(F.lit("MODELO "), F.pmod(uid, F.lit(40)).cast("string"),
+                                                     F.lit(" 1.6 FLEX"))).alias("modelo"),
+        F.when(F.pmod(uid, F.lit(5)) == 0, F.lit("MOTO")).otherwise(F.lit("CARRO")).alias("tipo_veiculo"),
+        F.concat((F.lit(2010) + F.pmod(eid, F.lit(16))).cast("string"), F.lit(" FLEX")).alias("ano_combustivel"),
+        F.when(F.pmod(eid, F.lit(7)) != 0, F.col("value") * 300).alias("preco_medio_veiculo"),
+        usos.alias("uso_veiculo"),
+        F.date_add(F.lit("1960-01-01").cast("date"), F.pmod(uid * 97, F.lit(15000)).cast("int")).alias("data_nascimento"),
+        F.when(F.pmod(eid, F.lit(4)) != 0, F.col("ts")).alias("data_placa"),
+        F.when(F.pmod(eid, F.lit(5)) == 0, F.col("ts")).alias("data_consulta"),
+    )

@@ -78,7 +78,7 @@ def test_bins(spark):
 def test_state_lookups(spark):
     assert _eval(spark, ["(11) 98888-7777", "5521988887777", "123", "(10) 9888-7777"], S.state_by_phone) == [
         "SP", "RJ", None, None]
-    assert _eval(spark, ["sp", "XX", None], S.state_name) == ["São Paulo", "XX", None]
+    assert _eval(spark, ["sp", "XX", None], S.state_name) == ["SAO PAULO", "XX", None]
 
 
 def test_business_days(spark):

@@ -11,7 +11,8 @@ Scale design
   checkpoint files).
 * Inside a stage, rows pair only within an equal key: both sides are ranked
   within the key (``ranked_within``, which splits hot keys over salt
-  buckets) and joined on (key, rank).  That yields min(m, n) pairs per key,
+  buckets; hot keys are measured once per stage on the full key tables) and
+  joined on (key, rank).  That yields min(m, n) pairs per key,
   the same count as the reference's greedy loop, in canonical id order.
 * NULL keys never match (trap T3 default); ``match_missing=True`` restores
   the sentinel behaviour where missing matches missing.
@@ -27,7 +28,7 @@ from pyspark.sql import functions as F
 from ledgerlens.functions import scalars as S
 from ledgerlens.functions.dates import ts_ntz
 from ledgerlens.functions.similarity import with_token_set_ratio
-from ledgerlens.operators.skew import latest_per_key, ranked_within
+from ledgerlens.operators.skew import hot_keys_by_set, latest_per_key, ranked_within
 from ledgerlens.session import cut_lineage
 
 # The five matching stages, in order (name, keys).
@@ -74,7 +75,7 @@ def prepare_production(df: DataFrame) -> DataFrame:
 def production_in_span(production: DataFrame, statements: DataFrame,
                        date_col: str = "data_contrato", span_col: str = "dat_emprestimo") -> DataFrame:
     """Production rows within the statements' date span (one-row
-    aggregate, broadcast; Catalyst folds it into a range filter)."""
+    aggregate, broadcast; the filter runs inside the production scan stage)."""
     span = statements.agg(F.min(span_col).alias("_lo"), F.max(span_col).alias("_hi"))
     return (production.crossJoin(F.broadcast(span))
             .filter(F.col(date_col).between(F.col("_lo"), F.col("_hi")))
@@ -102,6 +103,11 @@ def staged_pairing(left: DataFrame, right: DataFrame, stages=STAGES, left_id: st
     rk = _key_table(right, right_id, key_cols, match_missing)
     if checkpoint:
         lk, rk = cut_lineage(lk, "pair-left-keys"), cut_lineage(rk, "pair-right-keys")
+    # hot keys of every stage, measured once per side on the full key tables
+    # (a key hot among a stage's pending rows is hot in the full table)
+    mat = (lambda d: cut_lineage(d, "hot-keys")) if checkpoint else None
+    hot_l = hot_keys_by_set(lk, [ks for _, ks in stages], materialise=mat)
+    hot_r = hot_keys_by_set(rk, [ks for _, ks in stages], materialise=mat)
     done = None
     for i, (name, keys) in enumerate(stages, start=1):
         lp, rp = lk, rk
@@ -110,8 +116,8 @@ def staged_pairing(left: DataFrame, right: DataFrame, stages=STAGES, left_id: st
             rp = rp.join(done.select(right_id), right_id, "left_anti")
         lp = lp.select(left_id, *keys).dropna(subset=keys)
         rp = rp.select(right_id, *keys).dropna(subset=keys)
-        lr = ranked_within(lp, keys, left_id, left_id)
-        rr = ranked_within(rp, keys, right_id, right_id)
+        lr = ranked_within(lp, keys, left_id, left_id, hot=hot_l[i - 1])
+        rr = ranked_within(rp, keys, right_id, right_id, hot=hot_r[i - 1])
         pairs = (lr.join(rr, [*keys, "rn"])
                  .select(left_id, right_id, F.lit(i).alias("etapa"), F.lit(name).alias("etapa_nome")))
         if checkpoint:

@@ -28,10 +28,40 @@ def _null_safe_on(left: DataFrame, right: DataFrame, cols: list[str]) -> Column:
     return reduce(lambda a, b: a & b, [left[c].eqNullSafe(right[c]) for c in cols])
 
 
+def hot_keys(df: DataFrame, keys: list[str], hot_threshold: int = DEFAULT_HOT_THRESHOLD):
+    """Keys with more than ``hot_threshold`` rows (exact, partial-aggregate
+    count) and how many there are (a one-row action)."""
+    hot = (df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_kn"))
+           .filter(F.col("_kn") > hot_threshold).select(*keys))
+    return hot, hot.count()
+
+
+def hot_keys_by_set(df: DataFrame, key_sets: list[list[str]], hot_threshold: int = DEFAULT_HOT_THRESHOLD,
+                    materialise=None) -> list:
+    """``hot_keys`` for several key sets in one grouping-sets pass (one
+    Expand + one shuffle instead of one aggregation per set).  Returns one
+    ``(hot DataFrame, count)`` per key set; the hot table is tiny and is
+    materialised once (``materialise``, e.g. ``cut_lineage``) when given."""
+    cols = sorted({c for ks in key_sets for c in ks})
+    sets = [sorted(ks) for ks in key_sets]
+    agg = (df.groupingSets(sets, *cols)
+           .agg(F.count(F.lit(1)).alias("_kn"), F.grouping_id().alias("_gid"))
+           .filter(F.col("_kn") > hot_threshold))
+    if materialise is not None:
+        agg = materialise(agg)
+    counts = {r["_gid"]: r["n"] for r in agg.groupBy("_gid").agg(F.count(F.lit(1)).alias("n")).collect()}
+    out = []
+    for ks in sets:
+        # grouping_id bit i (from the left, most significant first) is 1 when cols[i] is aggregated away
+        gid = sum(1 << (len(cols) - 1 - i) for i, c in enumerate(cols) if c not in ks)
+        out.append((agg.filter(F.col("_gid") == gid).select(*ks), counts.get(gid, 0)))
+    return out
+
+
 def ranked_within(df: DataFrame, keys: list[str], order_col: str, salt_source: str,
                   out: str = "rn", buckets: int = DEFAULT_BUCKETS,
                   hot_threshold: int = DEFAULT_HOT_THRESHOLD,
-                  broadcast_max: int = DEFAULT_BROADCAST_MAX) -> DataFrame:
+                  broadcast_max: int = DEFAULT_BROADCAST_MAX, hot=None) -> DataFrame:
     """Dense rank 1..n of rows within ``keys`` (like ``row_number``).
 
     Hot keys (more than ``hot_threshold`` rows) are found exactly with a
@@ -43,10 +73,10 @@ def ranked_within(df: DataFrame, keys: list[str], order_col: str, salt_source: s
     Order within a hot key is ``(pmod(salt_source, buckets), order_col)``.
     The hot-key list is broadcast only when its measured size is at most
     ``broadcast_max`` rows (it is also bounded by rows / hot_threshold).
+    ``hot`` may pass a precomputed ``hot_keys`` result (e.g. measured once on
+    a superset of ``df``: a key hot in a subset is hot in the superset).
     """
-    key_counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_kn"))
-    hot = key_counts.filter(F.col("_kn") > hot_threshold).select(*keys)
-    n_hot = hot.count()
+    hot, n_hot = hot if hot is not None else hot_keys(df, keys, hot_threshold)
     if n_hot == 0:
         w = Window.partitionBy(*keys).orderBy(F.col(order_col).asc())
         return df.withColumn(out, F.row_number().over(w).cast("long"))

@@ -225,6 +225,7 @@ _MOBILE = ("'(' || CAST(11 + (c_custkey * 8) % 89 AS VARCHAR) || ') 9' "
 _MOBILE_D = f"regexp_replace({_MOBILE}, '[^0-9]', '', 'g')"
 CLIENTS = f"""
 SELECT c_custkey AS idTabela, lpad(CAST(c_custkey AS VARCHAR), 11, '0') AS id, c_name AS nome,
+       CASE WHEN c_custkey % 3 = 0 THEN 'M' WHEN c_custkey % 3 = 1 THEN 'F' END AS genero,
        CASE WHEN c_custkey % 2 = 1 THEN substr({_MOBILE_D}, 1, 2) || substr({_MOBILE_D}, 4) END AS telefone,
        CASE WHEN c_custkey % 2 = 0 THEN {_MOBILE_D} END AS celular,
        CAST(DATE '1950-01-01' + CAST((c_custkey * 131) % 20000 AS INTEGER) AS DATE) AS data_nasc
@@ -260,6 +261,16 @@ SELECT event_id AS contato_id,
 FROM events WHERE event_type = 'purchase'
 """
 
+ADDRESSES = """
+SELECT c_custkey * 10 + 1 AS id, c_custkey AS cliente_id, (['AC', 'AL', 'AM', 'AP', 'BA', 'CE', 'DF', 'ES', 'GO', 'MA', 'MG', 'MS', 'MT', 'PA', 'PB', 'PE', 'PI', 'PR', 'RJ', 'RN', 'RO', 'RR', 'RS', 'SC', 'SE', 'SP', 'TO'])[c_nationkey % 27 + 1] AS uf
+FROM customer WHERE c_custkey % 4 <> 0
+UNION ALL
+SELECT c_custkey * 10 + 2, c_custkey, (['AC', 'AL', 'AM', 'AP', 'BA', 'CE', 'DF', 'ES', 'GO', 'MA', 'MG', 'MS', 'MT', 'PA', 'PB', 'PE', 'PI', 'PR', 'RJ', 'RN', 'RO', 'RR', 'RS', 'SC', 'SE', 'SP', 'TO'])[(c_nationkey + 5) % 27 + 1]
+FROM customer WHERE c_custkey % 8 = 1
+"""
+
+CLIENT_CONTACTS = "SELECT c_custkey AS cliente_id, c_custkey AS contato_id FROM customer"
+
 FIXTURES = {
     "producao_all": PRODUCTION,
     "producao_cartao": CARD,
@@ -284,6 +295,8 @@ FIXTURES = {
     "campanha_cliente": CAMPAIGN_MEMBERS,
     "telemarketing": CONTACT_LOG,
     "consulta_seguro": INSURANCE_QUERIES,
+    "logradouro": ADDRESSES,
+    "cliente_contato": CLIENT_CONTACTS,
 }
 
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ledgerlens.operators import reconcile as RC
+from ledgerlens.session import cut_lineage
 from ledgerlens.plans.oracle_fixtures import with_fixtures
 from ledgerlens.plans.registry import query
 from ledgerlens.plans.sql_snippets import AS_OF_ORDERS_SQL as T, digits_sql
@@ -65,9 +66,10 @@ _FIX = ["producao_all", "contratos_bancos"]
 
 
 def _prepared(spark, sf_dir):
-    raw = X.bank_statements(spark, sf_dir)
-    st = RC.prepare_statements(raw)
-    prod = RC.prepare_production(RC.production_in_span(X.production(spark, sf_dir), raw))
+    # the prepared statements feed the span filter, the key table and the
+    # reports: materialise them once instead of re-aggregating lineitem
+    st = cut_lineage(RC.prepare_statements(X.bank_statements(spark, sf_dir)), "statements")
+    prod = RC.prepare_production(RC.production_in_span(X.production(spark, sf_dir), st))
     return st, prod
 
 

@@ -441,6 +441,7 @@ def clients(spark: SparkSession, sf_dir: str) -> DataFrame:
     land = S.drop_ninth_digit(mobile)
     return c.select(
         k.alias("idTabela"), cpf_of(k).alias("id"), F.col("c_name").alias("nome"),
+        F.when(F.pmod(k, F.lit(3)) == 0, F.lit("M")).when(F.pmod(k, F.lit(3)) == 1, F.lit("F")).alias("genero"),
         F.when(F.pmod(k, F.lit(2)) == 1, land).alias("telefone"),
         F.when(F.pmod(k, F.lit(2)) == 0, mobile).alias("celular"),
         F.date_add(F.lit("1950-01-01").cast("date"), F.pmod(k * 131, F.lit(20000)).cast("int")).alias("data_nasc"),
@@ -490,3 +491,27 @@ def insurance_queries(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.pmod(eid, F.lit(4)) != 0, F.col("ts")).alias("data_placa"),
         F.when(F.pmod(eid, F.lit(5)) == 0, F.col("ts")).alias("data_consulta"),
     )
+
+
+# State codes in alphabetical order (address fixture).
+STATE_CODES = ["AC", "AL", "AM", "AP", "BA", "CE", "DF", "ES", "GO", "MA", "MG", "MS", "MT", "PA",
+               "PB", "PE", "PI", "PR", "RJ", "RN", "RO", "RR", "RS", "SC", "SE", "SP", "TO"]
+
+
+def addresses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Client addresses (``logradouro``): three of four customers have one,
+    every eighth (key % 8 = 1) a second, newer one in another state."""
+    c = read_table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
+    k, n = F.col("c_custkey"), F.col("c_nationkey")
+    states = F.array(*[F.lit(s) for s in STATE_CODES])
+    first = c.filter(F.pmod(k, F.lit(4)) != 0).select(
+        (k * 10 + 1).alias("id"), k.alias("cliente_id"), F.element_at(states, (F.pmod(n, F.lit(27)) + 1).cast("int")).alias("uf"))
+    second = c.filter(F.pmod(k, F.lit(8)) == 1).select(
+        (k * 10 + 2).alias("id"), k.alias("cliente_id"), F.element_at(states, (F.pmod(n + 5, F.lit(27)) + 1).cast("int")).alias("uf"))
+    return first.unionByName(second)
+
+
+def client_contacts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Client-to-contact links (``cliente_contato``): each customer to its contact."""
+    c = read_table(spark, sf_dir, "customer").select("c_custkey")
+    return c.select(F.col("c_custkey").alias("cliente_id"), F.col("c_custkey").alias("contato_id"))

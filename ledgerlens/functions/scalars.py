@@ -230,15 +230,17 @@ def instalment_number(x) -> Column:
 
 
 def phone_from_text(x) -> Column:
-    """phone in free text after ``>(``: 2-char area + 9-char number, ``<`` removed.
+    """phone in free text after ``>(``: from the marker on (trimmed),
+    characters 3-4 are the area code and 6-14 the number, ``<`` removed.
 
-    Guarded: when the marker is absent the result is NULL (trap T5)."""
+    When the marker is absent the text from position 0 is '' in MySQL (Spark
+    would return the whole string), so the result is '' (trap T5)."""
     s = _c(x)
     pos = F.locate(">(", s)
-    area = F.substring(s, pos + 2, 2)
-    number = F.replace(F.substring(s, pos + 5, 10), F.lit("<"), F.lit(""))
-    number = F.trim(F.replace(number, F.lit(" "), F.lit("")))
-    return F.when(pos > 0, F.concat(area, F.substring(number, 1, 9)))
+    tail = F.when(pos > 0, F.trim(F.substring(s, pos, 1 << 20))).otherwise(F.lit(""))
+    ddd = F.replace(F.substring(tail, 3, 2), F.lit("<"), F.lit(""))
+    num = F.replace(F.substring(tail, 6, 9), F.lit("<"), F.lit(""))
+    return F.when(s.isNotNull(), F.concat(ddd, num))
 
 
 # ------------------------------------------------------------------ money

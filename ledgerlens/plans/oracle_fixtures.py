@@ -271,6 +271,19 @@ FROM customer WHERE c_custkey % 8 = 1
 
 CLIENT_CONTACTS = "SELECT c_custkey AS cliente_id, c_custkey AS contato_id FROM customer"
 
+TELEMARKETING_TEXTS = """
+SELECT o_orderkey AS id, CASE WHEN o_orderkey % 3 = 0 THEN 'empresa' ELSE 'cliente' END AS relacao,
+       o_custkey AS relacao_id, CASE WHEN o_orderkey % 11 <> 0 THEN o_orderkey % 11 END AS usuario_id,
+       o_orderkey % 4 AS status_telemarketing_id,
+       CASE WHEN o_orderkey % 5 = 0 THEN NULL WHEN o_orderkey % 5 = 1 THEN 'sem telefone'
+            ELSE 'Contato <b>>(' || CAST(11 + o_custkey % 89 AS VARCHAR) || ')9'
+                 || lpad(CAST((o_custkey * 7919) % 100000000 AS VARCHAR), 8, '0') || '<</b> ok' END AS texto,
+       o_orderdate AS dataregistro
+FROM orders WHERE o_orderkey % 7 = 0
+"""
+
+STAFF_USERS = "SELECT s_suppkey AS id, 'user' || CAST(s_suppkey AS VARCHAR) AS login FROM supplier WHERE s_suppkey BETWEEN 1 AND 10"
+
 FIXTURES = {
     "producao_all": PRODUCTION,
     "producao_cartao": CARD,
@@ -297,6 +310,8 @@ FIXTURES = {
     "consulta_seguro": INSURANCE_QUERIES,
     "logradouro": ADDRESSES,
     "cliente_contato": CLIENT_CONTACTS,
+    "telemarketing_textos": TELEMARKETING_TEXTS,
+    "usuario": STAFF_USERS,
 }
 
 

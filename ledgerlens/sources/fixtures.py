@@ -515,3 +515,25 @@ def client_contacts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Client-to-contact links (``cliente_contato``): each customer to its contact."""
     c = read_table(spark, sf_dir, "customer").select("c_custkey")
     return c.select(F.col("c_custkey").alias("cliente_id"), F.col("c_custkey").alias("contato_id"))
+
+
+def telemarketing_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Contact-log entries with free text (``telemarketing``): every seventh
+    order; a phone is embedded as ``>(dd)9nnnnnnnn<`` in most texts."""
+    o = read_table(spark, sf_dir, "orders").filter(F.pmod(F.col("o_orderkey"), F.lit(7)) == 0)
+    k, c = F.col("o_orderkey"), F.col("o_custkey")
+    dd = (F.lit(11) + F.pmod(c, F.lit(89))).cast("string")
+    num = F.concat(F.lit("9"), F.lpad(F.pmod(c * F.lit(7919), F.lit(100000000)).cast("string"), 8, "0"))
+    texto = (F.when(F.pmod(k, F.lit(5)) == 0, F.lit(None).cast("string"))
+             .when(F.pmod(k, F.lit(5)) == 1, F.lit("sem telefone"))
+             .otherwise(F.concat(F.lit("Contato <b>>("), dd, F.lit(")"), num, F.lit("<</b> ok"))))
+    return o.select(
+        k.alias("id"), F.when(F.pmod(k, F.lit(3)) == 0, F.lit("empresa")).otherwise(F.lit("cliente")).alias("relacao"),
+        c.alias("relacao_id"), F.when(F.pmod(k, F.lit(11)) != 0, F.pmod(k, F.lit(11))).alias("usuario_id"),
+        F.pmod(k, F.lit(4)).alias("status_telemarketing_id"), texto.alias("texto"), F.col("o_orderdate").alias("dataregistro"))
+
+
+def staff_users(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Platform users (``usuario``): ten logins from the supplier table."""
+    s = read_table(spark, sf_dir, "supplier").filter(F.col("s_suppkey").between(1, 10))
+    return s.select(F.col("s_suppkey").alias("id"), F.concat(F.lit("user"), F.col("s_suppkey").cast("string")).alias("login"))

@@ -352,3 +352,26 @@ def enrich_daily(df: DataFrame, leads: DataFrame, sent_at) -> DataFrame:
     out = parse_offers(out)
     last = last_simulations(leads, exclude_ids=df.select("id"))
     return out.join(last, "telefone", "left")
+
+
+def dashboard_refresh(leads: DataFrame, campaign_production: DataFrame, monthly_index: DataFrame,
+                      gender_lookup: DataFrame | None, as_of) -> dict[str, DataFrame]:
+    """The dashboard's four refreshes, in order: state from the phone
+    for leads without one (J23), ticket class of vehicle finance (F49, DB
+    form), gender from the first name of recent leads (J25), commission
+    estimate (C9).  Each is a DataFrame of keyed updates for the merge."""
+    from ledgerlens.operators.sla import estimated_commission
+    from ledgerlens.sources.ingest import infer_gender
+    est = leads.filter(F.col("telefone").isNotNull())
+    if "estado" in leads.columns:
+        est = est.filter(F.col("estado").isNull() | (F.col("estado") == ""))
+    estados = est.select("id", S.state_by_phone(F.col("telefone")).alias("estado")).filter(F.col("estado").isNotNull())
+    tickets = (campaign_production.select("id", S.ticket_class_db(F.col("valor_veiculo")).alias("classificacao_ticket"))
+               .filter(F.col("classificacao_ticket").isNotNull()))
+    out = {"estado": estados, "ticket": tickets,
+           "comissao": estimated_commission(campaign_production, monthly_index)}
+    if gender_lookup is not None:
+        recent = leads.filter(F.to_date("data_chegada") >= F.date_sub(F.to_date(_ts(as_of)), 30))
+        out["genero"] = (infer_gender(recent.select("id", "nome"), gender_lookup)
+                         .filter(F.col("genero").isin("M", "F")).select("id", "genero"))
+    return out

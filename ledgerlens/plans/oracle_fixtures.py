@@ -61,6 +61,7 @@ SELECT event_id AS id,
               || '}]}' END AS ofertas_json,
        ts AS data_chegada,
        ts AS data_insercao,
+       CASE WHEN event_id % 7 = 1 THEN ts + INTERVAL 1 HOUR END AS data_hora_enviado,
        CASE WHEN event_id % 6 = 0 THEN 1 ELSE 0 END AS consultando,
        CASE WHEN event_id % 6 = 0 THEN ts + to_minutes(CAST(event_id % 20 AS BIGINT)) END AS locked_at
 FROM events

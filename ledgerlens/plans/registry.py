@@ -33,7 +33,7 @@ def query(name: str, oracle: str | None = None, headline: bool = False):
 
 PLAN_MODULES = [
     "q_retention", "q_leads", "q_scalars", "q_reconcile", "q_rates", "q_funnel",
-    "q_assign", "q_effectiveness", "q_sla", "q_merge", "q_ingest", "q_campaign", "q_queues", "q_enrichment", "q_contacts",
+    "q_assign", "q_effectiveness", "q_sla", "q_merge", "q_ingest", "q_campaign", "q_queues", "q_enrichment", "q_contacts", "q_routing",
 ]
 
 

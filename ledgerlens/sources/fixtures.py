@@ -155,6 +155,7 @@ def leads(spark: SparkSession, sf_dir: str) -> DataFrame:
         ofertas.alias("ofertas_json"),
         F.col("ts").alias("data_chegada"),
         F.col("ts").alias("data_insercao"),
+        F.when(F.pmod(eid, F.lit(7)) == 1, F.col("ts") + F.expr("INTERVAL 1 HOURS")).alias("data_hora_enviado"),
         F.when(F.pmod(eid, F.lit(6)) == 0, F.lit(1)).otherwise(F.lit(0)).alias("consultando"),
         F.when(F.pmod(eid, F.lit(6)) == 0,
                F.col("ts") + F.make_dt_interval(F.lit(0), F.lit(0), F.pmod(eid, F.lit(20)).cast("int"))).alias("locked_at"),

@@ -34,7 +34,7 @@ def _cands(spark, sf_dir):
     return AS.distribution_candidates(_classified(spark, sf_dir), AS_OF)
 
 
-@query("round_robin", RR_SQL)
+@query("round_robin", RR_SQL, headline=True)
 def round_robin(spark, sf_dir):
     return AS.round_robin(_cands(spark, sf_dir), X.consultants(spark, sf_dir)).select("id", "rn", "usuario_id", "consultor")
 

@@ -78,7 +78,7 @@ JOIN lst ON lst.cliente_id = ranked.cliente_id""",
     ["negociacao_cockpit", "info_panorama_cockpit", "contato_cliente", "clientes", "campanha_cliente"])
 
 
-@query("lote_campanha", LOTE_SQL)
+@query("lote_campanha", LOTE_SQL, headline=True)
 def lote_campanha(spark, sf_dir):
     daily = L.parse_offers(_daily(spark, sf_dir)).withColumnRenamed("nome", "nome_cockpit")
     return CP.campaign_batch(daily, X.clients(spark, sf_dir), X.campaign_members(spark, sf_dir),

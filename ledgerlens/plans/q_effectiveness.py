@@ -61,7 +61,7 @@ SELECT Campo, Soma,
 FROM l""", _FIX)
 
 
-@query("efetividade", EFET_SQL)
+@query("efetividade", EFET_SQL, headline=True)
 def efetividade(spark, sf_dir):
     return EF.effectiveness_summary(_per_client(spark, sf_dir))
 

@@ -151,7 +151,7 @@ g2 AS (SELECT * FROM grp WHERE volume > 0)
 {_rates_sql('g2', 'g.atributo, g.valor')}""", _FIX)
 
 
-@query("lift_atributo", LIFT_SQL)
+@query("lift_atributo", LIFT_SQL, headline=True)
 def lift_atributo(spark, sf_dir):
     return FN.lift_by_attribute(_funnel(spark, sf_dir))
 

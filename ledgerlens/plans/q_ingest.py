@@ -32,7 +32,7 @@ SELECT src_id, nom_banco, row_hash,
 FROM h""", ["contratos_bancos"])
 
 
-@query("ingest_idempotente", INGEST_SQL)
+@query("ingest_idempotente", INGEST_SQL, headline=True)
 def ingest_idempotente(spark, sf_dir):
     """K1 + F30: a statement file ingested into a table that already holds
     two banks' rows from an earlier run: those rows are only touched, the

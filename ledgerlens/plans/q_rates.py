@@ -75,7 +75,7 @@ SELECT CAST(NULL AS BIGINT), n_codigo_regra, n_descricao_regra, n_faixa_parcela,
 FROM diff WHERE status IN ('NOVA', 'ALTERADA')""", _FIX)
 
 
-@query("scd2_taxas", SCD2_SQL)
+@query("scd2_taxas", SCD2_SQL, headline=True)
 def scd2_taxas(spark, sf_dir):
     out = RT.scd2_apply(X.rate_history(spark, sf_dir), X.new_rate_file(spark, sf_dir), AS_OF_RATES, BANK)
     return out.select("id", "codigo", "descricao_banco", "prazo", "taxa_total", "taxa_vista", "comissao_total",

@@ -138,7 +138,7 @@ def _rates(spark, sf_dir):
     return st, RC.effective_rate(st, X.rate_table(spark, sf_dir))
 
 
-@query("taxa_vigente", TAXA_SQL)
+@query("taxa_vigente", TAXA_SQL, headline=True)
 def taxa_vigente(spark, sf_dir):
     return _rates(spark, sf_dir)[1].select("src_id", "taxa_id", "match_taxa", "perc_empresa_avista")
 
@@ -182,7 +182,7 @@ SELECT nom_banco, num_proposta, num_contrato, val_comissao, status_producao, val
 FROM f WHERE rn = 1 AND (nom_banco IS NULL OR nom_banco NOT IN ('BANCO DO BRASIL', 'SABEMI'))""", _FIX)
 
 
-@query("report_conciliacao", REPORT_SQL)
+@query("report_conciliacao", REPORT_SQL, headline=True)
 def report_conciliacao(spark, sf_dir):
     st, prod, pairs = _pairs(spark, sf_dir)
     return RC.report(st, prod, pairs, AS_OF, START_DATE).select(

@@ -134,7 +134,8 @@ TAXA_SQL = with_fixtures(f"WITH {_PREP},{_RATE_SQL} SELECT * FROM best", _FIX +
 
 
 def _rates(spark, sf_dir):
-    st, _ = _prepared(spark, sf_dir)
+    # no pairing here: the statements are read once, so no materialisation
+    st = RC.prepare_statements(X.bank_statements(spark, sf_dir))
     return st, RC.effective_rate(st, X.rate_table(spark, sf_dir))
 
 

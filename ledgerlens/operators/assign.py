@@ -55,9 +55,9 @@ def round_robin(cands: DataFrame, cons: DataFrame) -> DataFrame:
     """Rank by the shuffle key, consultant = (rank - 1) mod n."""
     ranked = global_rank(cands.withColumn("_k", shuffle_key()), "_k", salt=_md5_prefix_salt("_k"))
     rc = ranked_consultants(cons)
-    n = rc.agg(F.count(F.lit(1)).alias("_n"))
-    out = ranked.crossJoin(F.broadcast(n)).withColumn("_idx", F.pmod(F.col("rn") - 1, F.col("_n")))
-    return out.join(F.broadcast(rc), "_idx").drop("_idx", "_n", "_k")
+    n = rc.agg(F.count(F.lit(1))).scalar()
+    out = ranked.withColumn("_idx", F.pmod(F.col("rn") - 1, n))
+    return out.join(F.broadcast(rc), "_idx").drop("_idx", "_k")
 
 
 def block_assignment(cands: DataFrame, cons: DataFrame, per_consultant: int = PER_CONSULTANT) -> DataFrame:

@@ -89,9 +89,9 @@ def campaign_batch(batch: DataFrame, clients: DataFrame, members: DataFrame, use
     first = r.groupBy("cliente_id").agg(F.min("_k").alias("_k"))
     ranked = global_rank(first, "_k", salt=_md5_prefix_salt("_k"), out="ordem")
     rc = ranked_consultants(users)
-    n = rc.agg(F.count(F.lit(1)).alias("_n"))
-    owners = (ranked.crossJoin(F.broadcast(n))
-              .withColumn("_idx", F.when(F.col("_n") > 0, F.pmod(F.col("ordem") - 1, F.col("_n"))))
+    n = rc.agg(F.count(F.lit(1))).scalar()
+    owners = (ranked
+              .withColumn("_idx", F.when(n > 0, F.pmod(F.col("ordem") - 1, n)))
               .join(F.broadcast(rc), "_idx", "left")
               .select("cliente_id", "ordem", "usuario_id"))
     return owners.join(last, "cliente_id")

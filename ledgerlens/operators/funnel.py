@@ -7,12 +7,13 @@ per-phone latest lead and per-phone revenue are all partial aggregates
 (``max(struct)`` for the latest row) joined on their key — a phone or
 contact with a huge history never lands whole in one task.  The lift table
 is one grouping-sets aggregate (one Expand + one shuffle) instead of one
-group-by per attribute; global rates are a one-row aggregate, broadcast.
+group-by per attribute; global rates are window sums over that small
+aggregated result.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerlens.functions import scalars as S
@@ -137,11 +138,17 @@ def _short_bucket(x: Column, suffix: str) -> Column:
             .when(x == 2, F.lit("D2" + suffix)).otherwise(F.lit("D3+" + suffix)))
 
 
-def _global_rates(df: DataFrame) -> DataFrame:
-    tot = F.count(F.lit(1)).cast("double")
-    return df.agg(*[F.greatest(F.sum(F.col(c).cast("int")).cast("double") / tot, F.lit(RATE_FLOOR)).alias(f"tx_{n}")
-                    for c, n in [("mais_50", "50"), ("mais_100", "100"), ("mais_200", "200"),
-                                 ("converteu_etiqueta", "etiq")]])
+def _with_global_rates(grouped: DataFrame, set_cols: list[str]) -> DataFrame:
+    """Global rates with a 1e-9 floor.  The groups of one grouping set
+    partition all funnel rows, so summing a set's groups gives the global
+    totals: a window over the (small) aggregated result, no extra scan and
+    no join."""
+    w = Window.partitionBy(*set_cols)
+    vol = F.sum("volume").over(w).cast("double")
+    out = grouped
+    for c, n in [("casos_50", "50"), ("casos_100", "100"), ("casos_200", "200"), ("casos_etiqueta", "etiq")]:
+        out = out.withColumn(f"tx_{n}", F.greatest(F.sum(c).over(w).cast("double") / vol, F.lit(RATE_FLOOR)))
+    return out
 
 
 def _measures():
@@ -176,8 +183,8 @@ def lift_by_attribute(funnel: DataFrame, attributes=ATTRIBUTES) -> DataFrame:
         name = F.when(F.col(f"_g_{a}") == 0, F.lit(a)) if name is None else name.when(F.col(f"_g_{a}") == 0, F.lit(a))
         value = F.when(F.col(f"_g_{a}") == 0, F.col(a)) if value is None else value.when(F.col(f"_g_{a}") == 0, F.col(a))
     out = agg.select(name.alias("atributo"), value.alias("valor"), "volume", "casos_50", "casos_100", "casos_200",
-                     "casos_etiqueta", "receita_gerada").filter(F.col("volume") > 0)
-    return _rates(out.crossJoin(F.broadcast(_global_rates(funnel))))
+                     "casos_etiqueta", "receita_gerada")
+    return _rates(_with_global_rates(out, ["atributo"]).filter(F.col("volume") > 0))
 
 
 def lift_by_interaction(funnel: DataFrame, pairs=INTERACTIONS, min_volume: int = 10) -> DataFrame:
@@ -196,8 +203,8 @@ def lift_by_interaction(funnel: DataFrame, pairs=INTERACTIONS, min_volume: int =
         v2 = F.when(cond, F.col(b)) if v2 is None else v2.when(cond, F.col(b))
     out = agg.select(n1.alias("atributo_1"), n2.alias("atributo_2"), v1.alias("valor_1"), v2.alias("valor_2"),
                      "volume", "casos_50", "casos_100", "casos_200", "casos_etiqueta", "receita_gerada")
-    out = out.filter(F.col("volume") >= min_volume)
-    return _rates(out.crossJoin(F.broadcast(_global_rates(funnel))))
+    out = _with_global_rates(out, ["atributo_1", "atributo_2"])
+    return _rates(out.filter(F.col("volume") >= min_volume))
 
 
 def reduce_others(attrs, pair) -> Column:

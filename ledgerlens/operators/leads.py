@@ -9,7 +9,7 @@ row-at-a-time Python.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerlens.functions import dates as D
@@ -107,10 +107,10 @@ def leads_to_enrich(leads: DataFrame, enrichment: DataFrame) -> DataFrame:
     """P2 + J3 + J6 + J8: unsent, unenriched, ruler not tested, complete leads of
     the latest arrival instant, with the max-FIPE difference; then the phone
     cleaning of P9 (digits, 10-11 long)."""
-    latest = leads.agg(F.max("data_chegada").alias("_latest"))  # one row: scalar subquery
+    latest = leads.agg(F.max("data_chegada")).scalar()  # J6: scalar subquery
     base = (leads.withColumn("classificacao_ticket", S.ticket_class(F.col("valor")))
             .join(enrichment.select(F.col("negociacao_id").alias("id")), "id", "left_anti")
-            .crossJoin(F.broadcast(latest))
+            .withColumn("_latest", latest)
             .filter(F.col("enviado").isNull() & F.col("telefone").isNotNull()
                     & (F.col("abriu_regua") == "NAO TESTADO")
                     & ~F.lower(F.col("canal")).contains("seguro")
@@ -292,13 +292,15 @@ def classify(df: DataFrame, as_of) -> DataFrame:
 def classification_summary(classified: DataFrame) -> DataFrame:
     """Totals, disqualified, eligible and count per priority (one row per
     priority, totals repeated)."""
-    per = classified.groupBy("prioridade").agg(F.count(F.lit(1)).cast("long").alias("qtd"))
-    tot = classified.agg(
-        F.count(F.lit(1)).cast("long").alias("total"),
-        F.sum(F.col("desclassificado").cast("int")).cast("long").alias("desclassificados"),
-        F.sum(F.col("elegivel").cast("int")).cast("long").alias("elegiveis"),
-    )
-    return per.crossJoin(F.broadcast(tot))
+    per = classified.groupBy("prioridade").agg(
+        F.count(F.lit(1)).cast("long").alias("qtd"),
+        F.sum(F.col("desclassificado").cast("int")).cast("long").alias("_d"),
+        F.sum(F.col("elegivel").cast("int")).cast("long").alias("_e"))
+    # totals over the per-priority rows (a handful of rows: one small window)
+    w = Window.partitionBy()
+    return per.select("prioridade", "qtd", F.sum("qtd").over(w).cast("long").alias("total"),
+                      F.sum("_d").over(w).cast("long").alias("desclassificados"),
+                      F.sum("_e").over(w).cast("long").alias("elegiveis"))
 
 
 # ------------------------------------------------------------------ daily sets

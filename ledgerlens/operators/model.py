@@ -50,8 +50,9 @@ def training_set(tabs: DataFrame, production: DataFrame, start: str, end: str) -
 def with_balanced_weights(df: DataFrame, label: str = LABEL) -> DataFrame:
     """Class weight n / (n_classes * n_class) from a tiny per-class aggregate."""
     counts = df.groupBy(label).agg(F.count(F.lit(1)).alias("_nc"))
-    tot = counts.agg(F.sum("_nc").alias("_n"), F.count(F.lit(1)).alias("_k"))
-    w = counts.crossJoin(tot).select(label, (F.col("_n") / (F.col("_k") * F.col("_nc"))).alias("peso"))
+    n = counts.agg(F.sum("_nc")).scalar()          # scalar subqueries over a
+    k = counts.agg(F.count(F.lit(1))).scalar()     # one-row-per-class table
+    w = counts.select(label, (n / (k * F.col("_nc"))).alias("peso"))
     return df.join(F.broadcast(w), label)
 
 

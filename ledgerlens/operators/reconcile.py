@@ -74,12 +74,12 @@ def prepare_production(df: DataFrame) -> DataFrame:
 
 def production_in_span(production: DataFrame, statements: DataFrame,
                        date_col: str = "data_contrato", span_col: str = "dat_emprestimo") -> DataFrame:
-    """Production rows within the statements' date span (one-row
-    aggregate, broadcast; the filter runs inside the production scan stage)."""
-    span = statements.agg(F.min(span_col).alias("_lo"), F.max(span_col).alias("_hi"))
-    return (production.crossJoin(F.broadcast(span))
-            .filter(F.col(date_col).between(F.col("_lo"), F.col("_hi")))
-            .drop("_lo", "_hi"))
+    """Production rows within the statements' date span (two scalar
+    subqueries, evaluated once; the filter runs inside the production scan
+    stage)."""
+    lo = statements.agg(F.min(span_col)).scalar()
+    hi = statements.agg(F.max(span_col)).scalar()
+    return production.filter(F.col(date_col).between(lo, hi))
 
 
 def _key_table(df: DataFrame, id_col: str, key_cols: list[str], match_missing: bool) -> DataFrame:

@@ -179,16 +179,16 @@ def expected_payment_date(contracts: DataFrame, rules: DataFrame, date_col: str
     j = (j.join(F.broadcast(ords), j._bd_from == ords._k, "left")
          .join(F.broadcast(bdays), F.col("_ord") + F.col("_bd_n") == F.col("_ord2"), "left")
          .drop("_k", "_ord", "_ord2"))
-    # next allowed weekday on/after _d1 for weekday kinds (mask of weekdays)
-    masks = rules.select(F.col("dias_semana_mask").alias("_mask")).filter(F.col("_mask").isNotNull()).distinct()
-    valid = F.expr("(shiftright(_mask, dia_semana) & 1) = 1")
-    wnext = (cal.crossJoin(F.broadcast(masks))
-             .withColumn("_ok", valid & ~F.col("feriado"))
-             .withColumn("_next", F.min(F.when(F.col("_ok"), F.col("data"))).over(
-                 Window.partitionBy("_mask").orderBy("data").rowsBetween(0, Window.unboundedFollowing)))
-             .select(F.col("data").alias("_wk"), F.col("_mask").alias("_wm"), "_next"))
-    j = (j.join(F.broadcast(wnext), (j._d1 == wnext._wk) & (F.col("r_dias_semana_mask") == wnext._wm), "left")
-         .drop("_wk", "_wm"))
+    # next allowed weekday on/after _d1: per weekday w (Mon-Fri) the next
+    # non-holiday date with that weekday, then the least over the mask's bits
+    wfol = Window.orderBy("data").rowsBetween(0, Window.unboundedFollowing)
+    wnext = cal.select(F.col("data").alias("_wk"), *[
+        F.min(F.when((F.col("dia_semana") == wd) & ~F.col("feriado"), F.col("data"))).over(wfol).alias(f"_n{wd}")
+        for wd in range(5)])
+    j = j.join(F.broadcast(wnext), j._d1 == wnext._wk, "left").drop("_wk")
+    mask = F.col("r_dias_semana_mask")
+    j = j.withColumn("_next", F.least(*[F.when(F.shiftright(mask, wd).bitwiseAND(F.lit(1)) == 1, F.col(f"_n{wd}"))
+                                        for wd in range(5)]))
 
     month_lim = F.coalesce(F.col("r_dia_limite"), F.lit(16))
     by_kind = (F.when(tipo == "dias_uteis",

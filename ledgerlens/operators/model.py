@@ -92,3 +92,9 @@ def conversion_scores(spark: SparkSession, sf_dir: str, start: str, end: str) ->
     ts = cut_lineage(ts)
     model = train(ts)
     return score(model, ts)
+
+
+def score_lookup(scores: DataFrame, clients: DataFrame, key: str = "cpf") -> DataFrame:
+    """M5 + S12: scores for a client list — one left join (the reference
+    sends the list in 1,000-key IN chunks)."""
+    return clients.join(scores.select(key, "chance_conversao"), key, "left")

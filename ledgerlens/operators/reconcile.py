@@ -237,3 +237,19 @@ def agreement_similarity(statements: DataFrame, production: DataFrame, pairs: Da
     j = (pairs.join(statements.select("src_id", "dsc_convenio"), "src_id")
          .join(production.select("id", "convenio"), "id"))
     return with_token_set_ratio(j, "dsc_convenio", "convenio", "semelhanca")
+
+
+def effective_dated_lookup(rows: DataFrame, versions: DataFrame, keys: list[str], date_col: str,
+                           start_col: str, end_col: str, value_cols: list[str], row_id: str,
+                           order_cols: list[str] | None = None, open_end: str = "2099-12-31") -> DataFrame:
+    """J17 (and the general form of J16): for each row, the version whose
+    keys match and whose ``[start, coalesce(end, open_end)]`` contains the
+    row's date; among several, the greatest by ``order_cols`` (default:
+    newest start).  The pick is a per-row ``max(struct)`` aggregate."""
+    order_cols = order_cols or [start_col]
+    v = versions.select(*keys, start_col, F.coalesce(F.col(end_col), F.lit(open_end).cast("date")).alias("_end"),
+                        *[c for c in order_cols if c != start_col], *value_cols)
+    j = rows.select(row_id, date_col, *keys).join(v, keys)
+    j = j.filter((F.col(date_col) >= F.col(start_col)) & (F.col(date_col) <= F.col("_end")))
+    best = latest_per_key(j, [row_id], order_cols, value_cols)
+    return rows.join(best, row_id, "left")

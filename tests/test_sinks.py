@@ -104,3 +104,34 @@ def test_streaming_ingest_replay_is_idempotent(spark):
     n3 = IG.read_latest(spark, tgt).count()
     distinct = rows.distinct().count()
     assert n1 <= n2 == n3 == distinct
+
+
+def test_incremental_classification_merges(spark):
+    root = tempfile.mkdtemp(prefix="ll-classify-")
+    leads = X.leads(spark, SMOKE)
+    enr = X.lead_enrichment(spark, SMOKE)
+    arrivals = os.path.join(root, "arrivals")
+    leads.filter(F.col("id") % 2 == 0).select("id").write.parquet(os.path.join(arrivals, "b1"))
+    tgt = os.path.join(root, "classes")
+    ST.classify_arrivals(spark, os.path.join(arrivals, "*"), "id long", leads, enr, tgt, X.AS_OF_EVENTS,
+                         checkpoint_location=os.path.join(root, "ck"))
+    first = IG.read_latest(spark, tgt)
+    n1 = first.count()
+    leads.filter(F.col("id") % 2 == 1).select("id").write.parquet(os.path.join(arrivals, "b2"))
+    ST.classify_arrivals(spark, os.path.join(arrivals, "*"), "id long", leads, enr, tgt, X.AS_OF_EVENTS,
+                         checkpoint_location=os.path.join(root, "ck"))
+    second = IG.read_latest(spark, tgt)
+    assert second.count() > n1
+    assert second.select("id").distinct().count() == second.count()  # one row per lead
+
+
+def test_effective_dated_lookup(spark):
+    import datetime as dt
+    from ledgerlens.operators.reconcile import effective_dated_lookup
+    rows = spark.createDataFrame([(1, "a", dt.date(2024, 3, 1)), (2, "a", dt.date(2025, 1, 1)), (3, "b", dt.date(2024, 1, 1))],
+                                 "rid int, k string, d date")
+    vers = spark.createDataFrame([("a", dt.date(2024, 1, 1), None, 10), ("a", dt.date(2024, 2, 1), dt.date(2024, 6, 30), 20),
+                                  ("b", dt.date(2024, 2, 1), None, 30)],
+                                 "k string, ini date, fim date, tabela_id int")
+    got = {r.rid: r.tabela_id for r in effective_dated_lookup(rows, vers, ["k"], "d", "ini", "fim", ["tabela_id"], "rid").collect()}
+    assert got == {1: 20, 2: 10, 3: None}  # newest start wins; out-of-window rows get none

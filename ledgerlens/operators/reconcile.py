@@ -28,7 +28,8 @@ from pyspark.sql import functions as F
 from ledgerlens.functions import scalars as S
 from ledgerlens.functions.dates import ts_ntz
 from ledgerlens.functions.similarity import with_token_set_ratio
-from ledgerlens.operators.skew import hot_keys_by_set, latest_per_key, ranked_within
+from ledgerlens.operators.skew import (DEFAULT_BUCKETS, DEFAULT_HOT_THRESHOLD, hot_keys_by_set, latest_per_key,
+                                      ranked_within)
 from ledgerlens.session import cut_lineage
 
 # The five matching stages, in order (name, keys).
@@ -93,7 +94,8 @@ def _key_table(df: DataFrame, id_col: str, key_cols: list[str], match_missing: b
 
 
 def staged_pairing(left: DataFrame, right: DataFrame, stages=STAGES, left_id: str = "src_id",
-                   right_id: str = "id", match_missing: bool = False, checkpoint: bool = True) -> DataFrame:
+                   right_id: str = "id", match_missing: bool = False, checkpoint: bool = True,
+                   hot_threshold: int = DEFAULT_HOT_THRESHOLD, salt_buckets: int = DEFAULT_BUCKETS) -> DataFrame:
     """J18/J19 + W11: one-to-one pairs over ordered key stages.
 
     Returns ``(left_id, right_id, etapa, etapa_nome)``; each id appears at
@@ -106,8 +108,8 @@ def staged_pairing(left: DataFrame, right: DataFrame, stages=STAGES, left_id: st
     # hot keys of every stage, measured once per side on the full key tables
     # (a key hot among a stage's pending rows is hot in the full table)
     mat = (lambda d: cut_lineage(d, "hot-keys")) if checkpoint else None
-    hot_l = hot_keys_by_set(lk, [ks for _, ks in stages], materialise=mat)
-    hot_r = hot_keys_by_set(rk, [ks for _, ks in stages], materialise=mat)
+    hot_l = hot_keys_by_set(lk, [ks for _, ks in stages], hot_threshold, materialise=mat)
+    hot_r = hot_keys_by_set(rk, [ks for _, ks in stages], hot_threshold, materialise=mat)
     done = None
     for i, (name, keys) in enumerate(stages, start=1):
         lp, rp = lk, rk
@@ -116,8 +118,8 @@ def staged_pairing(left: DataFrame, right: DataFrame, stages=STAGES, left_id: st
             rp = rp.join(done.select(right_id), right_id, "left_anti")
         lp = lp.select(left_id, *keys).dropna(subset=keys)
         rp = rp.select(right_id, *keys).dropna(subset=keys)
-        lr = ranked_within(lp, keys, left_id, left_id, hot=hot_l[i - 1])
-        rr = ranked_within(rp, keys, right_id, right_id, hot=hot_r[i - 1])
+        lr = ranked_within(lp, keys, left_id, left_id, hot=hot_l[i - 1], buckets=salt_buckets)
+        rr = ranked_within(rp, keys, right_id, right_id, hot=hot_r[i - 1], buckets=salt_buckets)
         pairs = (lr.join(rr, [*keys, "rn"])
                  .select(left_id, right_id, F.lit(i).alias("etapa"), F.lit(name).alias("etapa_nome")))
         if checkpoint:
@@ -253,3 +255,20 @@ def effective_dated_lookup(rows: DataFrame, versions: DataFrame, keys: list[str]
     j = j.filter((F.col(date_col) >= F.col(start_col)) & (F.col(date_col) <= F.col("_end")))
     best = latest_per_key(j, [row_id], order_cols, value_cols)
     return rows.join(best, row_id, "left")
+
+
+def stack_platform_views(nova: DataFrame, bb: DataFrame) -> DataFrame:
+    """U2 + U3 + A9: the two partner contract views as one table — paid NOVA
+    contracts and BB contracts in production, each tagged with its platform,
+    BB padded with NULLs for the columns it lacks and a fixed bank id —
+    then whole-row de-duplicated."""
+    n = (nova.filter(F.upper(F.col("status_producao")).contains("PAGO"))
+         .select("nom_banco", "num_proposta", "num_contrato", "cliente_id", "val_repasse", "val_comissao",
+                 "dat_emprestimo", "status_producao", "banco_id", F.lit("NOVA").alias("plataforma"), "tipo_operacao",
+                 F.col("val_repasse").alias("val_liberado"), "dat_credito", "dsc_produto", "prazo", "dsc_convenio",
+                 "val_bruto"))
+    b = (bb.filter(F.upper(F.col("status_producao")) == "PRODUÇÃO")
+         .select("nom_banco", "num_proposta", "num_contrato", "cliente_id", "val_repasse", "val_comissao",
+                 "dat_emprestimo", "status_producao", F.lit(3).cast("long").alias("banco_id"),
+                 F.lit("BB").alias("plataforma"), "val_liberado", "dat_credito", "prazo", "val_bruto"))
+    return n.unionByName(b, allowMissingColumns=True).distinct()

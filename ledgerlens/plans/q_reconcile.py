@@ -207,3 +207,32 @@ SELECT * FROM pairs""", _FIX)
 def conciliacao_etapa_unica(spark, sf_dir):
     st, prod = _prepared(spark, sf_dir)
     return RC.staged_pairing(st, prod, RC.SINGLE_STAGE)
+
+
+_VIEW_COLS = ("nom_banco, num_proposta, num_contrato, cliente_id, val_repasse, val_comissao, dat_emprestimo, "
+              "status_producao, banco_id, tipo_operacao, val_liberado, dat_credito, dsc_produto, prazo, dsc_convenio, "
+              "val_bruto")
+EMPILHAR_SQL = with_fixtures(f"""
+WITH nova AS (SELECT {_VIEW_COLS} FROM contratos_bancos WHERE banco_id <> 2),
+bb AS (SELECT {_VIEW_COLS.replace('status_producao', "CASE WHEN status_producao = 'pago' THEN 'PRODUÇÃO' ELSE status_producao END AS status_producao")}
+       FROM contratos_bancos WHERE banco_id = 2)
+SELECT DISTINCT * FROM (
+  SELECT nom_banco, num_proposta, num_contrato, cliente_id, val_repasse, val_comissao, dat_emprestimo, status_producao,
+         banco_id, 'NOVA' AS plataforma, tipo_operacao, val_repasse AS val_liberado, dat_credito, dsc_produto, prazo,
+         dsc_convenio, val_bruto
+  FROM nova WHERE contains(upper(status_producao), 'PAGO')
+  UNION ALL
+  SELECT nom_banco, num_proposta, num_contrato, cliente_id, val_repasse, val_comissao, dat_emprestimo, status_producao,
+         CAST(3 AS BIGINT), 'BB', NULL, val_liberado, dat_credito, NULL, prazo, NULL, val_bruto
+  FROM bb WHERE upper(status_producao) = 'PRODUÇÃO')""", ["contratos_bancos"])
+
+
+@query("empilhar_fontes", EMPILHAR_SQL)
+def empilhar_fontes(spark, sf_dir):
+    """The NOVA view (every bank but BB) and the BB view (bank 2,
+    paid lines reported as in production) stacked with platform tags."""
+    st = X.bank_statements(spark, sf_dir)
+    nova = st.filter(F.col("banco_id") != 2)
+    bb = st.filter(F.col("banco_id") == 2).withColumn(
+        "status_producao", F.when(F.col("status_producao") == "pago", F.lit("PRODUÇÃO")).otherwise(F.col("status_producao")))
+    return RC.stack_platform_views(nova, bb)

@@ -46,3 +46,22 @@ def test_global_rank_is_dense(spark):
     out = global_rank(df, "k", "k", buckets=16)
     agg = out.agg(F.min("rn"), F.max("rn"), F.countDistinct("rn")).first()
     assert tuple(agg) == (1, 5000, 5000)
+
+
+def test_pairing_with_a_hot_key(spark):
+    """One key holds a third of each side: it is ranked over salt buckets and
+    still pairs exactly min(m, n) rows, one-to-one."""
+    n = 900
+    left = [(i, "HOT" if i % 3 == 0 else f"p{i}") for i in range(n)]
+    right = [(10_000 + j, "HOT" if j % 3 == 0 else f"p{j * 2}") for j in range(n // 2)]
+    l = spark.createDataFrame(left, "src_id long, numero_proposta string")
+    r = spark.createDataFrame(right, "id long, numero_proposta string")
+    stages = [("s1", ["numero_proposta"])]
+    pairs = RC.staged_pairing(l, r, stages, hot_threshold=50, salt_buckets=4).collect()
+    lk = Counter(k for _, k in left)
+    rk = Counter(k for _, k in right)
+    expect = sum(min(c, rk[k]) for k, c in lk.items() if k in rk)
+    assert len(pairs) == expect
+    assert len({p.src_id for p in pairs}) == len(pairs) == len({p.id for p in pairs})
+    hot_pairs = [p for p in pairs if p.src_id % 3 == 0 and p.src_id < n]
+    assert len(hot_pairs) >= min(lk["HOT"], rk["HOT"])

@@ -135,3 +135,22 @@ def test_effective_dated_lookup(spark):
                                  "k string, ini date, fim date, tabela_id int")
     got = {r.rid: r.tabela_id for r in effective_dated_lookup(rows, vers, ["k"], "d", "ini", "fim", ["tabela_id"], "rid").collect()}
     assert got == {1: 20, 2: 10, 3: None}  # newest start wins; out-of-window rows get none
+
+
+def test_small_helpers(spark):
+    from ledgerlens.operators.model import score_lookup
+    from ledgerlens.operators.rates import convention_label
+    t = spark.createDataFrame([(1, "prioridade", "a"), (1, "outro", "b"), (2, "prioridade", "c")],
+                              "cliente_id int, tipo string, dados string")
+    new = spark.createDataFrame([(1, "prioridade", "z")], "cliente_id int, tipo string, dados string")
+    out = {(r.cliente_id, r.tipo): r.dados for r in MG.replace_by_key(t, new, ["cliente_id", "tipo"]).collect()}
+    assert out == {(1, "prioridade"): "z", (1, "outro"): "b", (2, "prioridade"): "c"}  # K11
+    rel = MG.release_stale(t, spark.createDataFrame([(2,)], "cliente_id int"), ["cliente_id"], ["dados"])
+    assert {r.cliente_id: r.dados for r in rel.filter(F.col("tipo") == "prioridade").collect()} == {1: "a", 2: None}
+    added = IG.add_missing(t, {"usuario_id": "long"})  # P19
+    assert dict(added.dtypes)["usuario_id"] == "bigint"
+    lab = spark.createDataFrame([("INSS", "REGRA A"), (None, "REGRA B")], "c string, d string")
+    assert [r[0] for r in lab.select(convention_label("c", "d")).collect()] == ["INSS - REGRA A", "nan - REGRA B"]
+    scores = spark.createDataFrame([("1", 70.0)], "cpf string, chance_conversao double")
+    cl = spark.createDataFrame([("1",), ("2",)], "cpf string")
+    assert {r.cpf: r.chance_conversao for r in score_lookup(scores, cl).collect()} == {"1": 70.0, "2": None}  # M5

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
 
 from ledgerlens.operators import campaign as CP
 from ledgerlens.operators import leads as L

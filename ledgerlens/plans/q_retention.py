@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
 
 from ledgerlens.operators import retention as R
 from ledgerlens.plans.oracle_fixtures import with_fixtures

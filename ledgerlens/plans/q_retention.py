@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-
 from ledgerlens.operators import retention as R
 from ledgerlens.plans.oracle_fixtures import with_fixtures
 from ledgerlens.plans.registry import query

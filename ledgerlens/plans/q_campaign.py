@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-
 from ledgerlens.operators import campaign as CP
 from ledgerlens.operators import leads as L
 from ledgerlens.plans.oracle_fixtures import with_fixtures

@@ -15,6 +15,10 @@ from pyspark.sql import functions as F
 _MONDAY_ORIGIN = "1970-01-05"
 
 
+def _col(x) -> Column:
+    return F.col(x) if isinstance(x, str) else x
+
+
 def ts_ntz(value) -> Column:
     """TIMESTAMP_NTZ literal (driver tables are NTZ; no session time zone)."""
     if isinstance(value, Column):
@@ -50,8 +54,9 @@ def day_diff(end, start) -> Column:
 
 
 def elapsed_days(end, start) -> Column:
-    """F35 (elapsed form): floor of the elapsed duration in days."""
-    secs = F.unix_timestamp(F.to_timestamp(end)) - F.unix_timestamp(F.to_timestamp(start))
+    """F35 (elapsed form): floor of the elapsed duration in days (computed
+    on the timestamps themselves, no session time zone involved)."""
+    secs = F.timestamp_diff("SECOND", _col(start), _col(end))
     return F.floor(secs / F.lit(86400)).cast("long")
 
 

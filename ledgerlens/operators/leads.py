@@ -189,7 +189,7 @@ def priority_current(as_of) -> Column:
 
 
 def _recovery(as_of) -> Column:
-    secs = F.unix_timestamp(_ts(as_of).cast("timestamp")) - F.unix_timestamp(F.col("data_insercao").cast("timestamp"))
+    secs = F.timestamp_diff("SECOND", F.col("data_insercao"), _ts(as_of))
     return (within_two_business_days("data_chegada", as_of) & F.col("veiculo").isNotNull()
             & F.col("data_insercao").isNotNull() & (secs >= 10800) & (_upper_txt("abriu_regua") != "NAO"))
 

@@ -58,3 +58,19 @@ def test_disqualified(spark):
             _base(id=4, propostas_enviadas_minha_loja=None), _base(id=5, qtd_3_meses=10)]
     got = {r.id: r.d for r in _rows(spark, rows).select("id", L.disqualified().alias("d")).collect()}
     assert got == {1: True, 2: True, 3: True, 4: False, 5: False}
+
+
+def test_priority_base_cascade(spark):
+    rows = [_base(id=1, desclassificado=True), _base(id=2, qtd_3_meses=2),
+            _base(id=3, genero="M", tipo_veiculo="MOTO", classificacao_ticket="Alto"),
+            _base(id=4, genero="F", tipo_veiculo="MOTO"),
+            _base(id=5, abriu_regua="ERRO MODELO", semelhanca_nomes=100),
+            _base(id=6), _base(id=7, semelhanca_nomes=100, canal="APROVADO"),
+            _base(id=8, classificacao_ticket="Alto", abriu_regua="NAO TESTADO")]
+    df = (_rows(spark, rows).withColumn("cpf", F.lit("12345678901")).withColumn("data_nascimento", F.lit("1990-01-01"))
+          .withColumn("marca", F.lit("M")).withColumn("estado", F.lit("SP")))
+    got = {r.id: r.p for r in df.select("id", L.priority_base(AS_OF).alias("p")).collect()}
+    # 1 disqualified; 2 valid+recent+2 arrivals in 3 months; 3 male+moto; 4 moto+valid;
+    # 5 ERRO MODELO with a Baixo ticket and similarity 100; 6 valid+recent; 7 complete priority-1;
+    # 8 not valid (Alto ticket) but recovery applies (recent, vehicle, inserted >= 3 h before)
+    assert got == {1: 10, 2: 3, 3: 5, 4: 7, 5: 4, 6: 2, 7: 1, 8: 6}

@@ -73,10 +73,13 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     conf_dir = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not conf_dir:
-        if not sc.master.startswith("local"):
-            # a machine-local folder would not survive the loss of that machine
-            raise RuntimeError("set spark.checkpoint.dir to a shared folder on a cluster")
-        conf_dir = tempfile.mkdtemp(prefix="ledgerlens-ckpt-")
+        if sc.master.startswith("local"):
+            conf_dir = tempfile.mkdtemp(prefix="ledgerlens-ckpt-")  # tests: one machine
+        else:
+            # never a machine-local temp folder on a cluster: fall back to the
+            # warehouse location, which clusters keep on shared storage
+            warehouse = spark.conf.get("spark.sql.warehouse.dir")
+            conf_dir = f"{warehouse.rstrip('/')}/_ledgerlens_checkpoints"
         spark.conf.set("spark.checkpoint.dir", conf_dir)
     sc.setCheckpointDir(conf_dir)
     return sc.getCheckpointDir() or conf_dir

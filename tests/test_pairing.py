@@ -65,3 +65,22 @@ def test_pairing_with_a_hot_key(spark):
     assert len({p.src_id for p in pairs}) == len(pairs) == len({p.id for p in pairs})
     hot_pairs = [p for p in pairs if p.src_id % 3 == 0 and p.src_id < n]
     assert len(hot_pairs) >= min(lk["HOT"], rk["HOT"])
+
+
+def test_top_k_and_latest_with_a_hot_key(spark):
+    """Two-phase top-k and max(struct) latest-per-key equal brute force when
+    one key holds a third of the rows."""
+    from ledgerlens.operators.skew import latest_per_key, top_k_per_key
+    rows = [(i, "HOT" if i % 3 == 0 else f"k{i % 50}", (i * 7919) % 1000) for i in range(3000)]
+    df = spark.createDataFrame(rows, "id long, key string, v long")
+    top = top_k_per_key(df, ["key"], [F.col("v").desc(), F.col("id").desc()], 5, "id", buckets=8)
+    got = {}
+    for r in top.collect():
+        got.setdefault(r.key, []).append((r.rn, r.id))
+    expect = {}
+    for k in {r[1] for r in rows}:
+        ranked = sorted([r for r in rows if r[1] == k], key=lambda r: (-r[2], -r[0]))[:5]
+        expect[k] = [(i + 1, r[0]) for i, r in enumerate(ranked)]
+    assert {k: sorted(v) for k, v in got.items()} == expect
+    latest = {r.key: r.id for r in latest_per_key(df, ["key"], ["v", "id"], ["id"]).collect()}
+    assert latest == {k: v[0][1] for k, v in expect.items()}

@@ -47,9 +47,10 @@ def hot_keys_by_set(df: DataFrame, key_sets: list[list[str]], hot_threshold: int
     agg = (df.groupingSets(sets, *cols)
            .agg(F.count(F.lit(1)).alias("_kn"), F.grouping_id().alias("_gid"))
            .filter(F.col("_kn") > hot_threshold))
-    if materialise is not None:
-        agg = materialise(agg)
     counts = {r["_gid"]: r["n"] for r in agg.groupBy("_gid").agg(F.count(F.lit(1)).alias("n")).collect()}
+    if counts and materialise is not None:
+        # only when some set has hot keys (rare): keep the tiny list on disk
+        agg = materialise(agg)
     out = []
     for ks in sets:
         # grouping_id bit i (from the left, most significant first) is 1 when cols[i] is aggregated away

@@ -40,10 +40,10 @@ def client_info(phones: DataFrame, clients: DataFrame, client_contacts: DataFram
              .select("cliente_id", "telefone").join(p, "telefone", "left_semi"))
     u = reduce(lambda a, b: a.unionByName(b), [by_land, by_mobile, extra]).distinct()
     cc = clients.select(F.col("idTabela").alias("cliente_id"), F.col("id").alias("cpf"), F.col("genero").alias("SEXO"),
-                        F.col("data_nasc").alias("DATANASCIMENTO"), F.col("nome").alias("nome_cliente_panorama"))
+                        F.col("data_nasc").alias("DATANASCIMENTO"), F.col("nome").alias("nome_cliente_cadastro"))
     j = u.join(cc, "cliente_id").join(latest_state(addresses), "cliente_id", "left")
     return j.select("cliente_id", "cpf", F.coalesce(F.col("uf"), F.lit("ND")).alias("UF"), "SEXO", "DATANASCIMENTO",
-                    "nome_cliente_panorama", "telefone")
+                    "nome_cliente_cadastro", "telefone")
 
 
 def lookup_budget(candidates: DataFrame, budget: int = LOOKUP_BUDGET) -> DataFrame:
@@ -63,14 +63,14 @@ def enrichment_pass(candidates: DataFrame, info: DataFrame) -> DataFrame:
     c = (candidates.withColumn("telefone", S.digits(F.col("telefone")))
          .filter(F.length("telefone").between(10, 11)))
     best = latest_per_key(info, ["telefone"], ["cpf"], ["cliente_id", "cpf", "UF", "SEXO", "DATANASCIMENTO",
-                                                         "nome_cliente_panorama"])
+                                                         "nome_cliente_cadastro"])
     j = c.join(best, "telefone", "left")
     j = j.withColumn("tipo_contato", F.when(F.col("cliente_id").isNull(), S.phone_kind(F.col("telefone"))))
-    j = j.withColumn("nome_up", F.upper("nome")).withColumn("panorama_up", F.upper("nome_cliente_panorama"))
-    j = with_token_set_ratio(j, "nome_up", "panorama_up", "semelhanca")
+    j = j.withColumn("nome_up", F.upper("nome")).withColumn("cadastro_up", F.upper("nome_cliente_cadastro"))
+    j = with_token_set_ratio(j, "nome_up", "cadastro_up", "semelhanca")
     no_cpf = F.col("cpf").isNull() | (F.trim(F.col("cpf")) == "") | (F.lower(F.col("cpf")) == "nan")
     return (j.withColumn("semelhanca", F.when(no_cpf, F.lit(0)).otherwise(F.col("semelhanca")))
-            .withColumn("nome_cliente_panorama", F.when(no_cpf, F.lit(None).cast("string"))
-                        .otherwise(F.col("nome_cliente_panorama")))
-            .select(F.col("id").alias("negociacao_id"), "telefone", "cpf", "nome_cliente_panorama", "SEXO", "UF",
+            .withColumn("nome_cliente_cadastro", F.when(no_cpf, F.lit(None).cast("string"))
+                        .otherwise(F.col("nome_cliente_cadastro")))
+            .select(F.col("id").alias("negociacao_id"), "telefone", "cpf", "nome_cliente_cadastro", "SEXO", "UF",
                     "semelhanca", "DATANASCIMENTO", "tipo_contato"))

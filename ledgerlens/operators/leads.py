@@ -269,7 +269,7 @@ def classification_input(leads: DataFrame, enrichment: DataFrame, as_of, days: i
     hist = phone_history(leads, as_of)
     t = _ts(as_of)
     recent = leads.filter(F.col("data_chegada") >= t - F.expr(f"INTERVAL {days} DAYS"))
-    enr = enrichment.select(F.col("negociacao_id").alias("id"), "cpf", F.col("nome").alias("nome_panorama"),
+    enr = enrichment.select(F.col("negociacao_id").alias("id"), "cpf", F.col("nome").alias("nome_cadastro"),
                             "data_nascimento", F.col("semelhanca").alias("semelhanca_nomes"), "genero")
     j = recent.join(enr, "id").join(hist, "telefone", "left")
     return j.select(
@@ -318,7 +318,7 @@ def daily_leads(leads: DataFrame, enrichment: DataFrame, contacts: DataFrame, as
     output; callers order by ``md5(seed || id)`` at the sink when needed."""
     hist = phone_history(leads, as_of)
     t = _ts(as_of)
-    enr = enrichment.select(F.col("negociacao_id").alias("id"), "cpf", F.col("nome").alias("nome_panorama"),
+    enr = enrichment.select(F.col("negociacao_id").alias("id"), "cpf", F.col("nome").alias("nome_cadastro"),
                             "data_nascimento", F.col("semelhanca").alias("semelhanca_nomes"))
     base = (leads.filter((F.col("data_chegada") >= t - F.expr(f"INTERVAL {days} DAYS"))
                          & F.col("enviado").isNull() & F.col("telefone").isNotNull())

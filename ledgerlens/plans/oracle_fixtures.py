@@ -289,7 +289,7 @@ FIXTURES = {
     "producao_all": PRODUCTION,
     "producao_cartao": CARD,
     "negociacao_cockpit": LEADS,
-    "info_panorama_cockpit": ENRICHMENT,
+    "enriquecimento_lead": ENRICHMENT,
     "contato_cliente": CONTACTS,
     "contratos_bancos": BANK_STATEMENTS,
     "tabela_taxas": RATE_TABLE,

@@ -12,7 +12,7 @@ from ledgerlens.plans.registry import query
 from ledgerlens.sources import fixtures as X
 
 AS_OF = X.AS_OF_EVENTS
-_FIX = ["negociacao_cockpit", "info_panorama_cockpit"]
+_FIX = ["negociacao_cockpit", "enriquecimento_lead"]
 _FORB = ", ".join(f"'{c}'" for c in FORBIDDEN_CHANNELS)
 _REC = ", ".join(f"'{c}'" for c in RECOMMENDED_CHANNELS)
 

@@ -73,7 +73,7 @@ n AS (SELECT count(*) AS n FROM cons)
 SELECT ranked.cliente_id, ranked.ordem, cons.usuario_id, lst.dados_json
 FROM ranked CROSS JOIN n LEFT JOIN cons ON n.n > 0 AND cons.idx = (ranked.ordem - 1) % n.n
 JOIN lst ON lst.cliente_id = ranked.cliente_id""",
-    ["negociacao_cockpit", "info_panorama_cockpit", "contato_cliente", "clientes", "campanha_cliente"])
+    ["negociacao_cockpit", "enriquecimento_lead", "contato_cliente", "clientes", "campanha_cliente"])
 
 
 @query("lote_campanha", LOTE_SQL, headline=True)
@@ -118,7 +118,7 @@ phones AS (SELECT fone, max(idTabela) AS cliente_fone FROM (
            WHERE fone IS NOT NULL AND fone <> '' GROUP BY fone)
 SELECT r0.id, r0.cpf_limpo, r0.telefone_limpo, coalesce(bycpf.cliente_cpf, phones.cliente_fone) AS cliente_id
 FROM r0 LEFT JOIN bycpf ON bycpf.cpf_limpo = r0.cpf_limpo LEFT JOIN phones ON phones.fone = r0.telefone_limpo""",
-    ["negociacao_cockpit", "info_panorama_cockpit", "contato_cliente", "clientes"])
+    ["negociacao_cockpit", "enriquecimento_lead", "contato_cliente", "clientes"])
 
 
 @query("resolver_cliente", RESOLVER_SQL)

@@ -20,7 +20,7 @@ def _unenriched(spark, sf_dir):
 _DIG = "nullif(regexp_replace(regexp_replace(trim(CAST({x} AS VARCHAR)), '\\.0$', ''), '[^0-9]', '', 'g'), '')"
 _CANDS = f"""cands AS (
   SELECT nc.* FROM negociacao_cockpit nc
-  WHERE nc.id NOT IN (SELECT negociacao_id FROM info_panorama_cockpit) AND nc.enviado IS NULL AND nc.telefone IS NOT NULL),
+  WHERE nc.id NOT IN (SELECT negociacao_id FROM enriquecimento_lead) AND nc.enviado IS NULL AND nc.telefone IS NOT NULL),
 p AS (SELECT DISTINCT {_DIG.format(x='telefone')} AS telefone FROM cands WHERE {_DIG.format(x='telefone')} IS NOT NULL),
 u AS (
   SELECT idTabela AS cliente_id, telefone FROM clientes WHERE telefone IN (SELECT telefone FROM p)
@@ -30,9 +30,9 @@ u AS (
 uf AS (SELECT cliente_id, uf FROM (SELECT *, row_number() OVER (PARTITION BY cliente_id ORDER BY id DESC) AS rn FROM logradouro) WHERE rn = 1),
 info AS (
   SELECT u.cliente_id, c.id AS cpf, coalesce(uf.uf, 'ND') AS UF, c.genero AS SEXO, c.data_nasc AS DATANASCIMENTO,
-         c.nome AS nome_cliente_panorama, u.telefone
+         c.nome AS nome_cliente_cadastro, u.telefone
   FROM u JOIN clientes c ON c.idTabela = u.cliente_id LEFT JOIN uf ON uf.cliente_id = u.cliente_id)"""
-_FIX = ["negociacao_cockpit", "info_panorama_cockpit", "clientes", "cliente_contato", "contato_cliente", "logradouro"]
+_FIX = ["negociacao_cockpit", "enriquecimento_lead", "clientes", "cliente_contato", "contato_cliente", "logradouro"]
 
 INFO_SQL = with_fixtures(f"WITH {_CANDS} SELECT * FROM info", _FIX)
 

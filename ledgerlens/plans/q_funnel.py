@@ -57,7 +57,7 @@ ck AS (
          nc.valor, nc.tipo_veiculo, {ticket_sql('nc.valor')} AS classificacao_ticket, de.uf AS estado, ipc.genero,
          ipc.semelhanca, ipc.data_nascimento, nc.canal
   FROM negociacao_cockpit nc
-  LEFT JOIN info_panorama_cockpit ipc ON ipc.negociacao_id = nc.id
+  LEFT JOIN enriquecimento_lead ipc ON ipc.negociacao_id = nc.id
   LEFT JOIN ddd_estado de ON length({_LOCAL}) >= 10 AND de.ddd = TRY_CAST(substr({_LOCAL}, 1, 2) AS INTEGER)),
 ck2 AS (SELECT *, {_sem9('telefone')} AS telefone_sem9 FROM ck WHERE telefone IS NOT NULL),
 la AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY telefone
@@ -93,7 +93,7 @@ funnel AS (
          {_bins('semelhanca', FN.SEMELHANCA_EDGES, FN.SEMELHANCA_LABELS)} AS cat_semelhanca
   FROM f0)"""
 
-_FIX = ["negociacao_cockpit", "info_panorama_cockpit", "contato_cliente", "crm_whatsapp", "crm_atendimentos",
+_FIX = ["negociacao_cockpit", "enriquecimento_lead", "contato_cliente", "crm_whatsapp", "crm_atendimentos",
         "crm_contato_etiquetas", "producao_fin_banco"]
 _OUT = ["atendimento_id", "telefone", "data_chegada", "total_mensagens", "etiqueta_id", "receita_total", "mais_50",
         "mais_100", "converteu_etiqueta", "dias_desde_chegada", "bucket", "bucket_50", "ano_inicio", "cat_ano",

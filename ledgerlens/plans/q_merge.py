@@ -24,7 +24,7 @@ SELECT t.id,
        CASE WHEN c.id IS NOT NULL THEN coalesce(t.primeira_prioridade, c.prioridade) ELSE t.primeira_prioridade END
          AS primeira_prioridade,
        CASE WHEN c.id IS NOT NULL THEN TIMESTAMP '2024-01-31 00:00:00' END AS data_classificacao
-FROM t LEFT JOIN classified c ON c.id = t.id""", ["negociacao_cockpit", "info_panorama_cockpit"])
+FROM t LEFT JOIN classified c ON c.id = t.id""", ["negociacao_cockpit", "enriquecimento_lead"])
 
 
 @query("merge_prioridade", PRIO_SQL)

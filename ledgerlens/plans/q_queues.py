@@ -37,7 +37,7 @@ SELECT id, {_zfill('cpf')} AS cpf, strftime(data_nascimento, '%d/%m/%Y') AS nasc
        CAST(trunc(coalesce(valor, 0)) AS BIGINT) AS valor, coalesce(e.nome, top.estado) AS estado,
        upper(substr(tipo_veiculo, 1, 1)) || lower(substr(tipo_veiculo, 2)) AS tipoVeiculo,
        CASE WHEN CAST(trim((string_split(ano, '/'))[-1]) AS INTEGER) >= 2023 THEN '0km/Novo' ELSE 'Usado' END AS usadoNovo
-FROM top LEFT JOIN estados e ON e.uf = upper(top.estado)""", ["negociacao_cockpit", "info_panorama_cockpit"])
+FROM top LEFT JOIN estados e ON e.uf = upper(top.estado)""", ["negociacao_cockpit", "enriquecimento_lead"])
 
 
 @query("fila_simulacoes", SIM_SQL)

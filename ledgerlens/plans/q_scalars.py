@@ -62,8 +62,8 @@ SELECT negociacao_id, cpf,
   CASE WHEN length({_CD}) = 11 THEN {_CD} END AS cpf_digitos,
   CASE WHEN length({_CD}) < 11 THEN lpad({_CD}, 11, '0') ELSE {_CD} END AS cpf_zfill
 FROM (SELECT negociacao_id, CASE WHEN negociacao_id % 5 = 0 THEN ltrim(cpf, '0') ELSE cpf END AS cpf
-      FROM info_panorama_cockpit)
-""", ["info_panorama_cockpit"])
+      FROM enriquecimento_lead)
+""", ["enriquecimento_lead"])
 
 
 @query("formatar_cpf", CPF_SQL)
@@ -233,8 +233,8 @@ FROM (SELECT negociacao_id, data_nascimento,
         - CASE WHEN month(CAST({AS_OF_EVENTS_SQL} AS DATE)) < month(data_nascimento)
                  OR (month(CAST({AS_OF_EVENTS_SQL} AS DATE)) = month(data_nascimento)
                      AND day(CAST({AS_OF_EVENTS_SQL} AS DATE)) < day(data_nascimento)) THEN 1 ELSE 0 END AS a
-      FROM info_panorama_cockpit)
-""", ["info_panorama_cockpit"])
+      FROM enriquecimento_lead)
+""", ["enriquecimento_lead"])
 
 
 @query("idade_clientes", IDADE_SQL)

@@ -163,7 +163,7 @@ def leads(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def lead_enrichment(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Lead enrichment (``info_panorama_cockpit``): one row per lead except
+    """Lead enrichment (``enriquecimento_lead``): one row per lead except
     ``event_id % 7 = 0``; name from the customer with the same key."""
     e = read_table(spark, sf_dir, "events").select("event_id", "user_id")
     c = read_table(spark, sf_dir, "customer").select("c_custkey", "c_name")

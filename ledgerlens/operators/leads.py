@@ -97,9 +97,13 @@ def max_fipe_difference(leads: DataFrame) -> DataFrame:
     """A25 + J8: max reference value by vehicle and ``COALESCE(max, valor) - valor``.
 
     The per-vehicle maximum is a partial aggregate joined back on the vehicle."""
-    mx = (leads.filter(F.col("valor_fipe").isNotNull()).groupBy("veiculo")
+    return _with_fipe_difference(leads, leads)
+
+
+def _with_fipe_difference(rows: DataFrame, all_leads: DataFrame) -> DataFrame:
+    mx = (all_leads.filter(F.col("valor_fipe").isNotNull()).groupBy("veiculo")
           .agg(F.max("valor_fipe").alias("max_valor_fipe")))
-    j = leads.join(mx, "veiculo", "left")
+    j = rows.join(mx, "veiculo", "left")
     return j.withColumn("diferenca_fipe", F.coalesce(F.col("max_valor_fipe"), F.col("valor")) - F.col("valor"))
 
 
@@ -110,21 +114,17 @@ def leads_to_enrich(leads: DataFrame, enrichment: DataFrame) -> DataFrame:
     latest = leads.agg(F.max("data_chegada")).scalar()  # J6: scalar subquery
     base = (leads.withColumn("classificacao_ticket", S.ticket_class(F.col("valor")))
             .join(enrichment.select(F.col("negociacao_id").alias("id")), "id", "left_anti")
-            .withColumn("_latest", latest)
             .filter(F.col("enviado").isNull() & F.col("telefone").isNotNull()
                     & (F.col("abriu_regua") == "NAO TESTADO")
                     & ~F.lower(F.col("canal")).contains("seguro")
                     & ~F.lower(F.col("canal")).contains("quitados")
-                    & F.col("ano").isNotNull() & F.col("veiculo").isNotNull() & F.col("valor").isNotNull()
+                    & F.col("ano").isNotNull() & F.col("veiculo").isNotNull() & F.col("marca").isNotNull()
+                    & F.col("valor").isNotNull()
                     & F.upper(F.col("classificacao_ticket")).isin(*ENRICHABLE_TICKETS)
                     & F.col("tipo_veiculo").isin("MOTO", "CARRO")
-                    & (F.col("data_chegada") == F.col("_latest")))
-            .drop("_latest"))
+                    & (F.col("data_chegada") == latest)))
     # the max is over all leads of the vehicle, not only the eligible ones
-    mx = (leads.filter(F.col("valor_fipe").isNotNull()).groupBy("veiculo")
-          .agg(F.max("valor_fipe").alias("max_valor_fipe")))
-    out = base.join(mx, "veiculo", "left").withColumn(
-        "diferenca_fipe", F.coalesce(F.col("max_valor_fipe"), F.col("valor")) - F.col("valor"))
+    out = _with_fipe_difference(base, leads)
     tel = S.digits(F.col("telefone"))
     return (out.withColumn("telefone", tel)
             .filter(F.length("telefone").between(10, 11)))

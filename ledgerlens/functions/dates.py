@@ -39,13 +39,39 @@ def month_label(c) -> Column:
     return F.date_format(c, "yyyy-MM")
 
 
+def _micros_of_day(ts: Column) -> Column:
+    """Microsecond of the day from the wall-clock fields (no time zone)."""
+    return (((F.hour(ts) * 60 + F.minute(ts)) * 60 + F.second(ts)).cast("long") * 1_000_000
+            + F.date_format(ts, "SSSSSS").cast("long"))
+
+
+def _months_forward(a: Column, b: Column) -> Column:
+    calendar = (F.year(b) - F.year(a)) * 12 + F.month(b) - F.month(a)
+    earlier = ((F.dayofmonth(b) < F.dayofmonth(a))
+               | ((F.dayofmonth(b) == F.dayofmonth(a)) & (_micros_of_day(b) < _micros_of_day(a))))
+    return calendar - F.when(earlier, 1).otherwise(0)
+
+
 def complete_months(start, end) -> Column:
     """complete months between two timestamps (TIMESTAMPDIFF(MONTH)).
 
     Not ``months_between``: Jan 31 -> Feb 29 is 0 complete months (trap T1).
+    Computed from the calendar fields, so a session time zone with a DST
+    gap cannot shift a wall-clock timestamp (Spark's ``timestamp_diff``
+    converts NTZ values through the session zone).  Negative spans truncate
+    toward zero, as MySQL does.
     """
-    return F.timestamp_diff("MONTH", F.col(start) if isinstance(start, str) else start,
-                           F.col(end) if isinstance(end, str) else end)
+    a, b = _col(start), _col(end)
+    return F.when(b >= a, _months_forward(a, b)).otherwise(-_months_forward(b, a)).cast("long")
+
+
+def elapsed_seconds(end, start) -> Column:
+    """Elapsed seconds between two wall-clock timestamps (fractions floored),
+    independent of the session time zone."""
+    e, s = _col(end), _col(start)
+    micros = (F.datediff(F.to_date(e), F.to_date(s)).cast("long") * 86_400_000_000
+              + _micros_of_day(e) - _micros_of_day(s))
+    return F.floor(micros / F.lit(1_000_000)).cast("long")
 
 
 def day_diff(end, start) -> Column:
@@ -56,8 +82,7 @@ def day_diff(end, start) -> Column:
 def elapsed_days(end, start) -> Column:
     """F35 (elapsed form): floor of the elapsed duration in days (computed
     on the timestamps themselves, no session time zone involved)."""
-    secs = F.timestamp_diff("SECOND", _col(start), _col(end))
-    return F.floor(secs / F.lit(86400)).cast("long")
+    return F.floor(elapsed_seconds(end, start) / F.lit(86400)).cast("long")
 
 
 def parse_day_first(c) -> Column:

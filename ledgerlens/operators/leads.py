@@ -189,7 +189,7 @@ def priority_current(as_of) -> Column:
 
 
 def _recovery(as_of) -> Column:
-    secs = F.timestamp_diff("SECOND", F.col("data_insercao"), _ts(as_of))
+    secs = D.elapsed_seconds(_ts(as_of), F.col("data_insercao"))
     return (within_two_business_days("data_chegada", as_of) & F.col("veiculo").isNotNull()
             & F.col("data_insercao").isNotNull() & (secs >= 10800) & (_upper_txt("abriu_regua") != "NAO"))
 

@@ -113,3 +113,17 @@ def test_complete_months_trap_t1(spark):
 def test_day_first_dates_trap_t2(spark):
     got = _eval(spark, ["5/3/2024", "05/03/2024", "31/02/2024", "x"], D.parse_day_first)
     assert got == [dt.date(2024, 3, 5), dt.date(2024, 3, 5), None, None]
+
+
+def test_month_and_elapsed_math_ignore_session_time_zone(spark):
+    """Wall-clock (NTZ) arithmetic must not move when the session zone has a
+    DST gap at midnight (Brazil, 1995-10-15)."""
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/Sao_Paulo")
+    try:
+        df = spark.createDataFrame([("1995-10-15 00:00:00", "1995-11-15 00:00:00")], "a string, b string").select(
+            F.to_timestamp_ntz("a").alias("a"), F.to_timestamp_ntz("b").alias("b"))
+        r = df.select(D.complete_months("a", "b").alias("m"), D.elapsed_days(F.col("b"), F.col("a")).alias("d")).first()
+        assert (r.m, r.d) == (1, 31)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)

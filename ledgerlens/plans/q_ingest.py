@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from ledgerlens.plans.oracle_fixtures import with_fixtures
 from ledgerlens.plans.registry import query
+from ledgerlens.session import cut_lineage
 from ledgerlens.sources import fixtures as X
 from ledgerlens.sources import ingest as IG
 
@@ -37,7 +38,8 @@ def ingest_idempotente(spark, sf_dir):
     """K1 + F30: a statement file ingested into a table that already holds
     two banks' rows from an earlier run: those rows are only touched, the
     rest are inserted once (whole-row duplicates collapse)."""
-    incoming = _statement_file(spark, sf_dir)
+    # a received file exists on disk once; the prior run and this one read it
+    incoming = cut_lineage(_statement_file(spark, sf_dir), "statement-file")
     prior = IG.idempotent_insert(None, incoming.filter(F.col("NOM BANCO").isin("BANCO SANTANDER", "BANCO PAN")), PRIOR)
     out = IG.idempotent_insert(prior, incoming, AS_OF)
     return out.select("src_id", "nom_banco", "row_hash", "execution_date", "verificacao_hash")

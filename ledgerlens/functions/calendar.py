@@ -90,11 +90,3 @@ def calendar_for_span(span: DataFrame, margin_days: int = 0, holiday_table: Data
     cal = cal.withColumn("util", (F.col("dia_semana") < 5) & ~F.col("feriado"))
     w = Window.orderBy("data").rowsBetween(Window.unboundedPreceding, 0)
     return cal.withColumn("ordinal", F.sum(F.col("util").cast("long")).over(w))
-
-
-def next_valid_day(cal: DataFrame, weekdays: list[int], out: str) -> DataFrame:
-    """F45 support: for each date, the first date on/after it whose weekday
-    is in ``weekdays`` and that is not a holiday (NULL if none in span)."""
-    valid = F.col("dia_semana").isin(*weekdays) & ~F.col("feriado") if weekdays else F.lit(False)
-    w = Window.orderBy("data").rowsBetween(0, Window.unboundedFollowing)
-    return cal.withColumn(out, F.min(F.when(valid, F.col("data"))).over(w))

@@ -11,7 +11,6 @@ restated in plain SQL.
 
 from __future__ import annotations
 
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -24,10 +23,6 @@ DEFAULT_HOT_THRESHOLD = 200_000
 DEFAULT_BROADCAST_MAX = 100_000
 
 
-def _null_safe_on(left: DataFrame, right: DataFrame, cols: list[str]) -> Column:
-    return reduce(lambda a, b: a & b, [left[c].eqNullSafe(right[c]) for c in cols])
-
-
 def hot_keys(df: DataFrame, keys: list[str], hot_threshold: int = DEFAULT_HOT_THRESHOLD):
     """Keys with more than ``hot_threshold`` rows (exact, partial-aggregate
     count) and how many there are (a one-row action)."""

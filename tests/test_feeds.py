@@ -83,3 +83,14 @@ def test_jobs_run_end_to_end(spark):
     assert spark.read.parquet(paths["RESUMO"]).count() > 0
     g = jobs.growth_job(spark, SMOKE, None, os.path.join(root, "growth"), "2001-08-02")
     assert spark.read.parquet(g["SAFRA"]).count() > 0
+
+
+def test_load_file_set_tags_source_files(spark):
+    root = tempfile.mkdtemp(prefix="ll-files-")
+    _write_csv(os.path.join(root, "a_extrato.csv"), ["x"], [(1,), (2,)])
+    _write_csv(os.path.join(root, "b_extrato.csv"), ["x"], [(3,)])
+    paths = IG.find_files(spark, root, (".csv",), ["extrato"])
+    df = IG.load_file_set(spark, paths, lambda s, p: IG.read_delimited(s, p),
+                          preprocess=lambda d: d.withColumn("x", F.col("x").cast("int")))
+    got = sorted((r.x, r.arquivo_origem) for r in df.collect())
+    assert got == [(1, "a_extrato.csv"), (2, "a_extrato.csv"), (3, "b_extrato.csv")]

@@ -11,7 +11,6 @@ restated in plain SQL.
 
 from __future__ import annotations
 
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 

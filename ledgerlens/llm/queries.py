@@ -10,6 +10,8 @@ import os
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ledgerlens.llm import decontaminate, token_binary
+
 QUERIES: dict = {}
 ORACLES: dict = {}
 
@@ -35,10 +37,14 @@ def tokenizer_file(name: str) -> str:
 
 @query("op1_token_binary")
 def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from ledgerlens.llm import token_binary as op
+    files = token_binary.write_tokens(table(spark, sf_dir, "documents"), tokenizer_file("word_bpe_49k.json"))
+    return token_binary.with_crc(token_binary.read_tokens(files))
+
 
-    files = op.write_tokens(table(spark, sf_dir, "documents"), tokenizer_file("word_bpe_49k.json"))
-    return op.with_crc(op.read_tokens(files))
+@query("op6_decontaminate", decontaminate.ORACLE)
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, items = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    return decontaminate.digest(decontaminate.scan(docs, items, keep=["doc_id"]))
 
 
 def queries() -> dict:

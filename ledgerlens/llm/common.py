@@ -103,3 +103,32 @@ def mix64(x: np.ndarray) -> np.ndarray:
     x *= np.uint64(0xD6E8FEB86659FD93)
     x ^= x >> np.uint64(32)
     return x
+
+
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, or the first longer form that is no column of ``df``."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = "_" + name
+    return name
+
+
+def add_column(df: DataFrame, make, inputs: list[str], out: str, ddl: str, arrow: pa.DataType, keep: list[str] | None = None) -> DataFrame:
+    """``df`` (of its columns, ``keep``) with one more column from Python.
+    ``make()`` is called in each task and returns a function from lists of
+    the inputs' values to a list of results."""
+    from pyspark.sql import types as T
+
+    keep = df.columns if keep is None else keep
+
+    def run(batches):
+        fn = make()
+        for batch in batches:
+            for at in range(0, batch.num_rows, 2048):
+                part = batch.slice(at, 2048)
+                column = lambda c: part.column(part.schema.get_field_index(c))
+                made = fn(*(column(c).to_pylist() for c in inputs))
+                yield pa.RecordBatch.from_arrays([*map(column, keep), pa.array(made, type=arrow)], names=[*keep, out])
+
+    schema = T.StructType([df.schema[c] for c in keep] + [T.StructField(out, T._parse_datatype_string(ddl))])
+    return df.select(*dict.fromkeys([*keep, *inputs])).mapInArrow(run, schema)

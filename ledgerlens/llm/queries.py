@@ -10,7 +10,7 @@ import os
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerlens.llm import decontaminate, near_dup, token_binary
+from ledgerlens.llm import decontaminate, language_id, near_dup, token_binary
 
 QUERIES: dict = {}
 ORACLES: dict = {}
@@ -47,6 +47,11 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.digest(decontaminate.scan(docs, items, keep=["doc_id"]))
 
 
+@query("op9_language_id")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.identified(table(spark, sf_dir, "documents"))
+
+
 @query("op10_near_dup", near_dup.ORACLE)
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dup.near_duplicates(table(spark, sf_dir, "documents"))

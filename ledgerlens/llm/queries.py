@@ -10,7 +10,7 @@ import os
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerlens.llm import decontaminate, language_id, near_dup, token_binary
+from ledgerlens.llm import decontaminate, language_id, near_dup, substring_dedup, token_binary
 
 QUERIES: dict = {}
 ORACLES: dict = {}
@@ -41,6 +41,11 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_binary.with_crc(token_binary.read_tokens(files))
 
 
+@query("op5_substring_dedup", substring_dedup.ORACLE)
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.digest(substring_dedup.deduplicate(table(spark, sf_dir, "documents")))
+
+
 @query("op6_decontaminate", decontaminate.ORACLE)
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, items = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")

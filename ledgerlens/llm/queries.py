@@ -10,7 +10,7 @@ import os
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerlens.llm import decontaminate, language_id, near_dup, substring_dedup, token_binary
+from ledgerlens.llm import brown_lm, decontaminate, language_id, near_dup, substring_dedup, token_binary
 
 QUERIES: dict = {}
 ORACLES: dict = {}
@@ -52,6 +52,11 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.digest(decontaminate.scan(docs, items, keep=["doc_id"]))
 
 
+@query("op7_brown_lm")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return brown_lm.scored(table(spark, sf_dir, "documents"))
+
+
 @query("op9_language_id")
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.identified(table(spark, sf_dir, "documents"))

@@ -10,7 +10,7 @@ import os
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerlens.llm import brown_lm, decontaminate, language_id, near_dup, substring_dedup, token_binary
+from ledgerlens.llm import brown_lm, decontaminate, language_id, lsh_forest, near_dup, substring_dedup, token_binary
 
 QUERIES: dict = {}
 ORACLES: dict = {}
@@ -41,6 +41,12 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_binary.with_crc(token_binary.read_tokens(files))
 
 
+@query("op2_lsh_forest")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return lsh_forest.neighbours(vectors, vectors.where("vec_id % 20 = 0"), k=20)
+
+
 @query("op5_substring_dedup", substring_dedup.ORACLE)
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.digest(substring_dedup.deduplicate(table(spark, sf_dir, "documents")))

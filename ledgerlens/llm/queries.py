@@ -10,7 +10,7 @@ import os
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerlens.llm import brown_lm, decontaminate, language_id, lsh_forest, near_dup, substring_dedup, token_binary
+from ledgerlens.llm import brown_lm, decontaminate, html_extract, language_id, lsh_forest, near_dup, substring_dedup, token_binary
 
 QUERIES: dict = {}
 ORACLES: dict = {}
@@ -47,6 +47,11 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lsh_forest.neighbours(vectors, vectors.where("vec_id % 20 = 0"), k=20)
 
 
+@query("op3_html_extract")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.extracted(table(spark, sf_dir, "pages"))
+
+
 @query("op5_substring_dedup", substring_dedup.ORACLE)
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.digest(substring_dedup.deduplicate(table(spark, sf_dir, "documents")))

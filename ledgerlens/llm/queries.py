@@ -10,7 +10,7 @@ import os
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerlens.llm import brown_lm, decontaminate, html_extract, language_id, lsh_forest, near_dup, substring_dedup, token_binary
+from ledgerlens.llm import brown_lm, decontaminate, html_extract, language_id, lsh_forest, near_dup, sentence_pieces, substring_dedup, token_binary
 
 QUERIES: dict = {}
 ORACLES: dict = {}
@@ -68,6 +68,11 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return brown_lm.scored(table(spark, sf_dir, "documents"))
 
 
+@query("op8_sentence_pieces")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sentence_pieces.digest(table(spark, sf_dir, "documents"), tokenizer_file("piece_bpe_32k.model"))
+
+
 @query("op9_language_id")
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.identified(table(spark, sf_dir, "documents"))

@@ -10,7 +10,7 @@ import os
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerlens.llm import brown_lm, decontaminate, html_extract, language_id, lsh_forest, near_dup, sentence_pieces, substring_dedup, token_binary
+from ledgerlens.llm import brown_lm, decontaminate, html_extract, language_id, lsh_forest, near_dup, sentence_pieces, substring_dedup, surrogates, token_binary
 
 QUERIES: dict = {}
 ORACLES: dict = {}
@@ -52,6 +52,11 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_extract.extracted(table(spark, sf_dir, "pages"))
 
 
+@query("op4_surrogates")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return surrogates.replaced(table(spark, sf_dir, "documents"))
+
+
 @query("op5_substring_dedup", substring_dedup.ORACLE)
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.digest(substring_dedup.deduplicate(table(spark, sf_dir, "documents")))

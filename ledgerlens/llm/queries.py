@@ -6,6 +6,7 @@ parameters and derives the contract's columns.
 
 from __future__ import annotations
 
+import importlib
 import os
 
 from pyspark.sql import DataFrame, SparkSession
@@ -88,7 +89,13 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dup.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+@query("pipeline")
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return importlib.import_module("corpus_pipeline").run(spark, sf_dir)
+
+
 def queries() -> dict:
+    importlib.import_module("corpus_pipeline")  # no pipeline, no queries
     return dict(QUERIES)
 
 

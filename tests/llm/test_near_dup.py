@@ -73,15 +73,17 @@ def test_empty_table(spark):
 
 def test_odd_sketch_estimates_high_similarity():
     rng = np.random.default_rng(5)
-    for share in (0.76, 0.85, 0.95):
-        for _ in range(200):
-            both = rng.integers(0, 2**63, 400, dtype=np.uint64)
-            extra = int(400 * (1 - share) / share / 2)
-            a, b = (np.concatenate([both, rng.integers(0, 2**63, extra, dtype=np.uint64)]) for _ in range(2))
-            x, y = (np.frombuffer(op.odd_sketch(op.samples(np.sort(s))), np.uint64) for s in (a, b))
-            odd = int(np.bitwise_count(x ^ y).sum())
-            estimate = 1 + op.SKETCH_BITS / (4 * op.HASHES) * np.log(1 - 2 * odd / op.SKETCH_BITS)
-            assert abs(estimate - share) < 0.25 and odd <= op.most_differing_bits()
+    for size in (4, 40, 400, 3000):
+        for _ in range(300):
+            both = rng.integers(0, 2**63, size, dtype=np.uint64)
+            union = 100 * size // 75
+            extra = rng.integers(0, 2**63, max(0, union - size), dtype=np.uint64)
+            cut = rng.integers(0, len(extra) + 1)
+            a, b = np.unique(np.concatenate([both, extra[:cut]])), np.unique(np.concatenate([both, extra[cut:]]))
+            x, y = (np.frombuffer(op.odd_sketch(s), np.uint64) for s in (a, b))
+            odd = np.array([np.bitwise_count(x ^ y).sum()])
+            assert op.likely(odd, np.array([len(a)]), np.array([len(b)]))[0]
+            assert abs(op.estimate(odd, len(a), len(b))[0] - size / (size + len(extra))) < (0.06 if size <= 400 else 0.16)
 
 
 def test_keep_one(spark):

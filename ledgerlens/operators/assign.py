@@ -5,15 +5,16 @@ The reference shuffles with NumPy's seeded generator; we order by
 ``md5(seed || id)`` — the same uniformity, deterministic and restatable in
 SQL.  No ranking runs in a single task:
 
-* uncapped ranks use ``global_rank`` salted by the first two hex digits of
-  the md5 key — a range partition of the sort key itself, so the distributed
-  rank equals the exact global md5 order;
+* uncapped ranks use ``global_rank`` over the ranges that the first three hex
+  digits of the md5 key name (4,096 tasks at most), so the distributed rank
+  equals the exact global md5 order; consultants are ranked the same way, over
+  ranges of their id;
 * capped samples use two-phase top-k per key (exact).
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlens.functions import dates as D
@@ -31,14 +32,13 @@ def shuffle_key(id_col: str = "id", seed: int = SEED) -> Column:
 
 
 def _md5_prefix_salt(key: str) -> Column:
-    return F.conv(F.substring(F.col(key), 1, 2), 16, 10).cast("int")
+    return F.conv(F.substring(F.col(key), 1, 3), 16, 10).cast("int")
 
 
 def ranked_consultants(cons: DataFrame) -> DataFrame:
-    """Consultants numbered 0..n-1 by id (a staff table: one small window)."""
-    w = Window.orderBy("usuario_id")
-    return (cons.select("usuario_id", F.col("nome").alias("consultor"))
-            .withColumn("_idx", (F.row_number().over(w) - 1).cast("long")))
+    """Consultants numbered 0..n-1 by id."""
+    ranked = global_rank(cons.select("usuario_id", F.col("nome").alias("consultor")), "usuario_id", out="_idx")
+    return ranked.withColumn("_idx", F.col("_idx") - 1)
 
 
 def distribution_candidates(classified: DataFrame, as_of, priority: int = 3) -> DataFrame:
@@ -57,7 +57,7 @@ def round_robin(cands: DataFrame, cons: DataFrame) -> DataFrame:
     rc = ranked_consultants(cons)
     n = rc.agg(F.count(F.lit(1))).scalar()
     out = ranked.withColumn("_idx", F.pmod(F.col("rn") - 1, n))
-    return out.join(F.broadcast(rc), "_idx").drop("_idx", "_k")
+    return out.join(rc, "_idx").drop("_idx", "_k")
 
 
 def block_assignment(cands: DataFrame, cons: DataFrame, per_consultant: int = PER_CONSULTANT) -> DataFrame:
@@ -66,7 +66,7 @@ def block_assignment(cands: DataFrame, cons: DataFrame, per_consultant: int = PE
     ranked = global_rank(cands.withColumn("_k", shuffle_key()), "_k", salt=_md5_prefix_salt("_k"))
     rc = ranked_consultants(cons)
     out = ranked.withColumn("_idx", F.floor((F.col("rn") - 1) / per_consultant).cast("long"))
-    return out.join(F.broadcast(rc), "_idx").drop("_idx", "_k")
+    return out.join(rc, "_idx").drop("_idx", "_k")
 
 
 def campaign_occupancy(assigned: DataFrame, key: str = "campanha_id") -> DataFrame:
@@ -84,5 +84,5 @@ def quota_sample(cands: DataFrame, occupancy: DataFrame, priorities=(1, 2), limi
          .withColumn("_k", shuffle_key()))
     top = top_k_per_key(c, ["campanha_id"], [F.col("_k").asc(), F.col("id").asc()], limit, "id")
     room = occupancy.select("campanha_id", (F.lit(limit) - F.col("ocupacao")).alias("_room"))
-    j = top.join(F.broadcast(room), "campanha_id", "left")
+    j = top.join(room, "campanha_id", "left")
     return j.filter(F.col("rn") <= F.coalesce(F.col("_room"), F.lit(limit))).drop("_room", "_k")

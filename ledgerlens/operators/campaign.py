@@ -92,7 +92,7 @@ def campaign_batch(batch: DataFrame, clients: DataFrame, members: DataFrame, use
     n = rc.agg(F.count(F.lit(1))).scalar()
     owners = (ranked
               .withColumn("_idx", F.when(n > 0, F.pmod(F.col("ordem") - 1, n)))
-              .join(F.broadcast(rc), "_idx", "left")
+              .join(rc, "_idx", "left")
               .select("cliente_id", "ordem", "usuario_id"))
     return owners.join(last, "cliente_id")
 

@@ -42,10 +42,19 @@ def unique_updates(updates: DataFrame, keys: list[str], order_cols: list[str]) -
 
 
 def merge(target: DataFrame, updates: DataFrame, keys: list[str], rules: dict, guard: Column | None = None,
-          insert_missing: bool = False) -> DataFrame:
+          insert_missing: bool = False, order_cols: list[str] | None = None) -> DataFrame:
     """Apply ``rules`` {column: rule} to target rows matched by
     ``keys`` (and satisfying ``guard`` on the target's columns); optionally
-    insert updates with no matching target row (upsert, K3/K10)."""
+    insert updates with no matching target row (upsert, K3/K10).
+
+    Of several updates with one key the greatest by ``order_cols`` counts (by
+    default all other columns, in their order), so a repeated key never
+    repeats a target row."""
+    rest = [c for c in updates.columns if c not in keys]
+    if rest:
+        updates = unique_updates(updates, keys, order_cols or rest).select(*updates.columns)
+    else:
+        updates = updates.distinct()
     u = updates.select(*keys, *[F.col(c).alias(f"_new_{c}") for c in updates.columns if c not in keys])
     u = u.withColumn("_matched", F.lit(True))
     j = target.join(u, keys, "left")

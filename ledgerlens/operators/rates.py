@@ -98,7 +98,7 @@ def scd2_apply(history: DataFrame, new_file: DataFrame, as_of: str, bank: str,
     # versions inserted by an earlier run have no id yet
     close = (diff.filter(F.col("status").isin("ALTERADA", "REMOVIDA"))
              .select(F.col("o_codigo_regra").alias("_k1"), F.col("o_faixa_parcela").alias("_k2"))
-             .withColumn("_close", F.lit(True)))
+             .distinct().withColumn("_close", F.lit(True)))  # a file may repeat a key
     end = F.date_sub(F.lit(as_of).cast("date"), 1)
     h = (history.withColumn("_k1", F.col("codigo"))
          .withColumn("_k2", F.regexp_replace(F.col("prazo").cast("string"), "^0+", ""))

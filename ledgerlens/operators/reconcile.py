@@ -9,11 +9,12 @@ Scale design
   every stage's pairs are checkpointed, so stage ``k`` never recomputes the
   earlier stages (lineage stays flat and a lost executor only re-reads
   checkpoint files).
-* Inside a stage, rows pair only within an equal key: both sides are ranked
-  within the key (``ranked_within``, which splits hot keys over salt
-  buckets; hot keys are measured once per stage on the full key tables) and
-  joined on (key, rank).  That yields min(m, n) pairs per key,
-  the same count as the reference's greedy loop, in canonical id order.
+* Each stage hands on only the rows that it left pending, so a stage's scans
+  shrink from stage to stage.
+* Inside a stage, rows pair only within an equal key (rows with a missing key
+  are left out first): both sides are ranked by id within the key
+  (``ranked_within``, which cuts hot keys into id ranges) and joined on (key,
+  rank).  That yields min(m, n) pairs per key in id order, at any key size.
 * NULL keys never match (trap T3 default); ``match_missing=True`` restores
   the sentinel behaviour where missing matches missing.
 """
@@ -28,8 +29,7 @@ from pyspark.sql import functions as F
 from ledgerlens.functions import scalars as S
 from ledgerlens.functions.dates import ts_ntz
 from ledgerlens.functions.similarity import with_token_set_ratio
-from ledgerlens.operators.skew import (DEFAULT_BUCKETS, DEFAULT_HOT_THRESHOLD, hot_keys_by_set, latest_per_key,
-                                      ranked_within)
+from ledgerlens.operators.skew import DEFAULT_HOT_THRESHOLD, latest_per_key, ranked_within
 from ledgerlens.session import cut_lineage
 
 # The five matching stages, in order (name, keys).
@@ -48,17 +48,18 @@ REPORT_EXCLUDED_BANKS = ["BANCO DO BRASIL", "SABEMI"]
 
 def prepare_statements(df: DataFrame) -> DataFrame:
     """Statement preparation: renames, tolerant dates, cleaned keys,
-    masked CPF, nullable bank id, ``valor_liberado`` as 2-place decimal."""
+    masked CPF, nullable bank id, ``valor_liberado`` as 2-place decimal.
+    Text that is no date or number becomes missing, as in the source."""
     return df.select(
         "*",
-        F.col("dat_emprestimo").cast("timestamp_ntz").alias("data_emprestimo"),
-        F.col("dat_credito").cast("timestamp_ntz").alias("data_contrato"),
+        F.col("dat_emprestimo").try_cast("timestamp_ntz").alias("data_emprestimo"),
+        F.col("dat_credito").try_cast("timestamp_ntz").alias("data_contrato"),
         S.clean_key(F.col("num_proposta")).alias("numero_proposta"),
         S.clean_key(F.col("num_contrato")).alias("numero_contrato"),
         S.cpf_mask(F.col("cliente_id")).alias("cpf_fmt"),
-        F.round(F.col("val_liberado").cast("decimal(18,2)"), 2).alias("valor_liberado"),
+        F.col("val_liberado").try_cast("decimal(18,2)").alias("valor_liberado"),
     ).drop("cliente_id").withColumnRenamed("cpf_fmt", "cliente_id").withColumn(
-        "banco_id", F.col("banco_id").cast("long"))
+        "banco_id", F.col("banco_id").try_cast("long"))
 
 
 def prepare_production(df: DataFrame) -> DataFrame:
@@ -68,9 +69,9 @@ def prepare_production(df: DataFrame) -> DataFrame:
         df = df.withColumn("valor_liberado", F.col("base_comissao"))
     return (df.withColumn("numero_proposta", S.clean_key(F.col("numero_proposta")))
             .withColumn("numero_contrato", S.clean_key(F.col("numero_contrato")))
-            .withColumn("banco_id", F.col("banco_id").cast("long"))
+            .withColumn("banco_id", F.col("banco_id").try_cast("long"))
             .withColumn("cliente_id", S.cpf_mask(F.col("cliente_id")))
-            .withColumn("valor_liberado", F.round(F.col("valor_liberado").cast("decimal(18,2)"), 2)))
+            .withColumn("valor_liberado", F.col("valor_liberado").try_cast("decimal(18,2)")))
 
 
 def production_in_span(production: DataFrame, statements: DataFrame,
@@ -95,7 +96,7 @@ def _key_table(df: DataFrame, id_col: str, key_cols: list[str], match_missing: b
 
 def staged_pairing(left: DataFrame, right: DataFrame, stages=STAGES, left_id: str = "src_id",
                    right_id: str = "id", match_missing: bool = False, checkpoint: bool = True,
-                   hot_threshold: int = DEFAULT_HOT_THRESHOLD, salt_buckets: int = DEFAULT_BUCKETS) -> DataFrame:
+                   hot_threshold: int = DEFAULT_HOT_THRESHOLD, salt_buckets: int | None = None) -> DataFrame:
     """J18/J19 + W11: one-to-one pairs over ordered key stages.
 
     Returns ``(left_id, right_id, etapa, etapa_nome)``; each id appears at
@@ -103,28 +104,20 @@ def staged_pairing(left: DataFrame, right: DataFrame, stages=STAGES, left_id: st
     key_cols = sorted({c for _, ks in stages for c in ks})
     lk = _key_table(left, left_id, key_cols, match_missing)
     rk = _key_table(right, right_id, key_cols, match_missing)
-    if checkpoint:
-        lk, rk = cut_lineage(lk, "pair-left-keys"), cut_lineage(rk, "pair-right-keys")
-    # hot keys of every stage, measured once per side on the full key tables
-    # (a key hot among a stage's pending rows is hot in the full table)
-    mat = (lambda d: cut_lineage(d, "hot-keys")) if checkpoint else None
-    hot_l = hot_keys_by_set(lk, [ks for _, ks in stages], hot_threshold, materialise=mat)
-    hot_r = hot_keys_by_set(rk, [ks for _, ks in stages], hot_threshold, materialise=mat)
+    cut = cut_lineage if checkpoint else (lambda df, name: df)
+    lk, rk = cut(lk, "pair-left-keys"), cut(rk, "pair-right-keys")
     done = None
     for i, (name, keys) in enumerate(stages, start=1):
-        lp, rp = lk, rk
-        if done is not None:
-            lp = lp.join(done.select(left_id), left_id, "left_anti")
-            rp = rp.join(done.select(right_id), right_id, "left_anti")
-        lp = lp.select(left_id, *keys).dropna(subset=keys)
-        rp = rp.select(right_id, *keys).dropna(subset=keys)
-        lr = ranked_within(lp, keys, left_id, left_id, hot=hot_l[i - 1], buckets=salt_buckets)
-        rr = ranked_within(rp, keys, right_id, right_id, hot=hot_r[i - 1], buckets=salt_buckets)
-        pairs = (lr.join(rr, [*keys, "rn"])
+        lp = lk.select(left_id, *keys).dropna(subset=keys)
+        rp = rk.select(right_id, *keys).dropna(subset=keys)
+        pairs = (ranked_within(lp, keys, left_id, hot_threshold=hot_threshold, buckets=salt_buckets)
+                 .join(ranked_within(rp, keys, right_id, hot_threshold=hot_threshold, buckets=salt_buckets), [*keys, "rn"])
                  .select(left_id, right_id, F.lit(i).alias("etapa"), F.lit(name).alias("etapa_nome")))
-        if checkpoint:
-            pairs = cut_lineage(pairs, f"pairs-stage{i}")
+        pairs = cut(pairs, f"pairs-stage{i}")
         done = pairs if done is None else done.unionByName(pairs)
+        if i < len(stages):  # only the rows still pending go on
+            lk = cut(lk.join(pairs.select(left_id), left_id, "left_anti"), f"pending-left{i}")
+            rk = cut(rk.join(pairs.select(right_id), right_id, "left_anti"), f"pending-right{i}")
     return done
 
 

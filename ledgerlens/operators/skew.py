@@ -15,7 +15,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 DEFAULT_BUCKETS = 64
-# Keys with more rows than this are split over salt buckets.  The set of hot
+# Rows that one bucket of a hot key or of a global rank holds, about; the
+# number of buckets follows from it and the row count.
+BUCKET_ROWS = 100_000
+# Keys with more rows than this are split over buckets.  The set of hot
 # keys is therefore at most (rows / HOT_THRESHOLD) long: a proven bound.
 DEFAULT_HOT_THRESHOLD = 200_000
 # Largest hot-key list (rows) shipped to every executor as a broadcast.
@@ -30,86 +33,74 @@ def hot_keys(df: DataFrame, keys: list[str], hot_threshold: int = DEFAULT_HOT_TH
     return hot, hot.count()
 
 
-def hot_keys_by_set(df: DataFrame, key_sets: list[list[str]], hot_threshold: int = DEFAULT_HOT_THRESHOLD,
-                    materialise=None) -> list:
-    """``hot_keys`` for several key sets in one grouping-sets pass (one
-    Expand + one shuffle instead of one aggregation per set).  Returns one
-    ``(hot DataFrame, count)`` per key set; the hot table is tiny and is
-    materialised once (``materialise``, e.g. ``cut_lineage``) when given."""
-    cols = sorted({c for ks in key_sets for c in ks})
-    sets = [sorted(ks) for ks in key_sets]
-    agg = (df.groupingSets(sets, *cols)
-           .agg(F.count(F.lit(1)).alias("_kn"), F.grouping_id().alias("_gid"))
-           .filter(F.col("_kn") > hot_threshold))
-    counts = {r["_gid"]: r["n"] for r in agg.groupBy("_gid").agg(F.count(F.lit(1)).alias("n")).collect()}
-    if counts and materialise is not None:
-        # only when some set has hot keys (rare): keep the tiny list on disk
-        agg = materialise(agg)
-    out = []
-    for ks in sets:
-        # grouping_id bit i (from the left, most significant first) is 1 when cols[i] is aggregated away
-        gid = sum(1 << (len(cols) - 1 - i) for i, c in enumerate(cols) if c not in ks)
-        out.append((agg.filter(F.col("_gid") == gid).select(*ks), counts.get(gid, 0)))
-    return out
-
-
-def ranked_within(df: DataFrame, keys: list[str], order_col: str, salt_source: str,
-                  out: str = "rn", buckets: int = DEFAULT_BUCKETS,
+def ranked_within(df: DataFrame, keys: list[str], order_col: str,
+                  out: str = "rn", buckets: int | None = None,
                   hot_threshold: int = DEFAULT_HOT_THRESHOLD,
                   broadcast_max: int = DEFAULT_BROADCAST_MAX, hot=None) -> DataFrame:
-    """Dense rank 1..n of rows within ``keys`` (like ``row_number``).
+    """Dense rank 1..n of rows within ``keys``: ``row_number`` by
+    ``order_col`` (unique within a key), whatever the size of a key.
 
     Hot keys (more than ``hot_threshold`` rows) are found exactly with a
     partial-aggregate count.  With none, this is a plain window (no key is
-    big enough to skew a task).  Otherwise rows of hot keys are ranked in
-    ``buckets`` parallel salt partitions — an explicit repartition on
-    (keys, salt), since Catalyst would otherwise reuse the partitioning on
-    the keys alone — and offset by the sizes of the preceding buckets.
-    Order within a hot key is ``(pmod(salt_source, buckets), order_col)``.
-    The hot-key list is broadcast only when its measured size is at most
-    ``broadcast_max`` rows (it is also bounded by rows / hot_threshold).
-    ``hot`` may pass a precomputed ``hot_keys`` result (e.g. measured once on
-    a superset of ``df``: a key hot in a subset is hot in the superset).
+    big enough to skew a task).  Otherwise a hot key is cut into ranges of
+    ``order_col`` at its own approximate quantiles (a mergeable partial
+    aggregate; they decide only how even the ranges are).  Ranges are ranked
+    in parallel, by an explicit repartition on (keys, range), since Catalyst
+    would otherwise reuse the partitioning on the keys alone, and offset by
+    the exact sizes of the ranges before them.  ``buckets`` defaults to one
+    range per ``BUCKET_ROWS`` rows.  The hot-key list is broadcast only when
+    its measured size is at most ``broadcast_max`` rows (it is also bounded by
+    rows / hot_threshold).  ``hot`` may pass a precomputed ``hot_keys`` result
+    (e.g. measured once on a superset of ``df``: a key hot in a subset is hot
+    in the superset).
     """
     hot, n_hot = hot if hot is not None else hot_keys(df, keys, hot_threshold)
     if n_hot == 0:
         w = Window.partitionBy(*keys).orderBy(F.col(order_col).asc())
         return df.withColumn(out, F.row_number().over(w).cast("long"))
-    hot = hot.withColumn("_hot", F.lit(True))
     hot = F.broadcast(hot) if n_hot <= broadcast_max else hot
-    flagged = df.join(hot, keys, "left")
-    flagged = flagged.withColumn(
-        "_salt", F.when(F.col("_hot"), F.pmod(F.col(salt_source), F.lit(buckets))).otherwise(F.lit(0)))
+    rows = df.join(hot, keys, "left_semi")
+    n = buckets or max(2, min(10_000, -(-rows.count() // BUCKET_ROWS)))
+    cuts = rows.groupBy(*keys).agg(F.percentile_approx(F.col(order_col), [k / n for k in range(1, n)], 100 * n).alias("_cuts"))
+    cuts = F.broadcast(cuts) if n_hot * n <= broadcast_max else cuts
+    flagged = df.join(cuts, keys, "left")
+    # the range: how many cuts lie below the row (0 for other keys)
+    flagged = flagged.withColumn("_salt", F.coalesce(F.size(F.filter("_cuts", lambda c: c < F.col(order_col))), F.lit(0))) \
+        .withColumn("_salt", F.greatest("_salt", F.lit(0))).withColumn("_hot", F.col("_cuts").isNotNull()).drop("_cuts")
     flagged = flagged.repartition(*[F.col(k) for k in keys], F.col("_salt"))
     w = Window.partitionBy(*keys, "_salt").orderBy(F.col(order_col).asc())
     local = flagged.withColumn("_rn_local", F.row_number().over(w))
-    # offsets only for hot keys: at most ``buckets`` rows per hot key
+    # offsets only for hot keys: at most ``n`` rows per hot key
     hot_counts = (flagged.filter(F.col("_hot"))
                   .groupBy(*keys, "_salt").agg(F.count(F.lit(1)).alias("_bn")))
     wo = Window.partitionBy(*keys).orderBy("_salt").rowsBetween(Window.unboundedPreceding, -1)
     offsets = hot_counts.withColumn("_off", F.coalesce(F.sum("_bn").over(wo), F.lit(0))).drop("_bn")
-    if n_hot * buckets <= broadcast_max:
+    if n_hot * n <= broadcast_max:
         offsets = F.broadcast(offsets)
     ranked = local.join(offsets, [*keys, "_salt"], "left")
     return (ranked.withColumn(out, (F.col("_rn_local") + F.coalesce(F.col("_off"), F.lit(0))).cast("long"))
             .drop("_rn_local", "_off", "_salt", "_hot"))
 
 
-def global_rank(df: DataFrame, order_col: str, salt_source: str | None = None, out: str = "rn",
-                buckets: int = DEFAULT_BUCKETS, salt: Column | None = None) -> DataFrame:
-    """Rank 1..N over the whole frame without a single-partition window.
-
-    Rows are ranked inside salt partitions, then offset by the cumulative
-    sizes of the preceding buckets (a table with one row per bucket).
-    Order: ``(salt, order_col)`` with ``salt = pmod(salt_source, buckets)``
-    unless an explicit ``salt`` is given.  When the salt is a prefix of the
-    order key (a range bucket), the result is exactly the global order.
-    """
-    d = df.withColumn("_salt", salt if salt is not None else F.pmod(F.col(salt_source), F.lit(buckets)))
+def global_rank(df: DataFrame, order_col: str, out: str = "rn", buckets: int = DEFAULT_BUCKETS,
+                salt: Column | None = None) -> DataFrame:
+    """Rank 1..N by ``order_col`` (unique) without a single-partition window.
+
+    Rows are ranked inside ranges of ``order_col``, then offset by the sizes
+    of the ranges before them (a table with one row per range).  The ranges
+    end at the column's approximate quantiles, unless ``salt`` gives each
+    row's range, in order: a prefix of a uniform text key, say.  The rank is
+    the exact global order either way."""
+    if salt is None:
+        cuts = df.agg(F.percentile_approx(order_col, [k / buckets for k in range(1, buckets)], 100 * buckets)).scalar()
+        below = F.size(F.filter("_cuts", lambda c: c < F.col(order_col)))
+        d = df.withColumn("_cuts", cuts).withColumn("_salt", below).drop("_cuts")
+    else:
+        d = df.withColumn("_salt", salt)
     w = Window.partitionBy("_salt").orderBy(F.col(order_col).asc())
     local = d.withColumn("_rn_local", F.row_number().over(w))
     counts = d.groupBy("_salt").agg(F.count(F.lit(1)).alias("_bn"))
-    # ``buckets`` rows: the unpartitioned window here is over a bounded table
+    # a row a range: the unpartitioned window here is over a bounded table
     wo = Window.orderBy("_salt").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.withColumn("_off", F.coalesce(F.sum("_bn").over(wo), F.lit(0))).drop("_bn")
     out_df = local.join(F.broadcast(offsets), "_salt")

@@ -32,20 +32,34 @@ def test_pairing_is_one_to_one_and_maximal(spark):
 
 
 def test_hot_key_split_matches_plain_rank(spark):
-    rows = [(i, "hot" if i % 3 else f"k{i}") for i in range(1, 2001)]
-    df = spark.createDataFrame(rows, "id long, key string")
-    salted = ranked_within(df, ["key"], "id", "id", buckets=8, hot_threshold=100)
-    got = salted.groupBy("key").agg(F.count("*").alias("n"), F.min("rn").alias("lo"), F.max("rn").alias("hi"),
-                                    F.countDistinct("rn").alias("d"))
-    for r in got.collect():
-        assert r.lo == 1 and r.hi == r.n and r.d == r.n
-
-
-def test_global_rank_is_dense(spark):
-    df = spark.range(0, 5000).withColumnRenamed("id", "k")
-    out = global_rank(df, "k", "k", buckets=16)
-    agg = out.agg(F.min("rn"), F.max("rn"), F.countDistinct("rn")).first()
-    assert tuple(agg) == (1, 5000, 5000)
+    rows = [(i * 7919 % 100_003, "hot" if i % 3 else f"k{i % 50}") for i in range(1, 2001)]
+    df = spark.createDataFrame(rows, "id long, key string").repartition(5)
+    by_key = {}
+    for i, key in sorted(rows):
+        by_key.setdefault(key, []).append(i)
+    want = {(key, i): n for key, ids in by_key.items() for n, i in enumerate(ids, 1)}
+    for buckets in (None, 2, 8, 300):
+        got = ranked_within(df, ["key"], "id", buckets=buckets, hot_threshold=10)
+        assert {(r.key, r.id): r.rn for r in got.collect()} == want
+
+
+def test_pairs_do_not_depend_on_key_size(spark):
+    left, right, l, r = _frames(spark)
+    stages = [("s1", ["cliente_id", "numero_proposta"]), ("s2", ["numero_contrato"]), ("s3", ["cliente_id"])]
+    plain = {tuple(p) for p in RC.staged_pairing(l, r, stages).collect()}
+    split = {tuple(p) for p in RC.staged_pairing(l, r, stages, hot_threshold=2).collect()}
+    assert plain == split and len(plain) > 20
+    one = spark.createDataFrame([(i, "k") for i in (3, 5, 64, 65, 128)], "src_id long, numero_proposta string")
+    other = spark.createDataFrame([(i, "k") for i in range(1, 6)], "id long, numero_proposta string")
+    pairs = RC.staged_pairing(one, other, [("s", ["numero_proposta"])], hot_threshold=2).collect()
+    assert sorted((p.src_id, p.id) for p in pairs) == [(3, 1), (5, 2), (64, 3), (65, 4), (128, 5)]
+
+
+def test_global_rank_is_the_global_order(spark):
+    df = spark.createDataFrame([(i * 7919 % 100_003,) for i in range(5000)], "k long").repartition(7)
+    want = {k: n for n, k in enumerate(sorted(r.k for r in df.collect()), 1)}
+    assert {r.k: r.rn for r in global_rank(df, "k", buckets=16).collect()} == want
+    assert global_rank(df.limit(0), "k").count() == 0
 
 
 def test_pairing_with_a_hot_key(spark):

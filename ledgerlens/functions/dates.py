@@ -156,8 +156,10 @@ def months_index(d, ref_year: int, ref_month: int) -> Column:
 
 def monthly_cutoff(d, limit_day: int) -> Column:
     """monthly cut-off: the limit day of this month, or of next month
-    when ``d`` is past the limit day."""
+    when ``d`` is past the limit day.  A month without that day ends the
+    period on its last day."""
     d = F.to_date(d)
     month_start = F.trunc(d, "MM")
     target = F.when(F.dayofmonth(d) > limit_day, F.add_months(month_start, 1)).otherwise(month_start)
-    return F.make_date(F.year(target), F.month(target), F.lit(limit_day))
+    day = F.least(F.lit(limit_day) if isinstance(limit_day, int) else limit_day, F.dayofmonth(F.last_day(target)))
+    return F.make_date(F.year(target), F.month(target), day)

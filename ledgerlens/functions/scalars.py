@@ -7,6 +7,8 @@ Arguments accept a column name or a Column.
 
 from __future__ import annotations
 
+import unicodedata
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -15,16 +17,27 @@ def _c(x) -> Column:
     return F.col(x) if isinstance(x, str) else x
 
 
-# Accented Latin letters and their ASCII base letters, in the
-# same order (used with translate; Spark has no NFKD built-in, trap T12).
-ACCENTED = "áàâãäåÁÀÂÃÄÅéèêëÉÈÊËíìîïÍÌÎÏóòôõöÓÒÔÕÖúùûüÚÙÛÜçÇñÑýÿÝ"
-UNACCENTED = "aaaaaaAAAAAAeeeeEEEEiiiiIIIIoooooOOOOOuuuuUUUUcCnNyyY"
+def _accents() -> tuple[str, str]:
+    """Latin letters whose compatibility decomposition is one ASCII character
+    and marks, and those characters (for translate; Spark has no NFKD
+    built-in, trap T12)."""
+    pairs = []
+    for code in [*range(0x00C0, 0x0250), *range(0x1E00, 0x1F00)]:
+        base = "".join(c for c in unicodedata.normalize("NFKD", chr(code)) if not unicodedata.combining(c))
+        if len(base) == 1 and base.isascii():
+            pairs.append((chr(code), base))
+    return "".join(a for a, _ in pairs), "".join(b for _, b in pairs)
+
+
+ACCENTED, UNACCENTED = _accents()
 
 # Brazilian name particles dropped by the name cleaner.
 NAME_PARTICLES = ["de", "da", "do", "das", "dos", "e"]
 
-# Text tokens treated as missing keys.
+# Text treated as a missing key, in any case.
 NULL_WORDS = ["", "none", "nan", "null", "<na>", "nat"]
+# Words that the text layer stores as NULL (exact case).
+STORE_NULL_WORDS = ["nan", "NaT", "None"]
 
 # Area code (DDD) -> state.
 DDD_STATE = {
@@ -274,15 +287,16 @@ def clean_key(x) -> Column:
 
 
 def null_words_to_null(x) -> Column:
-    """``nan``/``NaT``/``None``/``''`` text -> NULL."""
-    s = _c(x)
-    return F.when(F.lower(F.trim(s.cast("string"))).isin(*NULL_WORDS), F.lit(None)).otherwise(s)
+    """The exact words ``nan``, ``NaT`` and ``None`` -> NULL."""
+    s = _c(x).cast("string")
+    return F.when(s.isin(*STORE_NULL_WORDS), F.lit(None)).otherwise(s)
 
 
 # ------------------------------------------------------------------ product
 
 def product_rule(x) -> Column:
-    """rule text before ``- TAXA`` (upper-cased), NULL if absent."""
+    """rule text before ``- TAXA`` (upper-cased), NULL if absent.  The
+    three patterns here are fixed values: the statements' product text."""
     u = F.upper(_c(x))
     return F.nullif(F.trim(F.regexp_extract(u, r"^(.*?)\s*-\s*TAXA", 1)), F.lit(""))
 

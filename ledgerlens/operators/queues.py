@@ -35,7 +35,7 @@ def simulation_queue(classified: DataFrame, as_of, n: int = 1) -> DataFrame:
         & F.col("ano").isNotNull() & F.col("veiculo").isNotNull() & F.col("marca").isNotNull()
         & F.col("valor").isNotNull() & (F.col("valor") > 0) & F.col("tipo_veiculo").isin("MOTO", "CARRO"))
     top = c.orderBy(F.col("data_chegada").desc(), shuffle_key()).limit(n)
-    ano = F.trim(S.model_year_last(F.col("ano"))).cast("int")
+    ano = F.trim(S.model_year_last(F.col("ano"))).try_cast("int")
     return top.select(
         "id", S.cpf_zfill(F.col("cpf")).alias("cpf"), D.format_br_date(F.col("data_nascimento")).alias("nascimento"),
         "marca", ano.alias("ano"), S.model_trim(F.col("veiculo")).alias("modelo"),

@@ -124,6 +124,15 @@ def _prefixed(rules: DataFrame, level: str, prefix: str, key_name: str | None) -
     return r.select(*cols)
 
 
+def longest_shift(rules: DataFrame) -> int:
+    """Calendar days that the longest rule may reach past its date.  The rules
+    are a configuration table: one small row comes back.  A business day is
+    at most two calendar days of a long span (five in seven are weekdays, and
+    holidays are few); the rest is room for a short one around holidays."""
+    r = rules.agg(F.coalesce(F.max("dias"), F.lit(1)).alias("days"), F.coalesce(F.max("intervalo_semanas"), F.lit(1)).alias("weeks")).first()
+    return 45 + 2 * max(1, r["days"]) + 7 * max(1, r["weeks"])
+
+
 def expected_payment_date(contracts: DataFrame, rules: DataFrame, date_col: str = "dat_credito",
                           bank_col: str = "nom_banco", op_col: str = "tipo_operacao") -> DataFrame:
     """Expected commission payment date per contract.
@@ -159,9 +168,9 @@ def expected_payment_date(contracts: DataFrame, rules: DataFrame, date_col: str
     for f in FLAT:
         j = j.withColumn("r_" + f, F.coalesce(F.col("e_" + f), F.col("r_" + f)))
 
-    # bounded calendar over the data's span (+ margin for the largest shift)
+    # bounded calendar over the data's span and the longest shift of any rule
     span = c.agg(F.min("_d0").alias("_lo"), F.max("_d0").alias("_hi"))
-    cal = C.calendar_for_span(span, 120)
+    cal = C.calendar_for_span(span, longest_shift(rules))
     ords = cal.select(F.col("data").alias("_k"), F.col("ordinal").alias("_ord"))
     bdays = cal.filter("util").select(F.col("ordinal").alias("_ord2"), F.col("data").alias("_bday"))
 

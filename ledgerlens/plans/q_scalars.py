@@ -79,10 +79,11 @@ def formatar_cpf(spark, sf_dir):
 # ------------------------------------------------------------------ text
 
 def _strip_sql(x: str) -> str:
-    return f"regexp_replace(translate({x}, '{S.ACCENTED}', '{S.UNACCENTED}'), '[^\\x00-\\x7F]', '', 'g')"
+    # DuckDB's own decomposition, not the library's table
+    return f"regexp_replace(strip_accents({x}), '[^\\x00-\\x7F]', '', 'g')"
 
 
-_P = "|".join(S.NAME_PARTICLES)
+_P = "de|da|do|das|dos|e"
 TEXT_SQL = with_fixtures(f"""
 -- DuckDB upper-cases 'ß' to 'ẞ'; Python and Spark give 'SS', so the oracle spells it out.
 WITH t AS (SELECT conv_id, turn, text FROM conversations)

@@ -54,8 +54,7 @@ def statement_kind(df: DataFrame) -> tuple[str, DataFrame]:
 def preprocess_ancora(df: DataFrame, user_id: int = 0) -> DataFrame:
     """P12 + P15: names normalised, renamed and selected in order, day-first
     dates parsed, a constant inserting-user column added."""
-    import re
-    names = [re.sub(r"[^\w_]", "", IG.normalize_name_v2(c.lower())) for c in df.columns]
+    names = ["".join(ch for ch in IG.normalize_name_v2(c) if ch.isalnum() or ch == "_") for c in df.columns]
     df = df.toDF(*names)
     df = df.select(*[F.col(src).alias(dst) for src, dst in ANCORA_COLUMNS.items()])
     return (df.withColumn("data", D.parse_day_first(F.col("data")))

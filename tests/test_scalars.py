@@ -127,3 +127,30 @@ def test_month_and_elapsed_math_ignore_session_time_zone(spark):
         assert (r.m, r.d) == (1, 31)
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
+
+
+def test_accents_beyond_latin_1(spark):
+    from ledgerlens.functions import scalars as S
+
+    rows = [("Ńowak",), ("Šilva",), ("Ưng Ệ",), ("José ÇÃO",), ("straße ø",)]
+    df = spark.createDataFrame(rows, "t string")
+    got = [r[0] for r in df.select(S.accent_upper("t")).collect()]
+    assert got == ["NOWAK", "SILVA", "UNG E", "JOSE CAO", "STRAE"]
+
+
+def test_stored_null_words_are_exact(spark):
+    from ledgerlens.functions import scalars as S
+
+    words = ["nan", "NaT", "None", "NULL", "none", "nat", "", "NaN", "x"]
+    got = [r[0] for r in spark.createDataFrame([(w,) for w in words], "t string").select(S.null_words_to_null("t")).collect()]
+    assert got == [None, None, None, "NULL", "none", "nat", "", "NaN", "x"]
+
+
+def test_monthly_cutoff_at_month_ends(spark):
+    from ledgerlens.functions import dates as D
+
+    days = ["2024-02-10", "2023-02-28", "2024-01-31", "2024-04-30", "2024-12-31"]
+    df = spark.createDataFrame([(d,) for d in days], "d string").selectExpr("CAST(d AS DATE) AS d")
+    for limit, want in ((31, ["2024-02-29", "2023-02-28", "2024-01-31", "2024-04-30", "2024-12-31"]),
+                        (30, ["2024-02-29", "2023-02-28", "2024-02-29", "2024-04-30", "2025-01-30"])):
+        assert [str(r[0]) for r in df.select(D.monthly_cutoff("d", limit)).collect()] == want

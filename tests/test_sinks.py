@@ -154,3 +154,40 @@ def test_small_helpers(spark):
     scores = spark.createDataFrame([("1", 70.0)], "cpf string, chance_conversao double")
     cl = spark.createDataFrame([("1",), ("2",)], "cpf string")
     assert {r.cpf: r.chance_conversao for r in score_lookup(scores, cl).collect()} == {"1": 70.0, "2": None}  # M5
+
+
+def test_delimited_rows_with_too_many_fields_are_skipped(spark, tmp_path):
+    from ledgerlens.sources import ingest as IG
+
+    (tmp_path / "a.csv").write_text('a;b;c\n1;2;3\n4;5;6;7\n8;9\n"x;y";NA;nan\n"p;q";r;s;t\n;None;none\n', encoding="utf-8")
+    got = sorted(map(tuple, IG.read_delimited(spark, str(tmp_path / "a.csv")).collect()), key=str)
+    assert got == sorted([("1", "2", "3"), ("8", "9", None), ("x;y", None, None), (None, None, "none")], key=str)
+
+
+def test_row_hash_writes_numbers_with_four_places(spark):
+    import hashlib
+
+    from ledgerlens.sources import ingest as IG
+
+    df = spark.createDataFrame([(1.5, 7, "1.5", None)], "b double, a long, c string, d int")
+    row = IG.row_hash(df, compat=True).first()
+    assert row.row_hash == hashlib.sha256("7.00001.50001.5".encode()).hexdigest()
+
+
+def test_repeated_keys_never_repeat_rows(spark):
+    from ledgerlens.operators import merge as MG
+    from ledgerlens.operators import rates as R
+
+    target = spark.createDataFrame([(1, "a"), (2, "b")], "k int, v string")
+    updates = spark.createDataFrame([(1, "x"), (1, "z"), (3, "n"), (3, "m")], "k int, v string")
+    got = MG.merge(target, updates, ["k"], {"v": MG.OVERWRITE}, insert_missing=True)
+    assert sorted(map(tuple, got.collect())) == [(1, "z"), (2, "b"), (3, "n")]
+
+    history = spark.createDataFrame([(1, "10-12", "R", "12", 1.0, 1.0, 0.4, 0.4, "B", None, None)],
+                                    "id long, codigo string, descricao_banco string, prazo string, taxa_total double, taxa_vista double, "
+                                    "comissao_total double, comissao_vista double, banco string, data_inicio date, data_fim date")
+    file = spark.createDataFrame([("10", "R", "12", 2.0, 1.0, 0.4), ("10", "R", "12", 3.0, 1.0, 0.4)],
+                                 "codigo_regra string, descricao_regra string, faixa_parcela string, taxa_juros_sem_seguro double, "
+                                 "taxa_juros_com_seguro double, percentual_comissao_a_vista double")
+    out = R.scd2_apply(history, file, "2024-05-01", "B").collect()
+    assert sum(r.id == 1 for r in out) == 1 and [str(r.data_fim) for r in out if r.id == 1] == ["2024-04-30"]

@@ -34,17 +34,22 @@ def worker_state(name: str, make):
 
 
 class Memo(dict):
-    """A bounded memo of a pure function; emptied when full."""
+    """A bounded memo of a pure function.  When half full, its entries become
+    the old generation; those still in use move back at their next use."""
 
     def __init__(self, fn, limit: int = 500_000, longest: int = 64):
-        self.fn, self.limit, self.longest = fn, limit, longest
+        self.fn, self.half, self.longest, self.old = fn, limit // 2, longest, {}
 
     def __missing__(self, key):
-        value = self.fn(key)
-        if len(key) <= self.longest:
-            if len(self) >= self.limit:
-                self.clear()
-            self[key] = value
+        value = self.old.get(key)
+        if value is None:
+            value = self.fn(key)
+            if len(key) > self.longest:
+                return value
+        if len(self) >= self.half:
+            self.old = dict(self)
+            self.clear()
+        self[key] = value
         return value
 
 
@@ -132,3 +137,85 @@ def add_column(df: DataFrame, make, inputs: list[str], out: str, ddl: str, arrow
 
     schema = T.StructType([df.schema[c] for c in keep] + [T.StructField(out, T._parse_datatype_string(ddl))])
     return df.select(*dict.fromkeys([*keep, *inputs])).mapInArrow(run, schema)
+
+
+# ------------------------------------------------------------ hashed words
+
+SEGMENT = 1 << 20
+_BASE = 0x9E3779B97F4A7C15  # odd, so its powers have inverses modulo 2**64
+
+
+def _powers():
+    return (np.cumprod(np.full(SEGMENT + 1, _BASE, dtype=np.uint64)),
+            np.cumprod(np.full(SEGMENT + 1, pow(_BASE, -1, 1 << 64), dtype=np.uint64)))
+
+
+def cut_segments(buffer: bytes, most: int = SEGMENT):
+    """(start, part) of a buffer of words between spaces; a part is longer
+    than ``most`` only if it is one word."""
+    at = 0
+    while at < len(buffer):
+        end = min(at + most, len(buffer))
+        if end < len(buffer):
+            cut = buffer.rfind(b" ", at, end)
+            end = cut if cut > at else buffer.find(b" ", end)
+            end = end if end >= 0 else len(buffer)
+        yield at, buffer[at:end]
+        at = max(end, at + 1)
+
+
+def span_hashes(part: bytes, first: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """64-bit hashes of spans of bytes, wherever they stand: differences of a
+    running polynomial sum modulo 2**64.  Spans of over 64 bytes are hashed by
+    themselves."""
+    import xxhash
+
+    if len(part) <= SEGMENT:
+        power, inverse = worker_state("powers", _powers)
+        total = np.zeros(len(part) + 1, dtype=np.uint64)
+        np.cumsum((np.frombuffer(part, np.uint8).astype(np.uint64) + np.uint64(1)) * power[:len(part)], out=total[1:])
+        h = (total[end] - total[first]) * inverse[first]
+    else:
+        h = np.zeros(len(first), dtype=np.uint64)  # one word
+    for k in np.flatnonzero(end - first > 64):
+        h[k] = xxhash.xxh64_intdigest(part[first[k]:end[k]])
+    return mix64(h)
+
+
+def hashed_words(texts: list[str | None], table: bytes, tails: bool = False):
+    """The words of all texts as 64-bit hashes in one array, and their number
+    a text; with ``tails``, also each word's last three bytes.  ``table`` maps
+    bytes and puts spaces between words."""
+    raw = [t.encode("utf-8", "surrogatepass").translate(table) if t else b"" for t in texts]
+    buffer = b" ".join(raw)
+    starts = np.cumsum([0] + [len(r) + 1 for r in raw])
+    counts, hashes, ends = np.zeros(len(raw), dtype=np.int64), [np.zeros(0, np.uint64)], [np.zeros(0, np.uint32)]
+    for at, part in cut_segments(buffer):
+        b = np.frombuffer(part, np.uint8)
+        word = np.concatenate([[False], b != 32, [False]])
+        first, end = np.flatnonzero(word[1:] & ~word[:-1]), np.flatnonzero(word[:-1] & ~word[1:])
+        if not len(first):
+            continue
+        hashes.append(span_hashes(part, first, end))
+        counts += np.bincount(np.searchsorted(starts, first + at, "right") - 1, minlength=len(raw))
+        if tails:
+            last = np.zeros(len(first), dtype=np.uint32)
+            for k in (1, 2, 3):
+                inside = end - first >= k
+                last[inside] |= b[end[inside] - k].astype(np.uint32) << np.uint32(8 * (k - 1))
+            ends.append(last)
+    out = np.concatenate(hashes), counts
+    return (*out, np.concatenate(ends)) if tails else out
+
+
+def in_groups(rows, size_of, most: int = SEGMENT):
+    """Lists of rows whose sizes add up to about ``most``."""
+    held, size = [], 0
+    for row in rows:
+        held.append(row)
+        size += size_of(row)
+        if size >= most:
+            yield held
+            held, size = [], 0
+    if held:
+        yield held

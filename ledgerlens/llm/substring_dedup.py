@@ -14,14 +14,16 @@ run goes to the shard of its minimiser.
    of a bit table; the table's size is capped (``TABLE_BITS``), and past that
    it only lets more runs through.
 2. Runs that pass the table are grouped in their task by content: each
-   distinct run once with its smallest doc_id, and its places apart.
+   distinct run once with its smallest doc_id, and its places apart, packed
+   in one row a shard.
 3. A shard's distinct runs make one FM-index: suffixes sorted to the window's
    depth, their BWT in a wavelet matrix with packed bits and block counts.
    Runs are streamed through it: backward search extends each position's
    match word by word (matching statistics up to the threshold) and keeps the
-   suffix interval of those that reach it.  The least doc_id of the interval
-   decides; places of the run become removed word ranges.  A shard holds only
-   its distinct runs; places stream by.
+   suffix interval of those that reach it; a position whose interval is down
+   to one suffix has met only itself and is done.  The least doc_id of the
+   interval decides; places of the run become removed word ranges.  A shard
+   holds only its distinct runs; places stream by.
 4. Ranges meet their documents, and words are removed.
 
 Words are compared by 64-bit hashes (32 bits a word inside a run).  Null and
@@ -40,13 +42,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlens.llm.common import Memo, emit, mix64, rows_of, worker_state
+from ledgerlens.llm.common import emit, hashed_words, in_groups, mix64, rows_of
 
 WINDOW = 13
 KMER = 6
 TABLE_BITS = 1 << 29
-FLUSH = 4 << 20
+FLUSH = 16 << 20  # characters that a task groups at a time
 _SPACES = bytes(32 if 9 <= i <= 13 else i for i in range(256))
+_PLACE = np.dtype([("doc", "<i8"), ("crc", "<u4"), ("at", "<u4")])
 
 
 def split_words(text: str | None) -> list[bytes]:
@@ -54,13 +57,6 @@ def split_words(text: str | None) -> list[bytes]:
     return [w for w in text.encode("utf-8", "surrogatepass").translate(_SPACES).split(b" ") if w] if text else []
 
 
-def hash_words(words: list[bytes]) -> np.ndarray:
-    import xxhash
-
-    memo = worker_state("plain_word_hashes", lambda: Memo(lambda w: xxhash.xxh64_digest(w)))
-    return np.frombuffer(b"".join(map(memo.__getitem__, words)), dtype=">u8").astype(np.uint64)
-
-
 def minimisers(h: np.ndarray, window: int = WINDOW, kmer: int = KMER) -> np.ndarray:
     """The least part hash of each window (none if there are too few words)."""
     n = len(h) - window + 1
@@ -77,10 +73,41 @@ def minimisers(h: np.ndarray, window: int = WINDOW, kmer: int = KMER) -> np.ndar
     return least
 
 
-def runs(least: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """First window and number of windows of each run of one minimiser."""
-    first = np.flatnonzero(np.concatenate([[True], least[1:] != least[:-1]])) if len(least) else np.zeros(0, np.int64)
-    return first, np.diff(np.append(first, len(least)))
+class Corpus:
+    """Hashed words of some documents, end to end, and their runs."""
+
+    def __init__(self, texts: list[str]):
+        self.h, counts = hashed_words(texts, _SPACES)
+        ends = np.cumsum(counts)
+        self.first = ends - counts  # of each document
+        self.least = minimisers(self.h)
+        n = len(self.least)
+        owner = np.repeat(np.arange(len(texts)), counts)[:n]
+        inside = np.arange(n) + WINDOW <= ends[owner]
+        new = np.ones(n, dtype=bool)
+        new[1:] = (self.least[1:] != self.least[:-1]) | (owner[1:] != owner[:-1]) | ~inside[:-1]
+        # a run: its first window, its windows, its document
+        at = np.flatnonzero(new & inside)
+        stop = np.flatnonzero(inside & np.append(new[1:] | ~inside[1:], True)[:n])
+        self.at, self.windows, self.doc = at, stop - at + 1, owner[at]
+        self.m = self.least[at]
+
+    def contents(self, some: np.ndarray) -> np.ndarray:
+        """Hashes of the word sequences of some runs."""
+        n = self.windows[some] + WINDOW - 1
+        step = np.uint64(0x9E3779B97F4A7C15)
+        longest = int(n.max(initial=0))
+        if longest <= 64:  # sums over each word's place in the run
+            out, power = np.zeros(len(some), dtype=np.uint64), np.uint64(1)
+            for k in range(longest):
+                inside = n > k
+                out[inside] += mix64(self.h[self.at[some[inside]] + k]) * power
+                power *= step
+        else:
+            import xxhash
+
+            out = np.array([xxhash.xxh3_64_intdigest(self.h[a:a + b].tobytes()) for a, b in zip(self.at[some].tolist(), n.tolist())], dtype=np.uint64)
+        return mix64(out + n.astype(np.uint64))
 
 
 # --------------------------------------------------------------- FM-index
@@ -141,9 +168,11 @@ class FmIndex:
         at = np.minimum(np.searchsorted(self.words, seq), len(self.words) - 1)
         return np.where(self.words[at] == seq, at + 1, -1)
 
-    def matching_statistics(self, symbols: np.ndarray, ends: np.ndarray, limits: np.ndarray):
+    def matching_statistics(self, symbols: np.ndarray, ends: np.ndarray, limits: np.ndarray, indexed: bool = False):
         """For matches that end at ``ends`` and reach back ``limits`` words at
-        most (and ``depth``): their length, and suffix interval [lo, hi)."""
+        most (and ``depth``): their length, and suffix interval [lo, hi).
+        Of ``indexed`` sequences a match of one suffix is the sequence itself:
+        it is not followed to its full length."""
         length = np.zeros(len(ends), dtype=np.int64)
         lo, hi = np.zeros(len(ends), dtype=np.int64), np.full(len(ends), self.n, dtype=np.int64)
         alive = np.arange(len(ends))
@@ -157,6 +186,8 @@ class FmIndex:
             alive = alive[ok]
             lo[alive], hi[alive] = a[ok], b[ok]
             length[alive] += 1
+            if indexed:
+                alive = alive[hi[alive] - lo[alive] > 1]
             if not len(alive):
                 break
         return length, lo, hi
@@ -169,15 +200,16 @@ def least_owners(texts: list[np.ndarray], docs: np.ndarray, window: int = WINDOW
     flat = index.symbols(np.concatenate(texts))
     starts = np.cumsum([0] + [len(t) for t in texts])
     ends = np.concatenate([np.arange(a + window - 1, b) for a, b in zip(starts, starts[1:])])
-    length, lo, hi = index.matching_statistics(flat, ends, np.full(len(ends), window))
-    if not (length == window).all():
-        raise AssertionError("a text's own window is missing from its index")
+    length, lo, hi = index.matching_statistics(flat, ends, np.full(len(ends), window), indexed=True)
     held = docs[index.owner]
-    uniq, back = np.unique(lo, return_inverse=True)
-    until = np.zeros(len(uniq), dtype=np.int64)
-    until[back] = hi
-    cut = np.column_stack([uniq, until]).ravel()  # intervals of equal length are equal or apart
-    least = np.minimum.reduceat(np.append(held, 2**63 - 1), cut)[::2][back]
+    least = held[lo]  # of a single suffix, and of one document's repeats
+    many = np.flatnonzero(hi - lo > 1)
+    if len(many):
+        if not (length[many] == window).all():
+            raise AssertionError("a text's own window is missing from its index")
+        uniq, at, back = np.unique(lo[many], return_index=True, return_inverse=True)
+        cut = np.column_stack([uniq, hi[many][at]]).ravel()  # intervals of equal length are equal or apart
+        least[many] = np.minimum.reduceat(np.append(held, 2**63 - 1), cut)[::2][back]
     return np.split(least, np.cumsum([len(t) - window + 1 for t in texts])[:-1])
 
 
@@ -199,24 +231,23 @@ def _repeated(docs: DataFrame, buckets: int, bits: int, flush: int) -> np.ndarra
 
     def gather(batches):
         def rows():
-            held, size = [], 0
-            for (text,) in rows_of(batches, "text"):
-                held.append(np.unique(minimisers(hash_words(split_words(text)))))
-                size += len(held[-1])
-                if size >= flush:
-                    yield from packed(held)
-                    held, size = [], 0
-            yield from packed(held)
-
-        def packed(held):
-            m, n = np.unique(np.concatenate([*held, np.zeros(0, np.uint64)]), return_counts=True)
-            bucket = (m % np.uint64(buckets)).astype(np.int64)
-            order = np.argsort(bucket, kind="stable")
-            m, n, bucket = m[order], n[order], bucket[order]
-            cut = np.searchsorted(bucket, np.arange(buckets + 1))
-            for b in np.unique(bucket).tolist():
-                mine, many = m[cut[b]:cut[b + 1]], n[cut[b]:cut[b + 1]] > 1
-                yield b, mine[~many].tobytes(), mine[many].tobytes()
+            for held in in_groups(rows_of(batches, "text"), lambda r: len(r[0] or ""), flush):
+                corpus = Corpus([t for t, in held])
+                if not len(corpus.m):
+                    continue
+                # minimisers by their first run; more, if a later one is another document's
+                order = np.lexsort((corpus.doc, corpus.m))
+                m, doc = corpus.m[order], corpus.doc[order]
+                first = np.flatnonzero(np.append(True, m[1:] != m[:-1])[:len(m)])
+                last = np.append(first[1:], len(m)) - 1
+                m, many = m[first], doc[first] != doc[last]
+                bucket = (m % np.uint64(buckets)).astype(np.int64)
+                order = np.argsort(bucket, kind="stable")
+                m, many, bucket = m[order], many[order], bucket[order]
+                cut = np.searchsorted(bucket, np.arange(buckets + 1))
+                for b in np.unique(bucket).tolist():
+                    mine, more = m[cut[b]:cut[b + 1]], many[cut[b]:cut[b + 1]]
+                    yield b, mine[~more].tobytes(), mine[more].tobytes()
 
         yield from emit(schema, rows())
 
@@ -254,53 +285,95 @@ def _repeated(docs: DataFrame, buckets: int, bits: int, flush: int) -> np.ndarra
 
 
 def _candidates(docs: DataFrame, table, buckets: int, bits: int, shards: int, flush: int) -> DataFrame:
-    """Distinct runs (kind 0: words and least doc_id) and their places (kind
-    1: doc_id, crc32 of the text, first word) of each task."""
-    schema = pa.schema([("shard", pa.int64()), ("kind", pa.int64()), ("run", pa.int64()), ("doc_id", pa.int64()), ("data", pa.binary())])
+    """Distinct runs (kind 0: hashes, least doc_ids, lengths, words) and their
+    places (kind 1: hashes, counts, places) of each task, packed by shard."""
+    schema = pa.schema([("shard", pa.int64()), ("kind", pa.int64()), ("data", pa.binary())])
 
     def gather(batches):
-        import xxhash
-
         bit_table = table.value
-        place_type = np.dtype([("doc", "<i8"), ("crc", "<u4"), ("at", "<u4")])
 
         def rows():
-            held, size = {}, 0
-            for doc_id, text in rows_of(batches, "doc_id", "text"):
-                h = hash_words(split_words(text))
-                least = minimisers(h)
-                if not len(least):
-                    continue
-                first, count = runs(least)
-                m = least[first]
-                place = _place(m, buckets, bits).astype(np.int64)
+            for held in in_groups(rows_of(batches, "doc_id", "text"), lambda r: len(r[1] or ""), flush):
+                corpus = Corpus([t for _, t in held])
+                place = _place(corpus.m, buckets, bits).astype(np.int64)
                 hit = np.flatnonzero((bit_table[place >> 3] >> (place & 7).astype(np.uint8)) & 1)
                 if not len(hit):
                     continue
-                crc, short = zlib.crc32(text.encode("utf-8", "surrogatepass")), h.astype(np.uint32)
-                for a, n, key in zip(first[hit].tolist(), count[hit].tolist(), mix64(m[hit]).tolist()):
-                    b = a + n + WINDOW - 1
-                    run = xxhash.xxh3_64_intdigest(h[a:b].tobytes())
-                    entry = held.get(run)
-                    if entry is None:
-                        held[run] = entry = (key % shards, short[a:b].tobytes(), [])
-                        size += n + WINDOW
-                    entry[2].append((doc_id, crc, a))
-                    size += 4
-                if size >= flush:
-                    yield from flushed(held)
-                    held, size = {}, 0
-            yield from flushed(held)
-
-        def flushed(held):
-            for run, (shard, words, places) in held.items():
-                signed = run - (1 << 64) if run >> 63 else run
-                yield shard, 0, signed, min(p[0] for p in places), words
-                yield shard, 1, signed, None, np.array(places, dtype=place_type).tobytes()
+                ids = np.array([i for i, _ in held], dtype=np.int64)
+                crcs = np.array([zlib.crc32(t.encode("utf-8", "surrogatepass")) if t else 0 for _, t in held], dtype=np.uint32)
+                shard, run = (mix64(corpus.m[hit]) % np.uint64(shards)).astype(np.int64), corpus.contents(hit)
+                order = np.lexsort((ids[corpus.doc[hit]], run, shard))
+                hit, shard, run = hit[order], shard[order], run[order]
+                places = np.zeros(len(hit), dtype=_PLACE)
+                places["doc"], places["crc"] = ids[corpus.doc[hit]], crcs[corpus.doc[hit]]
+                places["at"] = corpus.at[hit] - corpus.first[corpus.doc[hit]]
+                first = np.flatnonzero(np.append(True, (run[1:] != run[:-1]) | (shard[1:] != shard[:-1]))[:len(hit)])
+                count = np.diff(np.append(first, len(hit)))
+                n = corpus.windows[hit[first]] + WINDOW - 1
+                words = corpus.h[np.repeat(corpus.at[hit[first]] - np.cumsum(n) + n, n) + np.arange(int(n.sum()))].astype("<u4")
+                start = np.cumsum(n) - n
+                cut = np.append(np.flatnonzero(np.append(True, shard[first][1:] != shard[first][:-1])[:len(first)]), len(first))
+                for a, b in zip(cut[:-1].tolist(), cut[1:].tolist()):
+                    here, some = int(shard[first[a]]), run[first[a:b]].tobytes()
+                    yield here, 0, pack(some, places["doc"][first[a:b]].tobytes(), n[a:b].astype("<u4").tobytes(),
+                                        words[start[a]:start[b - 1] + n[b - 1]].tobytes())
+                    yield here, 1, pack(some, count[a:b].astype("<u4").tobytes(), places[first[a]:first[b - 1] + count[b - 1]].tobytes())
 
         yield from emit(schema, rows())
 
-    return docs.where(F.col("doc_id").isNotNull()).mapInArrow(gather, "shard long, kind long, run long, doc_id long, data binary")
+    return docs.where(F.col("doc_id").isNotNull()).mapInArrow(gather, "shard long, kind long, data binary")
+
+
+def pack(*parts: bytes) -> bytes:
+    return b"".join([np.array([len(parts), *map(len, parts)], dtype="<i8").tobytes(), *parts])
+
+
+def unpack(data: bytes) -> list[bytes]:
+    n = int(np.frombuffer(data, "<i8", 1)[0])
+    ends = 8 * (n + 1) + np.cumsum(np.frombuffer(data, "<i8", n, 8))
+    return [data[a:b] for a, b in zip([8 * (n + 1), *ends[:-1].tolist()], ends.tolist())]
+
+
+class Shard:
+    """Its distinct runs, and for each window the least doc_id."""
+
+    def __init__(self, parts: list[bytes]):
+        run, doc, n, words = zip(*map(unpack, parts))
+        run = np.frombuffer(b"".join(run), np.uint64)
+        doc, n = np.frombuffer(b"".join(doc), "<i8"), np.frombuffer(b"".join(n), "<u4").astype(np.int64)
+        words = np.frombuffer(b"".join(words), "<u4")
+        start = np.cumsum(n) - n
+        order = np.lexsort((doc, run))
+        first = order[np.flatnonzero(np.append(True, run[order][1:] != run[order][:-1]))]
+        self.run = run[first]
+        least = least_owners([words[a:a + b] for a, b in zip(start[first].tolist(), n[first].tolist())], doc[first])
+        self.windows = n[first] - WINDOW + 1
+        self.start = np.cumsum(self.windows) - self.windows
+        self.least = np.concatenate(least)
+
+    def ranges(self, data: bytes):
+        """doc, crc and removed word ranges of the places in one row."""
+        run, count, places = unpack(data)
+        places = np.frombuffer(places, _PLACE)
+        entry = np.repeat(np.searchsorted(self.run, np.frombuffer(run, np.uint64)), np.frombuffer(count, "<u4"))
+        n = self.windows[entry]
+        place = np.repeat(np.arange(len(places)), n)
+        inner = np.arange(len(place)) - np.repeat(np.cumsum(n) - n, n)
+        gone = self.least[np.repeat(self.start[entry], n) + inner] < places["doc"][place]
+        place, inner = place[gone], inner[gone]
+        if not len(place):
+            return
+        # windows of one place that touch are one range
+        new = np.append(True, (place[1:] != place[:-1]) | (inner[1:] > inner[:-1] + WINDOW))
+        a = np.flatnonzero(new)
+        b = np.append(a[1:], len(place)) - 1
+        pairs = np.column_stack([inner[a], inner[b] + WINDOW]) + places["at"][place[a]][:, None]
+        at, key = place[a], places[place[a]]
+        order = np.lexsort((at, key["crc"], key["doc"]))
+        pairs, key = pairs[order].astype("<u4"), key[order]
+        cut = np.append(np.flatnonzero(np.append(True, (key["doc"][1:] != key["doc"][:-1]) | (key["crc"][1:] != key["crc"][:-1]))), len(key))
+        for i, j in zip(cut[:-1].tolist(), cut[1:].tolist()):
+            yield int(key["doc"][i]), int(key["crc"][i]), pairs[i:j].tobytes()
 
 
 def _ranges(candidates: DataFrame) -> DataFrame:
@@ -308,34 +381,21 @@ def _ranges(candidates: DataFrame) -> DataFrame:
     schema = pa.schema([("doc_id", pa.int64()), ("crc", pa.int64()), ("ranges", pa.binary())])
 
     def search(batches):
-        place_type = np.dtype([("doc", "<i8"), ("crc", "<u4"), ("at", "<u4")])
-
         def rows():
-            key, texts, least = None, {}, None
-            for shard, kind, run, doc_id, data in rows_of(batches, "shard", "kind", "run", "doc_id", "data"):
-                if shard != key:
-                    key, texts, least = shard, {}, None
+            key, parts, shard = None, [], None
+            for here, kind, data in rows_of(batches, "shard", "kind", "data"):
+                if here != key:
+                    key, parts, shard = here, [], None
                 if kind == 0:
-                    old = texts.get(run)
-                    texts[run] = (data, doc_id if old is None else min(old[1], doc_id))
-                    continue
-                if least is None:
-                    got = least_owners([np.frombuffer(t, np.uint32) for t, _ in texts.values()],
-                                       np.array([d for _, d in texts.values()], dtype=np.int64))
-                    least, texts = dict(zip(texts, got)), {}
-                places, owners = np.frombuffer(data, place_type), least[run]
-                if owners.min() >= places["doc"].max():
+                    parts.append(data)
                     continue
-                for doc, crc, at in places.tolist():
-                    gone = np.flatnonzero(owners < doc)
-                    if len(gone):
-                        split = np.flatnonzero(np.diff(gone) > WINDOW)
-                        a, b = gone[np.append(0, split + 1)], gone[np.append(split, len(gone) - 1)] + WINDOW
-                        yield doc, crc, (np.column_stack([a, b]) + at).astype("<u4").tobytes()
+                if shard is None:
+                    shard, parts = Shard(parts), []
+                yield from shard.ranges(data)
 
         yield from emit(schema, rows())
 
-    return candidates.repartition("shard").sortWithinPartitions("shard", "kind", "run") \
+    return candidates.repartition("shard").sortWithinPartitions("shard", "kind") \
         .mapInArrow(search, "doc_id long, crc long, ranges binary")
 
 

@@ -189,39 +189,49 @@ def commission_flags(statements: DataFrame, as_of, start_date: str, days: int =
     return statements.withColumn("_in_window", window)
 
 
-def report(statements: DataFrame, production: DataFrame, pairs: DataFrame, as_of,
+# The report's blocks, by priority.
+REPORT_BLOCKS = ["PAGAMENTOS", "NAO_ENCONTRADOS_ECB", "COMISSAO_NULA", "COMISSAO_ZERO", "PAGO"]
+REPORT_COLUMNS = {"nom_banco": "string", "num_proposta": "string", "num_contrato": "string", "val_comissao": "decimal(18,2)",
+                  "status_producao": "string", "tipo_operacao": "string", "val_liberado": "decimal(18,2)",
+                  "dat_credito": "timestamp_ntz", "data_esperada_pgto": "date", "status_pgto": "string"}
+
+
+def _block(df: DataFrame, name: str, id_col: str) -> DataFrame:
+    """Rows in the report's columns; those a source lacks are NULL."""
+    cols = [(F.col(c) if c in df.columns else F.lit(None)).cast(t).alias(c) for c, t in REPORT_COLUMNS.items()]
+    return df.select(*cols, F.lit(name).alias("tabela"), F.col(id_col).alias("_rid"),
+                     F.lit(REPORT_BLOCKS.index(name) + 1).alias("prioridade"))
+
+
+def commission_blocks(statements: DataFrame, as_of, start_date: str) -> dict[str, DataFrame]:
+    """COMISSAO_NULA and COMISSAO_ZERO: lines without a commission, or with
+    none, inside the filter window."""
+    flagged = commission_flags(statements, as_of, start_date).filter("_in_window").drop("_in_window")
+    amount = F.col("val_comissao").try_cast("decimal(18,2)")
+    return {"COMISSAO_NULA": flagged.filter(F.col("val_comissao").isNull()), "COMISSAO_ZERO": flagged.filter(amount == 0)}
+
+
+def report(statements: DataFrame, production: DataFrame, pairs: DataFrame, payments: DataFrame, as_of,
            start_date: str, days_back: int = 63) -> DataFrame:
-    """C14 'REPORT': prioritised union of unmatched production (2), null
+    """C14 'REPORT': prioritised union of payments due (1: contracts with
+    their expected date and status), unmatched production (2), null
     commission (3), zero commission (4) and paid lines (5), credited within
     ``days_back`` days; one row per proposal (NULL proposals form one group,
     as in the reference), highest priority first; two banks excluded (NULL
     bank kept, trap T21).  The per-proposal pick is a partial aggregate."""
-    flagged = commission_flags(statements, as_of, start_date)
-    cols = ["nom_banco", "num_proposta", "num_contrato", "val_comissao", "status_producao",
-            "val_liberado", "dat_credito", "tabela", "_rid"]
-    st = lambda df, tab: df.select(
-        "nom_banco", "num_proposta", "num_contrato", F.col("val_comissao").cast("decimal(18,2)").alias("val_comissao"),
-        "status_producao", F.col("val_liberado").cast("decimal(18,2)").alias("val_liberado"),
-        F.col("dat_credito").cast("timestamp_ntz").alias("dat_credito"),
-        F.lit(tab).alias("tabela"), F.col("src_id").alias("_rid"))
-    nao_ecb = unmatched(production, pairs, "id").select(
-        F.lit(None).cast("string").alias("nom_banco"), F.col("numero_proposta").alias("num_proposta"),
-        F.col("numero_contrato").alias("num_contrato"), F.col("valor_comissao").cast("decimal(18,2)").alias("val_comissao"),
-        F.lit(None).cast("string").alias("status_producao"),
-        F.col("valor_liberado").cast("decimal(18,2)").alias("val_liberado"),
-        F.col("data_contrato").cast("timestamp_ntz").alias("dat_credito"),
-        F.lit("NAO_ENCONTRADOS_ECB").alias("tabela"), F.col("id").alias("_rid"))
-    nula = st(flagged.filter(F.col("val_comissao").isNull() & F.col("_in_window")), "COMISSAO_NULA")
-    zero = st(flagged.filter((F.col("val_comissao") == 0) & F.col("_in_window")), "COMISSAO_ZERO")
-    pago = st(flagged.filter(F.col("val_comissao").isNotNull() & (F.col("status_producao") == "pago")), "PAGO")
-    parts = [(nao_ecb, 2), (nula, 3), (zero, 4), (pago, 5)]
-    stacked = reduce(lambda a, b: a.unionByName(b),
-                     [d.select(*cols).withColumn("prioridade", F.lit(p)) for d, p in parts])
+    flagged = commission_blocks(statements, as_of, start_date)
+    unpaired = unmatched(production, pairs, "id").select(
+        "id", F.col("numero_proposta").alias("num_proposta"), F.col("numero_contrato").alias("num_contrato"),
+        F.col("valor_comissao").alias("val_comissao"), F.col("valor_liberado").alias("val_liberado"),
+        F.col("data_contrato").alias("dat_credito"))
+    paid = statements.filter(F.col("val_comissao").isNotNull() & (F.col("status_producao") == "pago"))
+    parts = [_block(payments, "PAGAMENTOS", "src_id"), _block(unpaired, "NAO_ENCONTRADOS_ECB", "id"),
+             *[_block(df, name, "src_id") for name, df in flagged.items()], _block(paid, "PAGO", "src_id")]
     since = ts_ntz(as_of) - F.expr(f"INTERVAL {days_back} DAYS")
-    stacked = stacked.filter(F.col("dat_credito").isNotNull() & (F.col("dat_credito") >= since))
+    stacked = reduce(DataFrame.unionByName, parts).filter(F.col("dat_credito").isNotNull() & (F.col("dat_credito") >= since))
     # keep the first row per proposal by (priority asc, id asc): max over negated order
     stacked = stacked.withColumn("_neg_p", -F.col("prioridade")).withColumn("_neg_id", -F.col("_rid"))
-    payload = [c for c in cols if c not in ("num_proposta", "_rid")]
+    payload = [c for c in [*REPORT_COLUMNS, "tabela"] if c != "num_proposta"]
     best = latest_per_key(stacked, ["num_proposta"], ["_neg_p", "_neg_id"], payload)
     return best.filter(~F.coalesce(F.col("nom_banco").isin(*REPORT_EXCLUDED_BANKS), F.lit(False)))
 

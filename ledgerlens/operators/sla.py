@@ -224,6 +224,14 @@ def expected_payment_date(contracts: DataFrame, rules: DataFrame, date_col: str
     return j.select(*keep, final.alias("data_esperada_pgto"))
 
 
+def awaiting_payment(contracts: DataFrame, since: str, platform: str = "NOVA") -> DataFrame:
+    """C11: contracts of one platform without a confirmation date, credited
+    on or after ``since`` or not yet."""
+    credited = F.col("dat_credito")
+    return contracts.filter(F.col("dat_confirmacao").isNull() & (F.col("plataforma") == platform)
+                            & (credited.isNull() | (credited >= F.lit(since).cast("timestamp_ntz"))))
+
+
 def payment_status(df: DataFrame, as_of) -> DataFrame:
     """C11: AGUARDANDO RELATÓRIO (no date), PAGAR HOJE, ATRASO, EM DIA."""
     today = F.to_date(D.ts_ntz(as_of))

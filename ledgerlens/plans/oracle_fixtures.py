@@ -111,7 +111,9 @@ SELECT (g.l_orderkey * 8 + g.l_linenumber) * 1048576 + g.l_partkey AS src_id,
        'CONVENIO ' || upper(p.p_brand) AS dsc_convenio,
        CAST(g.l_linenumber AS INTEGER) AS prazo,
        g.price AS val_bruto,
-       CASE WHEN g.l_linenumber % 2 = 0 THEN 'REFIN' ELSE 'NOVO' END AS tipo_operacao
+       CASE WHEN g.l_linenumber % 2 = 0 THEN 'REFIN' ELSE 'NOVO' END AS tipo_operacao,
+       CASE WHEN g.flag = 'A' THEN CAST(CAST(g.ship AS DATE) + 40 AS TIMESTAMP) END AS dat_confirmacao,
+       CASE WHEN g.l_orderkey % 5 = 2 THEN 'BB' ELSE 'NOVA' END AS plataforma
 FROM g JOIN orders o ON g.l_orderkey = o.o_orderkey LEFT JOIN part p ON g.l_partkey = p.p_partkey
 """
 

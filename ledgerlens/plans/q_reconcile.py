@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 from ledgerlens.operators import reconcile as RC
 from ledgerlens.session import cut_lineage
 from ledgerlens.plans.oracle_fixtures import with_fixtures
+from ledgerlens.operators import sla as SL
+from ledgerlens.plans.q_sla import atraso_sql_body, payments_due
 from ledgerlens.plans.registry import query
 from ledgerlens.plans.sql_snippets import AS_OF_ORDERS_SQL as T, digits_sql
 from ledgerlens.sources import fixtures as X
@@ -29,7 +31,7 @@ def cpf_mask_sql(x: str) -> str:
 _PREP = f"""
 st AS (
   SELECT src_id, nom_banco, banco_id, num_proposta, num_contrato, val_comissao, val_repasse, val_liberado,
-         status_producao, dat_credito, dsc_produto, dsc_convenio, prazo,
+         status_producao, tipo_operacao, dat_credito, dsc_produto, dsc_convenio, prazo,
          dat_emprestimo AS data_emprestimo, dat_credito AS data_contrato,
          {clean_key_sql('num_proposta')} AS numero_proposta, {clean_key_sql('num_contrato')} AS numero_contrato,
          {cpf_mask_sql('cliente_id')} AS cliente_id, CAST(val_liberado AS DECIMAL(18,2)) AS valor_liberado
@@ -159,36 +161,33 @@ def comissao_recalculada(spark, sf_dir):
     return RC.expected_commission(st, best).select("src_id", "val_comissao_total")
 
 
+# the payment block is the payment query's own SQL
+_PAY = atraso_sql_body(SL.DEFAULT_SLA)
+_REPORT_COLS = "nom_banco, num_proposta, num_contrato, val_comissao, status_producao, tipo_operacao, val_liberado, dat_credito"
 REPORT_SQL = with_fixtures(_BASE + f""",
-fl AS (SELECT *, ((CAST(data_contrato AS DATE) >= CAST({T} AS DATE) - INTERVAL 30 DAY
-                   AND CAST(data_contrato AS DATE) >= DATE '{START_DATE}') OR data_contrato IS NULL) AS in_window FROM st),
-stacked AS (
-  SELECT CAST(NULL AS VARCHAR) AS nom_banco, numero_proposta AS num_proposta, numero_contrato AS num_contrato,
-         CAST(valor_comissao AS DECIMAL(18,2)) AS val_comissao, CAST(NULL AS VARCHAR) AS status_producao,
-         CAST(valor_liberado AS DECIMAL(18,2)) AS val_liberado, data_contrato AS dat_credito,
-         'NAO_ENCONTRADOS_ECB' AS tabela, id AS rid, 2 AS prioridade
-  FROM prod WHERE id NOT IN (SELECT id FROM pairs)
-  UNION ALL SELECT nom_banco, num_proposta, num_contrato, CAST(val_comissao AS DECIMAL(18,2)), status_producao,
-         CAST(val_liberado AS DECIMAL(18,2)), dat_credito, 'COMISSAO_NULA', src_id, 3 FROM fl
-  WHERE val_comissao IS NULL AND in_window
-  UNION ALL SELECT nom_banco, num_proposta, num_contrato, CAST(val_comissao AS DECIMAL(18,2)), status_producao,
-         CAST(val_liberado AS DECIMAL(18,2)), dat_credito, 'COMISSAO_ZERO', src_id, 4 FROM fl
-  WHERE val_comissao = 0 AND in_window
-  UNION ALL SELECT nom_banco, num_proposta, num_contrato, CAST(val_comissao AS DECIMAL(18,2)), status_producao,
-         CAST(val_liberado AS DECIMAL(18,2)), dat_credito, 'PAGO', src_id, 5 FROM fl
-  WHERE val_comissao IS NOT NULL AND status_producao = 'pago'),
-f AS (SELECT *, row_number() OVER (PARTITION BY num_proposta ORDER BY prioridade, rid) AS rn FROM stacked
-      WHERE dat_credito IS NOT NULL AND dat_credito >= {T} - INTERVAL 63 DAY)
-SELECT nom_banco, num_proposta, num_contrato, val_comissao, status_producao, val_liberado, dat_credito, tabela
-FROM f WHERE rn = 1 AND (nom_banco IS NULL OR nom_banco NOT IN ('BANCO DO BRASIL', 'SABEMI'))""", _FIX)
+recente AS (SELECT *, ifnull(data_contrato::DATE >= greatest({T}::DATE - 30, DATE '{START_DATE}'), true) AS dentro FROM st),
+blocos AS (
+  SELECT 1 AS p, 'PAGAMENTOS' AS tabela, c.src_id AS rid, c.nom_banco, c.num_proposta, c.num_contrato, c.val_comissao,
+         c.status_producao, c.tipo_operacao, c.val_liberado, c.dat_credito, pg.data_esperada_pgto, pg.status_pgto
+  FROM contratos_bancos c JOIN ({_PAY}) pg ON pg.src_id = c.src_id
+  UNION ALL BY NAME
+  SELECT 2 AS p, 'NAO_ENCONTRADOS_ECB' AS tabela, id AS rid, numero_proposta AS num_proposta, numero_contrato AS num_contrato,
+         valor_comissao AS val_comissao, valor_liberado AS val_liberado, data_contrato AS dat_credito
+  FROM prod ANTI JOIN pairs USING (id)
+  UNION ALL BY NAME SELECT 3 AS p, 'COMISSAO_NULA' AS tabela, src_id AS rid, {_REPORT_COLS} FROM recente WHERE dentro AND val_comissao IS NULL
+  UNION ALL BY NAME SELECT 4 AS p, 'COMISSAO_ZERO' AS tabela, src_id AS rid, {_REPORT_COLS} FROM recente WHERE dentro AND val_comissao = 0
+  UNION ALL BY NAME SELECT 5 AS p, 'PAGO' AS tabela, src_id AS rid, {_REPORT_COLS} FROM st
+  WHERE status_producao = 'pago' AND val_comissao IS NOT NULL)
+SELECT * EXCLUDE (p, rid) REPLACE (val_comissao::DECIMAL(18,2) AS val_comissao, val_liberado::DECIMAL(18,2) AS val_liberado)
+FROM (FROM blocos WHERE dat_credito >= {T} - INTERVAL 63 DAY
+      QUALIFY row_number() OVER (PARTITION BY num_proposta ORDER BY p, rid) = 1)
+WHERE ifnull(nom_banco, '') NOT IN ('SABEMI', 'BANCO DO BRASIL')""", _FIX)
 
 
 @query("report_conciliacao", REPORT_SQL, headline=True)
 def report_conciliacao(spark, sf_dir):
     st, prod, pairs = _pairs(spark, sf_dir)
-    return RC.report(st, prod, pairs, AS_OF, START_DATE).select(
-        "nom_banco", "num_proposta", "num_contrato", "val_comissao", "status_producao", "val_liberado",
-        "dat_credito", "tabela")
+    return RC.report(st, prod, pairs, payments_due(spark, sf_dir), AS_OF, START_DATE)
 
 
 @query("semelhanca_convenios")

@@ -233,6 +233,8 @@ def bank_statements(spark: SparkSession, sf_dir: str) -> DataFrame:
         ln.cast("int").alias("prazo"),
         F.col("_price").alias("val_bruto"),
         F.when(F.pmod(ln, F.lit(2)) == 0, F.lit("REFIN")).otherwise(F.lit("NOVO")).alias("tipo_operacao"),
+        F.when(F.col("_flag") == "A", F.date_add(F.to_date("_ship"), 40).cast("timestamp_ntz")).alias("dat_confirmacao"),
+        F.when(bank == 2, F.lit("BB")).otherwise(F.lit("NOVA")).alias("plataforma"),
     )
 
 

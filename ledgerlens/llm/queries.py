@@ -39,7 +39,7 @@ def tokenizer_file(name: str) -> str:
 @query("op1_token_binary")
 def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     files = token_binary.write_tokens(table(spark, sf_dir, "documents"), tokenizer_file("word_bpe_49k.json"))
-    return token_binary.with_crc(token_binary.read_tokens(files))
+    return token_binary.read_tokens(files, digest=True)
 
 
 @query("op2_lsh_forest")

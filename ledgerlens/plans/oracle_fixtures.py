@@ -169,7 +169,7 @@ CRM_TAGS = """
 SELECT conv_id AS contato_id,
        CAST(CASE turn % 4 WHEN 0 THEN 30 WHEN 1 THEN 20 WHEN 2 THEN 15 ELSE 99 END AS INTEGER) AS etiqueta_id,
        TIMESTAMP '2024-01-20 00:00:00' + to_hours(CAST(turn AS BIGINT)) AS data_etiqueta
-FROM conversations WHERE conv_id % 3 = 0
+FROM conversations
 """
 
 CAMPAIGN_PRODUCTION = """
@@ -197,9 +197,10 @@ FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey JOIN customer c ON
 
 INSURANCE_SALES = """
 SELECT lpad(CAST(c_custkey AS VARCHAR), 11, '0') AS cliente_id,
-       '(' || CAST(11 + c_custkey % 89 AS VARCHAR) || ') 9' || lpad(CAST((c_custkey * 7919) % 100000000 AS VARCHAR), 8, '0')
-         AS telefone_venda
-FROM customer WHERE c_custkey % 2 = 0
+       CASE c_custkey % 2 WHEN 0 THEN
+         '(' || CAST(11 + c_custkey % 89 AS VARCHAR) || ') 9' || lpad(CAST((c_custkey * 7919) % 100000000 AS VARCHAR), 8, '0')
+       END AS telefone_venda
+FROM customer
 """
 
 MONTHLY_INDEX = """
@@ -236,14 +237,14 @@ FROM customer
 """
 
 CAMPAIGN_MEMBERS = """
-SELECT CAST(CASE WHEN c_custkey % 3 = 0 THEN 9011 WHEN c_custkey % 3 = 1 THEN 15422 ELSE 777 END AS BIGINT) AS campanha_id,
+SELECT CAST(CASE WHEN c_custkey % 13 <> 0 THEN NULL WHEN c_custkey % 3 = 0 THEN 9011 WHEN c_custkey % 3 = 1 THEN 15422 ELSE 777 END AS BIGINT) AS campanha_id,
        c_custkey AS cliente_id, CASE WHEN c_custkey % 39 <> 0 THEN c_custkey % 7 + 100 END AS usuario_id
-FROM customer WHERE c_custkey % 13 = 0
+FROM customer
 """
 
 CONTACT_LOG = """
-SELECT o_orderkey AS id, o_custkey AS relacao_id, CAST(9011 AS BIGINT) AS campanha_id, o_orderdate AS dataregistro
-FROM orders WHERE o_orderkey % 50 = 0
+SELECT o_orderkey AS id, o_custkey AS relacao_id, CAST(CASE WHEN o_orderkey % 50 = 0 THEN 9011 END AS BIGINT) AS campanha_id, o_orderdate AS dataregistro
+FROM orders
 """
 
 INSURANCE_QUERIES = """
@@ -266,7 +267,7 @@ FROM events WHERE event_type = 'purchase'
 
 ADDRESSES = """
 SELECT c_custkey * 10 + 1 AS id, c_custkey AS cliente_id, (['AC', 'AL', 'AM', 'AP', 'BA', 'CE', 'DF', 'ES', 'GO', 'MA', 'MG', 'MS', 'MT', 'PA', 'PB', 'PE', 'PI', 'PR', 'RJ', 'RN', 'RO', 'RR', 'RS', 'SC', 'SE', 'SP', 'TO'])[c_nationkey % 27 + 1] AS uf
-FROM customer WHERE c_custkey % 4 <> 0
+FROM customer
 UNION ALL
 SELECT c_custkey * 10 + 2, c_custkey, (['AC', 'AL', 'AM', 'AP', 'BA', 'CE', 'DF', 'ES', 'GO', 'MA', 'MG', 'MS', 'MT', 'PA', 'PB', 'PE', 'PI', 'PR', 'RJ', 'RN', 'RO', 'RR', 'RS', 'SC', 'SE', 'SP', 'TO'])[(c_nationkey + 5) % 27 + 1]
 FROM customer WHERE c_custkey % 8 = 1
@@ -282,10 +283,10 @@ SELECT o_orderkey AS id, CASE WHEN o_orderkey % 3 = 0 THEN 'empresa' ELSE 'clien
             ELSE 'Contato <b>>(' || CAST(11 + o_custkey % 89 AS VARCHAR) || ')9'
                  || lpad(CAST((o_custkey * 7919) % 100000000 AS VARCHAR), 8, '0') || '<</b> ok' END AS texto,
        o_orderdate AS dataregistro
-FROM orders WHERE o_orderkey % 7 = 0
+FROM orders
 """
 
-STAFF_USERS = "SELECT s_suppkey AS id, 'user' || CAST(s_suppkey AS VARCHAR) AS login FROM supplier WHERE s_suppkey BETWEEN 1 AND 10"
+STAFF_USERS = "SELECT s_suppkey AS id, 'user' || CAST(s_suppkey AS VARCHAR) AS login FROM supplier"
 
 FIXTURES = {
     "producao_all": PRODUCTION,

@@ -22,7 +22,7 @@ _CANDS = f"""cands AS (
     AND CAST(data_chegada AS DATE) >= DATE '2024-01-29' AND CAST(data_chegada AS DATE) <= DATE '2024-01-31'
     AND prioridade = 3),
 cons AS (SELECT s_suppkey AS usuario_id, s_name AS nome, row_number() OVER (ORDER BY s_suppkey) - 1 AS idx
-         FROM supplier WHERE s_suppkey % 37 = 0),
+         FROM supplier),
 ranked AS (SELECT id, CAST(row_number() OVER (ORDER BY md5('42' || CAST(id AS VARCHAR))) AS BIGINT) AS rn FROM cands)"""
 
 RR_SQL = with_fixtures(f"""WITH {_CLASS_BASE}, {_CANDS}

@@ -68,7 +68,7 @@ lst AS (SELECT cliente_id, dados_json FROM (
 fst AS (SELECT cliente_id, min(k) AS k FROM r2 GROUP BY cliente_id),
 ranked AS (SELECT cliente_id, CAST(row_number() OVER (ORDER BY k) AS BIGINT) AS ordem FROM fst),
 cons AS (SELECT s_suppkey AS usuario_id, row_number() OVER (ORDER BY s_suppkey) - 1 AS idx
-         FROM supplier WHERE s_suppkey % 37 = 0),
+         FROM supplier),
 n AS (SELECT count(*) AS n FROM cons)
 SELECT ranked.cliente_id, ranked.ordem, cons.usuario_id, lst.dados_json
 FROM ranked CROSS JOIN n LEFT JOIN cons ON n.n > 0 AND cons.idx = (ranked.ordem - 1) % n.n

@@ -327,9 +327,9 @@ def crm_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def crm_tags(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Contact tags (``crm_contato_etiquetas``): every third conversation's
+    """Contact tags (``crm_contato_etiquetas``): every conversation's
     contact gets tags over its turns."""
-    c = read_table(spark, sf_dir, "conversations").filter(F.pmod(F.col("conv_id"), F.lit(3)) == 0)
+    c = read_table(spark, sf_dir, "conversations")
     tag = (F.when(F.pmod(F.col("turn"), F.lit(4)) == 0, F.lit(30)).when(F.pmod(F.col("turn"), F.lit(4)) == 1, F.lit(20))
            .when(F.pmod(F.col("turn"), F.lit(4)) == 2, F.lit(15)).otherwise(F.lit(99)))
     return c.select(
@@ -380,9 +380,10 @@ def insurance_instalments(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def insurance_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Insurance sales (``producao_seguros``): a sale phone for even customers."""
-    c = read_table(spark, sf_dir, "customer").filter(F.pmod(F.col("c_custkey"), F.lit(2)) == 0)
-    return c.select(cpf_of(F.col("c_custkey")).alias("cliente_id"), phone_of(F.col("c_custkey")).alias("telefone_venda"))
+    """Insurance sales (``producao_seguros``): one a customer, with a sale phone
+    for even keys."""
+    c, k = read_table(spark, sf_dir, "customer"), F.col("c_custkey")
+    return c.select(cpf_of(k).alias("cliente_id"), F.when(F.pmod(k, F.lit(2)) == 0, phone_of(k)).alias("telefone_venda"))
 
 
 def monthly_index(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -393,8 +394,8 @@ def monthly_index(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def consultants(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Sales consultants: every 37th supplier (a staff table that grows with the data)."""
-    s = read_table(spark, sf_dir, "supplier").filter(F.pmod(F.col("s_suppkey"), F.lit(37)) == 0)
+    """Sales consultants: the suppliers (a staff table that grows with the data)."""
+    s = read_table(spark, sf_dir, "supplier")
     return s.select(F.col("s_suppkey").alias("usuario_id"), F.col("s_name").alias("nome"))
 
 
@@ -452,21 +453,22 @@ def clients(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def campaign_members(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Campaign membership (``campanha_cliente``): every 13th customer sits in
-    one of three campaigns; no owner yet for a third of them."""
-    c = read_table(spark, sf_dir, "customer").filter(F.pmod(F.col("c_custkey"), F.lit(13)) == 0)
+    """Campaign membership (``campanha_cliente``): every customer, each 13th in
+    one of three campaigns, the others in none (NULL); no owner yet for some."""
+    c = read_table(spark, sf_dir, "customer")
     k = F.col("c_custkey")
-    camp = F.when(F.pmod(k, F.lit(3)) == 0, F.lit(9011)).when(F.pmod(k, F.lit(3)) == 1, F.lit(15422)).otherwise(F.lit(777))
+    camp = F.when(F.pmod(k, F.lit(13)) != 0, F.lit(None).cast("int")).otherwise( 
+        F.when(F.pmod(k, F.lit(3)) == 0, F.lit(9011)).when(F.pmod(k, F.lit(3)) == 1, F.lit(15422)).otherwise(F.lit(777)))
     return c.select(camp.cast("long").alias("campanha_id"), k.alias("cliente_id"),
                     F.when(F.pmod(k, F.lit(39)) != 0, F.pmod(k, F.lit(7)) + 100).alias("usuario_id"))
 
 
 def contact_log(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Telemarketing contact log (``telemarketing``): one contact for every
-    fiftieth order, in campaign 9011."""
-    o = read_table(spark, sf_dir, "orders").filter(F.pmod(F.col("o_orderkey"), F.lit(50)) == 0)
+    """Telemarketing contact log (``telemarketing``): one contact an order, each
+    fiftieth in campaign 9011, the others outside any."""
+    o = read_table(spark, sf_dir, "orders")
     return o.select(F.col("o_orderkey").alias("id"), F.col("o_custkey").alias("relacao_id"),
-                    F.lit(9011).cast("long").alias("campanha_id"), F.col("o_orderdate").alias("dataregistro"))
+                    F.when(F.pmod(F.col("o_orderkey"), F.lit(50)) == 0, F.lit(9011)).cast("long").alias("campanha_id"), F.col("o_orderdate").alias("dataregistro"))
 
 
 def insurance_queries(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -502,12 +504,12 @@ STATE_CODES = ["AC", "AL", "AM", "AP", "BA", "CE", "DF", "ES", "GO", "MA", "MG",
 
 
 def addresses(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Client addresses (``logradouro``): three of four customers have one,
+    """Client addresses (``logradouro``): every customer has one,
     every eighth (key % 8 = 1) a second, newer one in another state."""
     c = read_table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     k, n = F.col("c_custkey"), F.col("c_nationkey")
     states = F.array(*[F.lit(s) for s in STATE_CODES])
-    first = c.filter(F.pmod(k, F.lit(4)) != 0).select(
+    first = c.select(
         (k * 10 + 1).alias("id"), k.alias("cliente_id"), F.element_at(states, (F.pmod(n, F.lit(27)) + 1).cast("int")).alias("uf"))
     second = c.filter(F.pmod(k, F.lit(8)) == 1).select(
         (k * 10 + 2).alias("id"), k.alias("cliente_id"), F.element_at(states, (F.pmod(n + 5, F.lit(27)) + 1).cast("int")).alias("uf"))
@@ -521,9 +523,9 @@ def client_contacts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def telemarketing_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Contact-log entries with free text (``telemarketing``): every seventh
+    """Contact-log entries with free text (``telemarketing``): one an
     order; a phone is embedded as ``>(dd)9nnnnnnnn<`` in most texts."""
-    o = read_table(spark, sf_dir, "orders").filter(F.pmod(F.col("o_orderkey"), F.lit(7)) == 0)
+    o = read_table(spark, sf_dir, "orders")
     k, c = F.col("o_orderkey"), F.col("o_custkey")
     dd = (F.lit(11) + F.pmod(c, F.lit(89))).cast("string")
     num = F.concat(F.lit("9"), F.lpad(F.pmod(c * F.lit(7919), F.lit(100000000)).cast("string"), 8, "0"))
@@ -537,6 +539,6 @@ def telemarketing_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def staff_users(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Platform users (``usuario``): ten logins from the supplier table."""
-    s = read_table(spark, sf_dir, "supplier").filter(F.col("s_suppkey").between(1, 10))
+    """Platform users (``usuario``): logins from the supplier table."""
+    s = read_table(spark, sf_dir, "supplier")
     return s.select(F.col("s_suppkey").alias("id"), F.concat(F.lit("user"), F.col("s_suppkey").cast("string")).alias("login"))

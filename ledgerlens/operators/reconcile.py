@@ -238,10 +238,14 @@ def report(statements: DataFrame, production: DataFrame, pairs: DataFrame, payme
 
 def agreement_similarity(statements: DataFrame, production: DataFrame, pairs: DataFrame) -> DataFrame:
     """C14 'CONVENIOS' + J20 + J29: matched pairs with the similarity of the
-    statement's agreement text and the production's agreement name."""
+    statement's agreement text and the production's agreement name.  Each
+    distinct pair of texts is scored once."""
     j = (pairs.join(statements.select("src_id", "dsc_convenio"), "src_id")
          .join(production.select("id", "convenio"), "id"))
-    return with_token_set_ratio(j, "dsc_convenio", "convenio", "semelhanca")
+    texts = j.select("dsc_convenio", "convenio").distinct()
+    scored = with_token_set_ratio(texts, "dsc_convenio", "convenio", "semelhanca").toDF("_a", "_b", "semelhanca")
+    on = F.col("dsc_convenio").eqNullSafe(F.col("_a")) & F.col("convenio").eqNullSafe(F.col("_b"))
+    return j.join(scored, on).drop("_a", "_b")
 
 
 def effective_dated_lookup(rows: DataFrame, versions: DataFrame, keys: list[str], date_col: str,

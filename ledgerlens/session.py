@@ -64,8 +64,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder the cluster names.
 
     On a cluster ``spark.checkpoint.dir`` points at shared storage and is
-    used as is.  Only when it is unset (local tests) do we create a scratch
-    folder of our own.
+    used as is.  Only when it is unset in local mode (tests) do we create a
+    scratch folder of our own; a cluster without the setting is an error.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -73,13 +73,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     conf_dir = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not conf_dir:
-        if sc.master.startswith("local"):
-            conf_dir = tempfile.mkdtemp(prefix="ledgerlens-ckpt-")  # tests: one machine
-        else:
-            # never a machine-local temp folder on a cluster: fall back to the
-            # warehouse location, which clusters keep on shared storage
-            warehouse = spark.conf.get("spark.sql.warehouse.dir")
-            conf_dir = f"{warehouse.rstrip('/')}/_ledgerlens_checkpoints"
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            # a folder of our own choice may be one machine's alone
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+        conf_dir = tempfile.mkdtemp(prefix="ledgerlens-ckpt-")  # tests: one machine
         spark.conf.set("spark.checkpoint.dir", conf_dir)
     sc.setCheckpointDir(conf_dir)
     return sc.getCheckpointDir() or conf_dir

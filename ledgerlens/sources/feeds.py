@@ -104,6 +104,8 @@ class Feed:
     hook: Callable[[DataFrame], DataFrame] | None = None
     recursive: bool = False
     schema: str | None = None
+    without: tuple[str, ...] = ()   # name parts of other feeds' files
+    required: frozenset = frozenset()  # columns a file must have, or it is refused
 
 
 # The feed registry (file name parts -> target table).
@@ -111,7 +113,8 @@ FEEDS = [
     Feed(["producaomensalbd"], (".csv",), "contratos_bb"),
     Feed(["_todos_", "a vista"], (".csv",), "comissao_bb"),
     Feed(["contratos_digitados_de_"], (".csv",), "contratos_nova"),
-    Feed(["uy3"], (".csv",), "comissao_uy3", hook=preprocess_fgts, recursive=True),
+    Feed(["uy3"], (".csv",), "comissao_uy3", hook=preprocess_fgts, recursive=True, without=("uy3-prod",),
+         required=frozenset(FGTS_COLUMNS)),
     Feed(["uy3-prod"], (".csv",), "contratos_uy3"),
     Feed(["extrato_comissao_plataforma_"], (".csv",), "extrato_comissao_plataforma"),
     Feed(["extrato_financeiro_plataforma_"], (".csv",), "extrato_financeiro_plataforma"),
@@ -127,13 +130,16 @@ def read_feed(spark: SparkSession, folder: str, feed: Feed) -> DataFrame | None:
     a file failing its hook's checks contributes nothing while the others
     load), then one union by column name (files may differ in columns).
     Each file is a distributed read; only file names pass the driver."""
-    paths = IG.find_files(spark, folder, feed.extensions, feed.name_parts, recursive=feed.recursive)
+    paths = [p for p in IG.find_files(spark, folder, feed.extensions, feed.name_parts, recursive=feed.recursive)
+             if not any(part in p.rsplit("/", 1)[-1].lower() for part in feed.without)]
     frames = []
     for path in paths:
         if feed.fmt == "json":
             df = IG.read_json_documents(spark, path, feed.schema)
         else:
             df = IG.read_delimited(spark, path, sep=feed.sep)
+        if not feed.required <= {c.strip().lower() for c in df.columns}:
+            continue  # a refused file adds neither rows nor columns
         frames.append(df.transform(feed.hook) if feed.hook else df)
     if not frames:
         return None

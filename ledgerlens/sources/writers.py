@@ -40,8 +40,10 @@ def write_report_set(frames: dict[str, DataFrame], root: str, fmt: str = "parque
 
 
 def write_per_group(df: DataFrame, root: str, keys: list[str], fmt: str = "parquet") -> str:
-    """One output directory per group (consultant, campaign)."""
-    w = df.repartition(*[F.col(k) for k in keys]).write.mode("overwrite").partitionBy(*keys)
+    """One output directory per group (consultant, campaign).  Rows are
+    rebalanced by group: Spark splits a large group over several tasks, which
+    write several files in its directory."""
+    w = df.hint("rebalance", *keys).write.mode("overwrite").partitionBy(*keys)
     (w.option("header", True).option("sep", ";").csv(root) if fmt == "csv" else w.parquet(root))
     return root
 

@@ -49,17 +49,22 @@ def ingest_folder(spark: SparkSession, source_dir: str, schema: str, target_root
     q.awaitTermination()
 
 
-def classify_arrivals(spark: SparkSession, arrivals_dir: str, schema: str, all_leads: DataFrame,
-                      enrichment: DataFrame, target_root: str, as_of: str, name: str = "classify",
+def classify_arrivals(spark: SparkSession, arrivals_dir: str, schema: str, all_leads,
+                      enrichment, target_root: str, as_of: str, name: str = "classify",
                       checkpoint_location: str | None = None) -> None:
     """R2: classify each micro-batch of new lead arrivals (C8 rules; phone
     history over the whole lead table) and merge priorities into the
-    versioned classification table (first priority kept once set, K7)."""
+    versioned classification table (first priority kept once set, K7).
+
+    ``all_leads`` and ``enrichment`` are functions that read the tables, called
+    in every batch, so that leads which arrive later are seen (DataFrames are
+    taken as they are)."""
+    now = lambda t: t() if callable(t) else t
     stream = spark.readStream.format("parquet").schema(schema).load(arrivals_dir)
 
     def write_batch(batch: DataFrame, epoch_id: int) -> None:
         ids = batch.select("id").distinct()
-        inp = L.classification_input(all_leads, enrichment, as_of).join(ids, "id", "left_semi")
+        inp = L.classification_input(now(all_leads), now(enrichment), as_of).join(ids, "id", "left_semi")
         cl = L.classify(inp, as_of).select("id", "prioridade", "tipo_lead",
                                            F.col("prioridade").alias("primeira_prioridade"))
         current = IG.read_latest(spark, target_root)

@@ -79,7 +79,8 @@ def test_jobs_run_end_to_end(spark):
     from ledgerlens.plans import jobs
     root = tempfile.mkdtemp(prefix="ll-jobs-")
     paths = jobs.commission_job(spark, SMOKE, os.path.join(root, "comissoes"), X.AS_OF_ORDERS, "2001-01-01")
-    assert set(paths) == {"RESUMO", "NAO_ENCONTRADOS_BANCOS", "NAO_ENCONTRADOS_ECB", "REPORT", "PRODUCAO_ATUALIZADA"}
+    assert set(paths) == {"RESUMO", "NAO_ENCONTRADOS_BANCOS", "NAO_ENCONTRADOS_ECB", "COMISSAO_NULA", "COMISSAO_ZERO", "CONVENIOS",
+                          "PAGAMENTOS", "REPORT", "PRODUCAO_ATUALIZADA"}
     assert spark.read.parquet(paths["RESUMO"]).count() > 0
     g = jobs.growth_job(spark, SMOKE, None, os.path.join(root, "growth"), "2001-08-02")
     assert spark.read.parquet(g["SAFRA"]).count() > 0

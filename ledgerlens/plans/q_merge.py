@@ -12,6 +12,7 @@ from ledgerlens.plans import q_reconcile as QR
 from ledgerlens.plans.oracle_fixtures import with_fixtures
 from ledgerlens.plans.registry import query
 from ledgerlens.sources import fixtures as X
+from ledgerlens.sources.tables import read_table
 
 AS_OF = X.AS_OF_EVENTS
 GUARD_DATE = "2000-01-01"
@@ -103,3 +104,65 @@ def merge_remarketing(spark, sf_dir):
                         & (F.col("data_chegada") >= ts_ntz(AS_OF) - F.expr("INTERVAL 15 DAYS"))).select("id")
     out = MG.merge(t, sent, ["id"], {"contagem_remarketing": MG.INCREMENT, "remarketing": ts_ntz(AS_OF)})
     return out.select("id", "contagem_remarketing", "remarketing")
+
+
+# ------------------------------------------------------------------ keyed writes on whole tables
+
+UPSERT_SQL = """
+WITH novo AS (
+  SELECT o_custkey + if(o_orderpriority = '1-URGENT', 1000000000, 0) AS cliente_id, arg_max(CAST(o_totalprice AS DECIMAL(18,2)), (o_orderdate, o_orderkey)) AS saldo,
+         arg_max(o_orderpriority, (o_orderdate, o_orderkey)) AS situacao
+  FROM orders GROUP BY 1)
+SELECT ifnull(c.c_custkey, novo.cliente_id) AS cliente_id, ifnull(novo.saldo, CAST(c.c_acctbal AS DECIMAL(18,2))) AS saldo,
+       ifnull(c.c_mktsegment, novo.situacao) AS situacao
+FROM customer c FULL JOIN novo ON novo.cliente_id = c.c_custkey"""
+
+
+@query("upsert_saldos", UPSERT_SQL)
+def upsert_saldos(spark, sf_dir):
+    """K3 + K9 + K10: every order as an update of its client, the newest one a
+    key; balances are overwritten, the first status stays, clients without a
+    row (here the numbers given to urgent orders) are inserted."""
+    c = read_table(spark, sf_dir, "customer")
+    target = c.select(F.col("c_custkey").alias("cliente_id"), F.col("c_acctbal").cast("decimal(18,2)").alias("saldo"),
+                      F.col("c_mktsegment").alias("situacao"))
+    o = read_table(spark, sf_dir, "orders").select(
+        (F.col("o_custkey") + F.when(F.col("o_orderpriority") == "1-URGENT", 1000000000).otherwise(0)).alias("cliente_id"),
+        F.col("o_totalprice").cast("decimal(18,2)").alias("saldo"), F.col("o_orderpriority").alias("situacao"), "o_orderdate", "o_orderkey")
+    updates = MG.unique_updates(o, ["cliente_id"], ["o_orderdate", "o_orderkey"]).select("cliente_id", "saldo", "situacao")
+    return MG.merge(target, updates, ["cliente_id"], {"saldo": MG.OVERWRITE, "situacao": MG.FIRST_WRITE_WINS}, insert_missing=True)
+
+
+REPLACE_SQL = """
+SELECT c_custkey AS cliente_id, c_mktsegment AS tipo, CAST(c_acctbal AS DECIMAL(18,2)) AS valor FROM customer
+WHERE (c_custkey, c_mktsegment) NOT IN (SELECT (o_custkey, 'BUILDING') FROM orders)
+UNION ALL SELECT o_custkey, 'BUILDING', CAST(o_totalprice AS DECIMAL(18,2)) FROM orders"""
+
+
+@query("substituir_por_chave", REPLACE_SQL)
+def substituir_por_chave(spark, sf_dir):
+    """Delete by (key, type), then insert."""
+    c, o = read_table(spark, sf_dir, "customer"), read_table(spark, sf_dir, "orders")
+    target = c.select(F.col("c_custkey").alias("cliente_id"), F.col("c_mktsegment").alias("tipo"), F.col("c_acctbal").cast("decimal(18,2)").alias("valor"))
+    rows = o.select(F.col("o_custkey").alias("cliente_id"), F.lit("BUILDING").alias("tipo"), F.col("o_totalprice").cast("decimal(18,2)").alias("valor"))
+    return MG.replace_by_key(target, rows, ["cliente_id", "tipo"])
+
+
+LOOKUP_SQL = """
+WITH v AS (SELECT p_partkey AS versao, p_size AS faixa, DATE '1994-01-01' + CAST(p_partkey % 1500 AS INTEGER) AS inicio,
+                  CASE WHEN p_partkey % 3 > 0 THEN DATE '1994-01-01' + CAST(p_partkey % 1500 + 400 AS INTEGER) END AS fim FROM part),
+j AS (SELECT o_orderkey AS id, max((inicio, versao)) AS m FROM orders JOIN v ON v.faixa = o_custkey % 50 + 1
+      WHERE CAST(o_orderdate AS DATE) BETWEEN inicio AND ifnull(fim, DATE '2099-12-31') GROUP BY 1)
+SELECT o.o_orderkey AS id, j.m[2] AS versao FROM orders o LEFT JOIN j ON j.id = o.o_orderkey"""
+
+
+@query("versao_vigente", LOOKUP_SQL)
+def versao_vigente(spark, sf_dir):
+    """The newest version in force on each order's date, if any."""
+    p, o = read_table(spark, sf_dir, "part"), read_table(spark, sf_dir, "orders")
+    start = F.date_add(F.lit("1994-01-01").cast("date"), F.pmod("p_partkey", F.lit(1500)).cast("int"))
+    versions = p.select(F.col("p_partkey").alias("versao"), F.col("p_size").cast("long").alias("faixa"), start.alias("inicio"),
+                        F.when(F.pmod("p_partkey", F.lit(3)) > 0, F.date_add(start, 400)).alias("fim"))
+    rows = o.select(F.col("o_orderkey").alias("id"), (F.pmod("o_custkey", F.lit(50)) + 1).alias("faixa"), F.to_date("o_orderdate").alias("dia"))
+    out = RC.effective_dated_lookup(rows, versions, ["faixa"], "dia", "inicio", "fim", ["versao"], "id", order_cols=["inicio", "versao"])
+    return out.select("id", "versao")

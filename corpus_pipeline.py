@@ -2,17 +2,20 @@
 
 Each stage works on all that the one before it kept; its result is written
 as Parquet in the shared checkpoint folder and read again.  All but the last
-return the columns of ``documents``.
+return the columns of ``documents``.  As its input is written, a stage first
+drops the tables that earlier stages left in the shared folder (never one
+that its input still reads).
 """
 
 from __future__ import annotations
 
+import functools
 import os
 
 from pyspark.sql import DataFrame, SparkSession
 
 from ledgerlens.llm import decontaminate, language_id, near_dup, sentence_pieces, surrogates
-from ledgerlens.llm.common import stage
+from ledgerlens.llm.common import drop_staged, stage
 from ledgerlens.llm.queries import table, tokenizer_file
 
 
@@ -41,13 +44,21 @@ def encode_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return sentence_pieces.round_trip(docs, tokenizer_file("piece_bpe_32k.model"))
 
 
-STAGES = [
+def _fresh(apply):
+    @functools.wraps(apply)
+    def step(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        drop_staged(docs)
+        return apply(spark, docs, sf_dir)
+    return step
+
+
+STAGES = [(name, _fresh(apply)) for name, apply in [
     ("language_id", identify_language),
     ("near_duplicates", drop_near_duplicates),
     ("decontamination", drop_contaminated),
     ("personal_data", replace_personal_data),
     ("sentence_pieces", encode_pieces),
-]
+]]
 
 # No SQL can state suffix automata or the tokenizer's pieces; tests hold the
 # stages against brute force.

@@ -12,12 +12,31 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from ledgerlens.session import cut_lineage, ensure_checkpoint_dir
+from ledgerlens.session import ensure_checkpoint_dir
+
+
+_staged: list[str] = []
 
 
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once to the shared checkpoint folder and reread it."""
-    return cut_lineage(df, name)
+    path = shared_path(df.sparkSession, name)
+    df.write.mode("errorifexists").parquet(path)
+    _staged.append(path)
+    return df.sparkSession.read.parquet(path)
+
+
+def drop_staged(docs: DataFrame) -> None:
+    """Delete what ``stage`` has written in this driver, but for what ``docs``
+    still reads.  For callers whose earlier results are written elsewhere."""
+    spark = docs.sparkSession
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    read = {part for f in docs.inputFiles() for part in f.split("/")}
+    for path in list(_staged):
+        if path.rsplit("/", 1)[-1] not in read:
+            p = jvm.org.apache.hadoop.fs.Path(path)
+            p.getFileSystem(conf).delete(p, True)
+            _staged.remove(path)
 
 
 def shared_path(spark, name: str) -> str:
@@ -33,26 +52,6 @@ def worker_state(name: str, make):
     return getattr(held, name)
 
 
-class Memo(dict):
-    """A bounded memo of a pure function.  When half full, its entries become
-    the old generation; those still in use move back at their next use."""
-
-    def __init__(self, fn, limit: int = 500_000, longest: int = 64):
-        self.fn, self.half, self.longest, self.old = fn, limit // 2, longest, {}
-
-    def __missing__(self, key):
-        value = self.old.get(key)
-        if value is None:
-            value = self.fn(key)
-            if len(key) > self.longest:
-                return value
-        if len(self) >= self.half:
-            self.old = dict(self)
-            self.clear()
-        self[key] = value
-        return value
-
-
 def _byte_table(keep) -> bytes:
     """Byte map: A-Z lower-cased, bytes outside ``keep`` to a space."""
     out = bytearray(32 if not keep(i) else i for i in range(256))
@@ -67,11 +66,6 @@ SPACE_TABLE = _byte_table(lambda i: not (i == 32 or 9 <= i <= 13))
 ALNUM_TABLE = _byte_table(lambda i: 48 <= i <= 57 or 97 <= i <= 122 or i >= 128)
 
 
-def lower_words(text: str | None) -> list[bytes]:
-    """UTF-8 words split at ASCII white space, with A-Z lower-cased."""
-    return text.encode("utf-8", "surrogatepass").translate(SPACE_TABLE).split(b" ") if text else []
-
-
 def rows_of(batches: Iterator[pa.RecordBatch], *columns: str):
     """The rows of Arrow batches as tuples of Python values."""
     for batch in batches:
@@ -96,9 +90,6 @@ def to_batch(schema: pa.Schema, rows: list[tuple]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(list(c), type=f.type) for c, f in zip(columns, schema)], schema=schema)
 
 
-MIX = np.uint64(0x9E3779B97F4A7C15)
-
-
 def mix64(x: np.ndarray) -> np.ndarray:
     """A 64-bit finaliser: spreads every input bit over the whole word."""
     x = x.astype(np.uint64, copy=True)

@@ -77,3 +77,15 @@ def test_every_operator_is_registered():
     names = set(__spark_entry__.queries())
     assert "pipeline" in names and {n.split("_")[0] for n in names if re.match(r"op\d+_", n)} == {f"op{k}" for k in range(1, 11)}
     assert set(__spark_entry__.oracle_sql()) <= names
+
+
+def test_earlier_tables_go_but_not_what_is_read(spark):
+    from ledgerlens.llm import common
+
+    a, b = (common.stage(spark.range(k), "kept") for k in (3, 4))
+    common.drop_staged(a.where("id > 0"))
+    assert a.count() == 3 and len(common._staged) == 1
+    common.drop_staged(spark.range(1))
+    assert not common._staged
+    with pytest.raises(Exception):
+        b.count()

@@ -1,13 +1,13 @@
 """Operator 10: near duplicates by MinHash bands and odd sketches.
 
 A document's set holds its distinct ``SHINGLE``-word shingles, as 64-bit
-hashes.  Its ``HASHES`` MinHash samples serve twice: ``BANDS`` bands of
-``ROWS`` samples find candidates, and all samples fold into a bitmap of
-``SKETCH_BITS`` bits in which each sample flips one bit (an odd sketch).  The
-population count of two sketches' XOR estimates how many samples differ,
-most precisely where few do, so it settles almost every candidate; pairs
-estimated at ``SKETCH_LEAST`` or more (over six standard deviations below the
-threshold) are confirmed on the full sets by integer counts.
+hashes.  Two kinds of MinHash sample describe it: ``BANDS`` bands of ``ROWS``
+independent minima find candidates, and the ``SAMPLE`` least hashes (all, in a
+smaller set) fold into a bitmap of ``SKETCH_BITS`` bits in which each flips one
+bit (an odd sketch).  The population count of two sketches' XOR estimates how
+many samples differ, most precisely where few do, and with the sets' sizes
+their similarity.  Pairs estimated six standard deviations below the
+threshold or more are confirmed on the full sets by integer counts.
 
 At similarity 0.75 a pair shares no band with probability
 (1 - 0.75^4)^32 < 6e-6, and less above.
@@ -16,13 +16,16 @@ Groups may be of any size:
 
 * Equal sets are one node (grouped by a 128-bit digest), so exact copies
   never meet in pairs.
-* Every bucket first links its members to its smallest node only; each node
-  keeps its best such leader, one pair a node.  That joins a group of
-  near copies in a pass linear in its size.
-* Then only buckets that still hold more than one component are searched in
-  full, with sketches, between components.  A bucket beyond ``BLOCK`` nodes is
-  dealt into blocks, and each pair of blocks is one group, so memory has a
-  bound and no pair is left out.
+* Every bucket first links its members to one leader, the node whose buckets
+  are the fullest (of a text and its copies, mostly the text); each node
+  keeps its best such leader, one pair a node.
+* In buckets that still hold more than one component, each component but the
+  largest then meets its nearest node outside, one pair a component,
+  ``ROUNDS`` times.  That joins a group of near copies in passes linear in its
+  size.
+* Last, all pairs that are left between the components of a bucket.  A bucket
+  beyond ``BLOCK`` nodes is dealt into blocks, and each pair of blocks is one
+  group, so memory has a bound and no pair is left out.
 
 Null or empty text, or no words: an empty set, linked with nothing.  Null
 doc_ids are no representatives unless a whole component has no other; such
@@ -36,15 +39,17 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlens.llm.common import Memo, emit, lower_words, mix64, rows_of, stage, worker_state
+from ledgerlens.llm.common import SPACE_TABLE, emit, hashed_words, in_groups, mix64, rows_of, stage
 from ledgerlens.llm.components import components
 
 SHINGLE = 5
 PERCENT = 75
 BANDS, ROWS = 32, 4
 HASHES = BANDS * ROWS
-SKETCH_BITS = 512
-SKETCH_LEAST = 0.5
+SAMPLE = 512
+SKETCH_BITS = 2048
+LEAST_WHOLE, LEAST_SAMPLED = 0.69, 0.6  # estimates to confirm: sets within the sample, and larger ones
+ROUNDS = 2
 BLOCK = 4096
 
 _rng = np.random.default_rng(20240229)
@@ -53,24 +58,24 @@ _TIMES = _rng.integers(0, 2**32, HASHES, dtype=np.uint32) | np.uint32(1)
 _FLIP = _rng.integers(0, 2**32, HASHES, dtype=np.uint32)
 
 
-def _word_hashes():
-    import xxhash
-
-    return Memo(lambda w: xxhash.xxh64_digest(w))
+def shingle_sets(texts: list[str | None]) -> list[np.ndarray]:
+    """The sorted distinct shingle hashes of each text."""
+    hashes, counts = hashed_words(texts, SPACE_TABLE)
+    out = []
+    for h in np.split(hashes, np.cumsum(counts)[:-1]):
+        n = min(SHINGLE, len(h))
+        mixed = np.full(max(0, len(h) - n + 1) if n else 0, n, dtype=np.uint64)
+        for k in range(n):
+            mixed += h[k:len(h) - n + 1 + k] * _PLACE[k]
+        out.append(np.unique(mix64(mixed)))
+    return out
 
 
-def shingles(text: str | None) -> np.ndarray:
-    """The sorted distinct shingle hashes of a text."""
-    words = [w for w in lower_words(text) if w]
-    if not words:
-        return np.zeros(0, dtype=np.uint64)
-    memo = worker_state("word_hashes", _word_hashes)
-    h = np.frombuffer(b"".join(map(memo.__getitem__, words)), dtype=">u8").astype(np.uint64)
-    n = min(SHINGLE, len(h))
-    mixed = np.full(len(h) - n + 1, n, dtype=np.uint64)
-    for k in range(n):
-        mixed += h[k:len(h) - n + 1 + k] * _PLACE[k]
-    return np.unique(mix64(mixed))
+def _sets(rows):
+    """Rows that end in a text, with its set instead."""
+    for held in in_groups(rows, lambda r: len(r[-1] or "")):
+        for row, s in zip(held, shingle_sets([r[-1] for r in held])):
+            yield *row[:-1], s
 
 
 def samples(sets: np.ndarray, step: int = 2048) -> np.ndarray:
@@ -94,17 +99,23 @@ def bands_of(minima: np.ndarray) -> np.ndarray:
     return key.view(np.int64)
 
 
-def odd_sketch(minima: np.ndarray) -> bytes:
-    """Each sample, tagged with its permutation, flips one bit."""
-    place = mix64(minima.astype(np.uint64) + (np.arange(1, HASHES + 1, dtype=np.uint64) << np.uint64(32))) % np.uint64(SKETCH_BITS)
-    bits = np.bincount(place.astype(np.int64), minlength=SKETCH_BITS) & 1
-    return np.packbits(bits.astype(np.uint8)).tobytes()
+def odd_sketch(sets: np.ndarray) -> bytes:
+    """Each of the least hashes flips one bit."""
+    place = (mix64(sets[:SAMPLE] + np.uint64(1)) % np.uint64(SKETCH_BITS)).astype(np.int64)
+    return np.packbits((np.bincount(place, minlength=SKETCH_BITS) & 1).astype(np.uint8)).tobytes()
+
+
+def estimate(odd: np.ndarray, n: np.ndarray, m: np.ndarray) -> np.ndarray:
+    """Similarity of sets of ``n`` and ``m`` hashes whose sketches' XOR has
+    ``odd`` bits: d differing samples leave B/2 (1 - exp(-2d/B)) of B bits."""
+    differ = -SKETCH_BITS / 2 * np.log(np.maximum(1 - 2 * odd / SKETCH_BITS, 1e-9))
+    a, b = np.minimum(n, SAMPLE), np.minimum(m, SAMPLE)
+    both = np.maximum(0, (a + b - differ) / 2) / np.minimum(a / n, b / m)  # scaled up from the smaller rate
+    return both / np.maximum(n + m - both, 1)
 
 
-def most_differing_bits(least: float = SKETCH_LEAST) -> int:
-    """Odd bits at which the estimate falls to ``least``: ``d`` differing
-    samples put 2d balls in the XOR, so n/2 (1 - exp(-4d/n)) odd bits."""
-    return int(SKETCH_BITS / 2 * (1 - np.exp(-4 * HASHES * (1 - least) / SKETCH_BITS)))
+def likely(odd: np.ndarray, n: np.ndarray, m: np.ndarray) -> np.ndarray:
+    return estimate(odd, n, m) >= np.where(np.maximum(n, m) <= SAMPLE, LEAST_WHOLE, LEAST_SAMPLED)
 
 
 def similar(a: bytes, b: bytes, percent: int = PERCENT) -> bool:
@@ -127,13 +138,12 @@ def _signed(docs: DataFrame) -> DataFrame:
         import xxhash
 
         def rows():
-            for doc_id, text in rows_of(batches, "doc_id", "text"):
-                s = shingles(text)
+            for doc_id, s in _sets(rows_of(batches, "doc_id", "text")):
                 if not len(s):
                     yield doc_id, 0, None, None, None
                     continue
                 m = samples(s)
-                yield doc_id, len(s), xxhash.xxh3_128_digest(s.tobytes()), bands_of(m).tolist(), odd_sketch(m)
+                yield doc_id, len(s), xxhash.xxh3_128_digest(s.tobytes()), bands_of(m).tolist(), odd_sketch(s)
 
         yield from emit(schema, rows())
 
@@ -150,8 +160,8 @@ def _confirmed(pairs: DataFrame, docs: DataFrame, first_id: DataFrame) -> DataFr
         import xxhash
 
         def rows():
-            for (text,) in rows_of(batches, "text"):
-                s = shingles(text).tobytes()
+            for (s,) in _sets(rows_of(batches, "text")):
+                s = s.tobytes()
                 yield xxhash.xxh3_128_digest(s), len(s) // 8, s
 
         yield from emit(schema, rows(), most_rows=512)
@@ -172,65 +182,86 @@ def _confirmed(pairs: DataFrame, docs: DataFrame, first_id: DataFrame) -> DataFr
 
 
 def _close(pairs: DataFrame) -> DataFrame:
-    """Node pairs with sketches sa, sb that the estimate lets through, with
-    their odd bits."""
+    """Node pairs with sketches sa, sb and sizes na, nb that the estimate
+    lets through, with their odd bits."""
     schema = pa.schema([("a", pa.binary()), ("b", pa.binary()), ("odd", pa.int64())])
-    most = most_differing_bits()
 
     def keep(batches):
         for batch in batches:
             if not batch.num_rows:
                 continue
             get = lambda c: batch.column(batch.schema.get_field_index(c)).to_pylist()
-            a, b = get("a"), get("b")
+            a, b, na, nb = get("a"), get("b"), np.array(get("na")), np.array(get("nb"))
             x, y = (np.frombuffer(b"".join(get(c)), np.uint64).reshape(len(a), -1) for c in ("sa", "sb"))
             odd = np.bitwise_count(x ^ y).sum(axis=1, dtype=np.int64)
-            yield from emit(schema, ((a[k], b[k], int(odd[k])) for k in np.flatnonzero(odd <= most)))
+            yield from emit(schema, ((a[k], b[k], int(odd[k])) for k in np.flatnonzero(likely(odd, na, nb))))
 
     return pairs.mapInArrow(keep, "a binary, b binary, odd long")
 
 
-def _within(rows: DataFrame) -> DataFrame:
-    """Pairs between components inside each bucket, by sketch.  rows: bucket,
-    node, comp, sketch.  Blocks of a large bucket meet block by block."""
+def _within(rows: DataFrame, nearest: bool) -> DataFrame:
+    """Pairs between components inside each bucket, by sketch: all, or the
+    nearest of each component but the largest.  rows: bucket, node, comp,
+    sketch, n, and bands for all pairs, which come out of the first bucket they
+    share alone.  Blocks of a large bucket meet block by block."""
     sizes = rows.groupBy("bucket").agg(F.count("*").alias("size"))
     dealt = rows.join(sizes, "bucket").withColumn("blocks", F.ceil(F.col("size") / BLOCK).cast("int"))
     dealt = dealt.withColumn("mine", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")).withColumn(
         "other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     dealt = dealt.select("bucket", F.least("mine", "other").alias("lo"), F.greatest("mine", "other").alias("hi"),
-                         (F.col("mine") > F.col("other")).alias("second"), "node", "comp", "sketch")
-    schema = pa.schema([("a", pa.binary()), ("b", pa.binary())])
-    most = most_differing_bits()
+                         (F.col("mine") > F.col("other")).alias("second"), "node", "comp", "sketch", "n", *([] if nearest else ["bands"]))
+    schema = pa.schema([("a", pa.binary()), ("b", pa.binary()), ("odd", pa.int64())])
+
+    columns = ["bucket", "lo", "hi", "node", "comp", "sketch", "n", "second", *([] if nearest else ["bands"])]
 
-    def pairs_of(held, diagonal):
-        node, comp, sketch, second = zip(*held)
+    def pairs_of(held, diagonal, bucket):
+        node, comp, sketch, n, second, *bands = zip(*held)
+        bands = None if nearest else np.array(bands[0], dtype=np.int64)
         x = np.frombuffer(b"".join(sketch), np.uint64).reshape(len(node), -1)
         code = np.unique(np.array(comp, dtype=object), return_inverse=True)[1]
-        second = np.array(second)
+        n, second = np.array(n), np.array(second)
+        best: dict = {}
+        largest = int(np.bincount(code).argmax()) if nearest else -1
         for i in range(len(node)):
-            js = np.arange(i + 1, len(node)) if diagonal else (np.flatnonzero(second) if not second[i] else ())
+            if code[i] == largest:
+                continue
+            other = code != code[i]
+            if not diagonal:
+                other &= second != second[i]
+            if not nearest:
+                other[:i] = False
+            js = np.flatnonzero(other)
             if len(js):
-                js = js[code[js] != code[i]]
                 odd = np.bitwise_count(x[js] ^ x[i]).sum(axis=1, dtype=np.int64)
-                for j in js[odd <= most]:
-                    yield min(node[i], node[j]), max(node[i], node[j])
+                ok = np.flatnonzero(likely(odd, n[js], n[i]))
+                if not nearest:
+                    shared = bands[js[ok]] == bands[i]
+                    first = bands[i][shared.argmax(axis=1)] == bucket  # no earlier band has both
+                    yield from ((node[i], node[js[k]], int(odd[k])) for k in ok[first])
+                elif len(ok):
+                    k = ok[np.argmin(odd[ok])]
+                    best[code[i]] = min(best.get(code[i], (1 << 30, b"", b"")), (int(odd[k]), node[i], node[js[k]]))
+        yield from ((a, b, odd) for odd, a, b in best.values())
 
     def search(batches):
         def found():
             key, held = None, []
-            for bucket, lo, hi, second, node, comp, sketch in rows_of(batches, "bucket", "lo", "hi", "second", "node", "comp", "sketch"):
+            for bucket, lo, hi, *row in rows_of(batches, *columns):
                 if key != (bucket, lo, hi):
                     if held:
-                        yield from pairs_of(held, key[1] == key[2])
+                        yield from pairs_of(held, key[1] == key[2], key[0])
                     key, held = (bucket, lo, hi), []
-                held.append((node, comp, sketch, second))
+                held.append(row)
             if held:
-                yield from pairs_of(held, key[1] == key[2])
+                yield from pairs_of(held, key[1] == key[2], key[0])
 
         yield from emit(schema, found())
 
-    return dealt.repartition("bucket", "lo", "hi").sortWithinPartitions("bucket", "lo", "hi") \
-        .mapInArrow(search, "a binary, b binary").distinct()
+    found = dealt.repartition("bucket", "lo", "hi").sortWithinPartitions("bucket", "lo", "hi") \
+        .mapInArrow(search, "a binary, b binary, odd long")
+    if nearest:
+        found = found.groupBy("a").agg(F.min(F.struct("odd", "b")).alias("best")).select("a", F.col("best.b").alias("b"))
+    return found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -239,29 +270,36 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     signed = stage(_signed(docs), "signed")
     some = signed.where(F.col("node").isNotNull())
-    nodes = stage(some.groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.first("bands").alias("bands"), F.first("sketch").alias("sketch")), "nodes")
-    sketches, first_id = nodes.select("node", "sketch"), nodes.select("node", "doc_id")
+    nodes = stage(some.groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.first("n_shingles").alias("n"), F.first("bands").alias("bands"),
+                                           F.first("sketch").alias("sketch")), "nodes")
+    sketches, first_id = nodes.select("node", "sketch", "n"), nodes.select("node", "doc_id")
     members = nodes.select("node", F.explode("bands").alias("bucket"))
-    leaders = members.groupBy("bucket").agg(F.min("node").alias("leader"), F.count("*").alias("size")).where("size > 1")
-    shared = stage(members.join(leaders.select("bucket", "leader"), "bucket"), "shared")  # buckets of two nodes or more
+    sizes = members.groupBy("bucket").agg(F.count("*").alias("size")).where("size > 1")
+    shared = stage(members.join(sizes, "bucket"), "shared")  # buckets of two nodes or more
+    weight = shared.groupBy("node").agg(F.sum("size").alias("weight"))
+    weighed = shared.select("bucket", "node").join(weight, "node")
+    leaders = weighed.groupBy("bucket").agg(F.max(F.struct("weight", "node")).alias("l")).select("bucket", F.col("l.node").alias("leader"))
 
     # one pair a node: its nearest leader by sketch
-    led = shared.where("node <> leader").select(F.col("leader").alias("a"), F.col("node").alias("b")).distinct()
-    led = led.join(sketches.select(F.col("node").alias("b"), F.col("sketch").alias("sb")), "b") \
-        .join(sketches.select(F.col("node").alias("a"), F.col("sketch").alias("sa")), "a")
+    led = shared.select("bucket", "node").join(leaders, "bucket").where("node <> leader").select(
+        F.col("leader").alias("a"), F.col("node").alias("b")).distinct()
+    led = led.join(sketches.toDF("b", "sb", "nb"), "b").join(sketches.toDF("a", "sa", "na"), "a")
     best = _close(led).groupBy("b").agg(F.min(F.struct("odd", "a")).alias("best")).select(F.col("best.a").alias("a"), "b")
-    stars = stage(_confirmed(stage(best, "led"), docs, first_id), "stars")
-    joined = stage(components(stars, "a", "b"), "joined")
+    links = stage(_confirmed(stage(best, "led"), docs, first_id), "links")
+    # a first label: a node's leader; nodes of one label are linked for sure
+    roots = links.select(F.col("b").alias("node"), F.col("a").alias("root"))
 
     # what is left: buckets that hold more than one component
-    labelled = shared.select("bucket", "node").join(joined, "node", "left").select(
-        "bucket", "node", F.coalesce("root", "node").alias("comp"))
-    mixed = labelled.groupBy("bucket").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("bucket")
-    rest = labelled.join(mixed, "bucket").join(sketches, "node").select("bucket", "node", "comp", "sketch")
-    found = stage(_within(rest), "found")
-    links = stars.unionByName(_confirmed(found, docs, first_id))
-
-    roots = stage(components(links, "a", "b"), "roots")
+    for k in range(ROUNDS + 1):
+        labelled = shared.select("bucket", "node").join(roots, "node", "left").select(
+            "bucket", "node", F.coalesce("root", "node").alias("comp"))
+        mixed = labelled.groupBy("bucket").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("bucket")
+        last = k == ROUNDS
+        rest = labelled.join(mixed, "bucket").join(nodes, "node").select("bucket", "node", "comp", "sketch", "n", *(["bands"] if last else []))
+        found = stage(_within(rest, nearest=not last), "found")
+        links = stage(links.unionByName(_confirmed(found, docs, first_id)), "links")
+        roots = stage(components(links, "a", "b"), "roots")
+
     grouped = nodes.select("node", "doc_id").join(roots, "node", "left").select("node", "doc_id", F.coalesce("root", "node").alias("root"))
     least = grouped.groupBy("root").agg(F.min("doc_id").alias("component_id"))
     named = grouped.join(least, "root").select("node", "component_id")

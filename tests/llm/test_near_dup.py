@@ -2,7 +2,9 @@ import random
 import re
 
 import numpy as np
+import pytest
 
+from ledgerlens.llm import components as parts
 from ledgerlens.llm import near_dup as op
 from ledgerlens.llm.components import components
 
@@ -62,6 +64,7 @@ def test_matches_brute_force(spark):
 
 
 def test_blocks_of_a_large_bucket(spark, monkeypatch):
+    monkeypatch.setattr(parts, "LOCAL_EDGES", 0)
     monkeypatch.setattr(op, "BLOCK", 7)
     rows = corpus(2, 120)
     assert run(spark, rows) == brute(rows)
@@ -94,7 +97,9 @@ def test_keep_one(spark):
     assert got.columns == docs.columns and sorted(r.doc_id for r in got.where("doc_id is not null").collect()) == want
 
 
-def test_components(spark):
+@pytest.mark.parametrize("local", [0, 100_000])
+def test_components(spark, monkeypatch, local):
+    monkeypatch.setattr(parts, "LOCAL_EDGES", local)
     rnd = random.Random(4)
     edges = [(i, i + 1) for i in range(0, 60)] + [(100, 100 + k) for k in range(1, 300)] + [(500, 500), (600, 601), (601, 600), (7, None)]
     rnd.shuffle(edges)

@@ -37,9 +37,10 @@ from pyspark.sql import functions as F
 
 from ledgerlens.llm.common import add_column, emit, free_name, rows_of, stage, worker_state
 
-CHUNK = 8192
+CHUNK = 32768
 MARK = "▁"
 START = (0, 0)
+REMEMBERED = 50_000  # answers kept by a worker of each of two questions
 
 
 class Pieces:
@@ -79,6 +80,8 @@ class Pieces:
             return True
         got = self.alone.get(text)
         if got is None:
+            if len(self.alone) > REMEMBERED:
+                self.alone.clear()
             got = self.alone[text] = text in self.id and self.encode_part(text) == [self.id[text]]
         return got
 
@@ -87,7 +90,7 @@ class Pieces:
             return True  # a word's start, or a character that never merges
         got = self.apart.get((a, b))
         if got is None:
-            if len(self.apart) > 500_000:
+            if len(self.apart) > REMEMBERED:
                 self.apart.clear()
             got = self.apart[a, b] = self.encode_part(a + b) == [self.id[a], self.id[b]]
         return got
@@ -221,16 +224,31 @@ def _pieces(path: str) -> Pieces:
     return worker_state(f"pieces:{path}", lambda: Pieces(path))
 
 
+IDS = pa.list_(pa.int32())
+
+
 def encode(docs: DataFrame, model_path: str, text: str = "text", out: str = "token_ids", chunk: int = CHUNK) -> DataFrame:
     """``docs`` with an array<int> column ``out``."""
+    return _encoded(docs, model_path, lambda pieces: lambda text, ids: ids, text, out, "array<int>", IDS, docs.columns, chunk)
+
+
+def _encoded(docs: DataFrame, model_path: str, make, text: str, out: str, ddl: str, arrow: pa.DataType, keep: list[str], chunk: int) -> DataFrame:
+    """``docs`` (of its columns, ``keep``) with a column ``out``: what
+    ``make(pieces)`` makes of each text and its ids, in the pass that encodes
+    it."""
     columns = docs.columns
     giant = F.length(text) > chunk
 
-    def make():
+    def encoded():
         pieces = _pieces(model_path)
-        return lambda texts: [None if t is None else pieces.whole.encode(t, num_threads=1) for t in texts]
+        see = make(pieces)
+        return lambda texts: [None if t is None else see(t, pieces.whole.encode(t, num_threads=1)) for t in texts]
+
+    def joined():
+        see = make(_pieces(model_path))
+        return lambda texts, ids: [see(t, i) for t, i in zip(texts, ids)]
 
-    short = add_column(docs.where(F.coalesce(~giant, F.lit(True))), make, [text], out, "array<int>", pa.list_(pa.int32()))
+    short = add_column(docs.where(F.coalesce(~giant, F.lit(True))), encoded, [text], out, ddl, arrow, keep)
     row = free_name(docs, "row")
     kept = stage(docs.where(giant).withColumn(row, F.monotonically_increasing_id()), "giant")
     schema = pa.schema([("row", pa.int64()), ("k", pa.int64()), ("n", pa.int64()), ("before", pa.string()), ("chunk", pa.string()), ("after", pa.string())])
@@ -286,8 +304,9 @@ def encode(docs: DataFrame, model_path: str, text: str = "text", out: str = "tok
 
     parts = chunks.join(fixed, ["row", "k"]).mapInArrow(backtrace, "row long, k long, ids array<int>")
     ids = parts.groupBy("row").agg(F.array_sort(F.collect_list(F.struct("k", "ids"))).alias("parts"))  # one document's
-    ids = ids.select(F.col("row").alias(row), F.flatten(F.col("parts.ids")).alias(out))
-    return short.unionByName(kept.join(ids, row).select(*columns, out))
+    held = free_name(docs, "ids")
+    ids = ids.select(F.col("row").alias(row), F.flatten(F.col("parts.ids")).alias(held))
+    return short.unionByName(add_column(kept.join(ids, row).select(*columns, held), joined, [text, held], out, ddl, arrow, keep))
 
 
 def decode(encoded: DataFrame, model_path: str, ids: str = "token_ids", out: str = "decoded", keep: list[str] | None = None) -> DataFrame:
@@ -299,22 +318,26 @@ def decode(encoded: DataFrame, model_path: str, ids: str = "token_ids", out: str
     return add_column(encoded, make, [ids], out, "string", pa.string(), keep)
 
 
-def round_trip(docs: DataFrame, model_path: str, keep: list[str] | None = None) -> DataFrame:
-    """``docs`` (of its columns, ``keep``) with token_ids and decoded."""
-    keep = docs.columns if keep is None else keep
-    return decode(encode(docs, model_path), model_path, keep=[*keep, "token_ids"])
+def round_trip(docs: DataFrame, model_path: str, text: str = "text") -> DataFrame:
+    """``docs`` with token_ids and the text decoded from them, in one pass."""
+    both = free_name(docs, "pieces")
+    kind = pa.struct([("token_ids", IDS), ("decoded", pa.string())])
+    got = _encoded(docs, model_path, lambda pieces: lambda t, ids: {"token_ids": ids, "decoded": pieces.decode(ids)},
+                   text, both, "struct<token_ids:array<int>,decoded:string>", kind, docs.columns, CHUNK)
+    return got.select(*docs.columns, F.col(both)["token_ids"].alias("token_ids"), F.col(both)["decoded"].alias("decoded"))
 
 
 def digest(docs: DataFrame, model_path: str) -> DataFrame:
     """doc_id, n_tokens, ids_crc32 (little-endian unsigned 32-bit ids), and
     whether the decoded text is the text."""
-    got = round_trip(docs.select("doc_id", "text"), model_path)
+    kind = pa.struct([("n", pa.int64()), ("crc", pa.int64()), ("restored", pa.bool_())])
 
-    def make():
+    def make(pieces):
         import zlib
 
-        return lambda rows: [None if r is None else zlib.crc32(np.array(r, dtype="<u4").tobytes()) for r in rows]
+        return lambda text, ids: {"n": len(ids), "crc": zlib.crc32(np.array(ids, dtype="<u4").tobytes()), "restored": pieces.decode(ids) == text}
 
-    got = got.select("doc_id", F.coalesce(F.size("token_ids"), F.lit(0)).cast("long").alias("n_tokens"), "token_ids",
-                     F.col("decoded").eqNullSafe(F.col("text")).alias("restored"))
-    return add_column(got, make, ["token_ids"], "ids_crc32", "bigint", pa.int64(), ["doc_id", "n_tokens", "restored"])
+    got = _encoded(docs.select("doc_id", "text"), model_path, make, "text", "seen", "struct<n:bigint,crc:bigint,restored:boolean>", kind, ["doc_id"], CHUNK)
+    seen = F.col("seen")
+    return got.select("doc_id", F.coalesce(seen["n"], F.lit(0)).alias("n_tokens"), seen["crc"].alias("ids_crc32"),
+                      F.coalesce(seen["restored"], F.lit(True)).alias("restored"))

@@ -18,7 +18,9 @@ after ``password=`` and the like).
   of its title's gender.
 * Distinctness: surrogates of all distinct entities are compared with each
   other and with all real entities; of those that meet, all but one draw
-  again, until none do.  Short credentials that can't all be told apart grow.
+  again, until none do.  Every second attempt makes the surrogate longer (a
+  name by a syllable, an address before its @, a number or credential by a
+  character), so that more entities than a short form can tell apart fit.
 
 Plan: texts without an entity only pass a filter.  The others are written
 once with row numbers; distinct entities, a small table, get their surrogates;
@@ -38,12 +40,15 @@ from ledgerlens.llm.common import free_name, stage
 
 KEY = "ledgerlens"
 ATTEMPTS = 64
+GROWN = "(attempt div 2)"  # syllables or characters more than the form has
 
 TITLES_M = "Mr|Herr|Monsieur|Señor|Sr|Signor|Г-н|Господин|Κύριος"
 TITLES_F = "Mrs|Ms|Miss|Frau|Madame|Mme|Mlle|Señora|Sra|Signora|Г-жа|Госпожа|Κυρία"
 TITLES_M, TITLES_F = (f"{t}|{t.upper()}" for t in (TITLES_M, TITLES_F))
 _NAME = r"\p{Lu}[\p{L}'’-]+"
 
+_SEVEN = "[0-9]" + "[ .()-]{0,3}[0-9]" * 6  # Java's look-behind takes no repeated group
+
 # One pattern a type, tried in this order; none starts inside a word.
 PATTERNS = {
     "EMAIL": r"(?<![\p{L}\p{N}._%+-])[\p{L}\p{N}_%+-][\p{L}\p{N}._%+-]*+@[\p{L}\p{N}-]++(?:\.[\p{L}\p{N}-]++)*?\.\p{L}{2,24}(?![\p{L}\p{N}-])",
@@ -53,7 +58,7 @@ PATTERNS = {
     "IBAN": r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])",
     "SSN": r"(?<![\p{L}\p{N}.-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![\p{L}\p{N}-])",
     "IP": r"(?<![\p{L}\p{N}.])(?:(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])\.){3}(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])(?![\p{L}\p{N}]|\.[0-9])",
-    "PHONE": r"(?<![\p{L}\p{N}+.(-])(?:(?:\+?1[ .-]?)?(?:\([0-9]{3}\) ?|[0-9]{3}[ .-])[0-9]{3}[ .-][0-9]{4}|\+[1-9][0-9]{0,2}(?:[ .-]?\(?[0-9]{1,5}\)?){2,6})(?![\p{L}\p{N}]|-[0-9])",
+    "PHONE": r"(?<![\p{L}\p{N}+.(-])(?:(?:\+?1[ .-]?)?(?:\([0-9]{3}\) ?|[0-9]{3}[ .-])[0-9]{3}[ .-][0-9]{4}|\+[1-9][0-9]{0,2}(?:[ .-]?\(?[0-9]{1,5}\)?){2,6}(?<=" + _SEVEN + r"\)?))(?![\p{L}\p{N}]|-[0-9])",
     "CARD": r"(?<![\p{L}\p{N}.+-])[2-6](?:[ -]?[0-9]){12,18}(?![\p{L}\p{N}]|[-.][0-9])",
     "NAME_M": rf"(?<![\p{{L}}-])(?:{TITLES_M})\.? {_NAME}(?: {_NAME})?(?: {_NAME})?",
     "NAME_F": rf"(?<![\p{{L}}-])(?:{TITLES_F})\.? {_NAME}(?: {_NAME})?(?: {_NAME})?",
@@ -131,7 +136,7 @@ def _name(key: str) -> str:
 
     def word(script: str) -> str:
         c, v, man, woman = SYLLABLES[script]
-        syllables = (f"transform(sequence(1, greatest(2, least(6, length(w) div 2))), k -> concat(substr('{c}', {_draw(h, '2 * k')} % {len(c)} + 1, 1), "
+        syllables = (f"transform(sequence(1, greatest(2, least(6, length(w) div 2)) + {GROWN}), k -> concat(substr('{c}', {_draw(h, '2 * k')} % {len(c)} + 1, 1), "
                      f"substr('{v}', {_draw(h, '2 * k + 1')} % {len(v)} + 1, 1)))")
         end = f"if(i < size(split(canon, ' ')) - 1, if(kind = 'NAME_F', 'l{woman}', 'r{man}'), 'n')" if script == "Latin" else \
             f"if(i < size(split(canon, ' ')) - 1, if(kind = 'NAME_F', '{woman}', '{man}'), '')"
@@ -147,10 +152,14 @@ def surrogate(key: str) -> str:
     domain = "substring_index(canon, '@', -1)"
     tld = f"substring_index({domain}, '.', -1)"
     host = f"left({domain}, length({domain}) - length({tld}) - 1)"
-    email = f"concat({_shaped(chr(115) + 'ubstring_index(canon, ' + _lit('@') + ', 1)', h)}, '@', {_shaped(host, _bytes(key, _lit('domain'), domain))}, '.', {tld})"
+    # drawn from the end of the hash, which only long forms reach
+    more = lambda chars: (f"if({GROWN} = 0, '', concat_ws('', transform(sequence(1, {GROWN}), k -> "
+                          f"substr('{chars}', {_draw(h, '128 - k')} % {len(chars)} + 1, 1))))")
+    letters, numbers = "abcdefghijklmnopqrstuvwxyz", "0123456789"
+    email = f"concat({_shaped(chr(115) + 'ubstring_index(canon, ' + _lit('@') + ', 1)', h)}, {more(letters)}, '@', {_shaped(host, _bytes(key, _lit('domain'), domain))}, '.', {tld})"
     octets = f"concat_ws('.', transform(split(canon, '[.]'), (o, i) -> cast(1 + {_draw(h, 'i', 4)} % 254 as string)))"
-    phone = (f"concat_ws('', transform(split(canon, ''), (c, i) -> cast(if(length(canon) = 10 and i in (0, 3), 2 + {_draw(h, 'i')} % 8, "
-             f"{_draw(h, 'i')} % 10) as string)))")
+    phone = (f"concat({more(numbers)}, concat_ws('', transform(split(canon, ''), (c, i) -> cast(if(length(canon) = 10 and i in (0, 3), 2 + {_draw(h, 'i')} % 8, "
+             f"{_draw(h, 'i')} % 10) as string))))")
     body = f"concat(left(canon, 1), substr({_shaped('canon', h)}, 2, length(canon) - 2))"
     # a body's check digit, from a one-element array so that it is drawn once
     double = "if(2 * cast(c as int) > 9, 2 * cast(c as int) - 9, 2 * cast(c as int))"
@@ -160,9 +169,8 @@ def surrogate(key: str) -> str:
     prefix = r"regexp_extract(canon, '^(AKIA|ASIA|ghp_|gho_|sk-|sk_live_|xox[abp]-)', 1)"
     secret = f"concat({prefix}, {_shaped(f'substr(canon, length({prefix}) + 1)', h)})"
     hexa = (f"concat_ws('', transform(split(canon, ''), (c, i) -> substr('0123456789abcdef', {_draw(h, 'i')} % 16 + 1, 1)))")
-    longer = f"if(attempt >= 16, substr({h}, 1, 8), '')"
     return (f"case kind when 'EMAIL' then {email} when 'IP' then {octets} when 'PHONE' then {phone} when 'CARD' then {card} when 'IBAN' then {iban} "
-            f"when 'KEY' then {secret} when 'HEX' then {hexa} when 'PASSWORD' then concat({_shaped('canon', h)}, {longer}) "
+            f"when 'KEY' then concat({secret}, {more(letters + numbers)}) when 'HEX' then {hexa} when 'PASSWORD' then concat({_shaped('canon', h)}, {more(letters + numbers)}) "
             f"when 'SSN' then {_shaped('canon', h)} else {_name(key)} end")
 
 
@@ -170,9 +178,13 @@ def rendered() -> str:
     """SQL of a mention's replacement: the canonical surrogate ``drawn`` in
     the mention's punctuation and case."""
     count = "length(regexp_replace(substr(mention, i + 1), '[^0-9]', ''))"
-    digits = (f"concat_ws('', transform(split(mention, ''), (c, i) -> if(instr('0123456789', c) > 0 and {count} <= length(drawn), "
-              f"substr(drawn, length(drawn) - {count} + 1, 1), c)))")
-    cased = r"concat_ws('', transform(split(drawn, ''), (c, i) -> if(substr(mention, i + 1, 1) rlike '[\\p{Lu}]', upper(c), c)))"
+    # what a grown surrogate has more stands before a number's first digit
+    # and at the end of an address's local part
+    digits = (f"concat_ws('', transform(split(mention, ''), (c, i) -> case when instr('0123456789', c) = 0 or {count} > length(canon) then c "
+              f"when {count} = length(canon) then left(drawn, length(drawn) - length(canon) + 1) else substr(drawn, length(drawn) - {count} + 1, 1) end))")
+    grown = "(length(drawn) - length(canon))"
+    cased = (f"concat_ws('', transform(split(drawn, ''), (c, i) -> if(substr(mention, case when i + 1 < instr(canon, '@') then i + 1 "
+             rf"when i + 1 < instr(drawn, '@') then length(mention) + 1 else i + 1 - {grown} end, 1) rlike '[\\p{{Lu}}]', upper(c), c)))")
     # an IBAN's spaces stand in groups of four
     iban = "if(instr(mention, ' ') > 0, trim(regexp_replace(drawn, '(.{4})', '$1 ')), drawn)"
     title = rf"regexp_extract(mention, {_lit(rf'^((?:{TITLES_M}|{TITLES_F})\.? )')}, 1)"

@@ -118,3 +118,27 @@ def test_query_on_documents(spark):
         for a, b in zip(old, new):
             assert pairs.setdefault(a, b) == b
     assert len(pairs) > 50 and len(set(pairs.values())) == len(pairs) and not set(pairs) & set(pairs.values())
+
+
+def test_more_entities_than_a_form_tells_apart(spark):
+    names = [f"{a}{b}{c}" for a in "bcdfghjklmnpqrstvwxz" for b in ("ea", "io", "ou", "ai", "ee", "oo", "ie", "au", "ue", "oa", "ei", "oi", "ui") for c in
+             ("", *"bcdfghjklmnpqrstvwxz")]  # 5,460 of at most 4 letters; two syllables give 4,225
+    rows = [("NAME_M", n) for n in names]
+    rows += [("EMAIL", f"{c}@x.com") for c in "abcdefghijklmnopqrstuvwxyzäöüéèà"] + [("KEY", "sk-" + "-" * 16), ("PASSWORD", "****")]
+    out = op.assign(spark.createDataFrame(rows, "kind string, canon string"), "k")
+    drawn = [r.drawn for r in out.collect()]
+    assert len(drawn) == len(set(drawn)) == len(rows) and not set(drawn) & {c for _, c in rows}
+    assert all(re.fullmatch(r"[^@]+@[a-z]\.com", d) for d in drawn if "@" in d)
+
+
+def test_short_numbers_are_no_phones(spark):
+    text = "gained +100 points, up +250%, +12 345 6, +100 - 20005 and"
+    assert run(spark, [(1, text)]) == [(1, text, 0)]
+    (_, new, n), = run(spark, [(1, f"{text} +49 30 123")])
+    assert n == 1 and re.fullmatch(re.escape(text) + r" \+\d\d \d\d \d{3}", new) and not new.endswith("+49 30 123")
+
+
+def test_grown_surrogates_keep_their_place(spark):
+    rows = [("PHONE", "9095552931", "+1 (909) 555-2931", "7712223334444"), ("EMAIL", "ab@cd.com", "Ab@Cd.com", "xyzz@qr.com")]
+    got = spark.createDataFrame(rows, "kind string, canon string, mention string, drawn string").select(op.F.expr(op.rendered()).alias("new")).collect()
+    assert [r.new for r in got] == ["+1 (771222) 333-4444", "Xyzz@Qr.com"]

@@ -51,7 +51,7 @@ _SEVEN = "[0-9]" + "[ .()-]{0,3}[0-9]" * 6  # Java's look-behind takes no repeat
 
 # One pattern a type, tried in this order; none starts inside a word.
 PATTERNS = {
-    "EMAIL": r"(?<![\p{L}\p{N}._%+-])[\p{L}\p{N}_%+-][\p{L}\p{N}._%+-]*+@[\p{L}\p{N}-]++(?:\.[\p{L}\p{N}-]++)*?\.\p{L}{2,24}(?![\p{L}\p{N}-])",
+    "EMAIL": r"(?<![\p{L}\p{N}._%+-])[\p{L}\p{N}_%+-][\p{L}\p{N}._%+-]*+@[\p{L}\p{N}-]++(?:\.[\p{L}\p{N}-]++)*\.\p{L}{2,24}(?![\p{L}\p{N}-])",
     "KEY": r"(?<![A-Za-z0-9])(?:AKIA|ASIA)[0-9A-Z]{16}(?![A-Za-z0-9])|(?<![A-Za-z0-9])(?:ghp_|gho_|sk-|sk_live_|xox[abp]-)[A-Za-z0-9_-]{16,}+",
     "PASSWORD": r"(?<=(?i:password|passwd|pwd|secret|api_key|apikey)[=:])[^\s\"'<>,;]{4,}+",
     "HEX": r"(?<![A-Za-z0-9])(?=[0-9]*[a-f])(?=[a-f]*[0-9])[0-9a-f]{32,}+(?![A-Za-z0-9])",

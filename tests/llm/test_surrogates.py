@@ -142,3 +142,11 @@ def test_grown_surrogates_keep_their_place(spark):
     rows = [("PHONE", "9095552931", "+1 (909) 555-2931", "7712223334444"), ("EMAIL", "ab@cd.com", "Ab@Cd.com", "xyzz@qr.com")]
     got = spark.createDataFrame(rows, "kind string, canon string, mention string, drawn string").select(op.F.expr(op.rendered()).alias("new")).collect()
     assert [r.new for r in got] == ["+1 (771222) 333-4444", "Xyzz@Qr.com"]
+
+
+def test_every_label_but_the_top_level_domain_changes(spark):
+    text = "john@mail.acme.com john@mail.acme.org a.b@example.co.uk. x@www.mail1.example.com, end bob@acme.com.2"
+    (_, new, n), = run(spark, [(1, text)])
+    assert n == 5 and not re.search("john|mail|acme|example|[.]co[.]|www", new)
+    a, b, c, d, e = re.fullmatch(r"(\S+\.com) (\S+\.org) ([a-z]\.[a-z]@[a-z]{7}\.[a-z]{2}\.uk)\. (\S+\.com), end (\S+\.com)\.2", new).groups()
+    assert [x.count(".") for x in (a, b, c, d, e)] == [2, 2, 3, 3, 1] and a[:-4] != b[:-4]

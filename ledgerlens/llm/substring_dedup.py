@@ -26,8 +26,8 @@ run goes to the shard of its minimiser.
    holds only its distinct runs; places stream by.
 4. Ranges meet their documents, and words are removed.
 
-Words are compared by 64-bit hashes (32 bits a word inside a run).  Null and
-empty texts have no words.  A null doc_id is neither smaller nor larger than
+Words are compared by 64-bit hashes, which a packed row holds once each.  Null
+and empty texts have no words.  A null doc_id is neither smaller nor larger than
 another: such rows keep all words and remove none.  Rows that repeat a
 doc_id are told apart by their texts and remove nothing from each other.
 """
@@ -285,8 +285,9 @@ def _repeated(docs: DataFrame, buckets: int, bits: int, flush: int) -> np.ndarra
 
 
 def _candidates(docs: DataFrame, table, buckets: int, bits: int, shards: int, flush: int) -> DataFrame:
-    """Distinct runs (kind 0: hashes, least doc_ids, lengths, words) and their
-    places (kind 1: hashes, counts, places) of each task, packed by shard."""
+    """Distinct runs (kind 0: hashes, least doc_ids, lengths, words as
+    distinct hashes and places among them) and their places
+    (kind 1: hashes, counts, places) of each task, packed by shard."""
     schema = pa.schema([("shard", pa.int64()), ("kind", pa.int64()), ("data", pa.binary())])
 
     def gather(batches):
@@ -310,13 +311,13 @@ def _candidates(docs: DataFrame, table, buckets: int, bits: int, shards: int, fl
                 first = np.flatnonzero(np.append(True, (run[1:] != run[:-1]) | (shard[1:] != shard[:-1]))[:len(hit)])
                 count = np.diff(np.append(first, len(hit)))
                 n = corpus.windows[hit[first]] + WINDOW - 1
-                words = corpus.h[np.repeat(corpus.at[hit[first]] - np.cumsum(n) + n, n) + np.arange(int(n.sum()))].astype("<u4")
+                words = corpus.h[np.repeat(corpus.at[hit[first]] - np.cumsum(n) + n, n) + np.arange(int(n.sum()))]
                 start = np.cumsum(n) - n
                 cut = np.append(np.flatnonzero(np.append(True, shard[first][1:] != shard[first][:-1])[:len(first)]), len(first))
                 for a, b in zip(cut[:-1].tolist(), cut[1:].tolist()):
                     here, some = int(shard[first[a]]), run[first[a:b]].tobytes()
                     yield here, 0, pack(some, places["doc"][first[a:b]].tobytes(), n[a:b].astype("<u4").tobytes(),
-                                        words[start[a]:start[b - 1] + n[b - 1]].tobytes())
+                                        *coded(words[start[a]:start[b - 1] + n[b - 1]]))
                     yield here, 1, pack(some, count[a:b].astype("<u4").tobytes(), places[first[a]:first[b - 1] + count[b - 1]].tobytes())
 
         yield from emit(schema, rows())
@@ -324,6 +325,17 @@ def _candidates(docs: DataFrame, table, buckets: int, bits: int, shards: int, fl
     return docs.where(F.col("doc_id").isNotNull()).mapInArrow(gather, "shard long, kind long, data binary")
 
 
+def coded(words: np.ndarray) -> tuple[bytes, bytes]:
+    """The distinct hashes of words, and each word's place among them."""
+    distinct, at = np.unique(words, return_inverse=True)
+    return distinct.astype("<u8").tobytes(), at.astype("<u2" if len(distinct) <= 1 << 16 else "<u4").tobytes()
+
+
+def decoded(distinct: bytes, at: bytes) -> np.ndarray:
+    distinct = np.frombuffer(distinct, "<u8")
+    return distinct[np.frombuffer(at, "<u2" if len(distinct) <= 1 << 16 else "<u4")]
+
+
 def pack(*parts: bytes) -> bytes:
     return b"".join([np.array([len(parts), *map(len, parts)], dtype="<i8").tobytes(), *parts])
 
@@ -338,10 +350,10 @@ class Shard:
     """Its distinct runs, and for each window the least doc_id."""
 
     def __init__(self, parts: list[bytes]):
-        run, doc, n, words = zip(*map(unpack, parts))
+        run, doc, n, distinct, at = zip(*map(unpack, parts))
         run = np.frombuffer(b"".join(run), np.uint64)
         doc, n = np.frombuffer(b"".join(doc), "<i8"), np.frombuffer(b"".join(n), "<u4").astype(np.int64)
-        words = np.frombuffer(b"".join(words), "<u4")
+        words = np.concatenate([decoded(*pair) for pair in zip(distinct, at)])
         start = np.cumsum(n) - n
         order = np.lexsort((doc, run))
         first = order[np.flatnonzero(np.append(True, run[order][1:] != run[order][:-1]))]

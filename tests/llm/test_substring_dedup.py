@@ -79,3 +79,23 @@ def test_minimisers_cover_windows():
         got = op.minimisers(h, window, kmer)
         parts = op.minimisers(h, kmer, kmer)
         assert got.tolist() == [parts[i:i + window - kmer + 1].min() for i in range(100 - window + 1)]
+
+
+def test_words_that_agree_in_32_bits_differ(spark):
+    words = [f"w{k}" for k in range(400_000)]
+    low = op.hashed_words([" ".join(words)], op._SPACES)[0].astype(np.uint32)
+    order = np.argsort(low, kind="stable")
+    k = np.flatnonzero(low[order][1:] == low[order][:-1])[0]
+    a, b = words[order[k]], words[order[k + 1]]
+    rows = []
+    for p in range(20):
+        rest = " ".join(f"p{p}x{j}" for j in range(12))
+        rows += [(2 * p, f"{a} {rest}"), (2 * p + 1, f"{b} {rest}")]
+    got = op.digest(op.deduplicate(spark.createDataFrame(rows, "doc_id long, text string"))).collect()
+    assert sorted(map(tuple, got), key=str) == brute(rows) and not any(r.n_removed for r in got)
+
+
+@pytest.mark.parametrize("n", [10, 70_000])
+def test_packed_words_come_back(n):
+    words = np.random.default_rng(n).integers(0, 2**64, n, dtype=np.uint64).repeat(2)
+    assert (op.decoded(*op.coded(words)) == words).all()

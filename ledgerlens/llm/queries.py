@@ -11,7 +11,7 @@ import os
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerlens.llm import brown_lm, decontaminate, html_extract, language_id, lsh_forest, near_dup, sentence_pieces, substring_dedup, surrogates, token_binary
+from ledgerlens.llm import brown_lm, decontaminate, html_extract, language_id, lsh_forest, near_dup, sentence_pieces, substring_dedup, surrogates, token_binary, word_runs
 
 QUERIES: dict = {}
 ORACLES: dict = {}
@@ -89,6 +89,11 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dup.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+@query("op12_periodic_runs", word_runs.ORACLE)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return word_runs.digest(word_runs.periodic_runs(table(spark, sf_dir, "documents"), word_runs.with_planted_run))
+
+
 @query("pipeline")
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return importlib.import_module("corpus_pipeline").run(spark, sf_dir)

@@ -11,7 +11,7 @@ import os
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerlens.llm import brown_lm, decontaminate, html_extract, language_id, lsh_forest, near_dup, sentence_pieces, substring_dedup, surrogates, token_binary, word_runs
+from ledgerlens.llm import brown_lm, decontaminate, html_extract, language_id, lsh_forest, near_dup, sentence_pieces, substring_dedup, surrogates, token_binary, vector_file, word_runs
 
 QUERIES: dict = {}
 ORACLES: dict = {}
@@ -94,6 +94,12 @@ def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     return word_runs.digest(word_runs.periodic_runs(table(spark, sf_dir, "documents"), word_runs.with_planted_run))
 
 
+@query("op13_vector_file", vector_file.ORACLE)
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return vector_file.top_k(vectors, vectors.where("vec_id % 50 = 0"), k=5)
+
+
 @query("pipeline")
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return importlib.import_module("corpus_pipeline").run(spark, sf_dir)

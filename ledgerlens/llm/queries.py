@@ -1,4 +1,4 @@
-"""The ten operators' queries over whole tables, and the pipeline.
+"""The thirteen operators' queries over whole tables, and the pipeline.
 
 Each thin query reads its table, applies the operator with production
 parameters and derives the contract's columns.
@@ -11,7 +11,7 @@ import os
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerlens.llm import brown_lm, decontaminate, html_extract, language_id, lsh_forest, near_dup, sentence_pieces, substring_dedup, surrogates, token_binary, vector_file, word_runs
+from ledgerlens.llm import brown_lm, decontaminate, html_extract, language_id, lsh_forest, near_dup, sentence_pieces, substring_dedup, surrogates, token_alignment, token_binary, vector_file, word_runs
 
 QUERIES: dict = {}
 ORACLES: dict = {}
@@ -89,6 +89,11 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dup.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+@query("op11_token_alignment")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_alignment.alignment(table(spark, sf_dir, "documents"), tokenizer_file("byte_bpe_50k.json"), tokenizer_file("piece_bpe_32k.model"))
+
+
 @query("op12_periodic_runs", word_runs.ORACLE)
 def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     return word_runs.digest(word_runs.periodic_runs(table(spark, sf_dir, "documents"), word_runs.with_planted_run))

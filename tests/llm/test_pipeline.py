@@ -75,7 +75,7 @@ def test_every_operator_is_registered():
     import __spark_entry__
 
     names = set(__spark_entry__.queries())
-    assert "pipeline" in names and {n.split("_")[0] for n in names if re.match(r"op\d+_", n)} == {f"op{k}" for k in range(1, 11)}
+    assert "pipeline" in names and {n.split("_")[0] for n in names if re.match(r"op\d+_", n)} == {f"op{k}" for k in range(1, 14)}
     assert set(__spark_entry__.oracle_sql()) <= names
 
 

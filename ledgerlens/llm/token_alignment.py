@@ -10,8 +10,8 @@ one if no pair of its B id has a higher count.
    those on one side depend on the other, so texts are cut there in units, and
    a unit is encoded and aligned once as long as it is remembered.
 2. A task gathers the (pair, document, number) records of its documents and
-   spills them every ``SPILL_LINKS`` links (or ``SPILL_CHARS`` characters):
-   sorted by B id, A id and document, radix-partitioned by the low bits of the
+   spills them every ``SPILL_CHARS`` characters (a link ends at a byte of its
+   own, so that bounds them): sorted by B id, A id and document, radix-partitioned by the low bits of the
    B id, each part a run in zstd frames.  The runs are rows of a table in the
    shared folder, pairs and documents in columns of their own.
 3. The pair frames alone are shuffled, by radix.  A k-way heap merge of a
@@ -44,13 +44,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlens.llm.common import emit, rows_of, stage, worker_state
+from ledgerlens.llm.common import emit, in_groups, rows_of, stage, worker_state
 from ledgerlens.llm.sentence_pieces import Pieces
 
-SPILL_LINKS = 1 << 20
-SPILL_CHARS = 1 << 24
+SPILL_CHARS = 1 << 22
+GROUP = 1 << 19          # characters of documents taken up together
+TOGETHER = 4096          # units encoded as one text
 FRAME = 4096             # pairs in a zstd frame
-REMEMBERED = 100_000     # units a worker keeps between spills
+REMEMBERED = 150_000     # units a worker keeps between spills, the first it meets
 SHORT = 64               # characters of the units that are kept
 _VISIBLE = r"[\w!-~]"
 _CUT = re.compile(f"(?<={_VISIBLE}) (?={_VISIBLE})")
@@ -66,7 +67,9 @@ def byte_alphabet() -> dict[str, int]:
 
 
 class Aligner:
-    """Both tokenizers and the units aligned before."""
+    """Both tokenizers and the units aligned before.  A unit's record: tokens
+    of A, tokens of B, its groups as text, its linked pairs (B id << 32 | A
+    id); None where bytes differ."""
 
     def __init__(self, path_a: str, path_b: str):
         import os
@@ -83,40 +86,59 @@ class Aligner:
         self.a_bytes = [b""] * (max(vocabulary.values()) + 1)
         for token, k in vocabulary.items():
             self.a_bytes[k] = token.encode() if token in special else bytes(of[c] for c in token)
+        self.a_size, self.b_size = (np.array([len(x) for x in side]) for side in (self.a_bytes, self.b.bytes))
+        self.digits = [str(k) for k in range(max(len(self.a_bytes), len(self.b.bytes)))]
         self.known: dict[str, tuple | None] = {}
 
-    def encode(self, units: list[str]) -> tuple[list[list[int]], list[list[int]]]:
-        """Ids of a space and each unit by A, and of each unit by B."""
-        a = [e.ids for e in self.a.encode_batch([" " + u for u in units], add_special_tokens=False)]
-        return a, self.b.whole.encode(units, num_threads=1)
-
-    def aligned(self, text: str, a: list[int], b: list[int]) -> tuple | None:
-        """(tokens of A, of B, groups, groups as text, linked pairs), or None
-        where bytes differ.  A pair is B id << 32 | A id."""
-        x, y = [self.a_bytes[k] for k in a], [self.b.bytes[k] for k in b]
-        if b"".join(x) != (same := (" " + text).encode("utf-8", "surrogatepass")) or b"".join(y) != same:
+    def encode(self, text: str) -> tuple[list[int], list[int], bool]:
+        """Ids of a space and the text by both, and whether their bytes are
+        those."""
+        a, b = self.a.encode(" " + text, add_special_tokens=False).ids, self.b.whole.encode(text, num_threads=1)
+        same = (" " + text).encode("utf-8", "surrogatepass")
+        return a, b, all(b"".join(map(of.__getitem__, ids)) == same for of, ids in ((self.a_bytes, a), (self.b.bytes, b)))
+
+    def records(self, units: list[str], a: list[int], b: list[int]) -> list[tuple] | None:
+        """The units' records from the ids of their text (units between single
+        spaces); None if a unit does not end where tokens of both do."""
+        ends = np.cumsum([len(u.encode("utf-8", "surrogatepass")) + 1 for u in units])
+        flat_a, flat_b = np.array(a, dtype=np.int64), np.array(b, dtype=np.int64)
+        end_a, end_b = np.cumsum(self.a_size[flat_a]), np.cumsum(self.b_size[flat_b])
+        both, at_a, at_b = np.intersect1d(end_a, end_b, assume_unique=True, return_indices=True)
+        last = np.searchsorted(both, ends)
+        if last[-1] >= len(both) or (both[last] != ends).any():
             return None
-        groups, pairs = [], []
-        i = j = at_i = at_j = end_a = end_b = 0
-        while i < len(a):
-            end_a += len(x[i])
-            i += 1
-            while end_b < end_a:
-                end_b += len(y[j])
-                j += 1
-            if end_a == end_b:
-                groups.append(",".join(map(str, a[at_i:i])) + "|" + ",".join(map(str, b[at_j:j])))
-                pairs.append(b[j - 1] << 32 | a[i - 1])
-                at_i, at_j = i, j
-        return len(a), len(b), len(groups), ";".join(groups).encode(), pairs
-
-    def units(self, new: list[str]) -> list[tuple | None]:
+        text_a, text_b = ([self.digits[k] for k in ids] for ids in (a, b))
+        groups, i, j = [], 0, 0
+        for x, y in zip((at_a + 1).tolist(), (at_b + 1).tolist()):
+            groups.append((text_a[i] if x == i + 1 else ",".join(text_a[i:x])) + "|" + (text_b[j] if y == j + 1 else ",".join(text_b[j:y])))
+            i, j = x, y
+        pairs = (flat_b[at_b] << 32 | flat_a[at_a]).tolist()
+        n_a, n_b = np.diff(at_a[last] + 1, prepend=0).tolist(), np.diff(at_b[last] + 1, prepend=0).tolist()
+        out, g = [], 0
+        for x, y, h in zip(n_a, n_b, (last + 1).tolist()):
+            out.append((x, y, ";".join(groups[g:h]).encode(), pairs[g:h]))
+            g = h
+        return out
+
+    def alone(self, text: str) -> tuple | None:
+        a, b, same = self.encode(text)
+        return self.records([text], a, b)[0] if same else None
+
+    def units(self, new: list[str], apart: bool) -> list[tuple | None]:
+        """Records of units; ``apart``: they have visible characters at both
+        ends, so they may be encoded as one text."""
+        made: dict[str, tuple | None] = {}
         missing = [u for u in new if u not in self.known]
-        made = dict(zip(missing, map(self.aligned, missing, *self.encode(missing))))
+        for at in range(0, len(missing), TOGETHER):
+            part = missing[at:at + TOGETHER]
+            got = None
+            if apart:
+                a, b, same = self.encode(" ".join(part))
+                got = self.records(part, a, b) if same else None
+            made.update(zip(part, got if got is not None else map(self.alone, part)))
         out = [made[u] if u in made else self.known[u] for u in new]
-        if len(self.known) > REMEMBERED:
-            self.known.clear()
-        self.known.update((u, r) for u, r in made.items() if len(u) <= SHORT)
+        if len(self.known) < REMEMBERED:
+            self.known.update((u, r) for u, r in made.items() if len(u) <= SHORT)
         return out
 
 
@@ -124,63 +146,56 @@ class Spill:
     """The documents and units gathered since the last spill."""
 
     def __init__(self, aligner: Aligner):
-        self.aligner, self.aligned = aligner, []
+        self.aligner, self.n_a, self.n_b, self.groups, self.pairs = aligner, [], [], [], []
         self.index: dict[str, int] = {}  # what stands between two spaces; -1: not to be cut off there
         self.odd: dict[str, int] = {}    # units of texts with such parts
-        self.docs, self.parts, self.links, self.chars = [], [], 0, 0
-
-    def _find(self, parts: list[str]) -> list[int]:
-        """Numbers of units, -1 where a part has an end that is not visible."""
-        got = list(map(self.index.get, parts))
-        if None in got:
-            new = list(dict.fromkeys(p for p, k in zip(parts, got) if k is None))
-            whole = [p for p in new if _WHOLE.fullmatch(p)]
-            self.index.update(dict.fromkeys(new, -1))
-            self._put(whole, self.index)
-            got = list(map(self.index.get, parts))
-        return got
-
-    def _put(self, units: list[str], index: dict[str, int]) -> None:
-        for u, r in zip(units, self.aligner.units(units)):
-            index[u] = len(self.aligned)
-            self.aligned.append(r)
-
-    def add(self, doc_id: int | None, text: str | None) -> None:
-        got: list[int] = []
-        if text:
-            parts = text.split(" ")
-            got = self._find(parts)
+        self.bad: set[int] = set()       # units whose bytes differ
+        self.docs, self.parts, self.chars = [], [], 0
+
+    def _put(self, record: tuple | None) -> int:
+        k = len(self.n_a)
+        if record is None:
+            self.bad.add(k)
+            record = 0, 0, b"", []
+        for side, x in zip((self.n_a, self.n_b, self.groups, self.pairs), record):
+            side.append(x)
+        return k
+
+    def add(self, docs: list[tuple[int | None, str | None]]) -> None:
+        split = [t.split(" ") if t else [] for _, t in docs]
+        new = set().union(*split).difference(self.index)
+        whole = [p for p in new if _WHOLE.fullmatch(p)]
+        self.index.update(dict.fromkeys(new, -1))
+        self.index.update((u, self._put(r)) for u, r in zip(whole, self.aligner.units(whole, True)))
+        for (doc_id, text), parts in zip(docs, split):
+            got = list(map(self.index.__getitem__, parts))
             if -1 in got:
                 parts = _CUT.split(text)
-                self._put([p for p in dict.fromkeys(parts) if p not in self.odd], self.odd)
-                got = list(map(self.odd.get, parts))
-            records = [self.aligned[k] for k in got]
-            if None in records:  # perhaps the bytes agree as a whole
-                a, b = ([k for ids in side for k in ids] for side in self.aligner.encode(parts))
-                record = self.aligner.aligned(text, a, b)
-                records, got = [], []
-                if record is not None:
-                    records, got = [record], [len(self.aligned)]
-                    self.aligned.append(record)
-        else:
-            records = []
-        groups = b";".join([r[3] for r in records])
-        self.docs.append((doc_id, sum(r[0] for r in records), sum(r[1] for r in records), n := sum(r[2] for r in records),
-                          hashlib.sha256(groups).hexdigest() if records else ""))
-        self.parts.append(np.array(got, dtype=np.int32))
-        self.links += n
-        self.chars += len(text or "")
-
-    def full(self) -> bool:
-        return self.links >= SPILL_LINKS or self.chars >= SPILL_CHARS
+                odd = [p for p in dict.fromkeys(parts) if p not in self.odd]
+                self.odd.update((u, self._put(r)) for u, r in zip(odd, self.aligner.units(odd, False)))
+                got = list(map(self.odd.__getitem__, parts))
+            if self.bad and not self.bad.isdisjoint(got):  # perhaps the bytes agree as a whole
+                record = self.aligner.alone(text)
+                got = [] if record is None else [self._put(record)]
+            sha = hashlib.sha256(b";".join([self.groups[k] for k in got])).hexdigest() if got else ""
+            self.docs.append((doc_id, sha))
+            self.parts.append(np.array(got, dtype=np.int32))
+            self.chars += len(text or "")
+
+    def rows(self) -> list[tuple]:
+        """doc_id, n_a, n_b, n_groups, groups_sha256 of the documents."""
+        sizes = [len(p) for p in self.pairs]
+        used = np.concatenate([np.zeros(0, np.int32), *self.parts])
+        doc = np.repeat(np.arange(len(self.parts)), [len(p) for p in self.parts])
+        sums = [np.bincount(doc, np.array(x, dtype=np.int64)[used], len(self.parts)).astype(np.int64).tolist() for x in (self.n_a, self.n_b, sizes)]
+        return [(i, *n, sha) for (i, sha), *n in zip(self.docs, *sums)]
 
     def runs(self, radixes: int):
         """(radix, pair frames, document frames) of the records."""
         import zstandard
 
-        pairs = [r[4] if r else [] for r in self.aligned]
-        sizes = np.array([len(p) for p in pairs], dtype=np.int64)
-        codes, number = np.unique(np.array([c for p in pairs for c in p], dtype=np.int64), return_inverse=True)
+        sizes = np.array([len(p) for p in self.pairs], dtype=np.int64)
+        codes, number = np.unique(np.array([c for p in self.pairs for c in p], dtype=np.int64), return_inverse=True)
         first = np.concatenate([[0], np.cumsum(sizes)])
         used = np.concatenate([np.zeros(0, np.int32), *self.parts])
         doc = np.repeat(np.arange(len(self.parts)), [len(p) for p in self.parts])
@@ -293,12 +308,12 @@ def spilled(docs: DataFrame, path_a: str, path_b: str, radixes: int) -> DataFram
             def written():
                 for radix, frames, pairs, records, data in held.runs(radixes):
                     yield number, radix, frames, pairs, records, data, None, None, None, None, None, None
-                for k, (doc_id, n_a, n_b, n_groups, sha) in enumerate(held.docs):
+                for k, (doc_id, n_a, n_b, n_groups, sha) in enumerate(held.rows()):
                     yield number, LAST, None, None, None, None, k, doc_id, n_a, n_b, n_groups, sha
 
-            for doc_id, text in rows_of(batches, "doc_id", "text"):
-                held.add(doc_id, text)
-                if held.full():
+            for some in in_groups(rows_of(batches, "doc_id", "text"), lambda r: len(r[1] or ""), GROUP):
+                held.add(some)
+                if held.chars >= SPILL_CHARS:
                     yield from written()
                     held, number = Spill(aligner), number + 1
             yield from written()

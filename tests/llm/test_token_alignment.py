@@ -69,13 +69,13 @@ def frame(spark, rows):
     return spark.createDataFrame([(t, 1, i, "r", b"d") for i, t in rows], "text string, n_a int, doc_id long, radix string, docs binary").repartition(4)
 
 
-@pytest.mark.parametrize("spill", [op.SPILL_LINKS, 50])
+@pytest.mark.parametrize("spill", [op.SPILL_CHARS, 50])
 def test_query_equals_whole_texts(spark, libraries, monkeypatch, spill):
     rows = ROWS + [(100 + k, t) for k, t in enumerate(texts())]
     aligner = op.Aligner(A, B)
     got = op.alignment(frame(spark, rows), A, B, radixes=8).collect()
     assert sorted(map(repr, map(tuple, got))) == sorted(map(repr, brute(rows, libraries)))
-    monkeypatch.setattr(op, "SPILL_LINKS", spill)
+    monkeypatch.setattr(op, "SPILL_CHARS", spill)
     monkeypatch.setattr(op, "FRAME", 16)
     assert local(rows, aligner, 4) == sorted(map(repr, brute(rows, libraries)))
 
@@ -84,8 +84,8 @@ def local(rows, aligner, radixes):
     """The same steps without Spark, with many small spills and frames."""
     spills, held = [], op.Spill(aligner)
     for i, t in rows:
-        held.add(i, t)
-        if held.full():
+        held.add([(i, t)])
+        if held.chars >= op.SPILL_CHARS:
             spills.append(held)
             held = op.Spill(aligner)
     spills.append(held)
@@ -98,8 +98,8 @@ def local(rows, aligner, radixes):
             counts.update(zip(codes.tolist(), zip(n.tolist(), best.tolist())))
     out = []
     for s in spills:
-        for doc, got in zip(s.docs, s.parts):
-            links = [c for k in got.tolist() for c in s.aligned[k][4]]
+        for doc, got in zip(s.rows(), s.parts):
+            links = [c for k in got.tolist() for c in s.pairs[k]]
             out.append((*doc[:4], len(links), sum(counts[c][1] for c in links), sum(counts[c][0] for c in links), doc[4]))
     return sorted(map(repr, out))
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import contextlib
 import os
 import sys
 import types
@@ -11,32 +12,58 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from ledgerlens.session import ensure_checkpoint_dir
 
 
-_staged: list[str] = []
+BATCH_BYTES = "4m"
+_open: list[list[str]] = []
+
+
+def bounded_batches(spark) -> None:
+    """Rows travel to Python in Arrow batches of at most ``BATCH_BYTES``,
+    unless the session has a limit of its own: wide rows times the default
+    number of rows would not fit an executor beside its heap."""
+    name, default = "spark.sql.execution.arrow.maxBytesPerBatch", ("67108864b", "67108864", "64m", "64MB")
+    if spark.conf.get(name, default[0]) in default:
+        spark.conf.set(name, BATCH_BYTES)
 
 
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once to the shared checkpoint folder and reread it."""
-    path = shared_path(df.sparkSession, name)
+    spark = df.sparkSession
+    bounded_batches(spark)
+    path = shared_path(spark, name)
     df.write.mode("errorifexists").parquet(path)
-    _staged.append(path)
-    return df.sparkSession.read.parquet(path)
+    for held in _open:
+        held.append(path)
+    return spark.read.parquet(path)
 
 
-def drop_staged(docs: DataFrame) -> None:
-    """Delete what ``stage`` has written in this driver, but for what ``docs``
-    still reads.  For callers whose earlier results are written elsewhere."""
-    spark = docs.sparkSession
+@contextlib.contextmanager
+def staged_tables():
+    """A list of the paths that ``stage`` writes inside the block."""
+    held: list[str] = []
+    _open.append(held)
+    try:
+        yield held
+    finally:
+        _open[:] = [x for x in _open if x is not held]
+
+
+def delete_tables(spark, paths: list[str]) -> None:
+    """Delete staged tables, which nothing reads any more."""
     jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
-    read = {part for f in docs.inputFiles() for part in f.split("/")}
-    for path in list(_staged):
-        if path.rsplit("/", 1)[-1] not in read:
-            p = jvm.org.apache.hadoop.fs.Path(path)
-            p.getFileSystem(conf).delete(p, True)
-            _staged.remove(path)
+    for path in paths:
+        p = jvm.org.apache.hadoop.fs.Path(path)
+        p.getFileSystem(conf).delete(p, True)
+
+
+def broadcast_if_small(df: DataFrame, most: int = 1_000_000) -> DataFrame:
+    """A narrow staged table, counted: broadcast up to ``most`` rows, else
+    left for a shuffle."""
+    return F.broadcast(df) if df.count() <= most else df
 
 
 def shared_path(spark, name: str) -> str:
@@ -115,6 +142,7 @@ def add_column(df: DataFrame, make, inputs: list[str], out: str, ddl: str, arrow
     the inputs' values to a list of results."""
     from pyspark.sql import types as T
 
+    bounded_batches(df.sparkSession)
     keep = df.columns if keep is None else keep
 
     def run(batches):

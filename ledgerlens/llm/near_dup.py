@@ -39,7 +39,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlens.llm.common import SPACE_TABLE, emit, hashed_words, in_groups, mix64, rows_of, stage
+from ledgerlens.llm.common import SPACE_TABLE, broadcast_if_small, delete_tables, emit, free_name, hashed_words, in_groups, mix64, rows_of, stage, staged_tables
 from ledgerlens.llm.components import components
 
 SHINGLE = 5
@@ -130,24 +130,25 @@ def similar(a: bytes, b: bytes, percent: int = PERCENT) -> bool:
 # ------------------------------------------------------------------ Spark
 
 def _signed(docs: DataFrame) -> DataFrame:
-    """doc_id, n_shingles, node (digest of the set), bands, sketch."""
-    schema = pa.schema([("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("node", pa.binary()),
+    """doc_id, h (hash of the text), n_shingles, node (digest of the set),
+    bands, sketch."""
+    schema = pa.schema([("doc_id", pa.int64()), ("h", pa.int64()), ("n_shingles", pa.int64()), ("node", pa.binary()),
                         ("bands", pa.list_(pa.int64())), ("sketch", pa.binary())])
 
     def sign(batches):
         import xxhash
 
         def rows():
-            for doc_id, s in _sets(rows_of(batches, "doc_id", "text")):
+            for doc_id, h, s in _sets(rows_of(batches, "doc_id", "h", "text")):
                 if not len(s):
-                    yield doc_id, 0, None, None, None
+                    yield doc_id, h, 0, None, None, None
                     continue
                 m = samples(s)
-                yield doc_id, len(s), xxhash.xxh3_128_digest(s.tobytes()), bands_of(m).tolist(), odd_sketch(s)
+                yield doc_id, h, len(s), xxhash.xxh3_128_digest(s.tobytes()), bands_of(m).tolist(), odd_sketch(s)
 
         yield from emit(schema, rows())
 
-    return docs.mapInArrow(sign, "doc_id long, n_shingles long, node binary, bands array<long>, sketch binary")
+    return docs.select("doc_id", F.xxhash64("text").alias("h"), "text").mapInArrow(sign, "doc_id long, h long, n_shingles long, node binary, bands array<long>, sketch binary")
 
 
 def _confirmed(pairs: DataFrame, docs: DataFrame, first_id: DataFrame) -> DataFrame:
@@ -166,7 +167,7 @@ def _confirmed(pairs: DataFrame, docs: DataFrame, first_id: DataFrame) -> DataFr
 
         yield from emit(schema, rows(), most_rows=512)
 
-    wanted = nodes.join(first_id, "node").select("doc_id").distinct()
+    wanted = broadcast_if_small(stage(nodes.join(first_id, "node").select("doc_id").distinct(), "wanted"))
     # a node of null ids alone is read from all rows with a null id
     texts = docs.join(wanted, docs["doc_id"].eqNullSafe(wanted["doc_id"]), "left_semi").select("text")
     sets = stage(texts.mapInArrow(expand, "node binary, n long, shingles binary").dropDuplicates(["node"]), "sets")
@@ -267,6 +268,15 @@ def _within(rows: DataFrame, nearest: bool) -> DataFrame:
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles, component_id, kept for every row of ``docs``
     (doc_id, text)."""
+    signed, named = _grouped(docs)
+    done = signed.select("doc_id", "n_shingles", "node").join(named.select("node", "component_id"), "node", "left")
+    component = F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
+    return done.select("doc_id", "n_shingles", component.alias("component_id")).withColumn(
+        "kept", F.col("component_id").isNull() | F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(False)))
+
+
+def _grouped(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The signed rows, and node, root, component_id of every node."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     signed = stage(_signed(docs), "signed")
     some = signed.where(F.col("node").isNotNull())
@@ -285,7 +295,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         F.col("leader").alias("a"), F.col("node").alias("b")).distinct()
     led = led.join(sketches.toDF("b", "sb", "nb"), "b").join(sketches.toDF("a", "sa", "na"), "a")
     best = _close(led).groupBy("b").agg(F.min(F.struct("odd", "a")).alias("best")).select(F.col("best.a").alias("a"), "b")
-    links = stage(_confirmed(stage(best, "led"), docs, first_id), "links")
+    links = _confirmed_links(stage(best, "led"), None, docs, first_id)
     # a first label: a node's leader; nodes of one label are linked for sure
     roots = links.select(F.col("b").alias("node"), F.col("a").alias("root"))
 
@@ -296,23 +306,47 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         mixed = labelled.groupBy("bucket").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("bucket")
         last = k == ROUNDS
         rest = labelled.join(mixed, "bucket").join(nodes, "node").select("bucket", "node", "comp", "sketch", "n", *(["bands"] if last else []))
-        found = stage(_within(rest, nearest=not last), "found")
-        links = stage(links.unionByName(_confirmed(found, docs, first_id)), "links")
+        links = _confirmed_links(stage(_within(rest, nearest=not last), "found"), links, docs, first_id)
         roots = stage(components(links, "a", "b"), "roots")
 
     grouped = nodes.select("node", "doc_id").join(roots, "node", "left").select("node", "doc_id", F.coalesce("root", "node").alias("root"))
     least = grouped.groupBy("root").agg(F.min("doc_id").alias("component_id"))
-    named = grouped.join(least, "root").select("node", "component_id")
-    done = signed.select("doc_id", "n_shingles", "node").join(named, "node", "left")
-    component = F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
-    return done.select("doc_id", "n_shingles", component.alias("component_id")).withColumn(
-        "kept", F.col("component_id").isNull() | F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(False)))
+    return signed, grouped.join(least, "root").select("node", "root", "component_id")
+
+
+def _confirmed_links(pairs: DataFrame, links: DataFrame | None, docs: DataFrame, first_id: DataFrame) -> DataFrame:
+    """The written links, with those of ``pairs`` that pass; the sets in
+    question are deleted again."""
+    with staged_tables() as own:
+        more = _confirmed(pairs, docs, first_id)
+        out = stage(more if links is None else links.unionByName(more), "links")
+    delete_tables(docs.sparkSession, own[:-1])
+    return out
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
-    """``docs`` with one document of each group, columns as they were."""
-    verdict = near_duplicates(docs).where("kept and doc_id is not null").select("doc_id").distinct()
-    return docs.join(verdict, docs["doc_id"] == verdict["doc_id"], "left_semi").unionByName(docs.where(F.col("doc_id").isNull()))
+    """``docs`` with one row of each group, columns as they were: of the rows
+    with the least doc_id (any id before none) the one whose text has the
+    least hash, and of repeated rows one.  Rows without words stay."""
+    key = ["doc_id", "h"]
+    ids = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text"))
+    signed, named = _grouped(ids)
+    rows = signed.where(F.col("node").isNotNull()).groupBy("doc_id", "h", "node").agg(F.count("*").alias("times"))
+    rows = rows.join(named.select("node", "root"), "node")
+    order = F.struct(F.col("doc_id").isNull().alias("none"), F.coalesce("doc_id", F.lit(0)).alias("id"), "h")
+    first = rows.groupBy("root").agg(F.min(order).alias("first"))
+    judged = stage(rows.join(first, "root").select("doc_id", "h", "times", (order == F.col("first")).alias("stays")), "judged")
+    gone, repeated = judged.where(~F.col("stays")).select(*key), judged.where(F.col("stays") & (F.col("times") > 1)).select(*key)
+    row_id, row_hash = docs["doc_id"].cast("long"), F.xxhash64(docs["text"])
+    same = lambda k: row_id.eqNullSafe(k["doc_id"]) & (row_hash == k["h"])
+    none = broadcast_if_small(gone)
+    kept = docs.join(none, same(none), "left_anti")
+    if repeated.isEmpty():
+        return kept
+    some = broadcast_if_small(repeated)
+    number = free_name(docs, "h")
+    once = kept.join(some, same(some), "left_semi").withColumn(number, F.xxhash64("text")).dropDuplicates(["doc_id", number]).drop(number)
+    return kept.join(some, same(some), "left_anti").unionByName(once)
 
 
 # The same in SQL: all pairs that share a shingle, exact set sizes, then reachability.

@@ -11,6 +11,7 @@ import os
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ledgerlens.llm.common import bounded_batches
 from ledgerlens.llm import brown_lm, decontaminate, html_extract, language_id, lsh_forest, near_dup, sentence_pieces, substring_dedup, surrogates, token_alignment, token_binary, vector_file, word_runs
 
 QUERIES: dict = {}
@@ -27,6 +28,7 @@ def query(name: str, oracle: str | None = None):
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    bounded_batches(spark)
     return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
 
 

@@ -79,13 +79,35 @@ def test_every_operator_is_registered():
     assert set(__spark_entry__.oracle_sql()) <= names
 
 
-def test_earlier_tables_go_but_not_what_is_read(spark):
-    from ledgerlens.llm import common
-
-    a, b = (common.stage(spark.range(k), "kept") for k in (3, 4))
-    common.drop_staged(a.where("id > 0"))
-    assert a.count() == 3 and len(common._staged) == 1
-    common.drop_staged(spark.range(1))
-    assert not common._staged
-    with pytest.raises(Exception):
-        b.count()
+def test_only_own_tables_are_deleted(spark, corpus):
+    import corpus_pipeline
+
+    from ledgerlens.llm import common, surrogates
+
+    path, _ = corpus
+    other = surrogates.replaced(spark.createDataFrame([(1, "write to cat.dog@house.example.com")], "doc_id long, text string"))
+    with common.staged_tables() as own:
+        made = corpus_pipeline.run(spark, path)
+    assert other.count() == 1 and made.count() > 0
+    last = own[-1]
+    for p in own:  # all others are gone
+        assert os.path.exists(p.removeprefix("file:")) == (p == last)
+
+
+def test_repeated_rows_ties_and_clashing_columns(spark, corpus):
+    import corpus_pipeline
+
+    path, rows = corpus
+    text = rows[1][1]
+    odd = [(200, text, "en", "a", 1), (200, text, "en", "a", 1), (None, text, "en", "b", 1), (None, rows[3][1] + " more", None, None, 2),
+           (None, rows[3][1] + " more", None, None, 2), (201, rows[5][1], "en", "c", 3), (201, rows[7][1], "en", "c", 3), (202, "", "en", "d", 0)]
+    extra = spark.createDataFrame([(*r, "x", 5, 1.5, "y", 9) for r in odd],
+                                  "doc_id long, text string, lang string, source string, n_chars long, language string, pieces int, row double, contamination string, h int")
+    kept = corpus_pipeline.STAGES[1][1](spark, extra, path)
+    assert kept.columns == extra.columns
+    got = sorted((r.doc_id is None, r.doc_id or 0, r.text) for r in kept.collect())
+    assert got == sorted([(False, 200, text), (True, 0, rows[3][1] + " more"), (False, 201, rows[5][1]), (False, 201, rows[7][1]), (False, 202, "")])
+    for name, apply in corpus_pipeline.STAGES:
+        out = apply(spark, extra, path)
+        assert out.columns[:len(extra.columns)] == extra.columns, name
+        assert {tuple(r)[5:10] for r in out.collect()} == {("x", 5, 1.5, "y", 9)}, name

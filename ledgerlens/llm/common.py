@@ -18,6 +18,7 @@ from ledgerlens.session import ensure_checkpoint_dir
 
 
 BATCH_BYTES = "4m"
+SLICE = 256  # rows whose values are Python objects at one time
 _open: list[list[str]] = []
 
 
@@ -100,11 +101,12 @@ def rows_of(batches: Iterator[pa.RecordBatch], *columns: str):
 
 
 def emit(schema: pa.Schema, rows, most_rows: int = 4096, most_bytes: int = 8 << 20):
-    """Arrow batches of row tuples, bounded in rows and in binary bytes."""
+    """Arrow batches of row tuples, bounded in rows and in bytes (of strings
+    and of lists, whose items are Python objects here)."""
     held, size = [], 0
     for row in rows:
         held.append(row)
-        size += sum(len(v) for v in row if isinstance(v, (bytes, str)))
+        size += sum(40 * len(v) if isinstance(v, list) else len(v) for v in row if isinstance(v, (bytes, str, list)))
         if len(held) >= most_rows or size >= most_bytes:
             yield to_batch(schema, held)
             held, size = [], 0
@@ -148,8 +150,8 @@ def add_column(df: DataFrame, make, inputs: list[str], out: str, ddl: str, arrow
     def run(batches):
         fn = make()
         for batch in batches:
-            for at in range(0, batch.num_rows, 2048):
-                part = batch.slice(at, 2048)
+            for at in range(0, batch.num_rows, SLICE):
+                part = batch.slice(at, SLICE)
                 column = lambda c: part.column(part.schema.get_field_index(c))
                 made = fn(*(column(c).to_pylist() for c in inputs))
                 yield pa.RecordBatch.from_arrays([*map(column, keep), pa.array(made, type=arrow)], names=[*keep, out])

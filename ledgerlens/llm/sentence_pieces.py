@@ -40,7 +40,7 @@ from ledgerlens.llm.common import add_column, emit, free_name, rows_of, stage, w
 CHUNK = 32768
 MARK = "▁"
 START = (0, 0)
-REMEMBERED = 50_000  # answers kept by a worker of each of two questions
+REMEMBERED = 20_000  # answers kept by a worker of each of two questions
 
 
 class Pieces:

@@ -65,6 +65,13 @@ def complete_months(start, end) -> Column:
     return F.when(b >= a, _months_forward(a, b)).otherwise(-_months_forward(b, a)).cast("long")
 
 
+def wall_micros(ts) -> Column:
+    """Microseconds of wall-clock time since 1970, of a date or timestamp."""
+    t = F.col(ts) if isinstance(ts, str) else ts
+    t = t.cast("timestamp_ntz")
+    return F.datediff(F.to_date(t), F.lit("1970-01-01").cast("date")).cast("long") * 86_400_000_000 + _micros_of_day(t)
+
+
 def elapsed_seconds(end, start) -> Column:
     """Elapsed seconds between two wall-clock timestamps (fractions floored),
     independent of the session time zone."""

@@ -30,6 +30,7 @@ from ledgerlens.functions import scalars as S
 from ledgerlens.functions.dates import ts_ntz
 from ledgerlens.functions.similarity import with_token_set_ratio
 from ledgerlens.operators.skew import DEFAULT_HOT_THRESHOLD, latest_per_key, ranked_within
+from ledgerlens.operators.versions import lookup, version_tree
 from ledgerlens.session import cut_lineage
 
 # The five matching stages, in order (name, keys).
@@ -131,10 +132,11 @@ def stage_summary(pairs: DataFrame) -> DataFrame:
 def effective_rate(statements: DataFrame, rates: DataFrame, open_end: str = "2099-12-31") -> DataFrame:
     """Effective-dated rate per statement line.
 
-    Equi-join on (rule, code) parsed from the product text, the loan date
-    inside ``[data_inicio, coalesce(data_fim, open_end)]``, best version by
-    rate match first and highest percentage next (id as final tie-break).
-    The best version is a per-line ``max(struct)`` aggregate, not a window.
+    Rule and code are parsed from the product text; the loan date lies inside
+    ``[data_inicio, coalesce(data_fim, open_end)]``; best version by rate match
+    first and highest percentage next (id as final tie-break).  Two lookups in
+    version trees (see ``versions``): among the versions that carry the line's
+    own rate, and, for lines without one, among all.  ``src_id`` names a line.
     """
     st = statements.select(
         "src_id", "data_emprestimo",
@@ -150,15 +152,19 @@ def effective_rate(statements: DataFrame, rates: DataFrame, open_end: str = "209
         F.col("data_inicio"),
         F.coalesce(F.col("data_fim"), F.lit(open_end).cast("date")).alias("data_fim"),
         F.col("id").alias("taxa_id"))
-    j = st.join(rt, (st.regra_extraida == rt.regra) & (st.codigo_extraido == rt.inicio_regra))
-    j = j.filter((F.col("data_emprestimo") >= F.col("data_inicio").cast("timestamp_ntz"))
-                 & (F.col("data_emprestimo") <= F.col("data_fim").cast("timestamp_ntz")))
-    te = F.round(F.col("taxa_extraida"), 2)
-    match = F.coalesce((te == F.round(F.col("taxa_com_seguro"), 2)) | (te == F.round(F.col("taxa_sem_seguro"), 2)),
-                       F.lit(False))
-    j = j.withColumn("match_taxa", match)
-    return latest_per_key(j, ["src_id"], ["match_taxa", "perc_empresa_avista", "taxa_id"],
-                          ["taxa_id", "match_taxa", "perc_empresa_avista"])
+    # one tree: a version stands under each of its rates, and under any rate
+    anyway, order = F.lit("*"), ["perc_empresa_avista", "taxa_id"]
+    own = F.transform(F.array(F.round("taxa_com_seguro", 2), F.round("taxa_sem_seguro", 2)), lambda x: x.cast("string"))
+    rated = rt.withColumn("_taxa", F.explode(F.array_distinct(F.concat(own, F.array(anyway)))))
+    versions = version_tree(rated, ["regra", "inicio_regra", "_taxa"], F.col("data_inicio"), F.col("data_fim"), order, order)
+    lines = st.select("src_id", "data_emprestimo", F.col("regra_extraida").alias("regra"), F.col("codigo_extraido").alias("inicio_regra"),
+                      F.round("taxa_extraida", 2).cast("string").alias("_taxa"))
+    exact = lookup(lines, versions, F.col("data_emprestimo")).withColumnsRenamed({"taxa_id": "_id", "perc_empresa_avista": "_perc"})
+    best = lookup(exact.withColumn("_taxa", anyway), versions, F.col("data_emprestimo"))
+    match = F.col("_id").isNotNull()
+    return best.filter(F.col("taxa_id").isNotNull()).select(
+        "src_id", F.when(match, F.col("_id")).otherwise(F.col("taxa_id")).alias("taxa_id"), match.alias("match_taxa"),
+        F.when(match, F.col("_perc")).otherwise(F.col("perc_empresa_avista")).alias("perc_empresa_avista"))
 
 
 def expected_commission(statements: DataFrame, best_rates: DataFrame) -> DataFrame:
@@ -254,14 +260,11 @@ def effective_dated_lookup(rows: DataFrame, versions: DataFrame, keys: list[str]
     """J17 (and the general form of J16): for each row, the version whose
     keys match and whose ``[start, coalesce(end, open_end)]`` contains the
     row's date; among several, the greatest by ``order_cols`` (default:
-    newest start).  The pick is a per-row ``max(struct)`` aggregate."""
+    newest start).  ``row_id`` is not needed for the lookup: every row comes
+    out once, with ``value_cols`` (see ``versions``)."""
     order_cols = order_cols or [start_col]
-    v = versions.select(*keys, start_col, F.coalesce(F.col(end_col), F.lit(open_end).cast("date")).alias("_end"),
-                        *[c for c in order_cols if c != start_col], *value_cols)
-    j = rows.select(row_id, date_col, *keys).join(v, keys)
-    j = j.filter((F.col(date_col) >= F.col(start_col)) & (F.col(date_col) <= F.col("_end")))
-    best = latest_per_key(j, [row_id], order_cols, value_cols)
-    return rows.join(best, row_id, "left")
+    end = F.coalesce(F.col(end_col), F.lit(open_end).cast("date"))
+    return lookup(rows, version_tree(versions, keys, F.col(start_col), end, order_cols, value_cols), F.col(date_col))
 
 
 def stack_platform_views(nova: DataFrame, bb: DataFrame) -> DataFrame:

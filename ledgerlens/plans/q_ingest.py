@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import os
+import uuid
+
 from pyspark.sql import functions as F
 
 from ledgerlens.plans.oracle_fixtures import with_fixtures
 from ledgerlens.plans.registry import query
-from ledgerlens.session import cut_lineage
+from ledgerlens.session import cut_lineage, ensure_checkpoint_dir
+from ledgerlens.sources import append_table as AT
 from ledgerlens.sources import fixtures as X
 from ledgerlens.sources import ingest as IG
 
@@ -43,3 +47,14 @@ def ingest_idempotente(spark, sf_dir):
     prior = IG.idempotent_insert(None, incoming.filter(F.col("NOM BANCO").isin("BANCO SANTANDER", "BANCO PAN")), PRIOR)
     out = IG.idempotent_insert(prior, incoming, AS_OF)
     return out.select("src_id", "nom_banco", "row_hash", "execution_date", "verificacao_hash")
+
+
+@query("ingest_incremental", INGEST_SQL)
+def ingest_incremental(spark, sf_dir):
+    """K1 + K2 + R1's sink: the same two loads into the append-only table:
+    the second writes its own rows, and touches stand beside the first's."""
+    root = os.path.join(ensure_checkpoint_dir(spark), "tables", f"statements-{uuid.uuid4().hex}")
+    incoming = cut_lineage(_statement_file(spark, sf_dir), "statement-file")
+    AT.insert(spark, root, incoming.filter(F.col("NOM BANCO").isin("BANCO SANTANDER", "BANCO PAN")), PRIOR, "prior")
+    AT.insert(spark, root, incoming, AS_OF, "now")
+    return AT.read(spark, root).select("src_id", "nom_banco", "row_hash", "execution_date", "verificacao_hash")

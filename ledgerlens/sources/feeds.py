@@ -3,23 +3,29 @@ flattening (S2-S7, S14, P10-P12, P15, X1).
 
 Each feed names the file-name parts and extensions to pick up, the target
 table and an optional hook (``DataFrame -> DataFrame``) applied through
-``DataFrame.transform`` to each file (files may differ in columns); the
-files are united by column name and go through the idempotent insert (K1)
-into a versioned Parquet table.  Spreadsheets are re-aimed:
+``DataFrame.transform``.  Files may differ in columns: their header lines are
+read in one job, and files with one header are one read, so a thousand files
+of three layouts make three reads; the reads are united by column name and go
+through the idempotent insert (K1) into an append-only table.  Statements are
+told apart by their columns, not their names (P11).  Spreadsheets are re-aimed:
 sheets arrive as CSV/Parquet files and the sheet name is part of the file
 name (xlsx decoding is not built).
 """
 
 from __future__ import annotations
 
+import hashlib
 import os
 from collections.abc import Callable
 from dataclasses import dataclass
+from functools import reduce
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlens.functions import dates as D
+from ledgerlens.sources import append_table as AT
 from ledgerlens.sources import ingest as IG
 
 # The columns a FGTS commission file must have.
@@ -51,6 +57,10 @@ def statement_kind(df: DataFrame) -> tuple[str, DataFrame]:
     return ("financeiro" if FINANCE_COLUMNS <= set(df.columns) else "comissao"), df
 
 
+def statement_columns(df: DataFrame) -> DataFrame:
+    return statement_kind(df)[1]
+
+
 def preprocess_ancora(df: DataFrame, user_id: int = 0) -> DataFrame:
     """P12 + P15: names normalised, renamed and selected in order, day-first
     dates parsed, a constant inserting-user column added."""
@@ -106,6 +116,9 @@ class Feed:
     schema: str | None = None
     without: tuple[str, ...] = ()   # name parts of other feeds' files
     required: frozenset = frozenset()  # columns a file must have, or it is refused
+    kind: str | None = None         # of statements: only files of this kind (P11)
+    years: tuple[int, ...] = ()     # the first folder below the root is one of these
+    folder_part: str | None = None  # a folder below that has this in its name
 
 
 # The feed registry (file name parts -> target table).
@@ -114,10 +127,10 @@ FEEDS = [
     Feed(["_todos_", "a vista"], (".csv",), "comissao_bb"),
     Feed(["contratos_digitados_de_"], (".csv",), "contratos_nova"),
     Feed(["uy3"], (".csv",), "comissao_uy3", hook=preprocess_fgts, recursive=True, without=("uy3-prod",),
-         required=frozenset(FGTS_COLUMNS)),
+         required=frozenset(FGTS_COLUMNS), years=(2025,), folder_part="fgts"),
     Feed(["uy3-prod"], (".csv",), "contratos_uy3"),
-    Feed(["extrato_comissao_plataforma_"], (".csv",), "extrato_comissao_plataforma"),
-    Feed(["extrato_financeiro_plataforma_"], (".csv",), "extrato_financeiro_plataforma"),
+    Feed(["extrato_"], (".csv",), "extrato_comissao_plataforma", hook=statement_columns, kind="comissao"),
+    Feed(["extrato_"], (".csv",), "extrato_financeiro_plataforma", hook=statement_columns, kind="financeiro"),
     Feed(["extrato_comissao_finveiculo_vivero"], (".json",), "extrato_financeiro_vivero", fmt="json",
          hook=flatten_finance_statement, schema=FINANCE_STATEMENT_SCHEMA),
     Feed(["comissãoplanilhamãe"], (".csv",), "relatorio_comissao_ancora", hook=preprocess_ancora),
@@ -125,40 +138,62 @@ FEEDS = [
 ]
 
 
+def feed_files(spark: SparkSession, folder: str, feed: Feed) -> list[str]:
+    """S2 + S5: the feed's files by name, and by year and folder where the
+    feed says so."""
+    base = IG._hadoop_path(spark, folder)[0].toUri().getPath().rstrip("/")
+    out = []
+    for path in IG.find_files(spark, folder, feed.extensions, feed.name_parts, recursive=feed.recursive):
+        *folders, name = path.split(base, 1)[1].strip("/").lower().split("/")
+        if any(part in name for part in feed.without) or (feed.years and (not folders or folders[0] not in map(str, feed.years))):
+            continue
+        if feed.folder_part is None or any(feed.folder_part in f for f in folders[bool(feed.years):]):
+            out.append(path)
+    return out
+
+
+def by_header(spark: SparkSession, paths: list[str]) -> list[list[str]]:
+    """Files with the same header line, from one job over all of them (a line
+    a file comes back; files without a line are left out)."""
+    lines = spark.read.text(paths).select("value", F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("start")) \
+        .where("start = 0").withColumn("n", F.monotonically_increasing_id())
+    first = lines.groupBy("path").agg(F.min_by("value", "n").alias("header"))
+    groups: dict[str, list[str]] = {}
+    for r in first.orderBy("path").collect():
+        groups.setdefault(r.header.strip("\ufeff\r"), []).append(unquote(r.path))  # the metadata column holds an encoded URI
+    return list(groups.values())
+
+
 def read_feed(spark: SparkSession, folder: str, feed: Feed) -> DataFrame | None:
-    """S2-S6 + X1: the feed's files, hook applied per file (as the reference:
-    a file failing its hook's checks contributes nothing while the others
-    load), then one union by column name (files may differ in columns).
-    Each file is a distributed read; only file names pass the driver."""
-    paths = [p for p in IG.find_files(spark, folder, feed.extensions, feed.name_parts, recursive=feed.recursive)
-             if not any(part in p.rsplit("/", 1)[-1].lower() for part in feed.without)]
-    frames = []
-    for path in paths:
-        if feed.fmt == "json":
-            df = IG.read_json_documents(spark, path, feed.schema)
-        else:
-            df = IG.read_delimited(spark, path, sep=feed.sep)
-        if not feed.required <= {c.strip().lower() for c in df.columns}:
-            continue  # a refused file adds neither rows nor columns
-        frames.append(df.transform(feed.hook) if feed.hook else df)
-    if not frames:
+    """S2-S6 + X1: the feed's files, one read for each layout, hook applied
+    to each (as the reference: a file failing its hook's checks contributes
+    nothing while the others load), then a union by column name."""
+    paths = feed_files(spark, folder, feed)
+    if not paths:
         return None
-    out = frames[0]
-    for df in frames[1:]:
-        out = out.unionByName(df, allowMissingColumns=True)
-    return out
+    if feed.fmt == "json":
+        reads = [IG.read_json_documents(spark, paths, feed.schema)]
+    else:
+        reads = [IG.read_delimited(spark, some, sep=feed.sep) for some in by_header(spark, paths)]
+    # a refused layout adds neither rows nor columns
+    reads = [df for df in reads if feed.required <= {c.strip().lower() for c in df.columns}
+             and (feed.kind is None or statement_kind(df)[0] == feed.kind)]
+    frames = [df.transform(feed.hook) if feed.hook else df for df in reads]
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames) if frames else None
 
 
 def ingest_feeds(spark: SparkSession, folder: str, target_root: str, as_of: str,
-                 feeds: list[Feed] = FEEDS) -> dict[str, str]:
+                 feeds: list[Feed] = FEEDS) -> dict[str, int]:
     """Every feed with files in ``folder`` is ingested (K1) into its
-    versioned table under ``target_root``; returns the written versions."""
+    append-only table under ``target_root``; returns the written epochs.
+    The same files on the same day are a replay and change nothing."""
     written = {}
     for feed in feeds:
         df = read_feed(spark, folder, feed)
         if df is None:
             continue
-        root = os.path.join(target_root, feed.target)
-        nxt = IG.idempotent_insert(IG.read_latest(spark, root), df, as_of)
-        written[feed.target] = IG.write_version(nxt, root)
+        names = hashlib.sha256("\n".join(feed_files(spark, folder, feed)).encode()).hexdigest()
+        epoch = AT.insert(spark, os.path.join(target_root, feed.target), df, as_of, f"{as_of} {names}")
+        if epoch is not None:
+            written[feed.target] = epoch
     return written

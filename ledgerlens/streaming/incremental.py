@@ -3,9 +3,10 @@
 The reference polls a folder every 15 minutes and deletes what it loaded;
 here a file-source stream with ``trigger(availableNow=True)`` processes
 exactly the files not yet seen (the checkpoint replaces deletion) and each
-micro-batch goes through ``foreachBatch`` into the idempotent sink.  A
-replayed batch (executor lost after the write, checkpoint not yet
-committed) inserts nothing twice: rows are keyed by their SHA-256 hash.
+micro-batch goes through ``foreachBatch`` into the append-only sink.  A
+replayed batch (driver lost after the write, checkpoint not yet committed)
+inserts nothing twice: rows are keyed by their SHA-256 hash and commits by the
+stream's batch number.
 
 The checkpoint location lives under the shared ``spark.checkpoint.dir`` the
 cluster names, never a machine-local folder.
@@ -21,6 +22,7 @@ from pyspark.sql import functions as F
 from ledgerlens.operators import leads as L
 from ledgerlens.operators import merge as MG
 from ledgerlens.session import ensure_checkpoint_dir
+from ledgerlens.sources import append_table as AT
 from ledgerlens.sources import ingest as IG
 
 
@@ -31,20 +33,20 @@ def _checkpoint_location(spark: SparkSession, name: str) -> str:
 def ingest_folder(spark: SparkSession, source_dir: str, schema: str, target_root: str, as_of: str,
                   fmt: str = "parquet", name: str = "ingest", options: dict | None = None,
                   checkpoint_location: str | None = None) -> None:
-    """Ingest every new file of ``source_dir`` into the versioned table
-    at ``target_root`` (K1 semantics per micro-batch), then stop."""
+    """Ingest every new file of ``source_dir`` into the append-only table
+    at ``target_root`` (K1 semantics per micro-batch), then stop.  A batch
+    writes its own rows; a batch of this stream that is committed already
+    (replay after a lost driver) is skipped."""
+    location = checkpoint_location or _checkpoint_location(spark, name)
     reader = spark.readStream.format(fmt).schema(schema)
     for k, v in (options or {}).items():
         reader = reader.option(k, v)
     stream = reader.load(source_dir)
 
     def write_batch(batch: DataFrame, epoch_id: int) -> None:
-        current = IG.read_latest(spark, target_root)
-        nxt = IG.idempotent_insert(current, batch, as_of)
-        IG.write_version(nxt, target_root)
+        AT.insert(spark, target_root, batch, as_of, f"{location}#{epoch_id}")
 
-    q = (stream.writeStream.foreachBatch(write_batch)
-         .option("checkpointLocation", checkpoint_location or _checkpoint_location(spark, name))
+    q = (stream.writeStream.foreachBatch(write_batch).option("checkpointLocation", location)
          .trigger(availableNow=True).start())
     q.awaitTermination()
 

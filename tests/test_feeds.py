@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from ledgerlens.sources import feeds as FD
 from ledgerlens.sources import fixtures as X
+from ledgerlens.sources import append_table as AT
 from ledgerlens.sources import ingest as IG
 from ledgerlens.sources import writers as W
 
@@ -40,11 +41,11 @@ def test_feed_registry_ingests_idempotently(spark):
     target = os.path.join(root, "tables")
     w1 = FD.ingest_feeds(spark, src, target, "2025-01-02")
     assert set(w1) == {"contratos_bb", "comissao_uy3", "extrato_financeiro_vivero"}
-    bb1 = IG.read_latest(spark, os.path.join(target, "contratos_bb"))
+    bb1 = AT.read(spark, os.path.join(target, "contratos_bb"))
     assert bb1.count() == 50 and "nom_banco" in bb1.columns  # whole-row duplicates across files collapse
     FD.ingest_feeds(spark, src, target, "2025-01-03")
-    assert IG.read_latest(spark, os.path.join(target, "contratos_bb")).count() == 50
-    viv = IG.read_latest(spark, os.path.join(target, "extrato_financeiro_vivero")).first()
+    assert AT.read(spark, os.path.join(target, "contratos_bb")).count() == 50
+    viv = AT.read(spark, os.path.join(target, "extrato_financeiro_vivero")).first()
     assert viv.nrchassi == "ABC" and viv.vlbruto == "0.0" and viv.vlliquido == "10.5"
 
 
@@ -95,3 +96,36 @@ def test_load_file_set_tags_source_files(spark):
                           preprocess=lambda d: d.withColumn("x", F.col("x").cast("int")))
     got = sorted((r.x, r.arquivo_origem) for r in df.collect())
     assert got == [(1, "a_extrato.csv"), (2, "a_extrato.csv"), (3, "b_extrato.csv")]
+
+
+def test_many_files_of_three_layouts_are_three_reads(spark, tmp_path, monkeypatch):
+    layouts = [["Src Id", "Nome"], ["Nome", "Src Id"], ["Src Id", "Nome", "Valor"]]
+    for k in range(1000):
+        cols = layouts[k % 3]
+        _write_csv(str(tmp_path / f"ProducaoMensalBD_{k:04}.csv"), cols, [tuple({"Src Id": k, "Nome": f"n{k}", "Valor": 1}[c] for c in cols)])
+    (tmp_path / "ProducaoMensalBD_empty.csv").write_text("")
+    feed = next(f for f in FD.FEEDS if f.target == "contratos_bb")
+    reads, read = [], IG.read_delimited
+    monkeypatch.setattr(IG, "read_delimited", lambda spark, paths, **k: reads.append(len(paths)) or read(spark, paths, **k))
+    got = FD.read_feed(spark, str(tmp_path), feed)
+    rows = got.collect()
+    assert sorted(reads) == [333, 333, 334] and got.columns == ["Src Id", "Nome", "Valor"]
+    assert sorted((int(r["Src Id"]), r.Nome, r.Valor) for r in rows) == [(k, f"n{k}", "1" if k % 3 == 2 else None) for k in range(1000)]
+
+
+def test_statements_are_typed_by_columns_and_folders_by_year(spark, tmp_path):
+    fin = ["Tipo de Veículo", "Condição", "Valor Liberado", "Status", "Data do Extrato"]
+    _write_csv(str(tmp_path / "extrato_jan.csv"), fin, [("carro", "novo", "10", "ok", "2025-01-01")])
+    _write_csv(str(tmp_path / "my_extrato_feb.csv"), ["Contrato", "Comissao", "Data do Extrato"], [("c1", "5", "2025-02-01"), ("c2", "6", "2025-02-01")])
+    row = tuple(range(len(FD.FGTS_COLUMNS)))
+    for where in ("2025/lote FGTS 1", "2025/outros", "2024/fgts", "fgts"):
+        os.makedirs(tmp_path / where)
+        _write_csv(str(tmp_path / where / "uy3_a.csv"), FD.FGTS_COLUMNS, [(where, *row[1:])])
+    target = str(tmp_path / "tables")
+    done = FD.ingest_feeds(spark, str(tmp_path), target, "2025-03-01")
+    assert set(done) == {"extrato_financeiro_plataforma", "extrato_comissao_plataforma", "comissao_uy3"}
+    got = AT.read(spark, f"{target}/extrato_financeiro_plataforma").collect()
+    assert len(got) == 1 and got[0].tipo_de_veiculo == "carro" and "data_do_extrato" not in got[0]
+    assert AT.read(spark, f"{target}/extrato_comissao_plataforma").count() == 2
+    assert [r.corban for r in AT.read(spark, f"{target}/comissao_uy3").collect()] == ["2025/lote FGTS 1"]
+    assert FD.ingest_feeds(spark, str(tmp_path), target, "2025-03-01") == {}  # a replay

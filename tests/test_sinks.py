@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from ledgerlens.operators import merge as MG
 from ledgerlens.operators import rates as RT
 from ledgerlens.sources import fixtures as X
+from ledgerlens.sources import append_table as AT
 from ledgerlens.sources import ingest as IG
 from ledgerlens.streaming import incremental as ST
 
@@ -93,15 +94,15 @@ def test_streaming_ingest_replay_is_idempotent(spark):
     schema = "src_id long, nom_banco string, num_proposta string"
     ST.ingest_folder(spark, os.path.join(src, "*"), schema, tgt, "2024-01-01",
                      checkpoint_location=os.path.join(root, "ck1"))
-    n1 = IG.read_latest(spark, tgt).count()
+    n1 = AT.read(spark, tgt).count()
     rows.write.parquet(os.path.join(src, "f2"))  # overlaps f1 completely
     ST.ingest_folder(spark, os.path.join(src, "*"), schema, tgt, "2024-01-02",
                      checkpoint_location=os.path.join(root, "ck1"))
-    n2 = IG.read_latest(spark, tgt).count()
+    n2 = AT.read(spark, tgt).count()
     # replay everything with a fresh checkpoint: hashes keep it exactly-once
     ST.ingest_folder(spark, os.path.join(src, "*"), schema, tgt, "2024-01-03",
                      checkpoint_location=os.path.join(root, "ck2"))
-    n3 = IG.read_latest(spark, tgt).count()
+    n3 = AT.read(spark, tgt).count()
     distinct = rows.distinct().count()
     assert n1 <= n2 == n3 == distinct
 

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlens.functions import scalars as S
-from ledgerlens.functions.similarity import with_token_set_ratio
+from ledgerlens.functions.similarity import with_distinct_ratio
 from ledgerlens.operators.skew import latest_per_key
 
 PLACEHOLDER_CPF = "99999999999"
@@ -67,7 +67,7 @@ def enrichment_pass(candidates: DataFrame, info: DataFrame) -> DataFrame:
     j = c.join(best, "telefone", "left")
     j = j.withColumn("tipo_contato", F.when(F.col("cliente_id").isNull(), S.phone_kind(F.col("telefone"))))
     j = j.withColumn("nome_up", F.upper("nome")).withColumn("cadastro_up", F.upper("nome_cliente_cadastro"))
-    j = with_token_set_ratio(j, "nome_up", "cadastro_up", "semelhanca")
+    j = with_distinct_ratio(j, "nome_up", "cadastro_up", "semelhanca")
     no_cpf = F.col("cpf").isNull() | (F.trim(F.col("cpf")) == "") | (F.lower(F.col("cpf")) == "nan")
     return (j.withColumn("semelhanca", F.when(no_cpf, F.lit(0)).otherwise(F.col("semelhanca")))
             .withColumn("nome_cliente_cadastro", F.when(no_cpf, F.lit(None).cast("string"))

@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from ledgerlens.functions import scalars as S
 from ledgerlens.functions.dates import ts_ntz
-from ledgerlens.functions.similarity import with_token_set_ratio
+from ledgerlens.functions.similarity import with_distinct_ratio
 from ledgerlens.operators.skew import DEFAULT_HOT_THRESHOLD, latest_per_key, ranked_within
 from ledgerlens.operators.versions import lookup, version_tree
 from ledgerlens.session import cut_lineage
@@ -248,10 +248,7 @@ def agreement_similarity(statements: DataFrame, production: DataFrame, pairs: Da
     distinct pair of texts is scored once."""
     j = (pairs.join(statements.select("src_id", "dsc_convenio"), "src_id")
          .join(production.select("id", "convenio"), "id"))
-    texts = j.select("dsc_convenio", "convenio").distinct()
-    scored = with_token_set_ratio(texts, "dsc_convenio", "convenio", "semelhanca").toDF("_a", "_b", "semelhanca")
-    on = F.col("dsc_convenio").eqNullSafe(F.col("_a")) & F.col("convenio").eqNullSafe(F.col("_b"))
-    return j.join(scored, on).drop("_a", "_b")
+    return with_distinct_ratio(j, "dsc_convenio", "convenio", "semelhanca")
 
 
 def effective_dated_lookup(rows: DataFrame, versions: DataFrame, keys: list[str], date_col: str,

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from ledgerlens.operators import enrichment as EN
 from ledgerlens.plans.oracle_fixtures import with_fixtures
 from ledgerlens.plans.registry import query
+from ledgerlens.plans.sql_snippets import token_set_ctes
 from ledgerlens.sources import fixtures as X
 
 
@@ -47,9 +48,24 @@ def info_cliente(spark, sf_dir):
     return _info(spark, sf_dir)
 
 
-@query("enriquecimento")
+ENRIQUECIMENTO_SQL = with_fixtures(f"""WITH {_CANDS},
+cadastro AS (
+  FROM info SELECT * QUALIFY row_number() OVER (PARTITION BY telefone ORDER BY cpf DESC NULLS LAST, cliente_id DESC) = 1),
+pendente AS (
+  SELECT c.id, c.fone, upper(c.nome) AS a, upper(k.nome_cliente_cadastro) AS b, k.* EXCLUDE (telefone),
+         coalesce(trim(CAST(k.cpf AS VARCHAR)), '') IN ('', 'nan') AS sem_cpf
+  FROM (SELECT *, {_DIG.format(x='telefone')} AS fone FROM cands) c LEFT JOIN cadastro k ON k.telefone = c.fone
+  WHERE length(c.fone) IN (10, 11)),
+{token_set_ctes('pendente')}
+SELECT id AS negociacao_id, fone AS telefone, cpf, CASE WHEN NOT sem_cpf THEN nome_cliente_cadastro END AS nome_cliente_cadastro, SEXO, UF,
+       CASE WHEN sem_cpf THEN 0 ELSE semelhanca END AS semelhanca, DATANASCIMENTO,
+       CASE WHEN cliente_id IS NULL THEN CASE WHEN length(fone) = 11 AND substr(fone, 3, 1) = '9' THEN 'CELULAR' WHEN length(fone) = 10 THEN 'FIXO' ELSE 'INVALIDO' END END AS tipo_contato
+FROM pendente p JOIN pontuado q ON q.a IS NOT DISTINCT FROM p.a AND q.b IS NOT DISTINCT FROM p.b""", _FIX)
+
+
+@query("enriquecimento", ENRIQUECIMENTO_SQL)
 def enriquecimento(spark, sf_dir):
-    """C24 over all pending leads (rows-only: includes the token-set similarity)."""
+    """C24 over all pending leads."""
     return EN.enrichment_pass(_unenriched(spark, sf_dir), _info(spark, sf_dir))
 
 

@@ -10,7 +10,7 @@ from ledgerlens.plans.oracle_fixtures import with_fixtures
 from ledgerlens.operators import sla as SL
 from ledgerlens.plans.q_sla import atraso_sql_body, payments_due
 from ledgerlens.plans.registry import query
-from ledgerlens.plans.sql_snippets import AS_OF_ORDERS_SQL as T, digits_sql
+from ledgerlens.plans.sql_snippets import AS_OF_ORDERS_SQL as T, digits_sql, token_set_ctes
 from ledgerlens.sources import fixtures as X
 
 AS_OF = X.AS_OF_ORDERS
@@ -190,9 +190,18 @@ def report_conciliacao(spark, sf_dir):
     return RC.report(st, prod, pairs, payments_due(spark, sf_dir), AS_OF, START_DATE)
 
 
-@query("semelhanca_convenios")
+CONVENIOS_SQL = with_fixtures(_BASE.rstrip() + f""",
+pares_texto AS (
+  SELECT src_id, prod.id, s.dsc_convenio, prod.convenio, s.dsc_convenio AS a, prod.convenio AS b
+  FROM pairs JOIN st s USING (src_id) JOIN prod ON prod.id = pairs.id),
+{token_set_ctes('pares_texto')}
+SELECT src_id, id, dsc_convenio, convenio, semelhanca FROM pares_texto p
+JOIN pontuado q ON q.a IS NOT DISTINCT FROM p.a AND q.b IS NOT DISTINCT FROM p.b""", _FIX)
+
+
+@query("semelhanca_convenios", CONVENIOS_SQL)
 def semelhanca_convenios(spark, sf_dir):
-    """F17/J29 on matched pairs (rows-only check; values unit-tested by hand)."""
+    """F17/J29 on matched pairs."""
     st, prod, pairs = _pairs(spark, sf_dir)
     return RC.agreement_similarity(st, prod, pairs).select("src_id", "id", "dsc_convenio", "convenio", "semelhanca")
 

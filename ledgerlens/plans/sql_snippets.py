@@ -38,3 +38,40 @@ def state_by_phone_sql(x: str, alias: str = "dd") -> str:
     d = digits_sql(x)
     local = f"CASE WHEN starts_with({d}, '55') AND length({d}) > 11 THEN substr({d}, 3) ELSE {d} END"
     return local
+
+
+def token_set_ctes(pairs: str, out: str = "pontuado") -> str:
+    """CTEs that end in ``out`` (a, b, semelhanca): F17 and J29 of the distinct
+    (a, b) of ``pairs``.  The subsequence is the table method: a row of
+    lengths for each character of one string."""
+    def clean(x: str) -> str:
+        ascii_ = f"regexp_replace(strip_accents(trim({x})), '[^\\x00-\\x7F]', '', 'g')"
+        kept = f"regexp_replace(lower({ascii_}), '[^a-z0-9\\s]', '', 'g')"
+        return f"trim(regexp_replace(regexp_replace({kept}, '\\b(de|da|do|das|dos|e)\\b', '', 'g'), '\\s+', ' ', 'g'))"
+
+    def tokens(x: str) -> str:
+        return f"list_distinct(list_filter(string_split(ifnull({clean(x)}, ''), ' '), lambda t: t <> ''))"
+
+    return f"""
+_textos AS (SELECT DISTINCT a, b FROM {pairs}),
+_fichas AS (SELECT a, b, {tokens('a')} AS x, {tokens('b')} AS y FROM _textos),
+_partes AS (
+  SELECT a, b, len(x) AS nx, len(y) AS ny, length(array_to_string(list_intersect(x, y), ' ')) AS comum,
+         array_to_string(list_sort(list_filter(x, lambda t: NOT list_contains(y, t))), ' ') AS so_x,
+         array_to_string(list_sort(list_filter(y, lambda t: NOT list_contains(x, t))), ' ') AS so_y FROM _fichas),
+_linhas AS (
+  SELECT *, string_split(so_x, '') AS letras, length(so_x) AS m, length(so_y) AS n FROM _partes),
+_lcs AS (
+  SELECT *, CASE WHEN m = 0 OR n = 0 THEN 0 ELSE list_last(list_reduce(
+    list_prepend(list_transform(range(m + 1), lambda k: CAST(0 AS BIGINT)), list_transform(string_split(so_y, ''), lambda c: [CAST(ord(c) AS BIGINT)])),
+    lambda linha, c: list_transform(range(m + 1), lambda j: list_max(list_transform(range(j + 1),
+      lambda i: CASE WHEN i = 0 THEN 0 WHEN ord(letras[i]) = c[1] THEN linha[i] + 1 ELSE linha[i + 1] END))))) END AS lcs
+  FROM _linhas),
+_razoes AS (
+  SELECT *, CAST(comum > 0 AS INTEGER) AS tem, comum + CAST(comum > 0 AS INTEGER) + m AS com_x, comum + CAST(comum > 0 AS INTEGER) + n AS com_y FROM _lcs),
+{out} AS (
+  SELECT a, b, CASE WHEN nx = 0 OR ny = 0 THEN 0 WHEN comum > 0 AND (m = 0 OR n = 0) THEN 100 ELSE CAST(round_even(
+    CASE WHEN comum = 0 THEN 100.0::DOUBLE - 100.0::DOUBLE * (m + n - 2 * lcs) / (com_x + com_y)::DOUBLE
+    ELSE greatest(100.0::DOUBLE - 100.0::DOUBLE * (m + n - 2 * lcs) / (com_x + com_y)::DOUBLE, 100.0::DOUBLE - 100.0::DOUBLE * (tem + m) / (comum + com_x)::DOUBLE,
+                  100.0::DOUBLE - 100.0::DOUBLE * (tem + n) / (comum + com_y)::DOUBLE) END, 0) AS INTEGER) END AS semelhanca
+  FROM _razoes)"""

@@ -1,14 +1,39 @@
 """Token-set ratio values worked by hand (0-100, half-to-even rounding)."""
 
+import random
+
 from pyspark.sql import functions as F
 
 from ledgerlens.functions.similarity import lcs_length, name_similarity, token_set_ratio
 
 
-def test_lcs():
-    assert lcs_length("abcde", "ace") == 3
-    assert lcs_length("", "abc") == 0
-    assert lcs_length("silva", "silveira") == 5
+def brute_lcs(a, b):
+    row = [0] * (len(a) + 1)
+    for ch in b:
+        last = row[:]
+        for k, c in enumerate(a):
+            row[k + 1] = last[k] + 1 if c == ch else max(row[k], last[k + 1])
+    return row[-1]
+
+
+def test_lcs(spark):
+    rnd = random.Random(2)
+    text = lambda n, letters: "".join(rnd.choice(letters) for _ in range(n))
+    pairs = [("abcde", "ace"), ("", "abc"), ("abc", ""), ("silva", "silveira"), ("a" * 62, "a" * 62), ("a" * 63, "a" * 70), ("x" * 200, "y" * 200),
+             ("é😀b", "😀é b"), ("b" * 130, "ab" * 100)]
+    pairs += [(text(rnd.randint(0, n), s), text(rnd.randint(0, n), s)) for n in (5, 40, 70, 200) for s in ("ab", "abcdefgh ", "aé😀z") for _ in range(6)]
+    df = spark.createDataFrame(pairs, "a string, b string")
+    got = [r[0] for r in df.select(lcs_length(F.col("a"), F.col("b"))).collect()]
+    assert got == [brute_lcs(a, b) for a, b in pairs]
+
+
+def test_no_python_in_the_plan(spark):
+    from ledgerlens.functions.similarity import with_distinct_ratio
+    df = spark.createDataFrame([("José da Silva", "JOSE SILVA"), (None, "x"), (None, "x"), ("a", None)], "a string, b string")
+    out = with_distinct_ratio(df, "a", "b", "s")
+    plan = out._jdf.queryExecution().toString()
+    assert "Python" not in plan and "Pandas" not in plan and "Arrow" not in plan
+    assert sorted((r.a or "", r.s) for r in out.collect()) == [("", 0), ("", 0), ("José da Silva", 100), ("a", 0)]
 
 
 def test_token_set_ratio(spark):

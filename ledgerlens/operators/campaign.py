@@ -69,7 +69,8 @@ def lead_payload(with_offers: bool = True, n_offers: int = 3):
         fields += [
             item(F.coalesce(F.col("entrada_recomendada").cast("string"), F.lit(DEFAULT_ENTRY)), "Entrada").alias("Entrada Recomendada"),
             item(F.coalesce(F.col("valor_minimo").cast("string"), F.lit(DEFAULT_ENTRY)), "Valor Mínimo").alias("Valor Mínimo"),
-            item(F.lit(DEFAULT_MODEL), "Modelo Selecionado").alias("Modelo Selecionado"),
+            item(F.when(F.trim(F.col("modelo_selecionado")) != "", F.col("modelo_selecionado")).otherwise(F.lit(DEFAULT_MODEL)),
+                 "Modelo Selecionado").alias("Modelo Selecionado"),
         ]
         for i in range(1, n_offers + 1):
             q, v = F.col(f"oferta_{i}_quantidade"), F.col(f"oferta_{i}_valor_parcela")
@@ -80,6 +81,13 @@ def lead_payload(with_offers: bool = True, n_offers: int = 3):
 
 def campaign_batch(batch: DataFrame, clients: DataFrame, members: DataFrame, users: DataFrame,
                    with_offers: bool = True) -> DataFrame:
+    # a batch without model texts has none
+    if "modelo_selecionado" not in batch.columns:
+        batch = batch.withColumn("modelo_selecionado", F.lit(None).cast("string"))
+    return _campaign_batch(batch, clients, members, users, with_offers)
+
+
+def _campaign_batch(batch: DataFrame, clients: DataFrame, members: DataFrame, users: DataFrame, with_offers: bool) -> DataFrame:
     """Resolve, drop blocked, last payload per client (W10), and the
     first-seen owner by rotation over the campaign users (W9)."""
     r = resolve_clients(batch, clients).filter(F.col("cliente_id").isNotNull())

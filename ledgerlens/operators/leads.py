@@ -256,6 +256,21 @@ def lead_type(as_of) -> Column:
             .otherwise(F.lit("DESCARTE")))
 
 
+def lead_type_valid(as_of) -> Column:
+    """C7 (second rule): as ``lead_type``, but priority 4 with a model error is
+    MQL at any age, priorities 1-5 ask for a valid lead instead of an
+    actionable one, and 7 is RECUPERACAO as well."""
+    abriu = _upper_txt("abriu_regua")
+    recent = within_two_business_days("data_chegada", as_of)
+    return (F.when(F.col("enviado").isNotNull(), F.col("tipo_lead"))
+            .when(F.col("desclassificado"), F.lit("DESCARTE"))
+            .when((F.col("prioridade") == 4) & (abriu == "ERRO MODELO"), F.lit("MQL"))
+            .when(F.col("prioridade").isin(1, 2, 3, 4, 5) & valid_lead() & recent,
+                  F.when(abriu == "SIM", F.lit("SQL")).when(abriu == "NAO TESTADO", F.lit("MQL")).otherwise(F.lit("DESCARTE")))
+            .when(F.col("prioridade").isin(6, 7), F.lit("RECUPERACAO"))
+            .otherwise(F.lit("DESCARTE")))
+
+
 def eligible() -> Column:
     """C8 eligibility flag."""
     return (_upper_txt("abriu_regua").isin(*ACTIONABLE_RULER)

@@ -29,6 +29,7 @@ from pyspark.sql import functions as F
 from ledgerlens.functions import scalars as S
 from ledgerlens.functions.dates import ts_ntz
 from ledgerlens.functions.similarity import with_distinct_ratio
+from ledgerlens.operators import merge as MG
 from ledgerlens.operators.skew import DEFAULT_HOT_THRESHOLD, latest_per_key, ranked_within
 from ledgerlens.operators.versions import lookup, version_tree
 from ledgerlens.session import cut_lineage
@@ -179,6 +180,21 @@ def expected_commission(statements: DataFrame, best_rates: DataFrame) -> DataFra
                         F.when(cond, recalc).otherwise(F.col("val_comissao").cast("double")))
 
 
+def production_write_back(production: DataFrame, pairs: DataFrame, recalculated: DataFrame, since: str) -> DataFrame:
+    """C16 + K8: matched contracts on or after ``since`` get the statement's
+    base, commission, term and table; its amounts only where they are there
+    and not zero."""
+    amount = lambda c: F.when(F.col(c) != 0, F.col(c))
+    lines = recalculated.select("src_id", F.col("val_repasse").alias("base_comissao"), F.col("val_comissao_total").alias("valor_comissao"),
+                                amount("val_repasse").alias("valor_liberado"), amount("val_bruto").alias("valor_financiado"), "prazo",
+                                F.col("dsc_produto").alias("tabela"))
+    updates = pairs.select("src_id", "id").join(lines, "src_id").drop("src_id")
+    return MG.merge(production, updates, ["id"], {
+        "base_comissao": MG.OVERWRITE, "valor_comissao": MG.OVERWRITE, "valor_liberado": MG.KEEP_OLD_IF_NEW_NULL,
+        "valor_financiado": MG.KEEP_OLD_IF_NEW_NULL, "prazo": MG.OVERWRITE, "tabela": MG.OVERWRITE},
+        guard=F.col("data_contrato") >= F.lit(since).cast("timestamp_ntz"))
+
+
 # ------------------------------------------------------------------ reports
 
 def unmatched(df: DataFrame, pairs: DataFrame, id_col: str) -> DataFrame:

@@ -11,6 +11,9 @@ restated in plain SQL.
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import add
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -92,9 +95,10 @@ def global_rank(df: DataFrame, order_col: str, out: str = "rn", buckets: int = D
     row's range, in order: a prefix of a uniform text key, say.  The rank is
     the exact global order either way."""
     if salt is None:
-        cuts = df.agg(F.percentile_approx(order_col, [k / buckets for k in range(1, buckets)], 100 * buckets)).scalar()
-        below = F.size(F.filter("_cuts", lambda c: c < F.col(order_col)))
-        d = df.withColumn("_cuts", cuts).withColumn("_salt", below).drop("_cuts")
+        # a few dozen values; a lambda over a scalar subquery here would stray
+        # into the filters that Catalyst infers for the join below
+        cuts = df.agg(F.percentile_approx(order_col, [k / buckets for k in range(1, buckets)], 100 * buckets)).first()[0] or []
+        d = df.withColumn("_salt", reduce(add, [(F.col(order_col) > F.lit(c)).cast("int") for c in sorted(set(cuts))], F.lit(0)))
     else:
         d = df.withColumn("_salt", salt)
     w = Window.partitionBy("_salt").orderBy(F.col(order_col).asc())

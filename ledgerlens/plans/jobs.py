@@ -8,9 +8,7 @@ outputs, hash-keyed ingestion), so a retried run is safe.
 from __future__ import annotations
 
 from pyspark.sql import SparkSession
-from pyspark.sql import functions as F
 
-from ledgerlens.operators import merge as MG
 from ledgerlens.operators import reconcile as RC
 from ledgerlens.operators import retention as R
 from ledgerlens.operators import sla as SL
@@ -28,11 +26,7 @@ def commission_job(spark: SparkSession, sf_dir: str, out_root: str, as_of: str,
     pairs = RC.staged_pairing(st, prod)
     best = RC.effective_rate(st, X.rate_table(spark, sf_dir))
     rec = RC.expected_commission(st, best)
-    upd = pairs.select("src_id", "id").join(rec.select(
-        "src_id", F.col("val_repasse").alias("base_comissao"), F.col("val_comissao_total").alias("valor_comissao")), "src_id").drop("src_id")
-    # only contracts of the report's period, and never a value by none
-    written_back = MG.merge(prod, upd, ["id"], {c: MG.KEEP_OLD_IF_NEW_NULL for c in ("base_comissao", "valor_comissao")},
-                            guard=F.col("data_contrato") >= F.lit(start_date).cast("timestamp_ntz"))
+    written_back = RC.production_write_back(prod, pairs, rec, start_date)
     due = SL.awaiting_payment(X.bank_statements(spark, sf_dir), start_date)
     payments = SL.payment_status(SL.expected_payment_date(due, SL.sla_rules(spark)), as_of)
     frames = {

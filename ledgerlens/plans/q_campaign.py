@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from ledgerlens.operators import campaign as CP
 from ledgerlens.operators import leads as L
 from ledgerlens.plans.oracle_fixtures import with_fixtures
@@ -38,12 +40,13 @@ _JSON = ("'{\"Nome Cockpit\":' || " + _item("coalesce(nome_cockpit, '')", "Nome
          + " || ',\"Semelhança\":' || " + _item("semelhanca_nomes", "Semelhança", quoted=False)
          + " || ',\"Entrada Recomendada\":' || " + _item("coalesce(CAST(entrada AS VARCHAR), 'R$ 0,00')", "Entrada")
          + " || ',\"Valor Mínimo\":' || " + _item("coalesce(CAST(minimo AS VARCHAR), 'R$ 0,00')", "Valor Mínimo")
-         + " || ',\"Modelo Selecionado\":' || " + _item("'ERRO MODELO'", "Modelo Selecionado")
+         + " || ',\"Modelo Selecionado\":' || " + _item("ifnull(modelo, 'ERRO MODELO')", "Modelo Selecionado")
          + " || " + _OFFERS + " || '}'")
 
 LOTE_SQL = with_fixtures(f"""WITH {_DAILY},
 b AS (
   SELECT id, nome AS nome_cockpit, veiculo, ano, valor, canal, semelhanca_nomes, cpf, telefone,
+         CASE id % 3 WHEN 0 THEN NULL WHEN 1 THEN marca || ' ' || veiculo ELSE nullif(trim(substr(ano, 1, id % 2)), '') END AS modelo,
          {_json_sql('$.entradaRecomendada', 'DOUBLE')} AS entrada, {_json_sql('$.valorMinimo', 'DOUBLE')} AS minimo,
          {_json_sql('$.parcelas[0].quantidade', 'INTEGER')} AS o1q, {_json_sql('$.parcelas[0].valor', 'DOUBLE')} AS o1v,
          {_json_sql('$.parcelas[1].quantidade', 'INTEGER')} AS o2q, {_json_sql('$.parcelas[1].valor', 'DOUBLE')} AS o2v,
@@ -78,7 +81,10 @@ JOIN lst ON lst.cliente_id = ranked.cliente_id""",
 
 @query("lote_campanha", LOTE_SQL, headline=True)
 def lote_campanha(spark, sf_dir):
-    daily = L.parse_offers(_daily(spark, sf_dir)).withColumnRenamed("nome", "nome_cockpit")
+    # some leads have a model text, some an empty one, some none
+    third = F.pmod("id", F.lit(3))
+    model = F.when(third == 1, F.concat("marca", F.lit(" "), "veiculo")).when(third == 2, F.substr("ano", F.lit(1), F.pmod("id", F.lit(2)).cast("int")))
+    daily = L.parse_offers(_daily(spark, sf_dir)).withColumnRenamed("nome", "nome_cockpit").withColumn("modelo_selecionado", model)
     return CP.campaign_batch(daily, X.clients(spark, sf_dir), X.campaign_members(spark, sf_dir),
                              X.consultants(spark, sf_dir)).select("cliente_id", "ordem", "usuario_id", "dados_json")
 

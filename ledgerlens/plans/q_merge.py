@@ -44,13 +44,13 @@ def merge_prioridade(spark, sf_dir):
 
 PROD_SQL = with_fixtures(QR._BASE.rstrip() + f""",{QR._RATE_SQL},
 rec AS (
-  SELECT st.src_id, st.val_repasse,
+  SELECT st.src_id, st.val_repasse, nullif(cb.val_bruto, 0) AS bruto, st.dsc_produto,
     CASE WHEN upper(coalesce(st.nom_banco, '')) LIKE '%SANTANDER%' AND st.val_repasse IS NOT NULL
               AND st.val_comissao IS NOT NULL AND b.perc_empresa_avista IS NOT NULL
          THEN round(CAST(st.val_liberado AS DOUBLE) * (b.perc_empresa_avista / 100.0), 2)
          ELSE CAST(st.val_comissao AS DOUBLE) END AS val_comissao_total,
     CASE WHEN st.val_repasse <> 0 THEN st.val_repasse END AS lib, st.prazo
-  FROM st LEFT JOIN best b ON b.src_id = st.src_id),
+  FROM st LEFT JOIN best b ON b.src_id = st.src_id JOIN contratos_bancos cb ON cb.src_id = st.src_id),
 upd AS (SELECT pairs.id, rec.* FROM pairs JOIN rec ON rec.src_id = pairs.src_id)
 SELECT p.id,
   CASE WHEN u.id IS NOT NULL AND p.data_contrato >= TIMESTAMP '{GUARD_DATE}' THEN u.val_repasse END AS base_comissao,
@@ -58,7 +58,10 @@ SELECT p.id,
        ELSE CAST(p.valor_comissao AS DOUBLE) END AS valor_comissao,
   CASE WHEN u.id IS NOT NULL AND p.data_contrato >= TIMESTAMP '{GUARD_DATE}' THEN coalesce(u.lib, p.valor_liberado)
        ELSE p.valor_liberado END AS valor_liberado,
-  CASE WHEN u.id IS NOT NULL AND p.data_contrato >= TIMESTAMP '{GUARD_DATE}' THEN u.prazo END AS prazo
+  CASE WHEN u.id IS NOT NULL AND p.data_contrato >= TIMESTAMP '{GUARD_DATE}' THEN u.prazo END AS prazo,
+  CASE WHEN u.id IS NOT NULL AND p.data_contrato >= TIMESTAMP '{GUARD_DATE}' AND u.bruto IS NOT NULL THEN u.bruto
+       WHEN p.id % 3 = 0 THEN p.valor_liberado END AS valor_financiado,
+  CASE WHEN u.id IS NOT NULL AND p.data_contrato >= TIMESTAMP '{GUARD_DATE}' THEN u.dsc_produto END AS tabela
 FROM prod p LEFT JOIN upd u ON u.id = p.id""", QR._FIX + ["tabela_taxas"])
 
 
@@ -69,17 +72,10 @@ def merge_producao(spark, sf_dir):
     and term — only for contracts on/after the guard date."""
     st, prod, pairs = QR._pairs(spark, sf_dir)
     best = RC.effective_rate(st, X.rate_table(spark, sf_dir))
-    rec = RC.expected_commission(st, best).select(
-        "src_id", F.col("val_repasse").alias("base_comissao"), F.col("val_comissao_total").alias("valor_comissao"),
-        F.when(F.col("val_repasse") != 0, F.col("val_repasse")).alias("valor_liberado"), "prazo")
-    upd = pairs.select("src_id", "id").join(rec, "src_id").drop("src_id")
-    target = prod.select("id", "data_contrato", F.col("valor_comissao").cast("double").alias("valor_comissao"),
-                         "valor_liberado")
-    out = MG.merge(target, upd, ["id"], {
-        "base_comissao": MG.OVERWRITE, "valor_comissao": MG.OVERWRITE,
-        "valor_liberado": MG.KEEP_OLD_IF_NEW_NULL, "prazo": MG.OVERWRITE},
-        guard=F.col("data_contrato") >= F.lit(GUARD_DATE).cast("timestamp_ntz"))
-    return out.select("id", "base_comissao", "valor_comissao", "valor_liberado", "prazo")
+    target = prod.select("id", "data_contrato", F.col("valor_comissao").cast("double").alias("valor_comissao"), "valor_liberado",
+                         F.when(F.pmod("id", F.lit(3)) == 0, F.col("valor_liberado")).alias("valor_financiado"))
+    out = RC.production_write_back(target, pairs, RC.expected_commission(st, best), GUARD_DATE)
+    return out.select("id", "base_comissao", "valor_comissao", "valor_liberado", "valor_financiado", "prazo", "tabela")
 
 
 REMK_SQL = with_fixtures(f"""

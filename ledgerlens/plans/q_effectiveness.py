@@ -85,3 +85,38 @@ def chance_conversao(spark, sf_dir):
     """M1-M5: random-forest conversion chance per tabulated client (rows only)."""
     from ledgerlens.operators import model as M
     return M.conversion_scores(spark, sf_dir, START, END)
+
+
+TREINO_SQL = with_fixtures(f"""
+WITH t AS (SELECT {cpf_mask_sql('cpf')} AS cpf, count(*) AS tabulacoes_efetivas FROM tabulacoes
+           WHERE efetiva AND data >= TIMESTAMP '{START}' AND data < TIMESTAMP '{END}' GROUP BY ALL HAVING cpf IS NOT NULL),
+p AS (SELECT {cpf_mask_sql('cliente_id')} AS cpf, CAST(data_contrato AS DATE) AS dia FROM producao_extenso),
+h AS (
+  SELECT cpf, bool_or(dia >= DATE '{START}' AND dia < DATE '{END}') AS comprou, count(*) FILTER (dia >= DATE '{START}' - 366 AND dia < DATE '{START}') AS ultimo,
+         count(*) FILTER (dia >= DATE '1990-01-01' AND dia < DATE '{START}' - 366) AS antes FROM p GROUP BY cpf)
+SELECT cpf, CAST(ifnull(comprou, false) AS INTEGER) AS convertidos, tabulacoes_efetivas, ifnull(antes, 0) AS qtd_contratos_anteriores, ifnull(ultimo, 0) AS qtd_contratos_ultimo_ano
+FROM t LEFT JOIN h USING (cpf)""", _FIX[1:])
+
+
+@query("conjunto_treino", TREINO_SQL)
+def conjunto_treino(spark, sf_dir):
+    """M3: one row a client with an effective tabulation."""
+    from ledgerlens.operators import model as M
+    return M.training_set(X.tabulations(spark, sf_dir), X.production_lines(spark, sf_dir), START, END).select("cpf", M.LABEL, *M.FEATURES)
+
+
+LISTA_SQL = with_fixtures(f"""
+WITH l AS (SELECT DISTINCT {cpf_mask_sql('cliente_id')} AS cpf FROM lista_clientes),
+t AS (SELECT {cpf_mask_sql('cpf')} AS cpf, count(*) AS n FROM tabulacoes WHERE efetiva AND data < TIMESTAMP '{END}' GROUP BY ALL),
+p AS (SELECT {cpf_mask_sql('cliente_id')} AS cpf, count(*) FILTER (d >= DATE '{END}' - 366) AS ultimo, count(*) FILTER (d < DATE '{END}' - 366) AS antes
+      FROM (SELECT cliente_id, CAST(data_contrato AS DATE) AS d FROM producao_extenso) WHERE d >= DATE '1990-01-01' AND d < DATE '{END}' GROUP BY ALL)
+SELECT l.cpf, ifnull(t.n, 0) AS tabulacoes_efetivas, ifnull(p.antes, 0) AS qtd_contratos_anteriores, ifnull(p.ultimo, 0) AS qtd_contratos_ultimo_ano
+FROM l LEFT JOIN t USING (cpf) LEFT JOIN p USING (cpf) WHERE l.cpf IS NOT NULL""", _FIX)
+
+
+@query("atributos_lista", LISTA_SQL)
+def atributos_lista(spark, sf_dir):
+    """M4: the features of a client list alone."""
+    from ledgerlens.operators import model as M
+    clients = X.client_list(spark, sf_dir).withColumnRenamed("cliente_id", "cpf")
+    return M.list_features(clients, X.tabulations(spark, sf_dir), X.production_lines(spark, sf_dir), END).select("cpf", *M.FEATURES)

@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlens.functions import scalars as S
+from ledgerlens.operators.skew import latest_per_key
 
 KEY = ["codigo_regra", "faixa_parcela"]
 COMPARED = ["codigo_regra", "descricao_regra", "faixa_parcela",
@@ -44,6 +45,14 @@ def normalise_new_file(df: DataFrame) -> DataFrame:
     return df.withColumn("codigo_regra", unique_code("codigo_regra", "range_faixa", "faixa_parcela"))
 
 
+def last_of_each_key(df: DataFrame, position: str | None = None) -> DataFrame:
+    """One row a business key: the last by ``position`` (a column of the file;
+    by default the order in which Spark reads its rows)."""
+    order = "_at"
+    rows = df.withColumn(order, F.col(position) if position else F.monotonically_increasing_id())
+    return latest_per_key(rows, KEY, [order], [c for c in df.columns if c not in KEY]).select(*df.columns)
+
+
 def current_versions(history: DataFrame, bank: str) -> DataFrame:
     """Open versions of one bank, term without leading zeros, in the
     comparison vocabulary."""
@@ -88,17 +97,21 @@ def table_diff(new: DataFrame, old: DataFrame, compare_split: bool = False) -> D
 
 
 def scd2_apply(history: DataFrame, new_file: DataFrame, as_of: str, bank: str,
-               compare_split: bool = False) -> DataFrame:
+               compare_split: bool = False, position: str | None = None) -> DataFrame:
     """D4 + K13 + D6: close changed and removed versions at ``as_of - 1`` and
     insert new versions (new and changed keys) starting ``as_of``, with the
     commission split.  Versions of other banks and closed versions pass
-    through.  Applying the same file twice changes nothing."""
-    diff = table_diff(normalise_new_file(new_file), current_versions(history, bank), compare_split)
+    through.  A key that the file repeats counts once, with its last row (by
+    ``position``).  Applying the same file twice changes nothing with
+    ``compare_split=True``; by default the raw percentage is compared, as in
+    the reference, so rules at or above 0.5 get a version on every run."""
+    file = last_of_each_key(normalise_new_file(new_file), position)
+    diff = table_diff(file, current_versions(history, bank), compare_split)
     # close by business key: a bank has one open version per key, and
     # versions inserted by an earlier run have no id yet
     close = (diff.filter(F.col("status").isin("ALTERADA", "REMOVIDA"))
              .select(F.col("o_codigo_regra").alias("_k1"), F.col("o_faixa_parcela").alias("_k2"))
-             .distinct().withColumn("_close", F.lit(True)))  # a file may repeat a key
+             .distinct().withColumn("_close", F.lit(True)))
     end = F.date_sub(F.lit(as_of).cast("date"), 1)
     h = (history.withColumn("_k1", F.col("codigo"))
          .withColumn("_k2", F.regexp_replace(F.col("prazo").cast("string"), "^0+", ""))

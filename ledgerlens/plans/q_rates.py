@@ -82,6 +82,23 @@ def scd2_taxas(spark, sf_dir):
                       "comissao_vista", "banco", "data_inicio", "data_fim")
 
 
+# the file as received names two thirds of its rules again, later, with other rates
+REPETIDAS_SQL = SCD2_SQL.replace("nf AS (", """nf AS (
+  SELECT * REPLACE (CASE WHEN left(md5(codigo_regra), 1) < 'b' THEN percentual_comissao_a_vista / 2 ELSE percentual_comissao_a_vista END AS percentual_comissao_a_vista) FROM (""", 1).replace("FROM arquivo_taxas),", "FROM arquivo_taxas)),", 1)
+
+
+@query("scd2_repetidas", REPETIDAS_SQL)
+def scd2_repetidas(spark, sf_dir):
+    """D4 + K13: a file that names rules twice: the later row counts."""
+    first = X.new_rate_file(spark, sf_dir)
+    again = first.withColumn("_code", RT.unique_code("codigo_regra", "range_faixa", "faixa_parcela")).filter(F.substring(F.md5("_code"), 1, 1) < "b") \
+        .drop("_code").withColumn("percentual_comissao_a_vista", F.col("percentual_comissao_a_vista") / 2)
+    file = first.withColumn("posicao", F.lit(1)).unionByName(again.withColumn("posicao", F.lit(2)))
+    out = RT.scd2_apply(X.rate_history(spark, sf_dir), file, AS_OF_RATES, BANK, position="posicao")
+    return out.select("id", "codigo", "descricao_banco", "prazo", "taxa_total", "taxa_vista", "comissao_total",
+                      "comissao_vista", "banco", "data_inicio", "data_fim")
+
+
 ATUAL_SQL = with_fixtures(f"WITH {_DIFF} SELECT * FROM old", _FIX)
 
 

@@ -192,3 +192,15 @@ def test_repeated_keys_never_repeat_rows(spark):
                                  "taxa_juros_com_seguro double, percentual_comissao_a_vista double")
     out = R.scd2_apply(history, file, "2024-05-01", "B").collect()
     assert sum(r.id == 1 for r in out) == 1 and [str(r.data_fim) for r in out if r.id == 1] == ["2024-04-30"]
+
+
+def test_scd2_repeated_key_opens_one_version(spark):
+    hist = X.rate_history(spark, SMOKE)
+    new = X.new_rate_file(spark, SMOKE).withColumn("pos", F.lit(1))
+    twice = new.unionByName(new.withColumn("pos", F.lit(2)).withColumn("percentual_comissao_a_vista", F.lit(0.25)))
+    once = RT.scd2_apply(hist, twice, "2024-07-01", X.RATES_BANK, compare_split=True, position="pos")
+    now = RT.current_versions(once, X.RATES_BANK)
+    assert now.groupBy("codigo_regra", "faixa_parcela").count().filter("count > 1").isEmpty()
+    assert now.filter(F.col("percentual_comissao_a_vista") != 0.25).isEmpty()  # the last row counts
+    again = RT.scd2_apply(once, twice, "2024-08-01", X.RATES_BANK, compare_split=True, position="pos")
+    assert sorted(map(repr, again.collect())) == sorted(map(repr, once.collect()))

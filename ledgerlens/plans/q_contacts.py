@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import os
+import uuid
+
 from pyspark.sql import functions as F
 
 from ledgerlens.functions import scalars as S
@@ -9,6 +12,8 @@ from ledgerlens.operators import contacts as CT
 from ledgerlens.plans.oracle_fixtures import with_fixtures
 from ledgerlens.plans.q_reconcile import cpf_mask_sql
 from ledgerlens.plans.registry import query
+from ledgerlens.session import ensure_checkpoint_dir
+from ledgerlens.sources import month_store as MS
 from ledgerlens.sources import fixtures as X
 
 EXCLUDED = ["user3", "user7"]
@@ -66,3 +71,19 @@ def novos_contatos(spark, sf_dir):
     return CT.load_client_phones({"cliente": existing.select(F.col("cliente_id").alias("id")),
                                   "telefone_scoring": existing.select(F.col("telefone_id").alias("id")),
                                   "cliente_telefone": existing}, leads)["cliente_telefone"]
+
+
+MENSAL_SQL = with_fixtures("""
+SELECT id, strftime(data_contrato, '%Y-%m') AS mes FROM producao_all
+WHERE data_contrato >= TIMESTAMP '1990-01-01' AND data_contrato < TIMESTAMP '2001-09-01'""", ["producao_all"])
+
+
+@query("extracao_mensal", MENSAL_SQL)
+def extracao_mensal(spark, sf_dir):
+    """Two runs of the month-sliced extraction; the second brings the
+    months from the first one's on."""
+    root = os.path.join(ensure_checkpoint_dir(spark), "tables", f"months-{uuid.uuid4().hex}")
+    source = X.production(spark, sf_dir).select("id", "data_contrato")
+    for as_of in ("1996-06-15", "2001-08-02"):
+        MS.extract_months(source, "data_contrato", root, as_of, first="1990-01-01")
+    return MS.read_months(spark, root).select("id", F.col("mes").cast("string").alias("mes"))

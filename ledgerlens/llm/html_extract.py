@@ -1,12 +1,19 @@
 """Operator 3: main text of web pages by consensus host paths.
 
 1. Each page is cut into blocks of text with the containers around them.
-   Menus, headers, footers, sidebars, notices, adverts, forms, comments and
-   what is never shown (by tag, role, class or id words) are left out.
+   What is never shown goes at once (by tag, role or style).  Forms, and
+   containers named for menus, sidebars, notices, adverts or comments, go
+   unless they turn out to hold most of the page's text (a wrapper) or all of
+   it; comments go in any case but the last.  A class or id token names such a
+   part if each of its words does or tells only its place (``top-menu``, but
+   not ``no-sidebar``, ``content-sidebar-wrap`` or ``market-share``).
 2. A page scores its containers by their text outside links; the deepest
    container that still holds most of it (a first heading weighs as half the
-   text) is its choice, named by its generalised path: the tags and classes
-   from the root, without numbers.
+   text) is chosen, and from there the choice climbs as long as the rest of
+   the parent is text of the same article: anything inside an article or main
+   element, elsewhere sections and other flow beside it, mostly outside links.
+   The choice is named by its generalised path: the tags and classes from the
+   root, without numbers.
 3. Spark sums the choices per host and path, and ranks each host's paths.
    Only (host, path, votes, score) is shuffled, summed in each task first.
 4. Every page is extracted again with its host's winning path; where it has
@@ -30,7 +37,7 @@ from pyspark.sql import functions as F
 from ledgerlens.llm.common import add_column, emit, free_name, rows_of, stage
 
 MOST = 0.8          # share of the text that the chosen container holds
-RANKED = 8          # paths kept for a host; pages without any use their own
+RANKED = 64         # paths kept for a host; pages without any use their own choice
 BROADCAST_ROWS = 20_000
 
 _RAW = "script|style|textarea|title|xmp|iframe|noembed|noframes"
@@ -45,35 +52,49 @@ INLINE = frozenset("""a abbr acronym b bdi bdo big cite code data del dfn em fon
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"},
           "option": {"option"}}
-HIDDEN_TAGS = frozenset("""head noscript template svg math canvas object audio video select datalist button nav footer aside form menu
+HIDDEN_TAGS = frozenset("""head noscript template svg math canvas object audio video select datalist button nav footer aside menu
     dialog fieldset""".split())
 HIDDEN_ROLES = frozenset("navigation banner contentinfo complementary search dialog alert alertdialog menu menubar form".split())
 # words of classes and ids that name parts beside the article
-HIDDEN_WORDS = frozenset("""ad ads advert adverts advertisement advertisements advertising adsense banner banners sponsor sponsored
+COMMENT_WORDS = frozenset("comment comments commentlist disqus respond replies".split())
+HIDDEN_WORDS = COMMENT_WORDS | frozenset("""ad ads advert adverts advertisement advertisements advertising adsense banner banners sponsor sponsored
     sponsors promo promos promotion sidebar menu menus nav navbar navigation breadcrumb breadcrumbs footer masthead cookie cookies consent
-    gdpr notice notices notification popup modal overlay newsletter subscribe subscription signup login comment comments commentlist disqus
-    respond replies related recommended recommendations share sharing social widget widgets toolbar pagination pager skip""".split())
+    gdpr notice notices notification popup modal overlay newsletter subscribe subscription signup login
+    related recommended recommendations share sharing social widget widgets toolbar pagination pager skip""".split())
+# words that tell only where or in what form such a part stands
+PLACE_WORDS = frozenset("""top bottom left right main site page post primary secondary global mobile desktop bar box area block container wrapper
+    wrap inner outer list section item items slot unit text link links button buttons icon icons form posts articles stories to the""".split())
 KEPT_TAGS = frozenset("html body main".split())
+FLOW = frozenset("section p ul ol dl blockquote figure table pre details hgroup address".split())
+SHOWN, SOFT, REMARK, GONE = range(4)  # what becomes of an element
 
 
-def _hides(tag: str, attributes: str, inside: bool) -> bool:
-    """Whether an element stands beside the article; ``inside``: below an
-    article or main element."""
+def _beside(token: str) -> int:
+    """Whether a class or id token names a part beside the article."""
+    words = _WORD.findall(token)
+    if HIDDEN_WORDS.isdisjoint(words) or not PLACE_WORDS.union(HIDDEN_WORDS).issuperset(words):
+        return SHOWN
+    return REMARK if not COMMENT_WORDS.isdisjoint(words) else SOFT
+
+
+def _fate(tag: str, attributes: str, inside: bool) -> int:
+    """What becomes of an element; ``inside``: below an article or main
+    element."""
     if tag in HIDDEN_TAGS or (tag == "header" and not inside):
-        return True
+        return GONE
+    fate = SOFT if tag == "form" else SHOWN
     if not attributes or tag in KEPT_TAGS:
-        return False
+        return fate
     for name, *values in _ATTRIBUTE.findall(attributes):
         name, value = name.lower(), "".join(values).lower()
         if name == "hidden" or (name == "aria-hidden" and value == "true") or (name == "role" and value in HIDDEN_ROLES):
-            return True
+            return GONE
         if name == "style" and "display:none" in value.replace(" ", ""):
-            return True
+            return GONE
         if name in ("class", "id"):
-            words = _WORD.findall(value)
-            if not HIDDEN_WORDS.isdisjoint(words) or ("header" in words and not inside):
-                return True
-    return False
+            for token in value.split():
+                fate = max(fate, _beside(token), SOFT if "header" in _WORD.findall(token) and not inside and _WORD.findall(token)[-1] == "header" else SHOWN)
+    return fate
 
 
 def _step(tag: str, attributes: str) -> str:
@@ -90,9 +111,12 @@ class Page:
     containers (parent, path) of one page."""
 
     def __init__(self, source: str | None):
-        self.parent, self.path = [-1], [""]
+        self.parent, self.path, self.tag, self.inside = [-1], [""], [""], [False]
         self.blocks: list[tuple[str, int, bool, int]] = []
-        stack: list[tuple[str, int, bool, bool]] = [("", 0, False, False)]  # tag, container, hidden, inside an article
+        around: list[tuple[int, ...]] = []  # of each block: the parts beside the article that it stands in
+        parts_beside: list[int] = []        # their fates
+        # tag, container, gone, inside an article, parts beside it
+        stack: list[tuple[str, int, bool, bool, tuple[int, ...]]] = [("", 0, False, False, ())]
         parts: list[str] = []
         linked, link, at, source = 0, 0, 0, source or ""
 
@@ -101,8 +125,9 @@ class Page:
             if parts:
                 text = " ".join("".join(parts).split())
                 if text:
-                    tag, node = stack[-1][:2]
+                    tag, node, _, _, beside = stack[-1]
                     self.blocks.append((text, linked, tag == "h1", node))
+                    around.append(beside)
                 parts.clear()
             linked = 0
 
@@ -127,15 +152,15 @@ class Page:
                 if closing:
                     if stack[-1][0] == tag:
                         stack.pop()
-                elif tag not in VOID and (stack[-1][2] or _hides(tag, attributes, stack[-1][3])):
-                    stack.append((tag, stack[-1][1], True, stack[-1][3]))
+                elif tag not in VOID and (stack[-1][2] or _fate(tag, attributes, stack[-1][3])):
+                    stack.append((tag, stack[-1][1], True, *stack[-1][3:]))
                 continue
             close_block()
             if closing:
                 if any(s[0] == tag for s in stack):
                     while stack.pop()[0] != tag:
                         pass
-                    stack = stack or [("", 0, False, False)]
+                    stack = stack or [("", 0, False, False, ())]
                 continue
             if tag in VOID:
                 continue
@@ -144,16 +169,40 @@ class Page:
             if tag == "body":
                 while stack[-1][0] not in ("", "html"):
                     stack.pop()
-            _, node, hidden, inside = stack[-1]
+            _, node, gone, inside, beside = stack[-1]
             inside = inside or tag in ("article", "main")
-            hidden = hidden or _hides(tag, attributes, inside)
-            if not hidden and tag != "p" and not re.fullmatch("h[1-6]", tag):
+            fate = _fate(tag, attributes, inside)
+            gone = gone or fate == GONE
+            if not gone and fate:
+                beside = (*beside, len(parts_beside))
+                parts_beside.append(fate)
+            if not gone and tag != "p" and not re.fullmatch("h[1-6]", tag):
                 self.parent.append(node)
                 self.path.append(f"{self.path[node]}>{_step(tag, attributes)}")
+                self.tag.append(tag)
+                self.inside.append(inside)
                 node = len(self.parent) - 1
-            stack.append((tag, node, hidden, inside))
+            stack.append((tag, node, gone, inside, beside))
         add(source[at:])
         close_block()
+        self._leave_out(around, parts_beside)
+
+    def _leave_out(self, around, fates) -> None:
+        """Drop the blocks in parts beside the article."""
+        if not fates:
+            return
+        worth = [max(1, len(text) - 2 * linked) for text, linked, _, _ in self.blocks]
+        held = [0] * len(fates)
+        for beside, w in zip(around, worth):
+            for k in beside:
+                held[k] += w
+        remarks = sum(w for beside, w in zip(around, worth) if any(fates[k] == REMARK for k in beside))
+        wrapper = [fate == SOFT and 2 * h > sum(worth) - remarks for fate, h in zip(fates, held)]
+        for stays in (lambda k: wrapper[k], lambda k: fates[k] == SOFT, lambda k: True):  # a page with text has some
+            kept = [b for b, beside in zip(self.blocks, around) if all(map(stays, beside))]
+            if kept:
+                break
+        self.blocks = kept
 
     def above(self, node: int):
         while node >= 0:
@@ -175,8 +224,25 @@ class Page:
         for k in range(1, len(score)):  # containers come after their parents
             if self.parent[k] == best and score[k] and score[k] >= MOST * score[0]:
                 best = k
+        best = self._climbed(best, worth)
         return best, score[best]
 
+    def _climbed(self, best: int, worth: list[int]) -> int:
+        """The highest container around ``best`` whose rest is of one article
+        with it."""
+        while self.parent[best] > 0 and self.tag[self.parent[best]] not in ("html", "body") and self.tag[best] not in ("article", "main"):
+            up, rest, outside, flows = self.parent[best], 0, 0, True
+            for (text, _, _, node), w in zip(self.blocks, worth):
+                chain = list(self.above(node))
+                if up in chain and best not in chain:
+                    below = chain[chain.index(up) - 1] if chain[0] != up else up
+                    flows = flows and (below == up or self.tag[below] in FLOW)
+                    rest, outside = rest + len(text), outside + w
+            if rest and not (2 * outside >= rest and (flows or self.inside[up])):
+                break
+            best = up
+        return best
+
     def text(self, paths: list[str] | None) -> str:
         """The text of the first of ``paths`` that has any, or else of the
         page's own choice."""

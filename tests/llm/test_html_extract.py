@@ -41,6 +41,36 @@ def test_article_shapes(source):
     assert text(source) == "Title\n" + LINES
 
 
+APPENDIX = "<p>The appendix has a few more sentences.</p>"
+
+
+@pytest.mark.parametrize("source, want", [
+    (f"<article><div class=body>{BODY}</div><section class=appendix>{APPENDIX}</section></article>", f"{LINES}\nThe appendix has a few more sentences."),
+    (f"<article><div class=body>{BODY}</div><div class=more>{APPENDIX}</div></article>", f"{LINES}\nThe appendix has a few more sentences."),
+    (f"<body><div class=post><div class=body>{BODY}</div><section>{APPENDIX}</section></div><div class=extra>Other words.</div>", f"{LINES}\nThe appendix has a few more sentences."),
+    (f"<div class='content-sidebar-wrap'><div>{BODY}</div></div>", LINES),
+    (f"<body class='layout no-sidebar'><div class='layout no-sidebar'>{BODY}</div>", LINES),
+    (f"<div class='post has-banner'>{BODY}</div>", LINES),
+    (f"<form action=x><div>{BODY}</div><input name=q></form>", LINES),
+    (f"<form><h1>Title</h1><div>{BODY}</div><div class=comments><p>First!</p></div></form><div class=note>Small print.</div>", f"Title\n{LINES}"),
+    (f"<article>{BODY}<p class='market-share'>Its market share grew.</p><div class='related-work'><p>Others wrote of it.</p></div></article>",
+     f"{LINES}\nIts market share grew.\nOthers wrote of it."),
+    (f"<article>{BODY}</article><div id=comments>{'<p>I disagree with every word of it, and at length.</p>' * 40}</div>", LINES),
+    (f"<div class=widget><article>{BODY}</article></div><div class='sidebar-left'><p>More to read.</p></div>", LINES),
+    ("<div class=sidebar><p>Nothing else is here.</p></div>", "Nothing else is here."),
+    ("<div class=comments><p>Only remarks.</p></div>", "Only remarks."),
+    (f"<article>{BODY}<form><p>Your name</p></form><div class='share-bar'>Share it</div></article>", LINES),
+])
+def test_whole_articles(source, want):
+    assert text(source) == want
+
+
+def test_long_page():
+    many = "".join(f"<p>Sentence {k} of the long article &amp; more.</p>" for k in range(50_000))
+    got = text(f"<nav><a>x</a></nav><article>{many}</article><footer>foot</footer>")
+    assert got.count("\n") == 49_999 and got.endswith("Sentence 49999 of the long article & more.")
+
+
 def test_paths_are_general():
     page = op.Page("<div class='post-17 entry b2a9'><section class=x>t</section></div>")
     assert page.path[1:] == [">div.b.entry.post", ">div.b.entry.post>section.x"]

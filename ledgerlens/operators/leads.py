@@ -277,11 +277,12 @@ def eligible() -> Column:
             & _upper_txt("classificacao_ticket").isin(*VALID_TICKETS))
 
 
-def classification_input(leads: DataFrame, enrichment: DataFrame, as_of, days: int = 15) -> DataFrame:
+def classification_input(leads: DataFrame, enrichment: DataFrame, as_of, days: int = 15, history: DataFrame | None = None) -> DataFrame:
     """C8 scan: leads of the last ``days`` days joined to their enrichment and
     to the phone history (left, zero-filled).  The history is aggregated over
-    all leads (partial aggregate), then joined on the phone."""
-    hist = phone_history(leads, as_of)
+    all leads (partial aggregate), unless it is given, then joined on the
+    phone."""
+    hist = phone_history(leads, as_of) if history is None else history
     t = _ts(as_of)
     recent = leads.filter(F.col("data_chegada") >= t - F.expr(f"INTERVAL {days} DAYS"))
     enr = enrichment.select(F.col("negociacao_id").alias("id"), "cpf", F.col("nome").alias("nome_cadastro"),

@@ -107,25 +107,6 @@ def test_streaming_ingest_replay_is_idempotent(spark):
     assert n1 <= n2 == n3 == distinct
 
 
-def test_incremental_classification_merges(spark):
-    root = tempfile.mkdtemp(prefix="ll-classify-")
-    leads = X.leads(spark, SMOKE)
-    enr = X.lead_enrichment(spark, SMOKE)
-    arrivals = os.path.join(root, "arrivals")
-    leads.filter(F.col("id") % 2 == 0).select("id").write.parquet(os.path.join(arrivals, "b1"))
-    tgt = os.path.join(root, "classes")
-    ST.classify_arrivals(spark, os.path.join(arrivals, "*"), "id long", leads, enr, tgt, X.AS_OF_EVENTS,
-                         checkpoint_location=os.path.join(root, "ck"))
-    first = IG.read_latest(spark, tgt)
-    n1 = first.count()
-    leads.filter(F.col("id") % 2 == 1).select("id").write.parquet(os.path.join(arrivals, "b2"))
-    ST.classify_arrivals(spark, os.path.join(arrivals, "*"), "id long", leads, enr, tgt, X.AS_OF_EVENTS,
-                         checkpoint_location=os.path.join(root, "ck"))
-    second = IG.read_latest(spark, tgt)
-    assert second.count() > n1
-    assert second.select("id").distinct().count() == second.count()  # one row per lead
-
-
 def test_effective_dated_lookup(spark):
     import datetime as dt
     from ledgerlens.operators.reconcile import effective_dated_lookup

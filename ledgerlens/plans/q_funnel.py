@@ -202,8 +202,18 @@ def cohort_diario(spark, sf_dir):
     return FN.daily_cohort(_funnel(spark, sf_dir))
 
 
-@query("pivot_lift")
+# one conditional value a label
+_CELLS = ", ".join(f"max(CASE WHEN cat_ano = '{label}' THEN lift_100 END) AS \"{label}\"" for label in FN.ANO_LABELS)
+PIVOT_SQL = with_fixtures(f"""WITH {_FUNNEL}, {_GLOBAL},
+b AS (SELECT {_ICAST}, mais_50, mais_100, mais_200, converteu_etiqueta, receita_total FROM funnel),
+pares AS (SELECT bucket, cat_ano, {_MEASURES} FROM b GROUP BY bucket, cat_ano),
+cheios AS (SELECT * FROM pares WHERE volume > 0),
+razoes AS ({_rates_sql('cheios', 'g.bucket, g.cat_ano')})
+SELECT bucket, {_CELLS} FROM razoes GROUP BY bucket""", _FIX)
+
+
+@query("pivot_lift", PIVOT_SQL)
 def pivot_lift(spark, sf_dir):
-    """Lift matrix of (bucket x cat_ano); rows-only (pivot columns are labels)."""
+    """Lift matrix of (bucket x cat_ano)."""
     inter = FN.lift_by_interaction(_funnel(spark, sf_dir), min_volume=1)
     return FN.lift_matrix(inter, "bucket", "cat_ano", FN.ANO_LABELS)

@@ -8,7 +8,9 @@ of the sample)`` bits is the cross-parsing entropy, and the language with the
 least wins (ties: the first in alphabetical order).
 
 Letters are lower-cased, every run of other characters is one space, and
-letters that no sample holds match nothing.  Texts are cut into segments of
+letters that no sample holds match nothing.  Codes are bytes, so of more than
+247 letters in all samples only the most frequent are told apart and the others
+match nothing either: languages that differ in rarer letters alone are not.  Texts are cut into segments of
 ``SEGMENT`` characters, parsed in lock step by table lookup; a cut adds at
 most one phrase a segment, for every language alike.
 

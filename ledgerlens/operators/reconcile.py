@@ -5,16 +5,18 @@ recalculation and the report set (P23, S13, J16-J20, W6, W11, U3, C13-C16).
 Scale design
 ------------
 * Only narrow key tables (id + the five key columns) take part in the
-  pairing loop.  They are written once to the shared checkpoint folder, and
-  every stage's pairs are checkpointed, so stage ``k`` never recomputes the
-  earlier stages (lineage stays flat and a lost executor only re-reads
-  checkpoint files).
-* Each stage hands on only the rows that it left pending, so a stage's scans
-  shrink from stage to stage.
-* Inside a stage, rows pair only within an equal key (rows with a missing key
-  are left out first): both sides are ranked by id within the key
-  (``ranked_within``, which cuts hot keys into id ranges) and joined on (key,
-  rank).  That yields min(m, n) pairs per key in id order, at any key size.
+  pairing loop.  They stand once in the shared checkpoint folder, and every
+  stage writes one table, of its pairs and of the rows that it left pending,
+  so stage ``k`` never recomputes the earlier stages (a lost executor only
+  re-reads checkpoint files).
+* Each stage hands on only the rows that it left pending, with the keys that
+  later stages use; rows without the stage's key pass it by unshuffled.
+* Inside a stage both sides go through one shuffle, by key: ranked by id
+  within key and side, rows of one key and rank are a pair.  That yields
+  min(m, n) pairs per key in id order, at any key size: hot keys are cut into
+  id ranges (``ranked_within``).
+* An id that comes twice is paired once: only then do pending rows go through
+  an anti-join on the paired ids.
 * NULL keys never match (trap T3 default); ``match_missing=True`` restores
   the sentinel behaviour where missing matches missing.
 """
@@ -23,14 +25,14 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerlens.functions import scalars as S
 from ledgerlens.functions.dates import ts_ntz
 from ledgerlens.functions.similarity import with_distinct_ratio
 from ledgerlens.operators import merge as MG
-from ledgerlens.operators.skew import DEFAULT_HOT_THRESHOLD, latest_per_key, ranked_within
+from ledgerlens.operators.skew import DEFAULT_BROADCAST_MAX, DEFAULT_HOT_THRESHOLD, crowded_keys, hot_keys, latest_per_key, ranked_within
 from ledgerlens.operators.versions import lookup, version_tree
 from ledgerlens.session import cut_lineage
 
@@ -44,6 +46,8 @@ STAGES = [
 ]
 SINGLE_STAGE = [("Etapa 1: Número Proposta", ["numero_proposta"])]
 MISSING = "<NA>"
+# Rows that one task of a matching stage ranks, about.
+TASK_ROWS = 500_000
 # Banks left out of the final report.
 REPORT_EXCLUDED_BANKS = ["BANCO DO BRASIL", "SABEMI"]
 
@@ -96,30 +100,77 @@ def _key_table(df: DataFrame, id_col: str, key_cols: list[str], match_missing: b
     return df.select(*cols)
 
 
+def _met(ranked: DataFrame, keys: list[str], right_id: str) -> DataFrame:
+    """``_hit``: the other side has a row of the same key and rank; a left
+    row gets its id."""
+    met = Window.partitionBy("_h", *keys, "rn")
+    return (ranked.withColumn("_hit", F.count(F.lit(1)).over(met) > 1)
+            .withColumn("_other", F.max(right_id).over(met)).drop("rn", "_h"))
+
+
+def _paired(rows: DataFrame, keys: list[str], left_id: str, right_id: str, hot_threshold: int,
+            salt_buckets: int | None, crowded: bool, tasks: int) -> DataFrame:
+    """Both sides' rows of one stage with ``_hit`` and ``_other``: dealt once
+    by key, ranked by id within key and side, and met by rank in the same
+    tasks.  Hot keys' rows are ranked apart, in id ranges, and meet by (key,
+    rank); they are looked for if ``crowded``."""
+    hot, n_hot = hot_keys(rows, keys, hot_threshold) if crowded else (None, 0)
+    cold = rows
+    if n_hot:
+        hot = F.broadcast(hot) if n_hot <= DEFAULT_BROADCAST_MAX else hot
+        cold = rows.join(hot, keys, "left_anti")
+    h = F.xxhash64(*keys)  # after the shuffle: rows are sorted by a number first, then by the keys
+    side = Window.partitionBy("_h", *keys, "_left").orderBy(left_id, right_id)
+    out = _met(cold.repartition(tasks, *keys).withColumn("_h", h).withColumn("rn", F.row_number().over(side).cast("long")), keys, right_id)
+    if n_hot:
+        apart = rows.join(hot, keys, "left_semi").withColumn("_id", F.coalesce(left_id, right_id))
+        ranked = ranked_within(apart, [*keys, "_left"], "_id", hot_threshold=hot_threshold, buckets=salt_buckets).drop("_id").withColumn("_h", h)
+        out = out.unionByName(_met(ranked, keys, right_id))
+    return out
+
+
 def staged_pairing(left: DataFrame, right: DataFrame, stages=STAGES, left_id: str = "src_id",
                    right_id: str = "id", match_missing: bool = False, checkpoint: bool = True,
-                   hot_threshold: int = DEFAULT_HOT_THRESHOLD, salt_buckets: int | None = None) -> DataFrame:
+                   hot_threshold: int = DEFAULT_HOT_THRESHOLD, salt_buckets: int | None = None,
+                   left_held: bool = False) -> DataFrame:
     """J18/J19 + W11: one-to-one pairs over ordered key stages.
 
     Returns ``(left_id, right_id, etapa, etapa_nome)``; each id appears at
-    most once, and stage ``k`` only sees rows unpaired by stages ``< k``."""
+    most once, and stage ``k`` only sees rows unpaired by stages ``< k``.
+    ``left_held``: ``left`` is a table on disk already, not to be copied."""
     key_cols = sorted({c for _, ks in stages for c in ks})
     lk = _key_table(left, left_id, key_cols, match_missing)
     rk = _key_table(right, right_id, key_cols, match_missing)
     cut = cut_lineage if checkpoint else (lambda df, name: df)
-    lk, rk = cut(lk, "pair-left-keys"), cut(rk, "pair-right-keys")
+    lk, rk = lk if left_held else cut(lk, "pair-left-keys"), cut(rk, "pair-right-keys")
+    none = lambda df, c: F.lit(None).cast(df.schema[c].dataType).alias(c)
+    pending = lk.select(F.lit(True).alias("_left"), left_id, none(rk, right_id), *key_cols).unionByName(
+        rk.select(F.lit(False).alias("_left"), none(lk, left_id), right_id, *key_cols))
+    own = F.when(F.col("_left"), F.col(left_id).isNotNull()).otherwise(F.col(right_id).isNotNull())
+    repeated = not (pending.filter(own).groupBy(left_id, right_id).agg(F.count(F.lit(1)).alias("_n"))
+                    .filter("_n > 1").isEmpty())
+    # a task sorts its rows twice: their number bounds its memory
+    tasks = max(int(pending.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-pending.count() // TASK_ROWS))
+    crowded = crowded_keys(pending, [ks for _, ks in stages], hot_threshold)
     done = None
     for i, (name, keys) in enumerate(stages, start=1):
-        lp = lk.select(left_id, *keys).dropna(subset=keys)
-        rp = rk.select(right_id, *keys).dropna(subset=keys)
-        pairs = (ranked_within(lp, keys, left_id, hot_threshold=hot_threshold, buckets=salt_buckets)
-                 .join(ranked_within(rp, keys, right_id, hot_threshold=hot_threshold, buckets=salt_buckets), [*keys, "rn"])
-                 .select(left_id, right_id, F.lit(i).alias("etapa"), F.lit(name).alias("etapa_nome")))
-        pairs = cut(pairs, f"pairs-stage{i}")
+        later = [c for c in key_cols if any(c in ks for _, ks in stages[i:])]
+        met = _paired(pending.dropna(subset=keys), keys, left_id, right_id, hot_threshold, salt_buckets, i - 1 in crowded, tasks)
+        found = F.col("_left") & F.col("_hit")
+        stays = ~F.col("_hit") | ~own  # a row without an id is never left out later
+        stage = met.filter(found | stays if later else found).select(
+            "_left", "_hit", left_id, right_id, "_other", stays.alias("_stays"), *[F.when(stays, F.col(c)).alias(c) for c in later])
+        stage = cut(stage, f"pairs-stage{i}")
+        pairs = stage.filter(found).select(left_id, F.col("_other").alias(right_id), F.lit(i).alias("etapa"), F.lit(name).alias("etapa_nome"))
         done = pairs if done is None else done.unionByName(pairs)
-        if i < len(stages):  # only the rows still pending go on
-            lk = cut(lk.join(pairs.select(left_id), left_id, "left_anti"), f"pending-left{i}")
-            rk = cut(rk.join(pairs.select(right_id), right_id, "left_anti"), f"pending-right{i}")
+        if later:  # only the rows still pending go on
+            carried = ["_left", left_id, right_id, *later]
+            lacking = reduce(Column.__or__, [F.col(k).isNull() for k in keys])
+            pending = stage.filter("_stays").select(*carried).unionByName(pending.filter(lacking).select(*carried))
+            if repeated:  # other rows of a paired id leave with it
+                for c in (left_id, right_id):
+                    pending = pending.join(pairs.select(c), c, "left_anti")
+                pending = cut(pending.select(*carried), f"pending{i}")
     return done
 
 
@@ -161,9 +212,9 @@ def effective_rate(statements: DataFrame, rates: DataFrame, open_end: str = "209
     lines = st.select("src_id", "data_emprestimo", F.col("regra_extraida").alias("regra"), F.col("codigo_extraido").alias("inicio_regra"),
                       F.round("taxa_extraida", 2).cast("string").alias("_taxa"))
     exact = lookup(lines, versions, F.col("data_emprestimo")).withColumnsRenamed({"taxa_id": "_id", "perc_empresa_avista": "_perc"})
-    best = lookup(exact.withColumn("_taxa", anyway), versions, F.col("data_emprestimo"))
     match = F.col("_id").isNotNull()
-    return best.filter(F.col("taxa_id").isNotNull()).select(
+    best = lookup(exact.withColumn("_taxa", F.when(~match, anyway)), versions, F.col("data_emprestimo"))
+    return best.filter(match | F.col("taxa_id").isNotNull()).select(
         "src_id", F.when(match, F.col("_id")).otherwise(F.col("taxa_id")).alias("taxa_id"), match.alias("match_taxa"),
         F.when(match, F.col("_perc")).otherwise(F.col("perc_empresa_avista")).alias("perc_empresa_avista"))
 
@@ -216,6 +267,9 @@ REPORT_BLOCKS = ["PAGAMENTOS", "NAO_ENCONTRADOS_ECB", "COMISSAO_NULA", "COMISSAO
 REPORT_COLUMNS = {"nom_banco": "string", "num_proposta": "string", "num_contrato": "string", "val_comissao": "decimal(18,2)",
                   "status_producao": "string", "tipo_operacao": "string", "val_liberado": "decimal(18,2)",
                   "dat_credito": "timestamp_ntz", "data_esperada_pgto": "date", "status_pgto": "string"}
+# what the report reads of a statement beside its keys
+REPORT_STATEMENT_COLUMNS = ["nom_banco", "num_proposta", "num_contrato", "val_comissao", "status_producao", "tipo_operacao",
+                            "val_liberado", "dat_credito", "data_contrato"]
 
 
 def _block(df: DataFrame, name: str, id_col: str) -> DataFrame:

@@ -23,7 +23,7 @@ def commission_job(spark: SparkSession, sf_dir: str, out_root: str, as_of: str,
     set and the production write-back (a new version, never in place)."""
     st = cut_lineage(RC.prepare_statements(X.bank_statements(spark, sf_dir)), "statements")
     prod = RC.prepare_production(RC.production_in_span(X.production(spark, sf_dir), st))
-    pairs = RC.staged_pairing(st, prod)
+    pairs = RC.staged_pairing(st, prod, left_held=True)
     best = RC.effective_rate(st, X.rate_table(spark, sf_dir))
     rec = RC.expected_commission(st, best)
     written_back = RC.production_write_back(prod, pairs, rec, start_date)

@@ -98,3 +98,50 @@ def test_top_k_and_latest_with_a_hot_key(spark):
     assert {k: sorted(v) for k, v in got.items()} == expect
     latest = {r.key: r.id for r in latest_per_key(df, ["key"], ["v", "id"], ["id"]).collect()}
     assert latest == {k: v[0][1] for k, v in expect.items()}
+
+
+def _brute(left, right, stages):
+    """Stage by stage in plain Python; (id, {key: value}) rows, ids may repeat or be None."""
+    out = []
+    for n, keys in enumerate(stages, 1):
+        sides = []
+        for rows in (left, right):
+            groups = {}
+            for i, k in sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0)):
+                if all(k[c] is not None for c in keys):
+                    groups.setdefault(tuple(k[c] for c in keys), []).append(i)
+            sides.append(groups)
+        found = [(a, b, n) for k in sides[0] for a, b in zip(sides[0][k], sides[1].get(k, []))]
+        out += found
+        gone = [{p[s] for p in found} - {None} for s in (0, 1)]
+        left, right = ([r for r in rows if r[0] not in gone[s]] for s, rows in enumerate((left, right)))
+    return Counter(out)
+
+
+def test_repeated_and_missing_ids_leave_as_before(spark):
+    """An id that comes twice leaves with all its rows; a row without an id
+    stays, whatever the size of its key."""
+    rows = lambda n, a, b: [(None if i % 11 == 5 else i // 2 if i % 9 == 1 else i,
+                             {"x": f"x{i % a}" if i % 7 else None, "y": f"y{i % b}" if i % 5 else None}) for i in range(n)]
+    left, right, stages = rows(60, 6, 5), rows(45, 8, 4), [["x", "y"], ["y"], ["x"]]
+    frame = lambda rows, c: spark.createDataFrame([(i, k["x"], k["y"]) for i, k in rows], f"{c} long, x string, y string")
+    named = [(f"s{n}", ks) for n, ks in enumerate(stages, 1)]
+    for threshold in (200_000, 3):
+        got = RC.staged_pairing(frame(left, "src_id"), frame(right, "id"), named, hot_threshold=threshold).collect()
+        assert Counter((p.src_id, p.id, p.etapa) for p in got) == _brute(left, right, stages)
+
+
+def test_a_stage_shuffles_each_side_once(spark):
+    """Rows are dealt by key once a stage: ranks and partners come from the same tasks."""
+    rows = spark.createDataFrame([(True, 1, None, "k"), (False, None, 2, "k")], "_left boolean, src_id long, id long, k string")
+    met = RC._paired(rows, ["k"], "src_id", "id", 10, None, False, 4)
+    assert met._jdf.queryExecution().executedPlan().toString().count("Exchange") == 1
+
+
+def test_hot_keys_are_exact_behind_the_buckets(spark):
+    from ledgerlens.operators.skew import crowded_keys, hot_keys
+    df = spark.createDataFrame([(f"k{i % 40}" if i % 4 else "HOT", i % 3) for i in range(800)], "k string, v int")
+    hot, n = hot_keys(df, ["k"], 100)
+    assert (n, [r.k for r in hot.collect()]) == (1, ["HOT"])
+    assert hot_keys(df, ["k"], 300)[1] == 0
+    assert crowded_keys(df, [["k", "v"], ["k"], ["v"]], 100) == {1, 2}

@@ -125,8 +125,11 @@ def with_token_set_ratio(df, a: str, b: str, out: str = "semelhanca", clean: boo
 
 
 def with_distinct_ratio(df: DataFrame, a: str, b: str, out: str = "semelhanca") -> DataFrame:
-    """``with_token_set_ratio`` with each distinct pair of texts scored once."""
-    texts = df.select(F.col(a).alias("_a"), F.col(b).alias("_b")).distinct()
+    """``with_token_set_ratio`` with each distinct pair of texts scored once.
+    Scoring costs much a byte, so the pairs are dealt over all shuffle
+    partitions; by their bytes they would be folded into a task or two."""
+    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    texts = df.select(F.col(a).alias("_a"), F.col(b).alias("_b")).distinct().repartition(tasks, F.xxhash64("_a", "_b"))
     scored = with_token_set_ratio(texts, "_a", "_b", out)
     return df.join(scored, F.col(a).eqNullSafe(F.col("_a")) & F.col(b).eqNullSafe(F.col("_b"))).drop("_a", "_b")
 

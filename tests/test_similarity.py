@@ -60,3 +60,13 @@ def test_staged_form_matches_expression(spark):
     staged = [r.s for r in with_token_set_ratio(df, "a", "b", "s").collect()]
     expr = [r[0] for r in df.select(name_similarity(F.col("a"), F.col("b"))).collect()]
     assert staged == expr
+
+
+def test_distinct_pairs_are_scored_by_many_tasks(spark):
+    """Scoring is dear a byte: small text tables are not folded into one task."""
+    from pyspark.sql import functions as F
+    from ledgerlens.functions.similarity import with_distinct_ratio
+    df = spark.createDataFrame([(f"ana {i}", f"{i} silva") for i in range(200)], "a string, b string")
+    plan = with_distinct_ratio(df, "a", "b")._jdf.queryExecution().executedPlan().toString()
+    assert "REPARTITION_BY_NUM" in plan
+    assert with_distinct_ratio(df, "a", "b").where(F.col("semelhanca") > 0).count() == 200

@@ -100,12 +100,11 @@ def lookup(rows: DataFrame, versions: VersionTree, at: Column, fan: int = FAN) -
     passed = lambda c, instant: F.size(F.filter(c, instant))
     for level in reversed(versions.levels[1:]):
         out = out.join(level, [*keys, "_node"], "left")
-        n = passed("_starts", lambda x: x <= F.col("_p"))
-        out = out.withColumn("_node", F.when(n > 0, F.col("_node") * fan + n - 1)).drop("_starts")
+        out = out.withColumn("_k", passed("_starts", lambda x: x <= F.col("_p")))  # counted once a row
+        out = out.withColumn("_node", F.when(F.col("_k") > 0, F.col("_node") * fan + F.col("_k") - 1)).drop("_starts", "_k")
     out = out.join(versions.levels[0], [*keys, "_node"], "left")
-    n = passed("_items", lambda x: x["_at"] <= F.col("_p"))
-    best = F.when(n > 0, F.element_at("_items", F.greatest(n, F.lit(1))))["_best"]
-    out = out.withColumn("_best", best)
+    out = out.withColumn("_k", passed("_items", lambda x: x["_at"] <= F.col("_p")))
+    out = out.withColumn("_best", F.get("_items", F.col("_k") - 1)["_best"])  # NULL before the first
     return out.select(*rows.columns, *[F.col("_best")[c].alias(c) for c in versions.payload])
 
 

@@ -90,7 +90,7 @@ def bloom_filters(new: DataFrame) -> DataFrame:
     """prefix, words (array<long>): a filter for each prefix of ``new``
     (prefix, row_hash), sized by its number of keys."""
     sizes = new.groupBy("prefix").agg(F.greatest(F.lit(1), F.ceil(F.count("*") * BITS_PER_KEY / 64)).cast("long").alias("n"))
-    probes = new.join(sizes, "prefix").withColumn("_at", F.explode(F.array(*[F.struct(w.alias("w"), b.alias("b")) for w, b in _places(F.col("n"))])))
+    probes = new.join(F.broadcast(sizes), "prefix").withColumn("_at", F.explode(F.array(*[F.struct(w.alias("w"), b.alias("b")) for w, b in _places(F.col("n"))])))
     bits = probes.select("prefix", F.col("_at.w").alias("w"), F.expr("shiftleft(1L, _at.b)").alias("bits"))
     empty = sizes.select("prefix", F.explode(F.sequence(F.lit(0), (F.col("n") - 1).cast("int"))).alias("w"), F.lit(0).cast("long").alias("bits"))
     words = bits.unionByName(empty).groupBy("prefix", "w").agg(F.bit_or("bits").alias("bits"))

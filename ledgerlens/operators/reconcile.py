@@ -348,4 +348,6 @@ def stack_platform_views(nova: DataFrame, bb: DataFrame) -> DataFrame:
          .select("nom_banco", "num_proposta", "num_contrato", "cliente_id", "val_repasse", "val_comissao",
                  "dat_emprestimo", "status_producao", F.lit(3).cast("long").alias("banco_id"),
                  F.lit("BB").alias("plataforma"), "val_liberado", "dat_credito", "prazo", "val_bruto"))
-    return n.unionByName(b, allowMissingColumns=True).distinct()
+    both = n.unionByName(b, allowMissingColumns=True)
+    # dealt by whole rows before they are compared: one table of rows a task, in all shuffle partitions
+    return both.repartition(int(both.sparkSession.conf.get("spark.sql.shuffle.partitions")), *both.columns).distinct()

@@ -71,10 +71,14 @@ def elementary(versions: DataFrame, keys: list[str], first: Column, last: Column
     ranks = ranked_within(bounds, keys, "_at", **more).select(*keys, "_at", (F.col("rn") - 1).alias("_n"))
     numbered = v.join(ranks.withColumnsRenamed({"_at": "_lo", "_n": "_from"}), [*keys, "_lo"]) \
         .join(ranks.withColumnsRenamed({"_at": "_hi", "_n": "_to"}), [*keys, "_hi"])
+    # blocks and levels multiply the rows of small tables: dealt over all
+    # shuffle partitions, not folded into a task by their bytes
+    tasks = int(v.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    numbered = numbered.repartition(tasks, F.xxhash64(*keys, "_from", "_to"))
     parts = numbered.select(*keys, "_best", F.explode(_blocks("_from", "_to")).alias("_b"))
     blocks = parts.groupBy(*keys, F.col("_b._level").alias("_level"), F.col("_b._block").alias("_block")).agg(F.max("_best").alias("_best"))
     used = blocks.groupBy(*keys).agg(F.collect_set("_level").alias("_levels"))  # a few levels a key
-    lying = ranks.join(used, keys).select(*keys, "_at", "_n", F.explode("_levels").alias("_level"))
+    lying = ranks.join(used, keys).repartition(tasks, F.xxhash64(*keys, "_n")).select(*keys, "_at", "_n", F.explode("_levels").alias("_level"))
     lying = lying.withColumn("_block", F.expr("shiftright(_n, _level)"))
     return lying.join(blocks, [*keys, "_level", "_block"], "left").groupBy(*keys, "_n", "_at").agg(F.max("_best").alias("_best"))
 

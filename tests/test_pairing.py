@@ -145,3 +145,13 @@ def test_hot_keys_are_exact_behind_the_buckets(spark):
     assert (n, [r.k for r in hot.collect()]) == (1, ["HOT"])
     assert hot_keys(df, ["k"], 300)[1] == 0
     assert crowded_keys(df, [["k", "v"], ["k"], ["v"]], 100) == {1, 2}
+
+
+def test_stacked_views_are_dealt_before_they_are_compared(spark):
+    cols = ["nom_banco", "num_proposta", "num_contrato", "cliente_id", "val_repasse", "val_comissao", "dat_emprestimo", "status_producao",
+            "tipo_operacao", "val_liberado", "dat_credito", "dsc_produto", "prazo", "dsc_convenio", "val_bruto"]
+    st = spark.createDataFrame([(*["x"] * 7, s, *["x"] * 7, b) for s, b in [("pago", 1), ("pago", 1), ("PRODUÇÃO", 2), ("PRODUÇÃO", 2), ("y", 1)]],
+                               ", ".join(f"{c} string" for c in cols) + ", banco_id long")
+    out = RC.stack_platform_views(st.filter("banco_id <> 2"), st.filter("banco_id = 2"))
+    assert "REPARTITION_BY_NUM" in out._jdf.queryExecution().executedPlan().toString()
+    assert sorted((r.plataforma, r.banco_id) for r in out.collect()) == [("BB", 3), ("NOVA", 1)]

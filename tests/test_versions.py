@@ -68,3 +68,13 @@ def test_instants(spark):
     r = spark.sql("SELECT 'x' AS k, explode(array(TIMESTAMP_NTZ'2024-01-01 00:00:00', TIMESTAMP_NTZ'2024-01-31 00:00:00', TIMESTAMP_NTZ'2024-01-31 00:00:00.000001')) AS t")
     tree = V.version_tree(v, ["k"], F.col("a"), F.col("b"), ["value"], ["value"])
     assert [x.value for x in V.lookup(r, tree, F.col("t")).orderBy("t").collect()] == [1, 1, None]
+
+
+def test_blocks_are_dealt_over_all_partitions(spark):
+    """Small version tables multiply into many blocks: not in one task."""
+    from ledgerlens.operators.versions import elementary
+    v = spark.createDataFrame([(1, i, i + 5, i) for i in range(50)], "k int, a int, b int, w int")
+    day = lambda c: F.date_add(F.lit("2020-01-01").cast("date"), F.col(c))
+    out = elementary(v, ["k"], day("a"), day("b"), ["w"], ["w"])
+    assert out._jdf.queryExecution().executedPlan().toString().count("REPARTITION_BY_NUM") >= 2
+    assert {r._best.w for r in out.collect() if r._best} == set(range(50))

@@ -185,3 +185,15 @@ def test_scd2_repeated_key_opens_one_version(spark):
     assert now.filter(F.col("percentual_comissao_a_vista") != 0.25).isEmpty()  # the last row counts
     again = RT.scd2_apply(once, twice, "2024-08-01", X.RATES_BANK, compare_split=True, position="pos")
     assert sorted(map(repr, again.collect())) == sorted(map(repr, once.collect()))
+
+
+def test_insert_joins_the_target_once(spark):
+    """Old and new rows come out of one full outer join, dealt by hash."""
+    rows = lambda *vs: spark.createDataFrame([(v, "x") for v in vs], "v string, w string")
+    v1 = IG.idempotent_insert(None, rows("a", "b", "b"), "2024-01-01")
+    v2 = IG.idempotent_insert(v1.drop("w"), rows("b", "c", "c"), "2024-01-02")
+    plan = v2._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join ") == 1 and "Join FullOuter" in plan
+    got = sorted((r.v, r.w, str(r.execution_date), r.verificacao_hash is not None) for r in v2.collect())
+    assert got == [("a", None, "2024-01-01", False), ("b", None, "2024-01-01", True), ("c", "x", "2024-01-02", False)]
+    assert v2.columns[0] == "row_hash"

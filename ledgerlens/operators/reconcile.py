@@ -15,8 +15,8 @@ Scale design
   within key and side, rows of one key and rank are a pair.  That yields
   min(m, n) pairs per key in id order, at any key size: hot keys are cut into
   id ranges (``ranked_within``).
-* An id that comes twice is paired once: only then do pending rows go through
-  an anti-join on the paired ids.
+* An id that comes twice is paired once: rows of such ids are marked, and only
+  they go through an anti-join on the paired ids.
 * NULL keys never match (trap T3 default); ``match_missing=True`` restores
   the sentinel behaviour where missing matches missing.
 """
@@ -108,6 +108,17 @@ def _met(ranked: DataFrame, keys: list[str], right_id: str) -> DataFrame:
             .withColumn("_other", F.max(right_id).over(met)).drop("rn", "_h"))
 
 
+def _marked(pending: DataFrame, again: DataFrame, left_id: str, right_id: str, n_again: int) -> DataFrame:
+    """``pending`` with ``_again``: the row's id is one of ``again``."""
+    few = F.broadcast if n_again <= DEFAULT_BROADCAST_MAX else (lambda df: df)
+    out = []
+    for c, side in ((left_id, F.col("_left")), (right_id, ~F.col("_left"))):
+        ids = again.filter(F.col(c).isNotNull()).select(F.col(c).alias("_id"), F.lit(True).alias("_again"))
+        rows = pending.filter(side).join(few(ids), F.col(c) == F.col("_id"), "left")
+        out.append(rows.withColumn("_again", F.coalesce("_again", F.lit(False))).drop("_id"))
+    return out[0].unionByName(out[1])
+
+
 def _paired(rows: DataFrame, keys: list[str], left_id: str, right_id: str, hot_threshold: int,
             salt_buckets: int | None, crowded: bool, tasks: int) -> DataFrame:
     """Both sides' rows of one stage with ``_hit`` and ``_other``: dealt once
@@ -147,8 +158,14 @@ def staged_pairing(left: DataFrame, right: DataFrame, stages=STAGES, left_id: st
     pending = lk.select(F.lit(True).alias("_left"), left_id, none(rk, right_id), *key_cols).unionByName(
         rk.select(F.lit(False).alias("_left"), none(lk, left_id), right_id, *key_cols))
     own = F.when(F.col("_left"), F.col(left_id).isNotNull()).otherwise(F.col(right_id).isNotNull())
-    repeated = not (pending.filter(own).groupBy(left_id, right_id).agg(F.count(F.lit(1)).alias("_n"))
-                    .filter("_n > 1").isEmpty())
+    again = cut(pending.filter(own).groupBy(left_id, right_id).agg(F.count(F.lit(1)).alias("_n"))
+                .filter("_n > 1").select(left_id, right_id), "repeated-ids")
+    n_again = again.count()
+    mark = ["_again"] if n_again else []
+    if n_again:  # rows whose id comes again are told apart once
+        pending = _marked(pending, again, left_id, right_id, n_again)
+        if n_again > DEFAULT_BROADCAST_MAX:
+            pending = cut(pending, "pending0")
     # a task sorts its rows twice: their number bounds its memory
     tasks = max(int(pending.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-pending.count() // TASK_ROWS))
     crowded = crowded_keys(pending, [ks for _, ks in stages], hot_threshold)
@@ -158,19 +175,21 @@ def staged_pairing(left: DataFrame, right: DataFrame, stages=STAGES, left_id: st
         met = _paired(pending.dropna(subset=keys), keys, left_id, right_id, hot_threshold, salt_buckets, i - 1 in crowded, tasks)
         found = F.col("_left") & F.col("_hit")
         stays = ~F.col("_hit") | ~own  # a row without an id is never left out later
-        stage = met.filter(found | stays if later else found).select(
-            "_left", "_hit", left_id, right_id, "_other", stays.alias("_stays"), *[F.when(stays, F.col(c)).alias(c) for c in later])
+        kept = reduce(Column.__or__, [found, *([stays] if later else []), *[F.col(c) for c in mark if later]])
+        stage = met.filter(kept).select(
+            "_left", "_hit", left_id, right_id, "_other", stays.alias("_stays"), *mark, *[F.when(stays, F.col(c)).alias(c) for c in later])
         stage = cut(stage, f"pairs-stage{i}")
         pairs = stage.filter(found).select(left_id, F.col("_other").alias(right_id), F.lit(i).alias("etapa"), F.lit(name).alias("etapa_nome"))
         done = pairs if done is None else done.unionByName(pairs)
         if later:  # only the rows still pending go on
-            carried = ["_left", left_id, right_id, *later]
+            carried = ["_left", left_id, right_id, *mark, *later]
             lacking = reduce(Column.__or__, [F.col(k).isNull() for k in keys])
             pending = stage.filter("_stays").select(*carried).unionByName(pending.filter(lacking).select(*carried))
-            if repeated:  # other rows of a paired id leave with it
-                for c in (left_id, right_id):
-                    pending = pending.join(pairs.select(c), c, "left_anti")
-                pending = cut(pending.select(*carried), f"pending{i}")
+            if mark:  # other rows of a paired id leave with it
+                rest, gone = pending.filter("_again"), stage.filter("_hit AND _again")
+                for c, side in ((left_id, F.col("_left")), (right_id, ~F.col("_left"))):
+                    rest = rest.join(gone.filter(side).select(c).distinct(), c, "left_anti")
+                pending = pending.filter("NOT _again").unionByName(cut(rest.select(*carried), f"pending{i}"))
     return done
 
 
@@ -190,11 +209,12 @@ def effective_rate(statements: DataFrame, rates: DataFrame, open_end: str = "209
     version trees (see ``versions``): among the versions that carry the line's
     own rate, and, for lines without one, among all.  ``src_id`` names a line.
     """
-    st = statements.select(
+    text = F.col("_produto")  # in capitals once, for all three patterns
+    st = statements.select("src_id", "data_emprestimo", F.upper("dsc_produto").alias("_produto")).select(
         "src_id", "data_emprestimo",
-        S.upper_trim(S.product_rule(F.col("dsc_produto"))).alias("regra_extraida"),
-        S.product_rate(F.col("dsc_produto")).alias("taxa_extraida"),
-        S.upper_trim(S.product_code(F.col("dsc_produto"))).alias("codigo_extraido"))
+        S.upper_trim(S.product_rule(text, upper=False)).alias("regra_extraida"),
+        S.product_rate(text, upper=False).alias("taxa_extraida"),
+        S.upper_trim(S.product_code(text, upper=False)).alias("codigo_extraido"))
     rt = rates.select(
         S.upper_trim(F.col("descricao_banco")).alias("regra"),
         S.upper_trim(F.col("codigo")).alias("inicio_regra"),
@@ -231,6 +251,12 @@ def expected_commission(statements: DataFrame, best_rates: DataFrame) -> DataFra
                         F.when(cond, recalc).otherwise(F.col("val_comissao").cast("double")))
 
 
+def paired_statements(statements: DataFrame, pairs: DataFrame) -> DataFrame:
+    """The statement lines that a write-back needs: those with a pair, once
+    on disk, so that rates and commissions of the others are not worked out."""
+    return cut_lineage(statements.join(pairs.select("src_id"), "src_id", "left_semi"), "paired-statements")
+
+
 def production_write_back(production: DataFrame, pairs: DataFrame, recalculated: DataFrame, since: str) -> DataFrame:
     """C16 + K8: matched contracts on or after ``since`` get the statement's
     base, commission, term and table; its amounts only where they are there

@@ -65,7 +65,9 @@ def elementary(versions: DataFrame, keys: list[str], first: Column, last: Column
     v = versions.select(*keys, wall_micros(first).alias("_lo"), (wall_micros(last) + 1).alias("_hi"), F.struct(*held).alias("_best"))
     for k in keys:
         v = v.where(F.col(k).isNotNull())
-    v = cut_lineage(v.where("_lo < _hi"), "versions")
+    # of versions in force at the same time only the greatest counts
+    v = v.where("_lo < _hi").groupBy(*keys, "_lo", "_hi").agg(F.max("_best").alias("_best"))
+    v = cut_lineage(v, "versions")
     bounds = v.select(*keys, F.col("_lo").alias("_at")).unionByName(v.select(*keys, F.col("_hi").alias("_at"))).distinct()
     more = {} if hot_threshold is None else {"hot_threshold": hot_threshold}
     ranks = ranked_within(bounds, keys, "_at", **more).select(*keys, "_at", (F.col("rn") - 1).alias("_n"))

@@ -24,8 +24,9 @@ def commission_job(spark: SparkSession, sf_dir: str, out_root: str, as_of: str,
     st = cut_lineage(RC.prepare_statements(X.bank_statements(spark, sf_dir)), "statements")
     prod = RC.prepare_production(RC.production_in_span(X.production(spark, sf_dir), st))
     pairs = RC.staged_pairing(st, prod, left_held=True)
-    best = RC.effective_rate(st, X.rate_table(spark, sf_dir))
-    rec = RC.expected_commission(st, best)
+    paired = RC.paired_statements(st, pairs)
+    best = RC.effective_rate(paired, X.rate_table(spark, sf_dir))
+    rec = RC.expected_commission(paired, best)
     written_back = RC.production_write_back(prod, pairs, rec, start_date)
     due = SL.awaiting_payment(X.bank_statements(spark, sf_dir), start_date)
     payments = SL.payment_status(SL.expected_payment_date(due, SL.sla_rules(spark)), as_of)

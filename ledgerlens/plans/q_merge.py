@@ -72,6 +72,7 @@ def merge_producao(spark, sf_dir):
     and term — only for contracts on/after the guard date."""
     st, prod, pairs = QR._pairs(spark, sf_dir, "nom_banco", "dsc_produto", "data_emprestimo", "val_repasse", "val_comissao",
                                 "val_liberado", "val_bruto", "prazo")
+    st = RC.paired_statements(st, pairs)
     best = RC.effective_rate(st, X.rate_table(spark, sf_dir))
     target = prod.select("id", "data_contrato", F.col("valor_comissao").cast("double").alias("valor_comissao"), "valor_liberado",
                          F.when(F.pmod("id", F.lit(3)) == 0, F.col("valor_liberado")).alias("valor_financiado"))

@@ -137,15 +137,11 @@ best AS (
 TAXA_SQL = with_fixtures(f"WITH {_PREP},{_RATE_SQL} SELECT * FROM best", _FIX + ["tabela_taxas"])
 
 
-def _rates(spark, sf_dir):
-    # no pairing here: the statements are read once, so no materialisation
-    st = RC.prepare_statements(X.bank_statements(spark, sf_dir))
-    return st, RC.effective_rate(st, X.rate_table(spark, sf_dir))
-
-
 @query("taxa_vigente", TAXA_SQL, headline=True)
 def taxa_vigente(spark, sf_dir):
-    return _rates(spark, sf_dir)[1].select("src_id", "taxa_id", "match_taxa", "perc_empresa_avista")
+    # no pairing here: the statements are read once, so no materialisation
+    st = RC.prepare_statements(X.bank_statements(spark, sf_dir))
+    return RC.effective_rate(st, X.rate_table(spark, sf_dir)).select("src_id", "taxa_id", "match_taxa", "perc_empresa_avista")
 
 
 RECALC_SQL = with_fixtures(f"""WITH {_PREP},{_RATE_SQL}
@@ -159,7 +155,11 @@ FROM st LEFT JOIN best b ON b.src_id = st.src_id""", _FIX + ["tabela_taxas"])
 
 @query("comissao_recalculada", RECALC_SQL)
 def comissao_recalculada(spark, sf_dir):
-    st, best = _rates(spark, sf_dir)
+    # read twice, by the rate lookup and by the commission: derived once
+    st = RC.prepare_statements(X.bank_statements(spark, sf_dir)).select(
+        "src_id", "nom_banco", "dsc_produto", "data_emprestimo", "val_repasse", "val_comissao", "val_liberado")
+    st = cut_lineage(st, "statements")
+    best = RC.effective_rate(st, X.rate_table(spark, sf_dir))
     return RC.expected_commission(st, best).select("src_id", "val_comissao_total")
 
 
@@ -188,8 +188,9 @@ WHERE ifnull(nom_banco, '') NOT IN ('SABEMI', 'BANCO DO BRASIL')""", _FIX)
 
 @query("report_conciliacao", REPORT_SQL, headline=True)
 def report_conciliacao(spark, sf_dir):
-    st, prod, pairs = _pairs(spark, sf_dir, *RC.REPORT_STATEMENT_COLUMNS)
-    return RC.report(st, prod, pairs, payments_due(spark, sf_dir), AS_OF, START_DATE)
+    # the payments read the statements on disk too, for their dates and for the calendar's span
+    st, prod, pairs = _pairs(spark, sf_dir, *RC.REPORT_STATEMENT_COLUMNS, "plataforma", "dat_confirmacao")
+    return RC.report(st, prod, pairs, payments_due(spark, st), AS_OF, START_DATE)
 
 
 CONVENIOS_SQL = with_fixtures(_BASE.rstrip() + f""",

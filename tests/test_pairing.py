@@ -155,3 +155,28 @@ def test_stacked_views_are_dealt_before_they_are_compared(spark):
     out = RC.stack_platform_views(st.filter("banco_id <> 2"), st.filter("banco_id = 2"))
     assert "REPARTITION_BY_NUM" in out._jdf.queryExecution().executedPlan().toString()
     assert sorted((r.plataforma, r.banco_id) for r in out.collect()) == [("BB", 3), ("NOVA", 1)]
+
+
+def test_only_rows_of_repeated_ids_are_looked_for_again(spark, monkeypatch):
+    held, cut = {}, RC.cut_lineage
+    monkeypatch.setattr(RC, "cut_lineage", lambda df, name: held.setdefault(name, cut(df, name)))
+    left = spark.createDataFrame([(i if i != 1 else 0, f"x{i}", f"y{i}") for i in range(40)], "src_id long, x string, y string")
+    right = spark.createDataFrame([(i, f"x{i * 2}", f"y{i}") for i in range(40)], "id long, x string, y string")
+    pairs = RC.staged_pairing(left, right, [("s1", ["x"]), ("s2", ["y"])]).collect()
+    assert [r.src_id for r in held["repeated-ids"].collect()] == [0]
+    assert held["pending1"].count() == 0  # id 0 was paired with its first row
+    assert sorted((p.src_id, p.id) for p in pairs if p.etapa == 1) == [(i, i // 2) for i in range(0, 40, 2)]
+    assert {(p.src_id, p.id) for p in pairs if p.etapa == 2} == {(i, i) for i in range(21, 40, 2)}
+
+
+def test_a_write_back_rates_paired_lines_alone(spark):
+    st = spark.createDataFrame([(i, f"t{i}") for i in range(10)], "src_id long, dsc_produto string")
+    pairs = spark.createDataFrame([(2, 7), (5, 8)], "src_id long, id long")
+    assert sorted(r.src_id for r in RC.paired_statements(st, pairs).collect()) == [2, 5]
+
+
+def test_statements_are_derived_once(spark, monkeypatch):
+    from ledgerlens.plans import q_reconcile as QR
+    smoke = "/root/testdata/sf0.001"
+    for query in (QR.report_conciliacao, QR.comissao_recalculada):
+        assert not [f for f in query(spark, smoke).inputFiles() if "lineitem" in f]

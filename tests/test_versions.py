@@ -78,3 +78,13 @@ def test_blocks_are_dealt_over_all_partitions(spark):
     out = elementary(v, ["k"], day("a"), day("b"), ["w"], ["w"])
     assert out._jdf.queryExecution().executedPlan().toString().count("REPARTITION_BY_NUM") >= 2
     assert {r._best.w for r in out.collect() if r._best} == set(range(50))
+
+
+def test_versions_in_force_at_the_same_time_count_once(spark, monkeypatch):
+    from ledgerlens.operators import versions as V
+    held, cut = [], V.cut_lineage
+    monkeypatch.setattr(V, "cut_lineage", lambda df, name: held.append((name, cut(df, name))) or held[-1][1])
+    v = spark.createDataFrame([("k", "2024-01-01", "2024-02-01", w) for w in range(50)], "k string, a string, b string, w int")
+    out = V.elementary(v, ["k"], F.col("a").cast("timestamp_ntz"), F.col("b").cast("timestamp_ntz"), ["w"], ["w"]).collect()
+    assert held[0][1].count() == 1 and sorted(r._n for r in out) == [0, 1]
+    assert [r._best.w for r in out if r._n == 0] == [49]

@@ -5,14 +5,17 @@ instant at which it was met again) stands in a side table and is merged on
 read.  Under ``root``:
 
     rows/epoch=N/prefix=ab/     new rows, dealt by the first digits of row_hash
-    touched/epoch=N/            row_hash of known rows that batch N holds
+    touched/epoch=N/            row_hash of known rows that batch N holds, by prefix or not
     filters/epoch=N/            a Bloom filter of each prefix's new hashes
     commits/N/                  written last: batch id and as_of
 
-``insert`` first asks the Bloom filters of the batch's own prefixes (about two
-bytes a key).  Rows that no filter knows are new without a look at old data;
-the others are compared exactly with the hash column of the partitions whose
-filter answered.  An epoch without its commit does not exist for any reader,
+A batch is dealt once, by the first digits of row_hash, with its columns as they
+came; its rows are compared and written where they lie.  For a table of more
+than ``OLD_A_NEW`` times the batch's rows ``insert`` first asks the Bloom filters
+of the batch's own prefixes (about two bytes a key).  Rows that no filter knows
+are new without a look at old data; the others are compared exactly with the
+hash column of the partitions whose filter answered.  Up to that size the
+digests of the table are dealt with the batch and met there.  An epoch without its commit does not exist for any reader,
 so a run lost between write and commit leaves nothing behind but files, and a
 batch id that is committed already is skipped: a replay inserts nothing and
 touches nothing.  One writer at a time (a stream's driver).  ``compact`` folds
@@ -21,19 +24,22 @@ all epochs into one.
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlens.session import cut_lineage
-from ledgerlens.sources.ingest import _hadoop_path, normalise_columns, row_hash, to_text_layer
+from ledgerlens.functions import scalars as S
+from ledgerlens.session import CODEC, cut_lineage, release_shuffles
+from ledgerlens.sources.ingest import AUDIT_COLS, _hadoop_path, normalise_columns, row_hash
 
 DIGITS = 2           # of row_hash: 256 prefixes
 BITS_PER_KEY = 16
 PROBES = 4           # a filter lets about one unknown key in 400 through
 MOST_BROADCAST = 1_000_000
+OLD_A_NEW = 4        # a filter of a prefix answers some key of a larger batch in any case
 
 
 @dataclass
@@ -103,11 +109,70 @@ def _maybe(words: Column) -> Column:
     return reduce(Column.__and__, [F.call_function("bit_get", F.element_at(words, w + 1), b) == 1 for w, b in _places(n)])
 
 
+def _placed(digest: Column, tasks: int) -> Column:
+    """The task of a hash: tasks follow its first digits."""
+    return F.floor(F.conv(F.substring(digest, 1, 4), 16, 10).cast("long") * tasks / 65536).cast("int")
+
+
+def _dealt(incoming: DataFrame, compat: bool, digests: DataFrame | None = None) -> tuple[DataFrame, list[str]]:
+    """_place, row_hash, the columns of ``incoming`` as text, and _old, dealt
+    by _place: all rows of ``incoming`` and, with _old and without columns,
+    those of ``digests`` (row_hash).  Columns travel as they came, and are
+    made text again afterwards: shorter than their text and its hash."""
+    inc = normalise_columns(incoming)
+    cols = inc.columns
+    tasks = int(inc.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    texts = [S.null_words_to_null(F.col(f"`{c}`").cast("string")).alias(c) for c in cols]
+    own = [c for c in cols if c not in AUDIT_COLS]
+    keyed = row_hash(inc.select(F.struct(*[F.col(f"`{c}`") for c in cols]).alias("_row"), *texts), own, compat)
+    rows = keyed.select("_row.*", _placed(F.col("row_hash"), tasks).alias("_place"))
+    if digests is not None:
+        rows = rows.unionByName(digests.select(F.unhex("row_hash").alias("_digest"), _placed(F.col("row_hash"), tasks).alias("_place")), allowMissingColumns=True)
+    else:
+        rows = rows.withColumn("_digest", F.lit(None).cast("binary"))
+    dealt = rows.repartitionById(tasks, F.col("_place")).select("_place", "_digest", *texts)
+    dealt = row_hash(dealt.withColumnRenamed("row_hash", "_row_hash") if "row_hash" in cols else dealt, own, compat)
+    dealt = dealt.withColumn("_old", F.col("_digest").isNotNull()).withColumn("row_hash", F.coalesce(F.lower(F.hex("_digest")), F.col("row_hash")))
+    return dealt.drop("_digest", "_row_hash"), [c for c in cols if c != "row_hash"]
+
+
 def _hashed(incoming: DataFrame, compat: bool) -> DataFrame:
-    inc = row_hash(to_text_layer(normalise_columns(incoming)), compat=compat).dropDuplicates(["row_hash"])
+    """The batch as text with row_hash and prefix, one row a hash."""
+    dealt, cols = _dealt(incoming, compat)
+    inc = dealt.dropDuplicates(["_place", "row_hash"]).select(*[F.col(f"`{c}`") for c in cols], "row_hash")
     return inc.withColumn("prefix", F.substring("row_hash", 1, DIGITS))
 
 
+def _write(df: DataFrame, path: str, *by: str) -> None:
+    df.write.mode("errorifexists").option("compression", CODEC).partitionBy(*by).parquet(path)
+    release_shuffles(df.sparkSession)
+
+
+def _met(incoming: DataFrame, compat: bool, old: DataFrame, as_of: str, root: str, epoch: int) -> None:
+    """Write the rows of ``incoming`` that ``old`` lacks, and the hashes of the
+    others as touched: both are found in one pass over rows that were dealt
+    once, written apart and moved to their places."""
+    spark = old.sparkSession
+    dealt, cols = _dealt(incoming, compat, old)
+    kept = [c for c in cols if c not in ("execution_date", "prefix")]
+    row = F.struct(*[F.col(f"`{c}`") for c in kept])
+    met = dealt.groupBy("_place", "row_hash").agg(F.max("_old").alias("_known"), F.max(~F.col("_old")).alias("_new"),
+                                                  F.first(F.when(~F.col("_old"), row), ignorenulls=True).alias("_row")).where("_new")
+    out = met.select(*[F.when(~F.col("_known"), F.col("_row")[c]).alias(c) for c in kept], "row_hash", F.substring("row_hash", 1, DIGITS).alias("prefix"),
+                     F.when(~F.col("_known"), F.lit(as_of).cast("date")).alias("execution_date"), "_known")
+    staged = f"{root}/staged/{uuid.uuid4().hex}"
+    _write(out, staged, "_known", "prefix")
+    for side, part in (("false", "rows"), ("true", "touched")):
+        source, fs = _hadoop_path(spark, f"{staged}/_known={side}")
+        if fs.exists(source):
+            target, _ = _hadoop_path(spark, f"{root}/{part}/epoch={epoch}")
+            fs.mkdirs(target.getParent())
+            if not fs.rename(source, target):
+                raise OSError(f"{source} could not be moved to {target}")
+    p, fs = _hadoop_path(spark, staged)
+    fs.delete(p, True)
+
+
 def insert(spark: SparkSession, root: str, incoming: DataFrame, as_of: str, batch: str, compat: bool = False,
            before_commit=None) -> int | None:
     """Append a batch; its epoch, or None if ``batch`` is committed already.
@@ -118,28 +183,13 @@ def insert(spark: SparkSession, root: str, incoming: DataFrame, as_of: str, batc
     old = [c.epoch for c in commits(spark, root)]
     taken = [n for part in ("rows", "touched", "filters", "commits") for n in _epochs(spark, f"{root}/{part}")]
     epoch = max(taken, default=0) + 1  # never a folder that a lost run has begun
-    inc = cut_lineage(_hashed(incoming, compat), "batch")
-    keys = inc.select("prefix", "row_hash")
-    new = inc
-    filters = _part(spark, root, "filters", old)
-    if filters is not None:
-        prefixes = [r.prefix for r in keys.select("prefix").distinct().collect()]  # 256 at most
-        held = filters.where(F.col("prefix").isin(prefixes))
-        asked = cut_lineage(keys.join(held, "prefix").where(_maybe(F.col("words"))).select("prefix", "row_hash", "epoch"), "asked")
-        parts = [(r.epoch, r.prefix) for r in asked.select("epoch", "prefix").distinct().collect()]  # partitions of the table
-        if parts:
-            rows = _part(spark, root, "rows", sorted({e for e, _ in parts}), merge=False).select("epoch", "prefix", "row_hash") \
-                .where(F.col("prefix").isin(sorted({p for _, p in parts})))
-            wanted = asked.select("row_hash").distinct()
-            wanted = F.broadcast(wanted) if asked.count() <= MOST_BROADCAST else wanted
-            known = cut_lineage(rows.join(wanted, "row_hash", "left_semi").select("row_hash").distinct(), "known")
-            if not known.isEmpty():
-                known.write.mode("errorifexists").parquet(f"{root}/touched/epoch={epoch}")
-                new = inc.join(known, "row_hash", "left_anti")
-    new = new.withColumn("execution_date", F.lit(as_of).cast("date"))
-    # a prefix's rows meet in one task: one file a prefix
-    new.repartition("prefix").write.mode("errorifexists").partitionBy("prefix").parquet(f"{root}/rows/epoch={epoch}")
-    written = _part(spark, root, "rows", [epoch]) if not new.isEmpty() else None
+    rows = _part(spark, root, "rows", old)
+    if rows is not None and rows.count() <= OLD_A_NEW * incoming.count():
+        _met(incoming, compat, rows.select("row_hash"), as_of, root, epoch)
+    else:
+        new = _hashed(incoming, compat) if rows is None else _asked(spark, root, incoming, compat, old, epoch)
+        _write(new.withColumn("execution_date", F.lit(as_of).cast("date")), f"{root}/rows/epoch={epoch}", "prefix")
+    written = _part(spark, root, "rows", [epoch]) if _filled(spark, f"{root}/rows/epoch={epoch}") else None
     if written is not None:
         bloom_filters(written.select("prefix", "row_hash")).write.mode("errorifexists").parquet(f"{root}/filters/epoch={epoch}")
     if before_commit is not None:
@@ -148,6 +198,34 @@ def insert(spark: SparkSession, root: str, incoming: DataFrame, as_of: str, batc
     return epoch
 
 
+def _filled(spark: SparkSession, path: str) -> bool:
+    """Rows stand in the folder ``path``."""
+    p, fs = _hadoop_path(spark, path)
+    return fs.exists(p) and any(s.getPath().getName().startswith("prefix=") for s in fs.listStatus(p))
+
+
+def _asked(spark: SparkSession, root: str, incoming: DataFrame, compat: bool, old: list[int], epoch: int) -> DataFrame:
+    """The rows of ``incoming`` that are new, by the filters first; hashes of
+    the others are written as touched."""
+    inc = cut_lineage(_hashed(incoming, compat), "batch")
+    new, keys = inc, inc.select("prefix", "row_hash")
+    filters = _part(spark, root, "filters", old)
+    prefixes = [r.prefix for r in keys.select("prefix").distinct().collect()]  # 256 at most
+    held = filters.where(F.col("prefix").isin(prefixes))
+    asked = cut_lineage(keys.join(held, "prefix").where(_maybe(F.col("words"))).select("prefix", "row_hash", "epoch"), "asked")
+    parts = [(r.epoch, r.prefix) for r in asked.select("epoch", "prefix").distinct().collect()]  # partitions of the table
+    if parts:
+        rows = _part(spark, root, "rows", sorted({e for e, _ in parts}), merge=False).select("epoch", "prefix", "row_hash") \
+            .where(F.col("prefix").isin(sorted({p for _, p in parts})))
+        wanted = asked.select("row_hash").distinct()
+        wanted = F.broadcast(wanted) if asked.count() <= MOST_BROADCAST else wanted
+        known = cut_lineage(rows.join(wanted, "row_hash", "left_semi").select("row_hash").distinct(), "known")
+        if not known.isEmpty():
+            known.write.mode("errorifexists").parquet(f"{root}/touched/epoch={epoch}")
+            new = inc.join(known, "row_hash", "left_anti")
+    return new.repartition("prefix")  # a prefix's rows meet in one task: one file a prefix
+
+
 def _commit(spark: SparkSession, root: str, epoch: int, batch: str, as_of: str, replaces: list[int]) -> None:
     row = spark.createDataFrame([(epoch, batch, as_of, replaces)], "epoch long, batch string, as_of string, replaces array<long>")
     row.coalesce(1).write.mode("errorifexists").json(f"{root}/commits/{epoch}")
@@ -162,15 +240,22 @@ def read(spark: SparkSession, root: str) -> DataFrame | None:
     rows = _part(spark, root, "rows", [c.epoch for c in done], merge=True)
     if rows is None:
         return None
-    touched = _part(spark, root, "touched", [c.epoch for c in done])
-    rows = rows.drop("epoch", "prefix")
-    kept = [c for c in rows.columns if c != "verificacao_hash"]
+    there = [n for n in _epochs(spark, f"{root}/touched") if n in {c.epoch for c in done}]
+    kept = [c for c in rows.columns if c not in ("verificacao_hash", "epoch", "prefix")]
     own = F.col("verificacao_hash") if "verificacao_hash" in rows.columns else F.lit(None).cast("timestamp_ntz")
-    if touched is None:
+    if not there:
         return rows.select(*kept, own.alias("verificacao_hash"))
     when = F.create_map(*[x for c in done for x in (F.lit(c.epoch), F.lit(c.as_of).cast("timestamp_ntz"))])
-    last = touched.groupBy("row_hash").agg(F.max(F.element_at(when, F.col("epoch").cast("int"))).alias("_last"))
-    return rows.join(last, "row_hash", "left").select(*kept, F.greatest(own, F.col("_last")).alias("verificacao_hash"))
+    digest = F.unhex("row_hash").alias("_digest")  # half as long as its text
+    # with or without folders by prefix below an epoch's
+    touched = spark.read.schema("row_hash string").option("recursiveFileLookup", True).parquet(*[f"{root}/touched/epoch={n}" for n in there])
+    touched = touched.withColumn("epoch", F.regexp_extract("_metadata.file_path", r"/touched/epoch=(\d+)/", 1).cast("int"))
+    last = touched.groupBy(digest).agg(F.max(F.element_at(when, F.col("epoch"))).alias("_last"))
+    # a batch touches rows of earlier ones alone: those written since go by
+    newest = max(there)
+    met = rows.where(F.col("epoch") < newest).select(*[c for c in rows.columns if c != "row_hash"], digest).join(last, "_digest", "left") \
+        .withColumn("row_hash", F.lower(F.hex("_digest"))).select(*kept, F.greatest(own, F.col("_last")).alias("verificacao_hash"))
+    return met.unionByName(rows.where(F.col("epoch") >= newest).select(*kept, own.alias("verificacao_hash")))
 
 
 def compact(spark: SparkSession, root: str) -> int | None:
@@ -183,7 +268,7 @@ def compact(spark: SparkSession, root: str) -> int | None:
         return None
     epoch = max(n for part in ("rows", "touched", "filters", "commits") for n in _epochs(spark, f"{root}/{part}")) + 1
     whole = whole.withColumn("prefix", F.substring("row_hash", 1, DIGITS))
-    whole.repartition("prefix").write.mode("errorifexists").partitionBy("prefix").parquet(f"{root}/rows/epoch={epoch}")
+    _write(whole.repartition("prefix"), f"{root}/rows/epoch={epoch}", "prefix")
     bloom_filters(_part(spark, root, "rows", [epoch]).select("prefix", "row_hash")).write.mode("errorifexists").parquet(f"{root}/filters/epoch={epoch}")
     _commit(spark, root, epoch, f"compact-{epoch}", done[-1].as_of, [c.epoch for c in done])
     return epoch

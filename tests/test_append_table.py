@@ -1,8 +1,10 @@
 import os
+import time
 
 import pytest
 from pyspark.sql import functions as F
 
+from ledgerlens.session import cut_lineage, ensure_checkpoint_dir
 from ledgerlens.sources import append_table as AT
 from ledgerlens.sources import ingest as IG
 
@@ -68,3 +70,37 @@ def test_new_rows_need_no_look_at_old_ones(spark, tmp_path):
     assert new.join(filters, "prefix").where(AT._maybe(F.col("words"))).count() == 4000
     other = AT._hashed(rows(spark, 10_000, 30_000), False).select("prefix", "row_hash")
     assert other.join(filters, "prefix").where(AT._maybe(F.col("words"))).count() < 200
+
+
+def test_a_batch_like_the_table_is_written_once(spark, tmp_path):
+    """Known rows are told from new ones where the batch is dealt: no copy of
+    it is staged; later batches read a table whose touched rows lie either
+    way."""
+    root, tables = str(tmp_path / "t"), os.path.join(ensure_checkpoint_dir(spark).removeprefix("file:"), "tables")
+    staged = lambda: set(os.listdir(tables)) if os.path.isdir(tables) else set()
+    batches = [(rows(spark, 0, 300), "2024-01-01"), (rows(spark, 200, 700).unionByName(rows(spark, 250, 400)), "2024-01-02"),
+               (rows(spark, 600, 800, extra=True).unionByName(rows(spark, 0, 0, extra=True)), "2024-01-03"), (rows(spark, 0, 700), "2024-01-04")]
+    want = None
+    for k, (df, day) in enumerate(batches):
+        before = staged()
+        AT.insert(spark, root, df, day, f"b{k}")
+        assert staged() == before
+        want = IG.idempotent_insert(want, df, day)
+        same(AT.read(spark, root), want.select(*AT.read(spark, root).columns))
+    assert not os.listdir(os.path.join(root, "staged"))
+    for k, df in enumerate((rows(spark, 690, 710), rows(spark, 5, 6)), start=len(batches)):  # small ones ask the filters
+        AT.insert(spark, root, df, f"2024-02-0{k}", f"b{k}")
+        want = IG.idempotent_insert(want, df, f"2024-02-0{k}")
+        same(AT.read(spark, root), want.select(*AT.read(spark, root).columns))
+
+
+def test_files_of_finished_shuffles_go(spark):
+    disk = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    shuffles = lambda: {f for f in disk.getAllFiles().mkString(",").split(",") if "/shuffle_" in f}
+    before = shuffles()
+    cut_lineage(spark.range(5000).withColumn("k", F.col("id") % 100).repartition(7, "k"), "released")
+    for _ in range(100):
+        if shuffles() <= before:
+            return
+        time.sleep(0.1)
+    raise AssertionError(f"{len(shuffles() - before)} files are left")

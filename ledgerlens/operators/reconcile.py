@@ -251,9 +251,15 @@ def expected_commission(statements: DataFrame, best_rates: DataFrame) -> DataFra
                         F.when(cond, recalc).otherwise(F.col("val_comissao").cast("double")))
 
 
+# What rates, commissions and the write-back read of a statement.
+WRITE_BACK_COLUMNS = ["src_id", "data_emprestimo", "nom_banco", "dsc_produto", "val_repasse", "val_comissao", "val_liberado", "val_bruto", "prazo"]
+
+
 def paired_statements(statements: DataFrame, pairs: DataFrame) -> DataFrame:
     """The statement lines that a write-back needs: those with a pair, once
-    on disk, so that rates and commissions of the others are not worked out."""
+    on disk, so that rates and commissions of the others are not worked out.
+    The keys of the pairing stay behind."""
+    statements = statements.select(*[c for c in WRITE_BACK_COLUMNS if c in statements.columns])
     return cut_lineage(statements.join(pairs.select("src_id"), "src_id", "left_semi"), "paired-statements")
 
 

@@ -175,6 +175,12 @@ def test_a_write_back_rates_paired_lines_alone(spark):
     assert sorted(r.src_id for r in RC.paired_statements(st, pairs).collect()) == [2, 5]
 
 
+def test_a_write_back_leaves_the_keys_of_the_pairing_behind(spark):
+    st = spark.createDataFrame([(1, "c", "p", 5, "t")], "src_id long, cliente_id string, numero_proposta string, prazo int, dsc_produto string")
+    pairs = spark.createDataFrame([(1, 7)], "src_id long, id long")
+    assert sorted(RC.paired_statements(st, pairs).columns) == ["dsc_produto", "prazo", "src_id"]
+
+
 def test_the_report_derives_its_statements_once(spark):
     from ledgerlens.plans import q_reconcile as QR
     smoke = "/root/testdata/sf0.001"

@@ -145,7 +145,7 @@ def _hashed(incoming: DataFrame, compat: bool) -> DataFrame:
 
 def _write(df: DataFrame, path: str, *by: str) -> None:
     df.write.mode("errorifexists").option("compression", CODEC).partitionBy(*by).parquet(path)
-    release_shuffles(df.sparkSession)
+    release_shuffles(df.sparkSession, path)
 
 
 def _met(incoming: DataFrame, compat: bool, old: DataFrame, as_of: str, root: str, epoch: int) -> None:

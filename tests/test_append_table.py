@@ -4,6 +4,7 @@ import time
 import pytest
 from pyspark.sql import functions as F
 
+from ledgerlens import session
 from ledgerlens.session import cut_lineage, ensure_checkpoint_dir
 from ledgerlens.sources import append_table as AT
 from ledgerlens.sources import ingest as IG
@@ -94,7 +95,8 @@ def test_a_batch_like_the_table_is_written_once(spark, tmp_path):
         same(AT.read(spark, root), want.select(*AT.read(spark, root).columns))
 
 
-def test_files_of_finished_shuffles_go(spark):
+def test_files_of_finished_shuffles_go(spark, monkeypatch):
+    monkeypatch.setattr(session, "RELEASE_BYTES", 0)
     disk = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
     shuffles = lambda: {f for f in disk.getAllFiles().mkString(",").split(",") if "/shuffle_" in f}
     before = shuffles()
